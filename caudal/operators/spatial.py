@@ -156,7 +156,10 @@ def nearest_points(queries: DataFrame, points: DataFrame, q_id: str, p_id: str,
         return _top_k(cands, q_id, p_id, k)
 
     half_circumference = math.pi * EARTH_RADIUS_M
-    pending = queries.select(q_id, qlon, qlat)
+    pending = queries.select(q_id, qlon, qlat).checkpoint()
+    if pending.isEmpty():
+        return _top_k(_neighbour_candidates(pending, points, q_id, p_id, start_radius_m,
+                                            qlon, qlat, plon, plat), q_id, p_id, k)
     radius = float(start_radius_m)
     results = []
     while True:

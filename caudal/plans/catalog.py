@@ -207,3 +207,264 @@ FROM c JOIN q ON c.departamento_id = q.departamento_id JOIN deptos d ON d.depart
 def q19(spark, d):
     """Q19 claims vs % Presencia per department (inner join), claims desc."""
     return quality.claims_vs_quality(S.reclamosose(spark, d), S.oseparam(spark, d), S.departamentos(spark, d), Y0, Y1)
+
+
+# ============================================================ stations and departments (GEO3, Q07-Q10, Q13, Q14)
+
+from caudal.functions.geometry import haversine_m  # noqa: E402
+from caudal.operators import lab, risk, soil  # noqa: E402
+from caudal.plans.oracle import haversine_sql  # noqa: E402
+
+
+def _station_depto(spark, d):
+    return lab.station_departments(S.estaciones(spark, d), S.departamentos(spark, d))
+
+
+@register("geo3_points_in_polygons", with_ctes(["station_depto"], """
+SELECT estacion_id, departamento_id, nombre FROM station_depto"""))
+def geo3(spark, d):
+    """GEO3 stations inside department polygons (overlaps listed once per polygon)."""
+    return _station_depto(spark, d)
+
+
+@register("q07_stations_by_department", with_ctes(["station_depto"], """
+SELECT departamento_id, estacion_id FROM station_depto"""))
+def q07(spark, d):
+    """Q07 station ids per department."""
+    return lab.stations_in_department(_station_depto(spark, d))
+
+
+@register("q08_lab_monthly_stats", with_ctes(["station_depto", "gems"], f"""
+SELECT sd.nombre, CAST(date_trunc('month', g.fecha_inicio) AS DATE) AS periodo,
+       {R("AVG(g.value)")} AS valor_medio, {R("MIN(g.value)")} AS valor_min, {R("MAX(g.value)")} AS valor_max,
+       COUNT(*) AS n_mediciones
+FROM gems g JOIN station_depto sd ON g.location_id = sd.estacion_id
+WHERE g.code = 'TOTCOLI' AND g.value IS NOT NULL AND year(g.fecha_inicio) BETWEEN {Y0} AND {Y1}
+GROUP BY 1, 2"""))
+def q08(spark, d):
+    """Q08 monthly avg/min/max/count per department station set, one code."""
+    return lab.monthly_stats(S.gemsparams(spark, d), _station_depto(spark, d), "TOTCOLI", Y0, Y1)
+
+
+_STATION_MEAN_SQL = """
+SELECT sd.nombre, {val} AS {out}
+FROM (SELECT location_id, AVG({col}) AS m FROM {tbl} WHERE {col} IS NOT NULL {where} GROUP BY 1) st
+JOIN station_depto sd ON st.location_id = sd.estacion_id
+GROUP BY sd.nombre"""
+
+
+@register("q09_lab_department_mean", with_ctes(["station_depto", "gems"], _STATION_MEAN_SQL.format(
+    val=R("AVG(st.m)"), out="valor_medio", col="value", tbl="gems", where="AND code = 'ECOLI'")))
+def q09(spark, d):
+    """Q09 department mean of station means, one code, no period filter."""
+    return lab.mean_of_station_means(S.gemsparams(spark, d), _station_depto(spark, d), "value",
+                                     "valor_medio", code="ECOLI")
+
+
+@register("q10_lab_department_month", with_ctes(["station_depto", "gems"], f"""
+, one AS (SELECT estacion_id, MIN(nombre) AS nombre FROM station_depto GROUP BY 1),
+sm AS (SELECT location_id, CAST(date_trunc('month', fecha_inicio) AS DATE) AS periodo, AVG(value) AS m
+       FROM gems WHERE code = 'TOTCOLI' AND value IS NOT NULL AND year(fecha_inicio) BETWEEN {Y0} AND {Y1}
+       GROUP BY 1, 2)
+SELECT one.nombre, sm.periodo, {R("AVG(sm.m)")} AS valor_medio
+FROM sm JOIN one ON sm.location_id = one.estacion_id GROUP BY 1, 2"""))
+def q10(spark, d):
+    """Q10 (department, month) mean of station-month means; overlapping station -> smallest name."""
+    return lab.monthly_department_means(S.gemsparams(spark, d), _station_depto(spark, d), "TOTCOLI", Y0, Y1)
+
+
+def _q13(spark, d):
+    return lab.mean_of_station_means(S.gemsparams(spark, d), _station_depto(spark, d), "value", "val_gems",
+                                     code="TOTCOLI", year_from=Y0, year_to=Y1)
+
+
+def _q14(spark, d):
+    return lab.mean_of_station_means(S.registrotempprec(spark, d), _station_depto(spark, d), "pluviometro",
+                                     "val_precip", year_from=Y0, year_to=Y1)
+
+
+_Q13_BODY = _STATION_MEAN_SQL.format(val="AVG(st.m)", out="val_gems", col="value", tbl="gems",
+                                     where=f"AND code = 'TOTCOLI' AND year(fecha_inicio) BETWEEN {Y0} AND {Y1}")
+_Q14_BODY = _STATION_MEAN_SQL.format(val="AVG(st.m)", out="val_precip", col="pluviometro", tbl="registro",
+                                     where=f"AND year(fecha_inicio) BETWEEN {Y0} AND {Y1}")
+
+
+@register("q13_contam_lab", with_ctes(["station_depto", "gems"], f"SELECT nombre, {R('val_gems')} AS val_gems FROM ({_Q13_BODY})"))
+def q13(spark, d):
+    """Q13 contamination (lab): mean of station means of TOTCOLI in the period."""
+    return _q13(spark, d)
+
+
+@register("q14_rain_by_department", with_ctes(["station_depto", "registro"], f"SELECT nombre, {R('val_precip')} AS val_precip FROM ({_Q14_BODY})"))
+def q14(spark, d):
+    """Q14 rain per department: mean of station mean rainfall in the period."""
+    return _q14(spark, d)
+
+
+# ============================================================ grid soil water (KEY4, Q11, Q21) and risk (Q15, Q16)
+
+def _grid(spark, d):
+    return soil.with_point_id(S.puntomedicion(spark, d))
+
+
+def _registry(spark, d):
+    return soil.grid_registry(S.puntomedicion(spark, d))
+
+
+def _soil(spark, d, tipo="IBH"):
+    return soil.soil_by_department(_grid(spark, d), _registry(spark, d), S.departamentos(spark, d), tipo, Y0, Y1)
+
+
+_SOIL_CTES = f"""
+, gp AS (SELECT DISTINCT lon, lat FROM grid),
+pip AS (
+  SELECT d.departamento_id, g.lon, g.lat FROM gp g JOIN deptos d ON (
+       (d.shape = 0 AND g.lon > d.x0 + 0.1 AND g.lon < d.x0 + 1.2 AND g.lat > d.y0 + 0.1 AND g.lat < d.y0 + 0.9)
+    OR (d.shape = 1 AND abs(g.lon - (d.x0 + 0.5)) + abs(g.lat - (d.y0 + 0.5)) < 0.45)
+    OR (d.shape = 2 AND ((g.lon > d.x0 + 0.1 AND g.lon < d.x0 + 0.5 AND g.lat > d.y0 + 0.1 AND g.lat < d.y0 + 0.9)
+                      OR (g.lon >= d.x0 + 0.5 AND g.lon < d.x0 + 0.9 AND g.lat > d.y0 + 0.1 AND g.lat < d.y0 + 0.5)))
+    OR (d.shape = 3 AND g.lon > d.x0 + 0.72 AND g.lon < d.x0 + 0.8 AND g.lat > d.y0 + 0.72 AND g.lat < d.y0 + 0.8))),
+rep AS (
+  SELECT departamento_id,
+         CASE shape WHEN 0 THEN x0 + 0.65 WHEN 1 THEN x0 + 0.5 WHEN 2 THEN x0 + 0.3 ELSE x0 + 0.76 END AS rlon,
+         CASE shape WHEN 3 THEN y0 + 0.76 ELSE y0 + 0.5 END AS rlat
+  FROM deptos),
+nn AS (
+  SELECT r.departamento_id, g.lon, g.lat,
+         row_number() OVER (PARTITION BY r.departamento_id
+                            ORDER BY {haversine_sql('r.rlon', 'r.rlat', 'g.lon', 'g.lat')}, g.lat, g.lon) AS rn
+  FROM rep r CROSS JOIN gp g),
+members AS (
+  SELECT departamento_id, lon, lat FROM pip
+  UNION
+  SELECT departamento_id, lon, lat FROM nn
+  WHERE rn = 1 AND departamento_id NOT IN (SELECT departamento_id FROM pip)),
+pm AS (SELECT lon, lat, AVG(value) AS m FROM grid
+       WHERE type = '{{tipo}}' AND year(fecha_inicio) BETWEEN {Y0} AND {Y1} GROUP BY 1, 2),
+direct AS (SELECT mb.departamento_id, AVG(pm.m) AS v FROM members mb JOIN pm USING (lon, lat) GROUP BY 1),
+fb AS (SELECT n.departamento_id, AVG(pm.m) AS v FROM nn n JOIN pm USING (lon, lat)
+       WHERE n.rn <= 12 AND n.departamento_id IN (SELECT departamento_id FROM members)
+         AND n.departamento_id NOT IN (SELECT departamento_id FROM direct) GROUP BY 1),
+soil AS (SELECT d.nombre, x.v AS valor_medio
+         FROM (SELECT * FROM direct UNION ALL SELECT * FROM fb) x JOIN deptos d USING (departamento_id))"""
+
+
+def _soil_sql(tipo: str, body: str, extra: list[str] | None = None) -> str:
+    return with_ctes(["deptos", "grid"] + (extra or []), "").rstrip() + _SOIL_CTES.replace("{tipo}", tipo) + body
+
+
+@register("key4_grid_registry", with_ctes(["grid"], """
+SELECT DISTINCT lon, lat FROM grid"""))
+def key4(spark, d):
+    """KEY4 grid point registry: distinct coordinates (ids are KEY1 of lat, lon)."""
+    return _registry(spark, d).select("lon", "lat")
+
+
+@register("q11_soil_by_department", _soil_sql("IBH", f"""
+SELECT nombre, {R('valor_medio')} AS valor_medio FROM soil"""))
+def q11(spark, d):
+    """Q11 soil water index per department with fallbacks A (nearest point) and B (12 nearest)."""
+    return _soil(spark, d, "IBH")
+
+
+@register("q11_soil_anr", _soil_sql("ANR", f"""
+SELECT nombre, {R('valor_medio')} AS valor_medio FROM soil"""))
+def q11b(spark, d):
+    """Q11 for the ANR grid type."""
+    return _soil(spark, d, "ANR")
+
+
+_RISK_BODY = f"""
+, ose AS (
+  SELECT d.nombre, SUM(CASE WHEN o.value_cat = 'Presencia' THEN 1 ELSE 0 END) * 100.0 / COUNT(*) AS pct_ose
+  FROM oseparam o JOIN deptos d ON o.departamento_id = d.departamento_id
+  WHERE o.code = 'COLIFORMES TOTALES' AND year(o.fecha_inicio) BETWEEN {Y0} AND {Y1} GROUP BY 1),
+labm AS ({_Q13_BODY}),
+rain AS ({_Q14_BODY}),
+j AS (SELECT * FROM soil FULL OUTER JOIN ose USING (nombre) FULL OUTER JOIN labm USING (nombre)
+      FULL OUTER JOIN rain USING (nombre)),
+n AS (
+  SELECT *,
+    CASE WHEN pct_ose IS NULL THEN NULL WHEN max(pct_ose) OVER () = min(pct_ose) OVER () THEN 0.0
+         ELSE (pct_ose - min(pct_ose) OVER ()) / (max(pct_ose) OVER () - min(pct_ose) OVER ()) END AS on_,
+    CASE WHEN val_gems IS NULL THEN NULL WHEN max(val_gems) OVER () = min(val_gems) OVER () THEN 0.0
+         ELSE (val_gems - min(val_gems) OVER ()) / (max(val_gems) OVER () - min(val_gems) OVER ()) END AS gn_
+  FROM j),
+c AS (
+  SELECT *, CASE WHEN on_ IS NULL AND gn_ IS NULL THEN NULL
+                 ELSE (0.0 + COALESCE(on_, 0) + COALESCE(gn_, 0))
+                      / (CAST(on_ IS NOT NULL AS INTEGER) + CAST(gn_ IS NOT NULL AS INTEGER)) END AS pct_contam
+  FROM n),
+q AS (
+  SELECT *, quantile_cont(pct_contam, 0.66) OVER () AS p66c, quantile_cont(val_precip, 0.66) OVER () AS p66p,
+         quantile_cont(valor_medio, 0.33) OVER () AS p33s
+  FROM c),
+r AS (
+  SELECT nombre,
+         COALESCE(pct_contam > p66c, false) AS condicion_contam,
+         COALESCE(val_precip > p66p, false) AS condicion_precip,
+         COALESCE(valor_medio < p33s, false) AS condicion_suelo,
+         pct_ose, val_gems, val_precip, valor_medio AS val_suelo
+  FROM q WHERE nombre IS NOT NULL),
+risk AS (
+  SELECT nombre, CAST(condicion_contam AS INTEGER) + CAST(condicion_precip AS INTEGER)
+                 + CAST(condicion_suelo AS INTEGER) AS score,
+         condicion_contam, condicion_precip, condicion_suelo, pct_ose, val_gems, val_precip, val_suelo
+  FROM r)"""
+
+
+def _risk(spark, d):
+    ose = quality.pct_presence_by_department(S.oseparam(spark, d), S.departamentos(spark, d),
+                                             "COLIFORMES TOTALES", Y0, Y1, out="pct_ose")
+    return risk.risk_by_department(_soil(spark, d), ose, _q13(spark, d), _q14(spark, d))
+
+
+@register("q16_risk_by_department", _soil_sql("IBH", _RISK_BODY + f"""
+SELECT nombre, score, condicion_contam, condicion_precip, condicion_suelo, {R('pct_ose')} AS pct_ose,
+       {R('val_gems')} AS val_gems, {R('val_precip')} AS val_precip, {R('val_suelo')} AS val_suelo
+FROM risk""", ["oseparam", "station_depto", "gems", "registro"]))
+def q16(spark, d):
+    """Q16 composite risk score per department (Q11 + Q12 + Q13 + Q14, min-max, quantiles)."""
+    return _risk(spark, d)
+
+
+@register("q15_minmax_normalise", _soil_sql("IBH", _RISK_BODY + f"""
+SELECT nombre, {R('on_')} AS pct_ose_norm, {R('gn_')} AS val_gems_norm FROM n WHERE nombre IS NOT NULL""",
+    ["oseparam", "station_depto", "gems", "registro"]))
+def q15(spark, d):
+    """Q15 min-max normalisation of the contamination parts over departments."""
+    ose = quality.pct_presence_by_department(S.oseparam(spark, d), S.departamentos(spark, d),
+                                             "COLIFORMES TOTALES", Y0, Y1, out="pct_ose")
+    j = ose.join(_q13(spark, d), "nombre", "full").join(_q14(spark, d), "nombre", "full") \
+        .join(_soil(spark, d).select("nombre"), "nombre", "full")
+    return j.select("nombre", risk.minmax("pct_ose").alias("pct_ose_norm"),
+                    risk.minmax("val_gems").alias("val_gems_norm")).filter(F.col("nombre").isNotNull())
+
+
+@register("d10_risk_level_counts", _soil_sql("IBH", _RISK_BODY + """
+, lv AS (SELECT * FROM (VALUES (0, 'Sin señales'), (1, 'Bajo'), (2, 'Medio'), (3, 'Alto')) t(score, nivel))
+SELECT lv.score, lv.nivel, COUNT(risk.nombre) AS n_departamentos
+FROM lv LEFT JOIN risk ON lv.score = risk.score GROUP BY 1, 2""", ["oseparam", "station_depto", "gems", "registro"]))
+def d10(spark, d):
+    """D10 departments per risk score 0..3 with level labels."""
+    return risk.risk_level_counts(_risk(spark, d))
+
+
+@register("d11_risk_detail", _soil_sql("IBH", _RISK_BODY + f"""
+SELECT nombre,
+       CASE score WHEN 0 THEN 'Sin señales' WHEN 1 THEN 'Bajo' WHEN 2 THEN 'Medio' ELSE 'Alto' END AS nivel,
+       score,
+       CASE WHEN NOT (condicion_contam OR condicion_precip OR condicion_suelo) THEN 'sin señales activas'
+            ELSE concat_ws(', ', CASE WHEN condicion_contam THEN 'contaminación' END,
+                                 CASE WHEN condicion_precip THEN 'precipitación' END,
+                                 CASE WHEN condicion_suelo THEN 'suelo' END) END AS senales,
+       {R('ROUND(pct_ose, 2)')} AS pct_ose, {R('ROUND(val_gems, 2)')} AS val_gems,
+       {R('ROUND(val_precip, 2)')} AS val_precip, {R('ROUND(val_suelo, 2)')} AS val_suelo,
+       COALESCE(printf('%.1f', pct_ose) || '%', '—') AS tip_ose,
+       COALESCE(printf('%.2f', val_gems) || ' MPN/100ml', '—') AS tip_gems,
+       COALESCE(printf('%.1f', val_precip) || ' mm/día', 'sin datos') AS tip_precip,
+       COALESCE(printf('%.2f', val_suelo), '—') AS tip_ibh
+FROM risk""", ["oseparam", "station_depto", "gems", "registro"]))
+def d11(spark, d):
+    """D10/D11 risk detail table: level, active signals, display strings, by score desc."""
+    return risk.risk_detail(_risk(spark, d))
