@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caudal.functions.text import fixed
+
 
 def _whole():
     return Window.partitionBy()
@@ -81,7 +83,7 @@ def risk_level_counts(risk: DataFrame) -> DataFrame:
 
 def _fmt(c: str, decimals: int, suffix: str = "", missing: str = MISSING) -> Column:
     return F.when(F.col(c).isNull() | F.isnan(F.col(c)), F.lit(missing)).otherwise(
-        F.concat(F.format_string(f"%.{decimals}f", F.col(c)), F.lit(suffix)))
+        F.concat(fixed(c, decimals), F.lit(suffix)))
 
 
 def risk_detail(risk: DataFrame) -> DataFrame:

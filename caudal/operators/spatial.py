@@ -185,19 +185,28 @@ def nearest_points(queries: DataFrame, points: DataFrame, q_id: str, p_id: str,
 # ------------------------------------------------------------------ GEO5 / GEO6
 
 def polygon_centroids(polygons: DataFrame, poly_id: str, rings: str = "rings") -> DataFrame:
-    """GEO5: area-weighted centroid (shoelace over all rings; holes subtract if reversed)."""
-    e = polygons.select(poly_id, F.explode(polygon_edges(F.col(rings))).alias("e")).select(
-        poly_id, "e.x1", "e.y1", "e.x2", "e.y2")
+    """GEO5: area-weighted centroid (shoelace over all rings; holes subtract if reversed).
+
+    Coordinates are taken relative to the polygon's first vertex so the cross
+    products do not cancel for small polygons far from the origin.
+    """
+    origin = F.element_at(F.element_at(F.col(rings), 1), 1)
+    e = polygons.select(poly_id, origin["lon"].alias("_ox"), origin["lat"].alias("_oy"),
+                        F.explode(polygon_edges(F.col(rings))).alias("e"))
+    e = e.select(poly_id, "_ox", "_oy",
+                 (F.col("e.x1") - F.col("_ox")).alias("x1"), (F.col("e.y1") - F.col("_oy")).alias("y1"),
+                 (F.col("e.x2") - F.col("_ox")).alias("x2"), (F.col("e.y2") - F.col("_oy")).alias("y2"))
     cross = F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")
     agg = e.groupBy(poly_id).agg(
+        F.first("_ox").alias("_ox"), F.first("_oy").alias("_oy"),
         F.sum(cross).alias("_a2"),
         F.sum((F.col("x1") + F.col("x2")) * cross).alias("_cx"),
         F.sum((F.col("y1") + F.col("y2")) * cross).alias("_cy"),
     )
     return agg.select(
         poly_id,
-        (F.col("_cx") / (F.lit(3.0) * F.col("_a2"))).alias("centroid_lon"),
-        (F.col("_cy") / (F.lit(3.0) * F.col("_a2"))).alias("centroid_lat"),
+        (F.col("_ox") + F.col("_cx") / (F.lit(3.0) * F.col("_a2"))).alias("centroid_lon"),
+        (F.col("_oy") + F.col("_cy") / (F.lit(3.0) * F.col("_a2"))).alias("centroid_lat"),
         (F.abs(F.col("_a2")) / 2).alias("area"),
     )
 

@@ -3,53 +3,16 @@ each with a DuckDB oracle statement over the same parquet tables.
 
 Every query reads whole driver tables (through ``surrogates``); parameters such
 as year ranges or codes are the feature's own arguments, fixed here once.
-Doubles are rounded to ``DECIMALS`` places on both sides so the comparison is
-insensitive to summation order.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
 
 from caudal.operators import quality
 from caudal.plans import surrogates as S
 from caudal.plans.oracle import with_ctes
-
-DECIMALS = 6
-Y0, Y1 = 1996, 2000
-CODES = ["COLIFORMES TOTALES", "COLIFORMES FECALES"]
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def finish(df: DataFrame) -> DataFrame:
-    """Round double columns for a stable comparison (presentation only)."""
-    cols = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append(F.round(F.col(f"`{f.name}`").cast("double"), DECIMALS).alias(f.name))
-        else:
-            cols.append(F.col(f"`{f.name}`"))
-    return df.select(*cols)
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: finish(fn(spark, sf_dir))
-        QUERIES[name].__doc__ = fn.__doc__
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-    return deco
-
-
-def R(expr: str) -> str:
-    return f"ROUND(CAST({expr} AS DOUBLE), {DECIMALS})"
+from caudal.plans.registry import CODES, ORACLE, QUERIES, Y0, Y1, R, register  # noqa: F401
 
 
 # ============================================================ quality samples (Q01-Q06)
@@ -468,3 +431,5 @@ FROM risk""", ["oseparam", "station_depto", "gems", "registro"]))
 def d11(spark, d):
     """D10/D11 risk detail table: level, active signals, display strings, by score desc."""
     return risk.risk_detail(_risk(spark, d))
+
+from caudal.plans import catalog_bodies  # noqa: E402,F401  (registers more queries)
