@@ -433,3 +433,5 @@ def d11(spark, d):
     return risk.risk_detail(_risk(spark, d))
 
 from caudal.plans import catalog_bodies  # noqa: E402,F401  (registers more queries)
+
+from caudal.plans import catalog_ingest  # noqa: E402,F401  (registers ingest queries)

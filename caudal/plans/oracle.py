@@ -103,6 +103,9 @@ def with_ctes(names: list[str], body: str) -> str:
     for n in names:
         add(n)
     parts = ",\n".join(f"{n} AS ({CTES[n]}\n)" for n in order)
+    if not parts:
+        b = body.lstrip()
+        return "WITH " + b.lstrip(",").lstrip() if b.startswith(",") else body
     return f"WITH {parts}\n{body}"
 
 

@@ -313,3 +313,114 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.element_at("embedding", i * 3 + 2).cast("double").alias("green"),
         F.element_at("embedding", i * 3 + 3).cast("double").alias("rededge1"),
     )
+
+
+def raw_lab_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2-shaped lab rows (CSV text columns) from lineitem."""
+    li = read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_tax", "l_returnflag", "l_shipdate")
+    k = F.col("l_suppkey")
+    code = F.when(F.col("l_returnflag") == "A", "TOTCOLI").when(F.col("l_returnflag") == "N", "ECOLI").otherwise("pH")
+    return li.select(
+        F.concat(F.when(k % 9 == 4, F.lit("ARG")).otherwise(F.lit("URY")), F.lpad(k.cast("string"), 6, "0"))
+        .alias("GEMS Station Number"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("Sample Date"),
+        F.when(F.col("l_linenumber") % 2 == 0, F.lit(None).cast("string"))
+        .otherwise(F.format_string("%02d:30:00", F.col("l_linenumber") + 7)).alias("Sample Time"),
+        code.alias("Parameter Code"),
+        F.lit("M1").alias("Analysis Method Code"),
+        F.lit(None).cast("string").alias("Value Flags"),
+        F.when(F.col("l_tax") == 0, F.lit("no_numerico")).otherwise(F.col("l_quantity").cast("string")).alias("Value"),
+        F.when(code == "pH", F.lit("---")).otherwise(F.lit(" mg/l ")).alias("Unit"),
+        F.lit(" Good ").alias("Data Quality"),
+        F.format_string("%.1f", (F.col("l_linenumber") * 0.5)).alias("Depth"),
+        F.lit("x").alias("Remark"),
+    )
+
+
+def raw_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F5-shaped daily rain/temperature rows (one station per supplier)."""
+    li = read(spark, sf_dir, "lineitem").select("l_suppkey", "l_quantity", "l_discount", "l_tax", "l_shipdate")
+    return li.select(
+        F.col("l_suppkey").alias("estacion"),
+        F.to_date("l_shipdate").alias("fecha"),
+        F.when(F.col("l_tax") == 0, F.lit(None).cast("double")).otherwise(F.col("l_quantity") / 2).alias("temperaturaMaxima"),
+        (F.col("l_tax") * 100).alias("temperaturaMinima"),
+        (F.col("l_discount") * 100).alias("pluviometro"),
+    )
+
+
+def raw_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8-shaped watershed names in file order: brand name, missing when p_size is a multiple of 10."""
+    p = read(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", "p_retailprice")
+    return p.select(
+        F.col("p_partkey").alias("pos"),
+        F.when(F.col("p_size") % 10 == 0, F.lit(None).cast("string")).otherwise(F.col("p_brand")).alias("NOMBRE"),
+        (F.col("p_size") % 5).alias("Cluster"),
+        (F.col("p_retailprice") / 100).alias("A_pon_cuen"),
+        F.when(F.col("p_size") > 45, F.lit(None).cast("double")).otherwise(F.col("p_retailprice") / 1000).alias("Factor_K"),
+    )
+
+
+def raw_lab_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F3-shaped station list: country from the supplier's nation (region AMERICA -> Uruguay)."""
+    s = estaciones(spark, sf_dir)
+    su = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    j = s.join(su, s.estacion_id == su.s_suppkey).join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+    return j.select(
+        F.concat(F.lit("URY"), F.lpad(F.col("estacion_id").cast("string"), 6, "0")).alias("GEMS Station Number"),
+        F.when(F.col("n_regionkey") == 1, F.lit("Uruguay")).otherwise(F.col("n_name")).alias("Country Name"),
+        F.col("lat").alias("Latitude"), F.col("lon").alias("Longitude"),
+    )
+
+
+# Catalogue datasets and the file-name stems used to build resources.
+CATALOGUE_PACKAGES = [
+    ("inia-anr-por-grilla", "inia_gras_anr_"),
+    ("inia-pad-por-grilla", "inia_gras_pad_"),
+    ("inia-ibh-por-grilla", "INIA_GRAS_IBH_"),
+    ("inia-precipitacion-temps-extremas-lb", "ppt_tmax_tmin_lb_"),
+    ("inia-precipitacion-temps-extremas-tyt", "ppt_tmax_tmin_tyt_"),
+    ("inia-precipitacion-temps-extremas-sg", "ppt_tmax_tmin_xx_"),
+    ("inia-precipitacion-temps-extremas-tb", "ppt_tmax_tmin_tb_"),
+    ("inia-precipitacion-temps-extremas-le", "ppt_tmax_tmin_le_"),
+    ("reclamos-comerciales", "solicitudes_y_reclamos-comerciales_"),
+    ("calidad-de-agua", "calidad_bacteriologia_"),
+    ("inumet-observaciones-meteorologicas-precipitacion-puntual-en-el-uruguay", "precipitacion_horaria_"),
+    ("inumet-observaciones-meteorologicas-humedad-relativa-en-el-uruguay", "humedad_relativa_"),
+]
+
+
+def catalogue_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F12-shaped resource manifest from ``pages``: one resource per page.
+
+    package = page_id mod 12 into the dataset list, file = stem + year (2020 + page_id
+    mod 10) + ".csv", format CSV except every fifth page (XLSX), hash = md5(html).
+    """
+    pg = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    pk = F.col("page_id") % len(CATALOGUE_PACKAGES)
+    pkg, stem = None, None
+    for i, (p, s) in enumerate(CATALOGUE_PACKAGES):
+        pkg = F.when(pk == i, p) if pkg is None else pkg.when(pk == i, p)
+        stem = F.when(pk == i, s) if stem is None else stem.when(pk == i, s)
+    fname = F.concat(stem, (F.lit(2020) + F.col("page_id") % 10).cast("string"), F.lit("_"),
+                     F.lpad((F.col("page_id") % 12 + 1).cast("string"), 2, "0"), F.lit(".csv"))
+    return pg.select(
+        F.col("page_id").cast("string").alias("resource_id"),
+        pkg.alias("package"),
+        F.concat(F.lit("Datos "), stem, F.lit(" precipitacion humedad bacteriologia")).alias("name"),
+        F.when(F.col("page_id") % 5 == 0, F.lit("XLSX")).otherwise(F.lit("csv")).alias("format"),
+        F.concat(F.regexp_extract("url", r"^(https?://[^/]+)", 1), F.lit("/dataset/"), fname).alias("url"),
+        F.md5("html").alias("hash"),
+    )
+
+
+def file_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Previous sync state: resources of pages whose url has ``/en/``; the hash differs
+    when the url carries a query string (a changed file)."""
+    pg = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return pg.filter(F.col("url").contains("/en/")).select(
+        F.col("page_id").cast("string").alias("resource_id"),
+        F.when(F.col("url").contains("?"), F.md5("url")).otherwise(F.md5("html")).alias("hash"),
+    )
