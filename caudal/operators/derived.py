@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caudal.functions.text import fixed, format_magnitude
+from caudal.operators.stats import exact_quantiles
 
 
 def rank_desc(df: DataFrame, value_col: str, tie_col: str = "nombre", out: str = "ranking") -> DataFrame:
@@ -123,10 +124,9 @@ def top_bottom(summary: DataFrame, value_col: str, n: int = 3, decimals: int = 4
 
 
 def distribution(obs: DataFrame, summary: DataFrame, value_col: str = "ndci") -> DataFrame:
-    """Per body quartiles (linear), 1.5 IQR fences and outlier count; summary order kept."""
-    q = obs.groupBy("nombre").agg(
-        F.percentile(value_col, 0.25).alias("q1"), F.percentile(value_col, 0.5).alias("mediana"),
-        F.percentile(value_col, 0.75).alias("q3"), F.count(F.lit(1)).alias("n"))
+    """Per body quartiles (linear, exact, bounded per task), 1.5 IQR fences and outlier count;
+    summary order kept."""
+    q = exact_quantiles(obs, ["nombre"], value_col, [0.25, 0.5, 0.75], ["q1", "mediana", "q3"])
     q = q.withColumns({"lim_inf": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
                        "lim_sup": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
     flagged = obs.join(q.select("nombre", "lim_inf", "lim_sup"), "nombre").groupBy("nombre").agg(

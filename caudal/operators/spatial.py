@@ -13,6 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caudal.functions.text import fixed
 from caudal.functions.geometry import (
     EARTH_RADIUS_M, METERS_PER_DEGREE, bbox_ring, edges_contain, haversine_m, polygon_edges,
 )
@@ -330,8 +331,7 @@ def feature_rows(polygons: DataFrame, metric: DataFrame, key: str, value_col: st
     j = polygons.select(key, rings).join(metric.select(key, value_col), key, "left")
     w = Window.orderBy(F.col(value_col).desc_nulls_last(), F.col(key))
     j = j.withColumn("ranking", F.when(F.col(value_col).isNotNull(), F.row_number().over(w)))
-    label = F.when(F.col(value_col).isNull(), F.lit(missing_label)).otherwise(
-        F.format_number(F.col(value_col), 2))
+    label = F.when(F.col(value_col).isNull(), F.lit(missing_label)).otherwise(fixed(value_col, 2))
     geometry = F.struct(
         F.lit("Polygon").alias("type"),
         F.transform(F.col(rings), lambda r: F.transform(r, lambda p: F.array(p["lon"], p["lat"]))).alias("coordinates"))

@@ -435,3 +435,5 @@ def d11(spark, d):
 from caudal.plans import catalog_bodies  # noqa: E402,F401  (registers more queries)
 
 from caudal.plans import catalog_ingest  # noqa: E402,F401  (registers ingest queries)
+
+from caudal.plans import catalog_audit  # noqa: E402,F401  (registers spectral and audit queries)
