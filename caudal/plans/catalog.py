@@ -437,3 +437,5 @@ from caudal.plans import catalog_bodies  # noqa: E402,F401  (registers more quer
 from caudal.plans import catalog_ingest  # noqa: E402,F401  (registers ingest queries)
 
 from caudal.plans import catalog_audit  # noqa: E402,F401  (registers spectral and audit queries)
+
+from caudal.plans import catalog_sources  # noqa: E402,F401  (registers source/sink queries)
