@@ -439,3 +439,5 @@ from caudal.plans import catalog_ingest  # noqa: E402,F401  (registers ingest qu
 from caudal.plans import catalog_audit  # noqa: E402,F401  (registers spectral and audit queries)
 
 from caudal.plans import catalog_sources  # noqa: E402,F401  (registers source/sink queries)
+
+from caudal.plans import catalog_streaming  # noqa: E402,F401  (registers streaming queries)
