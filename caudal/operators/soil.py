@@ -33,14 +33,25 @@ def point_means(grid_facts: DataFrame, tipo: str, year_from: int, year_to: int)
     return f.groupBy("punto_id").agg(F.avg("value").alias("_pm"))
 
 
-def soil_by_department(grid_facts: DataFrame, registry: DataFrame, deptos: DataFrame, tipo: str,
+def registry_and_means(grid_facts: DataFrame, tipo: str, year_from: int, year_to: int) -> tuple[DataFrame, DataFrame]:
+    """KEY4 registry and per-point means of ``tipo`` in the period from ONE aggregate over the facts."""
+    sel = (F.col("type") == tipo) & year_range_filter("fecha_inicio", year_from, year_to)
+    agg = grid_facts.groupBy("punto_id", "lon", "lat").agg(F.avg(F.when(sel, F.col("value"))).alias("_pm"))
+    agg = agg.checkpoint()  # one row per grid point; lineage to the fact scan is cut here
+    return agg.select("punto_id", "lon", "lat"), agg.filter(F.col("_pm").isNotNull()).select("punto_id", "_pm")
+
+
+def soil_by_department(grid_facts: DataFrame, registry: DataFrame | None, deptos: DataFrame, tipo: str,
                        year_from: int, year_to: int, k_fallback: int = 12,
                        cell_deg: float = 0.25) -> DataFrame:
-    """Q11: (nombre, valor_medio) = mean of grid-point means per department, with fallbacks A and B."""
-    # One row per grid point each: materialise once so the fallback searches and the
-    # final join do not rescan the fact table (lineage cut in the shared checkpoint dir).
-    registry = registry.checkpoint()
-    pm = point_means(grid_facts, tipo, year_from, year_to).checkpoint()
+    """Q11: (nombre, valor_medio) = mean of grid-point means per department, with fallbacks A and B.
+
+    ``grid_facts`` carry (punto_id, lon, lat, type, fecha_inicio, value); with
+    ``registry=None`` the registry is derived from the same single aggregate that
+    yields the point means (KEY4), so the fact table is scanned once.
+    """
+    reg_all, pm = registry_and_means(grid_facts, tipo, year_from, year_to)
+    registry = reg_all if registry is None else registry.checkpoint()
     pip = points_in_polygons(registry, deptos, "departamento_id", cell_deg=cell_deg).select(
         "departamento_id", "punto_id")
     no_points = deptos.join(pip.select("departamento_id"), "departamento_id", "left_anti")

@@ -275,7 +275,7 @@ def _registry(spark, d):
 
 
 def _soil(spark, d, tipo="IBH"):
-    return soil.soil_by_department(_grid(spark, d), _registry(spark, d), S.departamentos(spark, d), tipo, Y0, Y1)
+    return soil.soil_by_department(_grid(spark, d), None, S.departamentos(spark, d), tipo, Y0, Y1)
 
 
 _SOIL_CTES = f"""

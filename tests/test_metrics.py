@@ -28,9 +28,12 @@ def test_soil_fallbacks(spark):
     facts = spark.createDataFrame(
         [("P1", "IBH", dt.date(2020, 1, 1), 10.0), ("P2", "IBH", dt.date(2020, 1, 1), 20.0),
          ("P4", "IBH", dt.date(2020, 1, 1), 40.0), ("P3", "PAD", dt.date(2020, 1, 1), 99.0)],
-        "punto_id string, type string, fecha_inicio date, value double")
-    got = {r.nombre: r.valor_medio for r in soil.soil_by_department(facts, reg, deptos, "IBH", 2020, 2020).collect()}
-    assert got == {"D1": 10.0, "D2": 20.0, "D3": pytest.approx((10 + 20 + 40) / 3)}
+        "punto_id string, type string, fecha_inicio date, value double").join(reg, "punto_id")
+    expected = {"D1": 10.0, "D2": 20.0, "D3": pytest.approx((10 + 20 + 40) / 3)}
+    for registry in (reg, None):   # explicit registry, or derived from the facts (KEY4)
+        got = {r.nombre: r.valor_medio
+               for r in soil.soil_by_department(facts, registry, deptos, "IBH", 2020, 2020).collect()}
+        assert got == expected
 
 
 def test_minmax_constant_and_null(spark):
