@@ -143,14 +143,17 @@ def _top_k(cands: DataFrame, q_id: str, p_id: str, k: int, salt_buckets: int = 1
 
 def nearest_points(queries: DataFrame, points: DataFrame, q_id: str, p_id: str, k: int = 1,
                    max_distance_m: float | None = None, qlon: str = "lon", qlat: str = "lat",
-                   plon: str = "lon", plat: str = "lat", start_radius_m: float = 50_000.0) -> DataFrame:
+                   plon: str = "lon", plat: str = "lat", start_radius_m: float = 50_000.0,
+                   growth: float = 4.0) -> DataFrame:
     """GEO4: the k nearest points of each query point, optionally within a maximum distance.
 
     Output (q_id, p_id, dist_m, rank). With ``max_distance_m`` it is one
-    neighbourhood join. Without it the search radius doubles for the queries that
-    still have fewer than k points in range; a query with k points inside radius
-    R has its exact k nearest among them, so the answer is exact. The loop ends
-    once the radius covers the sphere (at most ~10 rounds).
+    neighbourhood join. Without it the search radius grows (x ``growth``) for the
+    queries that still have fewer than min(k, number of points) points in range; a
+    query with that many points inside radius R has its exact k nearest among them,
+    so the answer is exact. The loop ends when every query is resolved or the
+    radius covers the sphere (a handful of rounds). Each round's pending set is
+    checkpointed, so lineage stays short.
     """
     if max_distance_m is not None:
         cands = _neighbour_candidates(queries, points, q_id, p_id, float(max_distance_m), qlon, qlat, plon, plat)
@@ -161,22 +164,23 @@ def nearest_points(queries: DataFrame, points: DataFrame, q_id: str, p_id: str,
     if pending.isEmpty():
         return _top_k(_neighbour_candidates(pending, points, q_id, p_id, start_radius_m,
                                             qlon, qlat, plon, plat), q_id, p_id, k)
+    need = min(k, points.count())
     radius = float(start_radius_m)
     results = []
     while True:
         final = radius >= half_circumference
         cands = _neighbour_candidates(pending, points, q_id, p_id, min(radius, half_circumference),
                                       qlon, qlat, plon, plat)
-        counts = cands.groupBy(q_id).agg(F.count(F.lit(1)).alias("_n"))
         if final:
             results.append(_top_k(cands, q_id, p_id, k))
             break
-        done = counts.filter(F.col("_n") >= k).select(q_id)
+        counts = cands.groupBy(q_id).agg(F.count(F.lit(1)).alias("_n"))
+        done = counts.filter(F.col("_n") >= need).select(q_id)
         results.append(_top_k(cands.join(done, q_id, "left_semi"), q_id, p_id, k))
         pending = pending.join(done, q_id, "left_anti").checkpoint()
         if pending.isEmpty():
             break
-        radius *= 2.0
+        radius *= growth
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r)

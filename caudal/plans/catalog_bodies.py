@@ -533,3 +533,13 @@ def d19(spark, d):
 
 
 _ = CODES  # shared constant re-exported for callers
+
+
+@register("geo8_coverage_filter", _ctes(f"""
+SELECT b.location_id FROM ndci_loc b
+WHERE EXISTS (SELECT 1 FROM gp g WHERE {HAV_BODY_GRID} <= 40000)"""))
+def geo8(spark, d):
+    """GEO8 keep water bodies that have a grid point within 40 km."""
+    bodies = ndci.located_bodies(S.sentinel_locations(spark, d))
+    return spatial.with_coverage(bodies, _registry(spark, d), "location_id", "punto_id", 40_000.0).select(
+        "location_id")

@@ -479,3 +479,64 @@ def load8u(spark, d):
 
 
 _ = (quality, soil, normalize_name, Y0, Y1)
+
+
+# ------------------------------------------------------------------ single-rule views of composite cleaners
+
+@register("cln3_hour_interval", with_ctes([], f"""
+SELECT estacion_id, fecha_inicio, fecha_fin FROM ({HOURLY_SQL})""".replace("WITH \n", "")))
+def cln3(spark, d):
+    """CLN3 one-hour interval [fecha, fecha + 1h] of every cleaned hourly row."""
+    from caudal.functions.dates import hour_interval
+    h = _hourly_with_pos(S.raw_hourly(spark, d))
+    s, e = hour_interval("fecha_inicio")
+    return h.select("estacion_id", s.alias("fecha_inicio"), e.alias("fecha_fin"))
+
+
+@register("cln4_censored_filter", with_ctes([], """
+SELECT CASE WHEN l_returnflag = 'R' THEN 'Presencia' WHEN l_returnflag = 'A' THEN 'Ausencia'
+            WHEN l_linenumber % 3 = 1 THEN NULL ELSE 'Indeterminado' END AS valor, COUNT(*) AS n
+FROM lineitem WHERE NOT (l_returnflag = 'N' AND l_linenumber % 3 = 0) GROUP BY 1""".replace("WITH \n", "")))
+def cln4(spark, d):
+    """CLN4 censored-value filter: '<1' dropped, null values kept (null-safe comparison)."""
+    raw = S.raw_ose_samples(spark, d)
+    return raw.filter(~F.col("valor").eqNullSafe("<1")).groupBy("valor").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("cln6_lab_selection", with_ctes([], """
+SELECT CASE l_returnflag WHEN 'A' THEN 'TOTCOLI' WHEN 'N' THEN 'ECOLI' ELSE 'pH' END AS "Parameter Code",
+       COUNT(*) AS n
+FROM lineitem WHERE l_suppkey % 9 <> 4 AND year(l_shipdate) >= 1997 GROUP BY 1""".replace("WITH \n", "")))
+def cln6(spark, d):
+    """CLN6 lab-sample selection: code mapped to its file, station prefix URY, sample year >= 1997."""
+    raw = S.raw_lab_samples(spark, d).withColumn(
+        "source_file", F.when(F.col("Parameter Code") == "pH", "pH.csv").otherwise("Indicator_Organism.csv"))
+    code_files = spark.createDataFrame([("TOTCOLI", "Indicator_Organism.csv"), ("ECOLI", "Indicator_Organism.csv"),
+                                        ("pH", "pH.csv")], "code string, file string")
+    sel = clean.select_lab_samples(raw, code_files, min_year=LAB_MIN_YEAR)
+    return sel.groupBy("Parameter Code").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("cln8_drop_monthly_means", with_ctes(["grid"], f"""
+SELECT lon AS Longitud, lat AS Latitud, CAST(COUNT(DISTINCT month(fecha_inicio) * 10
+       + CASE WHEN day(fecha_inicio) <= 10 THEN 1 WHEN day(fecha_inicio) <= 20 THEN 2 ELSE 3 END) AS INTEGER) AS con_valor
+FROM grid WHERE type = 'PAD' AND year(fecha_inicio) = {GRID_YEAR} GROUP BY 1, 2"""))
+def cln8(spark, d):
+    """CLN8 monthly-mean columns (``yyyy_mm0``) removed from the wide grid: per point, how many of
+    the remaining dekad columns hold a value."""
+    w = _wide_grid(spark, d)
+    cols = clean.period_columns(w, ("id", "Longitud", "Latitud"))
+    assert not any(c.endswith("0") for c in cols)
+    n = sum(F.when(F.col(f"`{c}`").isNotNull(), 1).otherwise(0) for c in cols)
+    return w.select("Longitud", "Latitud", n.cast("int").alias("con_valor"))
+
+
+@register("cln10_dekad_bounds", with_ctes(["grid"], f"""
+SELECT DISTINCT make_timestamp({GRID_YEAR}, month(fecha_inicio), day(fecha_inicio), 0, 0, 0) AS fecha_inicio,
+       CAST(CASE WHEN day(fecha_inicio) = 1 THEN fecha_inicio + 9 WHEN day(fecha_inicio) = 11 THEN fecha_inicio + 9
+            ELSE last_day(fecha_inicio) END AS TIMESTAMP) + INTERVAL '23:59:59' AS fecha_fin
+FROM grid WHERE type = 'PAD' AND year(fecha_inicio) = {GRID_YEAR}"""))
+def cln10(spark, d):
+    """CLN10 dekad label -> [start 00:00, end 23:59:59] for every period column with data."""
+    long = clean.grid_wide_to_long(_wide_grid(spark, d))
+    return long.filter(F.col("valor").isNotNull()).select("fecha_inicio", "fecha_fin").distinct()
