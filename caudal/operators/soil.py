@@ -34,9 +34,17 @@ def point_means(grid_facts: DataFrame, tipo: str, year_from: int, year_to: int)
 
 
 def registry_and_means(grid_facts: DataFrame, tipo: str, year_from: int, year_to: int) -> tuple[DataFrame, DataFrame]:
-    """KEY4 registry and per-point means of ``tipo`` in the period from ONE aggregate over the facts."""
+    """KEY4 registry and per-point means of ``tipo`` in the period from ONE aggregate over the facts.
+
+    Facts are grouped by coordinates; the point id (KEY1 of lat, lon) is attached to the
+    aggregated rows, so the hash runs once per grid point instead of once per fact.
+    """
     sel = (F.col("type") == tipo) & year_range_filter("fecha_inicio", year_from, year_to)
-    agg = grid_facts.groupBy("punto_id", "lon", "lat").agg(F.avg(F.when(sel, F.col("value"))).alias("_pm"))
+    if "punto_id" in grid_facts.columns:      # ids already assigned upstream
+        agg = grid_facts.groupBy("punto_id", "lon", "lat").agg(F.avg(F.when(sel, F.col("value"))).alias("_pm"))
+    else:
+        agg = grid_facts.groupBy("lon", "lat").agg(F.avg(F.when(sel, F.col("value"))).alias("_pm"))
+        agg = agg.withColumn("punto_id", stable_id("lat", "lon"))
     agg = agg.checkpoint()  # one row per grid point; lineage to the fact scan is cut here
     return agg.select("punto_id", "lon", "lat"), agg.filter(F.col("_pm").isNotNull()).select("punto_id", "_pm")
 
@@ -73,7 +81,9 @@ def soil_by_department(grid_facts: DataFrame, registry: DataFrame | None, deptos
 
 def monthly_point_means(grid_facts: DataFrame, tipo: str, year_from: int, year_to: int,
                         out: str = "pad") -> DataFrame:
-    """Q21: monthly mean per grid point (all points at once)."""
+    """Q21: monthly mean per grid point (all points at once); the point id is attached after
+    the aggregation (one hash per point and month, not per fact)."""
     f = grid_facts.filter((F.col("type") == tipo) & year_range_filter("fecha_inicio", year_from, year_to))
     periodo = F.trunc(F.col("fecha_inicio"), "month").alias("periodo")
-    return f.groupBy("punto_id", "lon", "lat", periodo).agg(F.avg("value").alias(out))
+    agg = f.groupBy("lon", "lat", periodo).agg(F.avg("value").alias(out))
+    return agg.select(stable_id("lat", "lon").alias("punto_id"), "lon", "lat", "periodo", out)

@@ -267,7 +267,8 @@ def q14(spark, d):
 # ============================================================ grid soil water (KEY4, Q11, Q21) and risk (Q15, Q16)
 
 def _grid(spark, d):
-    return soil.with_point_id(S.puntomedicion(spark, d))
+    """Grid facts; the point id is KEY1 of (lat, lon), attached after aggregations where possible."""
+    return S.puntomedicion(spark, d)
 
 
 def _registry(spark, d):

@@ -146,18 +146,15 @@ def a02(spark, d):
         "id", stable_id("estacion_id", "fecha_inicio", F.lit("PRECIPITACION"), F.lit("HORA")))
     lb = _clean_lab(spark, d).withColumnRenamed("GEMS Station Number", "location_id")
     lb_ids = keys.with_natural_id(lb, "gemsparams")
-    src = (cl.agg(F.count(F.lit(1)).alias("origen")).select(F.lit("reclamos").alias("tarea"),
-                                                            F.lit("reclamosose").alias("destino"), "origen")
-           .unionByName(h.agg(F.count(F.lit(1)).alias("origen")).select(
-               F.lit("inumet").alias("tarea"), F.lit("paraminumet").alias("destino"), "origen"))
-           .unionByName(lb.agg(F.count(F.lit(1)).alias("origen")).select(
-               F.lit("gems").alias("tarea"), F.lit("gemsparams").alias("destino"), "origen")))
-    tgt = (cl_ids.select("id").distinct().agg(F.count(F.lit(1)).alias("destino_n")).select(
-        F.lit("reclamosose").alias("destino"), "destino_n")
-        .unionByName(h.select("id").distinct().agg(F.count(F.lit(1)).alias("destino_n")).select(
-            F.lit("paraminumet").alias("destino"), "destino_n"))
-        .unionByName(lb_ids.select("id").distinct().agg(F.count(F.lit(1)).alias("destino_n")).select(
-            F.lit("gemsparams").alias("destino"), "destino_n")))
+    def stats(df, tarea, destino):
+        # one aggregate per source: rows after cleaning and distinct ids the target would hold
+        return df.agg(F.count(F.lit(1)).alias("origen"), F.countDistinct("id").alias("destino_n")).select(
+            F.lit(tarea).alias("tarea"), F.lit(destino).alias("destino"), "origen", "destino_n")
+
+    both = (stats(cl_ids, "reclamos", "reclamosose").unionByName(stats(h, "inumet", "paraminumet"))
+            .unionByName(stats(lb_ids, "gems", "gemsparams"))).checkpoint()
+    src = both.select("tarea", "destino", "origen")
+    tgt = both.select("destino", "destino_n")
     return audit.reconcile(src, tgt)
 
 

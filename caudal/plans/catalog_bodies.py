@@ -121,7 +121,7 @@ def geo4_knn(spark, d):
 SELECT DISTINCT lat, lon FROM grid WHERE type = 'PAD'"""))
 def geo7(spark, d):
     """GEO7 coordinates (lat, lon) of the grid points that carry PAD values, by id."""
-    ids = _grid(spark, d).filter(F.col("type") == "PAD").select("punto_id").distinct()
+    ids = soil.grid_registry(_grid(spark, d).filter(F.col("type") == "PAD")).select("punto_id")
     return derived.point_coords(_registry(spark, d), ids).select("lat", "lon")
 
 

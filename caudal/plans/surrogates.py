@@ -161,7 +161,7 @@ def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_nationkey") % 2 == 0, "Norte").otherwise("Sur").alias("region"),
         F.when(k % 50 == 7, F.lit("SIN DATOS")).otherwise(F.col("n_name")).alias("departamento"),
         F.when(k % 61 == 3, F.lit("fecha invalida"))
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("fecha_ingreso"),
+        .otherwise(F.to_date("o_orderdate").cast("string")).alias("fecha_ingreso"),
         tipo.alias("tipo_reclamo_comercial"),
         k.cast("string").alias("id_reclamo_comercial_m"),
         F.lit("x").alias("extra"),
@@ -324,16 +324,17 @@ def raw_lab_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(
         F.concat(F.when(k % 9 == 4, F.lit("ARG")).otherwise(F.lit("URY")), F.lpad(k.cast("string"), 6, "0"))
         .alias("GEMS Station Number"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("Sample Date"),
+        F.to_date("l_shipdate").cast("string").alias("Sample Date"),
         F.when(F.col("l_linenumber") % 2 == 0, F.lit(None).cast("string"))
-        .otherwise(F.format_string("%02d:30:00", F.col("l_linenumber") + 7)).alias("Sample Time"),
+        .otherwise(F.concat(F.lpad((F.col("l_linenumber") + 7).cast("string"), 2, "0"), F.lit(":30:00")))
+        .alias("Sample Time"),
         code.alias("Parameter Code"),
         F.lit("M1").alias("Analysis Method Code"),
         F.lit(None).cast("string").alias("Value Flags"),
         F.when(F.col("l_tax") == 0, F.lit("no_numerico")).otherwise(F.col("l_quantity").cast("string")).alias("Value"),
         F.when(code == "pH", F.lit("---")).otherwise(F.lit(" mg/l ")).alias("Unit"),
         F.lit(" Good ").alias("Data Quality"),
-        F.format_string("%.1f", (F.col("l_linenumber") * 0.5)).alias("Depth"),
+        (F.col("l_linenumber") * 0.5).cast("string").alias("Depth"),
         F.lit("x").alias("Remark"),
     )
 
