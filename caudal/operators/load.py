@@ -2,9 +2,9 @@
 
 The reference's database statements (insert-if-absent, upsert, delete by key set,
 dimension lookups, constraint checks, manifest diff) become joins:
-- insert-if-absent = first row per id inside the batch (``min_by`` on the input
-  position, partial aggregation) + ``left_anti`` against the target's ids;
-- upsert = union + "newest priority wins" per id;
+- insert-if-absent = first row per id inside the batch (``min(struct(position, row))``,
+  partial aggregation) + ``left_anti`` against the target's ids;
+- upsert = full outer join on the id, the update side wins;
 - delete = ``left_anti`` rewrite (the removed count is the ``left_semi`` count).
 Writers append/overwrite Parquet; nothing is collected to the driver.
 """
@@ -55,18 +55,26 @@ def upsert(target: DataFrame, updates: DataFrame, id_col: str = "id") -> DataFra
 
 
 def lookup_dimension(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, dim_id: str,
-                     out: str, normalize: bool = False) -> tuple[DataFrame, DataFrame]:
+                     out: str, normalize: bool = False, strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """LOAD4: name -> id lookup. Returns (matched rows with ``out``, unmatched rows).
 
     The dimension is de-duplicated on the (optionally normalised) name first, so a
     repeated name cannot multiply facts. The join is a plain left join; Catalyst/AQE
     broadcast the dimension only when its measured size is under the threshold.
+    ``strict`` raises when any fact has no match (one ``isEmpty`` action on the
+    distinct unmatched names).
     """
     fk = normalize_name(fact_key) if normalize else F.col(fact_key)
     dk = normalize_name(dim_key) if normalize else F.col(dim_key)
     d = dim.select(dk.alias("__k"), F.col(dim_id).alias(out)).groupBy("__k").agg(F.min(out).alias(out))
     j = facts.withColumn("__k", fk).join(d, "__k", "left").drop("__k")
-    return j.filter(F.col(out).isNotNull()), j.filter(F.col(out).isNull()).drop(out)
+    matched, unmatched = j.filter(F.col(out).isNotNull()), j.filter(F.col(out).isNull()).drop(out)
+    if strict:
+        missing = unmatched.select(fact_key).distinct()
+        if not missing.isEmpty():
+            names = [r[0] for r in missing.limit(10).collect()]  # a sample for the message only
+            raise ValueError(f"lookup of {fact_key!r} found no {dim_key!r} for e.g. {names}")
+    return matched, unmatched
 
 
 def skip_loaded_groups(candidates: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:

@@ -58,3 +58,13 @@ def test_manifest_diff(spark):
         st.withColumns({"package": F.lit("p"), "modulo": F.lit("m"), "archivo_local": F.lit("f"),
                         "last_synced": F.current_timestamp()}), load.manifest_diff(man, st)).collect()}
     assert new_state["2"] == "h2" and new_state["4"] == "h4" and new_state["1"] == "h1"
+
+
+def test_lookup_strict_raises(spark):
+    facts = spark.createDataFrame([("Salto",), ("Nowhere",)], "departamento string")
+    dim = spark.createDataFrame([(2, "Salto")], "did int, nombre string")
+    with pytest.raises(ValueError):
+        load.lookup_dimension(facts, dim, "departamento", "nombre", "did", "departamento_id", strict=True)
+    m, u = load.lookup_dimension(facts.filter(F.col("departamento") == "Salto"), dim, "departamento", "nombre",
+                                 "did", "departamento_id", strict=True)
+    assert m.count() == 1 and u.count() == 0
