@@ -302,8 +302,6 @@ def convex_hull(pts: Column) -> Column:
     def chain(arr):
         def step(acc, p):
             # pop while the last two points and p do not make a left turn
-            def pop_loop(a):
-                return a
             trimmed = F.aggregate(
                 F.sequence(F.lit(1), F.size(acc)), acc,
                 lambda a, _i: F.when(

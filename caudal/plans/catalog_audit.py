@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from caudal.functions.ids import stable_id
-from caudal.operators import audit, clean, keys, quality, spatial, spectral
+from caudal.operators import audit, clean, keys, spatial, spectral
 from caudal.plans import surrogates as S
+from caudal.plans.catalog import _Q13_BODY
 from caudal.plans.catalog_ingest import CLAIMS_SQL, HOURLY_SQL, LAB_SQL, _clean_lab, _hourly_with_pos
 from caudal.plans.oracle import with_ctes
 from caudal.plans.registry import R, register
@@ -342,19 +343,16 @@ def geo2(spark, d):
                     F.size(F.element_at("repaired_rings", 1)).alias("n_vertices"))
 
 
-@register("geo9_feature_rows", with_ctes(["deptos", "oseparam"], f"""
-, p AS (SELECT departamento_id, SUM(CASE WHEN value_cat = 'Presencia' THEN 1 ELSE 0 END) * 100.0 / COUNT(*) AS pct
-        FROM oseparam WHERE code = 'COLIFORMES FECALES' AND year(fecha_inicio) = 1997
-          AND departamento_id % 6 <> 1 GROUP BY 1)
-SELECT d.nombre, {R('p.pct')} AS pct_presencia,
-       CASE WHEN p.pct IS NULL THEN NULL ELSE CAST(row_number() OVER (ORDER BY p.pct DESC NULLS LAST, d.nombre) AS INTEGER) END
-         AS ranking,
-       CASE WHEN p.pct IS NULL THEN 'Sin datos' ELSE printf('%.2f', p.pct) END AS etiqueta
-FROM deptos d LEFT JOIN p ON d.departamento_id = p.departamento_id"""))
+@register("geo9_feature_rows", with_ctes(["deptos", "station_depto", "gems"], f"""
+, p AS ({_Q13_BODY})
+SELECT d.nombre, {R('p.val_gems')} AS val_gems,
+       CASE WHEN p.val_gems IS NULL THEN NULL
+            ELSE CAST(row_number() OVER (ORDER BY p.val_gems DESC NULLS LAST, d.nombre) AS INTEGER) END AS ranking,
+       CASE WHEN p.val_gems IS NULL THEN 'Sin datos' ELSE printf('%.2f', p.val_gems) END AS etiqueta
+FROM deptos d LEFT JOIN p ON d.nombre = p.nombre"""))
 def geo9(spark, d):
-    """GEO9 feature assembly: polygons left-joined with a metric (some departments without
-    data -> 'Sin datos'), ranked, one GeoJSON feature text per row."""
-    ose = S.oseparam(spark, d).filter((F.year("fecha_inicio") == 1997) & (F.col("departamento_id") % 6 != 1))
-    metric = quality.pct_presence_by_department(ose, S.departamentos(spark, d), code="COLIFORMES FECALES")
-    feats = spatial.feature_rows(S.departamentos(spark, d), metric, "nombre", "pct_presencia")
-    return feats.select("nombre", "pct_presencia", F.col("ranking").cast("int").alias("ranking"), "etiqueta")
+    """GEO9 feature assembly: department polygons left-joined with the lab contamination metric
+    (departments without stations -> 'Sin datos'), ranked, one GeoJSON feature text per row."""
+    from caudal.plans.catalog import _q13
+    feats = spatial.feature_rows(S.departamentos(spark, d), _q13(spark, d), "nombre", "val_gems")
+    return feats.select("nombre", "val_gems", F.col("ranking").cast("int").alias("ranking"), "etiqueta")

@@ -9,7 +9,7 @@ from caudal.operators import derived, lab, ndci, quality, soil, spatial
 from caudal.plans import surrogates as S
 from caudal.plans.catalog import _grid, _q14, _registry, _soil, _station_depto
 from caudal.plans.oracle import haversine_sql, with_ctes
-from caudal.plans.registry import CODES, Y0, Y1, R, register
+from caudal.plans.registry import Y0, Y1, R, register
 
 HAV_BODY_GRID = haversine_sql("b.lon", "b.lat", "g.lon", "g.lat")
 
@@ -201,20 +201,30 @@ def q25(spark, d):
     return ndci.index_observations(S.sentinel_params(spark, d), S.sentinel_locations(spark, d), Y0, Y1)
 
 
-@register("q26_month_gap_fill", with_ctes(["sentinel"], f"""
-, idx AS (SELECT location_id, CAST(date_trunc('month', fecha_inicio) AS DATE) AS periodo, AVG(value) AS ndci
-          FROM sentinel WHERE code = 'NDTI' AND year(fecha_inicio) BETWEEN {Y0} AND {Y1}
-            AND month(fecha_inicio) % 4 <> 0 GROUP BY 1, 2),
+@register("q26_month_gap_fill", with_ctes([], """
+, sel AS (
+  SELECT e.label AS location_id, e.vec_id AS scene_id,
+         CAST(DATE '2016-01-01' + CAST(e.vec_id * 3 AS INTEGER) AS DATE) AS fecha,
+         CAST(e.embedding[t.i * 3 + 1] AS DOUBLE) AS red, CAST(e.embedding[t.i * 3 + 3] AS DOUBLE) AS rededge1
+  FROM embeddings e CROSS JOIN range(0, 21) t(i)
+  WHERE (e.vec_id * 7) % 40 < 20 AND (e.vec_id + t.i) % 8 = 6 AND t.i % 5 BETWEEN 1 AND 3 AND t.i // 5 BETWEEN 1 AND 3),
+med AS (SELECT location_id, scene_id, fecha, median((rededge1 - red) / (rededge1 + red)) AS v
+        FROM sel WHERE rededge1 + red <> 0 GROUP BY 1, 2, 3),
+idx AS (SELECT location_id, CAST(date_trunc('month', fecha) AS DATE) AS periodo, AVG(v) AS ndci FROM med GROUP BY 1, 2),
 bnd AS (SELECT location_id, min(periodo) AS lo, max(periodo) AS hi FROM idx GROUP BY 1),
 months AS (SELECT location_id,
                   CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE)
                   AS periodo FROM bnd)
-SELECT months.location_id, months.periodo, {R('idx.ndci')} AS ndci
+SELECT months.location_id, months.periodo, """ + R("idx.ndci") + """ AS ndci
 FROM months LEFT JOIN idx ON months.location_id = idx.location_id AND months.periodo = idx.periodo"""))
 def q26(spark, d):
-    """Q26 month gap-fill of a monthly series that skips every fourth month (NDTI, months 4/8/12 absent)."""
-    p = S.sentinel_params(spark, d).filter(F.month("fecha_inicio") % 4 != 0)
-    idx = ndci.monthly_index(p, Y0, Y1, code="NDTI")
+    """Q26 month gap-fill of the monthly NDCI series built from scene medians (SP4), where many
+    months have no usable scene."""
+    from caudal.operators import spectral
+    from caudal.plans.catalog_audit import _bounds
+    px = spectral.select_scenes(S.pixels(spark, d), _bounds(spark, d), "2016-01-01", "2099-12-31")
+    med = spectral.scene_medians(spectral.water_mask(px), "NDCI")
+    idx = med.groupBy("location_id", F.trunc("fecha", "month").alias("periodo")).agg(F.avg("valor").alias("ndci"))
     return ndci.monthly_gap_fill(idx, "location_id").select("location_id", "periodo", "ndci")
 
 
@@ -532,8 +542,6 @@ def d19(spark, d):
     return derived.grid_link(ndci.nearest_grid_point(bodies, reg), bodies, reg)
 
 
-_ = CODES  # shared constant re-exported for callers
-
 
 @register("geo8_coverage_filter", _ctes(f"""
 SELECT b.location_id FROM ndci_loc b

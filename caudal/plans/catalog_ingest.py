@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from caudal.functions.ids import stable_id
-from caudal.functions.text import normalize_name
-from caudal.operators import clean, keys, load, quality, soil
+from caudal.operators import clean, keys, load
 from caudal.plans import surrogates as S
 from caudal.plans.oracle import with_ctes
-from caudal.plans.registry import Y0, Y1, R, register
+from caudal.plans.registry import R, register
 
 # ------------------------------------------------------------------ oracle pieces
 
@@ -478,8 +477,6 @@ def load8u(spark, d):
     return load.unique_violations(S.raw_areas(spark, d), "NOMBRE")
 
 
-_ = (quality, soil, normalize_name, Y0, Y1)
-
 
 # ------------------------------------------------------------------ single-rule views of composite cleaners
 
