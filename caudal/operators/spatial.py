@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from caudal.functions.text import fixed
 from caudal.functions.geometry import (
-    EARTH_RADIUS_M, METERS_PER_DEGREE, bbox_ring, edges_contain, haversine_m, polygon_edges,
+    EARTH_RADIUS_M, METERS_PER_DEGREE, bbox_ring, edges_contain, haversine_m, polygon_edges, rings_bbox,
 )
 
 # ------------------------------------------------------------------ GEO1
@@ -61,23 +61,68 @@ def polygon_band_index(polygons: DataFrame, poly_id: str, rings: str = "rings",
     )
 
 
+def _edge_cells(polygons: DataFrame, poly_id: str, rings: str, c: float) -> DataFrame:
+    """(poly_id, cell_row, cell_col) of every cell touched by an edge's bounding box."""
+    e = polygons.select(F.col(poly_id), F.explode(polygon_edges(F.col(rings))).alias("e")).select(
+        poly_id, "e.x1", "e.y1", "e.x2", "e.y2")
+    rows = F.sequence(F.floor(F.least("y1", "y2") / c).cast("long"), F.floor(F.greatest("y1", "y2") / c).cast("long"))
+    cols = F.sequence(F.floor(F.least("x1", "x2") / c).cast("long"), F.floor(F.greatest("x1", "x2") / c).cast("long"))
+    return e.select(poly_id, F.explode(rows).alias("cell_row"), cols.alias("_cols")).select(
+        poly_id, "cell_row", F.explode("_cols").alias("cell_col")).distinct()
+
+
+def polygon_cell_index(polygons: DataFrame, poly_id: str, rings: str = "rings",
+                       cell_deg: float = 0.25) -> DataFrame:
+    """(poly_id, cell_row, cell_col, interior, edges) for the point-in-polygon join.
+
+    Cells touched by an edge's bounding box are boundary cells and carry their band's
+    edges for the exact test. Every other cell of the polygon's bounding box lies
+    wholly inside or wholly outside; its centre is tested once, and inside cells are
+    kept with ``interior = true`` and no edges, so their points skip the test.
+    The index is bounded by the polygon's cells, not by the data.
+    """
+    c = float(cell_deg)
+    bands = polygon_band_index(polygons, poly_id, rings, c)
+    boundary = _edge_cells(polygons, poly_id, rings, c)
+    bb = polygons.select(poly_id, *[v.alias(k) for k, v in rings_bbox(F.col(rings)).items()])
+    all_cells = bb.select(
+        poly_id,
+        F.explode(F.sequence(F.floor(F.col("min_lat") / c).cast("long"), F.floor(F.col("max_lat") / c).cast("long")))
+        .alias("cell_row"),
+        F.sequence(F.floor(F.col("min_lon") / c).cast("long"), F.floor(F.col("max_lon") / c).cast("long")).alias("_c"),
+    ).select(poly_id, "cell_row", F.explode("_c").alias("cell_col"))
+    free = all_cells.join(boundary, [poly_id, "cell_row", "cell_col"], "left_anti")
+    centres = free.select(poly_id, "cell_row", "cell_col",
+                          ((F.col("cell_col") + 0.5) * c).alias("_cx"), ((F.col("cell_row") + 0.5) * c).alias("_cy"))
+    inner = centres.join(bands.select(poly_id, "cell_row", "edges").dropDuplicates([poly_id, "cell_row"]),
+                         [poly_id, "cell_row"]).filter(edges_contain(F.col("edges"), F.col("_cx"), F.col("_cy")))
+    interior = inner.select(poly_id, "cell_row", "cell_col", F.lit(True).alias("interior"),
+                            F.lit(None).cast(bands.schema["edges"].dataType).alias("edges"))
+    edge_cells = bands.join(boundary, [poly_id, "cell_row", "cell_col"], "left_semi").select(
+        poly_id, "cell_row", "cell_col", F.lit(False).alias("interior"), "edges")
+    return edge_cells.unionByName(interior)
+
+
 def points_in_polygons(points: DataFrame, polygons: DataFrame, poly_id: str, lon: str = "lon",
                        lat: str = "lat", rings: str = "rings", cell_deg: float = 0.25,
                        poly_cols: list[str] | None = None) -> DataFrame:
     """GEO3: every (point, polygon) pair with the point inside the polygon.
 
-    A point inside two overlapping polygons appears once per polygon. Output is
-    the point's columns plus ``poly_id`` (and ``poly_cols`` of the polygon).
+    One equi-join of points to the polygon cell index on the cell key; points in
+    interior cells match directly, points in boundary cells run the even-odd test
+    against the edges spanning their latitude band. A point inside two overlapping
+    polygons appears once per polygon. Output is the point's columns plus
+    ``poly_id`` (and ``poly_cols`` of the polygon).
     """
     c = float(cell_deg)
-    index = polygon_band_index(polygons, poly_id, rings, c)
+    index = polygon_cell_index(polygons, poly_id, rings, c)
     pts = points.withColumns({
         "cell_row": F.floor(F.col(lat) / c).cast("long"),
         "cell_col": F.floor(F.col(lon) / c).cast("long"),
     })
     cand = pts.join(index, ["cell_row", "cell_col"])
-    inside = cand.filter(edges_contain(F.col("edges"), F.col(lon), F.col(lat)))
-    out = inside.drop("cell_row", "cell_col", "edges")
+    inside = cand.filter(F.col("interior") | edges_contain(F.col("edges"), F.col(lon), F.col(lat)))
+    out = inside.drop("cell_row", "cell_col", "edges", "interior")
     if poly_cols:
         out = out.join(polygons.select(poly_id, *poly_cols), poly_id)
     return out
