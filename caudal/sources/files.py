@@ -32,7 +32,8 @@ def read_delimited(spark: SparkSession, paths: str | list[str], columns: list[st
     schema = columns if isinstance(columns, StructType) else string_schema(columns)
     opts = dict(DIALECTS[dialect])
     r = (spark.read.schema(schema).option("header", str(header).lower()).option("mode", "PERMISSIVE")
-         .option("sep", opts["sep"]).option("encoding", opts["encoding"]))
+         .option("sep", opts["sep"]).option("encoding", opts["encoding"])
+         .option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true"))
     df = r.csv(paths)
     if with_path:
         df = df.withColumn("source_file", F.col("_metadata.file_path"))
@@ -49,7 +50,16 @@ def read_many(spark: SparkSession, groups: list[tuple[str, list[str]]], dialect:
     """
     frames = []
     for glob, cols in groups:
-        frames.append(read_delimited(spark, glob, cols, dialect, with_path=True))
+        try:
+            df = read_delimited(spark, glob, cols, dialect, with_path=True)
+            df.schema  # resolves the path listing (metadata only); a glob matching nothing raises here
+        except Exception as e:  # noqa: BLE001 - the source's file is absent: skip it, like the loaders do
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+            continue
+        frames.append(df)
+    if not frames:
+        raise FileNotFoundError(f"no input matched {[g for g, _ in groups]}")
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)

@@ -90,3 +90,15 @@ def test_stream_insert_if_absent_idempotent(spark, tmp):
     run()   # restart from the checkpoint: only the new file, and id b already present is skipped
     got = {r.id: r.v for r in spark.read.parquet(os.path.join(tmp, "t")).collect()}
     assert got == {"a": 1.0, "b": 3.0, "c": 10.0}
+
+
+def test_read_many_skips_missing_glob(spark, tmp):
+    d = os.path.join(tmp, "precip")
+    os.makedirs(d)
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write("fecha,estacion_id,precip_horario\n2020-01-01,S1,1.5\n")
+    u = files.read_many(spark, [(f"{tmp}/precip/*.csv", ["fecha", "estacion_id", "precip_horario"]),
+                                (f"{tmp}/humedad/*.csv", ["fecha", "estacion_id", "hum_relativa"])],
+                        attribute="tipo", pattern=r"/(precip|humedad)/")
+    rows = u.collect()
+    assert len(rows) == 1 and rows[0].tipo == "precip"
