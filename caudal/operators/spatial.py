@@ -61,46 +61,48 @@ def polygon_band_index(polygons: DataFrame, poly_id: str, rings: str = "rings",
     )
 
 
-def _edge_cells(polygons: DataFrame, poly_id: str, rings: str, c: float) -> DataFrame:
-    """(poly_id, cell_row, cell_col) of every cell touched by an edge's bounding box."""
-    e = polygons.select(F.col(poly_id), F.explode(polygon_edges(F.col(rings))).alias("e")).select(
-        poly_id, "e.x1", "e.y1", "e.x2", "e.y2")
-    rows = F.sequence(F.floor(F.least("y1", "y2") / c).cast("long"), F.floor(F.greatest("y1", "y2") / c).cast("long"))
-    cols = F.sequence(F.floor(F.least("x1", "x2") / c).cast("long"), F.floor(F.greatest("x1", "x2") / c).cast("long"))
-    return e.select(poly_id, F.explode(rows).alias("cell_row"), cols.alias("_cols")).select(
-        poly_id, "cell_row", F.explode("_cols").alias("cell_col")).distinct()
-
-
 def polygon_cell_index(polygons: DataFrame, poly_id: str, rings: str = "rings",
                        cell_deg: float = 0.25) -> DataFrame:
     """(poly_id, cell_row, cell_col, interior, edges) for the point-in-polygon join.
 
-    Cells touched by an edge's bounding box are boundary cells and carry their band's
-    edges for the exact test. Every other cell of the polygon's bounding box lies
-    wholly inside or wholly outside; its centre is tested once, and inside cells are
-    kept with ``interior = true`` and no edges, so their points skip the test.
-    The index is bounded by the polygon's cells, not by the data.
+    Built per polygon with higher-order functions over its own edge array (no
+    shuffle): for each latitude band (row) the edges spanning it are kept (exact for
+    the even-odd ray test); a cell touched by an edge's bounding box is a boundary
+    cell and carries its band's edges; any other cell of the bounding box lies
+    wholly inside or outside, its centre is tested once, and inside cells are kept
+    with ``interior = true`` and no edges so their points skip the test. The index
+    is bounded by the polygon's cells, not by the data.
     """
     c = float(cell_deg)
-    bands = polygon_band_index(polygons, poly_id, rings, c)
-    boundary = _edge_cells(polygons, poly_id, rings, c)
-    bb = polygons.select(poly_id, *[v.alias(k) for k, v in rings_bbox(F.col(rings)).items()])
-    all_cells = bb.select(
-        poly_id,
-        F.explode(F.sequence(F.floor(F.col("min_lat") / c).cast("long"), F.floor(F.col("max_lat") / c).cast("long")))
-        .alias("cell_row"),
-        F.sequence(F.floor(F.col("min_lon") / c).cast("long"), F.floor(F.col("max_lon") / c).cast("long")).alias("_c"),
-    ).select(poly_id, "cell_row", F.explode("_c").alias("cell_col"))
-    free = all_cells.join(boundary, [poly_id, "cell_row", "cell_col"], "left_anti")
-    centres = free.select(poly_id, "cell_row", "cell_col",
-                          ((F.col("cell_col") + 0.5) * c).alias("_cx"), ((F.col("cell_row") + 0.5) * c).alias("_cy"))
-    inner = centres.join(bands.select(poly_id, "cell_row", "edges").dropDuplicates([poly_id, "cell_row"]),
-                         [poly_id, "cell_row"]).filter(edges_contain(F.col("edges"), F.col("_cx"), F.col("_cy")))
-    interior = inner.select(poly_id, "cell_row", "cell_col", F.lit(True).alias("interior"),
-                            F.lit(None).cast(bands.schema["edges"].dataType).alias("edges"))
-    edge_cells = bands.join(boundary, [poly_id, "cell_row", "cell_col"], "left_semi").select(
-        poly_id, "cell_row", "cell_col", F.lit(False).alias("interior"), "edges")
-    return edge_cells.unionByName(interior)
+
+    def cell(v):
+        return F.floor(v / F.lit(c)).cast("long")
+
+    def spans(e, r):
+        return (cell(F.least(e["y1"], e["y2"])) <= r) & (cell(F.greatest(e["y1"], e["y2"])) >= r)
+
+    edges = polygon_edges(F.col(rings))
+    bb = rings_bbox(F.col(rings))
+    base = polygons.select(poly_id, edges.alias("_e"), *[v.alias(k) for k, v in bb.items()])
+    per_row = base.select(
+        poly_id, "_e", "min_lon", "max_lon",
+        F.explode(F.sequence(cell(F.col("min_lat")), cell(F.col("max_lat")))).alias("cell_row"))
+    r = F.col("cell_row")
+    per_row = per_row.select(
+        poly_id, "cell_row",
+        F.filter("_e", lambda e: (e["y1"] != e["y2"]) & spans(e, r)).alias("edges"),
+        F.array_distinct(F.flatten(F.transform(
+            F.filter("_e", lambda e: spans(e, r)),
+            lambda e: F.sequence(cell(F.least(e["x1"], e["x2"])), cell(F.greatest(e["x1"], e["x2"])))))).alias("_bcols"),
+        F.sequence(cell(F.col("min_lon")), cell(F.col("max_lon"))).alias("_cols"))
+    cells = per_row.select(poly_id, "cell_row", "edges", "_bcols", F.explode("_cols").alias("cell_col"))
+    boundary = F.array_contains("_bcols", F.col("cell_col"))
+    cx = (F.col("cell_col") + 0.5) * c
+    cy = (F.col("cell_row") + 0.5) * c
+    interior = ~boundary & edges_contain(F.col("edges"), cx, cy)
+    return cells.filter(boundary | interior).select(
+        poly_id, "cell_row", "cell_col", interior.alias("interior"),
+        F.when(boundary, F.col("edges")).alias("edges"))
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, poly_id: str, lon: str = "lon",
