@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caudal.session import cut_lineage
+
 from caudal.functions.dates import year_range_filter
 from caudal.functions.ids import stable_id
 from caudal.operators.spatial import nearest_points, points_in_polygons, representative_points
@@ -45,7 +47,7 @@ def registry_and_means(grid_facts: DataFrame, tipo: str, year_from: int, year_to
     else:
         agg = grid_facts.groupBy("lon", "lat").agg(F.avg(F.when(sel, F.col("value"))).alias("_pm"))
         agg = agg.withColumn("punto_id", stable_id("lat", "lon"))
-    agg = agg.checkpoint()  # one row per grid point; lineage to the fact scan is cut here
+    agg = cut_lineage(agg)  # one row per grid point; lineage to the fact scan is cut here
     return agg.select("punto_id", "lon", "lat"), agg.filter(F.col("_pm").isNotNull()).select("punto_id", "_pm")
 
 
@@ -59,7 +61,7 @@ def soil_by_department(grid_facts: DataFrame, registry: DataFrame | None, deptos
     yields the point means (KEY4), so the fact table is scanned once.
     """
     reg_all, pm = registry_and_means(grid_facts, tipo, year_from, year_to)
-    registry = reg_all if registry is None else registry.checkpoint()
+    registry = reg_all if registry is None else cut_lineage(registry)
     pip = points_in_polygons(registry, deptos, "departamento_id", cell_deg=cell_deg).select(
         "departamento_id", "punto_id")
     no_points = deptos.join(pip.select("departamento_id"), "departamento_id", "left_anti")

@@ -13,6 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caudal.session import cut_lineage
+
 from caudal.functions.text import fixed
 from caudal.functions.geometry import (
     EARTH_RADIUS_M, METERS_PER_DEGREE, bbox_ring, edges_contain, haversine_m, polygon_edges, rings_bbox,
@@ -207,11 +209,12 @@ def nearest_points(queries: DataFrame, points: DataFrame, q_id: str, p_id: str,
         return _top_k(cands, q_id, p_id, k)
 
     half_circumference = math.pi * EARTH_RADIUS_M
-    pending = queries.select(q_id, qlon, qlat).checkpoint()
+    pending = cut_lineage(queries.select(q_id, qlon, qlat))
     if pending.isEmpty():
         return _top_k(_neighbour_candidates(pending, points, q_id, p_id, start_radius_m,
                                             qlon, qlat, plon, plat), q_id, p_id, k)
-    need = min(k, points.count())
+    need = k          # lowered to min(k, #points) only if a query is still pending after a round
+    counted = False
     radius = float(start_radius_m)
     results = []
     while True:
@@ -224,9 +227,11 @@ def nearest_points(queries: DataFrame, points: DataFrame, q_id: str, p_id: str,
         counts = cands.groupBy(q_id).agg(F.count(F.lit(1)).alias("_n"))
         done = counts.filter(F.col("_n") >= need).select(q_id)
         results.append(_top_k(cands.join(done, q_id, "left_semi"), q_id, p_id, k))
-        pending = pending.join(done, q_id, "left_anti").checkpoint()
+        pending = cut_lineage(pending.join(done, q_id, "left_anti"))
         if pending.isEmpty():
             break
+        if not counted:
+            need, counted = min(k, points.count()), True
         radius *= growth
     out = results[0]
     for r in results[1:]:

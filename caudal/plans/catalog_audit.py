@@ -11,6 +11,7 @@ from caudal.plans.catalog import _Q13_BODY
 from caudal.plans.catalog_ingest import CLAIMS_SQL, HOURLY_SQL, LAB_SQL, _clean_lab, _hourly_with_pos
 from caudal.plans.oracle import with_ctes
 from caudal.plans.registry import R, register
+from caudal.session import cut_lineage
 
 DATE_FROM, DATE_TO = "2016-01-01", "2019-12-31"
 HALF = 0.015
@@ -152,8 +153,8 @@ def a02(spark, d):
         return df.agg(F.count(F.lit(1)).alias("origen"), F.countDistinct("id").alias("destino_n")).select(
             F.lit(tarea).alias("tarea"), F.lit(destino).alias("destino"), "origen", "destino_n")
 
-    both = (stats(cl_ids, "reclamos", "reclamosose").unionByName(stats(h, "inumet", "paraminumet"))
-            .unionByName(stats(lb_ids, "gems", "gemsparams"))).checkpoint()
+    both = cut_lineage(stats(cl_ids, "reclamos", "reclamosose").unionByName(stats(h, "inumet", "paraminumet"))
+                       .unionByName(stats(lb_ids, "gems", "gemsparams")))
     src = both.select("tarea", "destino", "origen")
     tgt = both.select("destino", "destino_n")
     return audit.reconcile(src, tgt)

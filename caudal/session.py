@@ -55,7 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = tempfile.mkdtemp(prefix="caudal-ckpt-", dir=os.environ.get("CAUDAL_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 
@@ -63,3 +64,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+
+
+def cut_lineage(df):
+    """Reliable checkpoint into the shared checkpoint folder (never a local checkpoint).
+
+    Library operators call this instead of ``df.checkpoint()`` so a caller's session
+    needs no extra setup: the folder named by ``spark.checkpoint.dir`` is used (a
+    scratch folder only when the setting is unset, as in tests).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
