@@ -58,7 +58,7 @@ def st2(spark, d):
     """ST2 stream de-duplication by id within an event-time watermark."""
     base = _lay_down(spark, d)
     stream = ingest.csv_stream(spark, f"{base}/in", string_schema(RAW_COLS), max_files_per_trigger=2)
-    rows = _prepare(stream).withColumn("event_time", F.col("fecha_inicio").cast("timestamp"))
+    rows = _prepare(stream).withColumn("event_time", ingest.event_time("fecha_inicio"))
     dd = ingest.dedupe_stream(rows, "id", "event_time", DELAY)
     q = (dd.select("id", "estacion_id", "fecha_inicio").writeStream.format("parquet")
          .option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt")
@@ -76,9 +76,9 @@ def st3(spark, d):
     """ST3 daily avg/min/max/count per (station, code) with a watermark (update mode -> change log)."""
     base = _lay_down(spark, d)
     stream = ingest.csv_stream(spark, f"{base}/in", string_schema(RAW_COLS), max_files_per_trigger=2)
-    rows = _prepare(stream).withColumn("event_time", F.col("fecha_inicio").cast("timestamp"))
+    rows = _prepare(stream).withColumn("event_time", ingest.event_time("fecha_inicio"))
     agg = ingest.daily_stats_stream(rows, ["estacion_id", "code"], "event_time", "value", DELAY)
-    agg = agg.select("estacion_id", "code", F.to_date(F.col("ventana.start")).alias("dia"), "valor_medio",
+    agg = agg.select("estacion_id", "code", ingest.window_day("ventana").alias("dia"), "valor_medio",
                      "valor_min", "valor_max", "n_mediciones")
     q = ingest.changelog_sink(agg, f"{base}/log", f"{base}/ckpt")
     q.awaitTermination()

@@ -24,6 +24,19 @@ from pyspark.sql.types import StructType
 from caudal.operators.load import insert_if_absent
 
 
+def event_time(naive: str) -> F.Column:
+    """Instant whose UTC wall clock equals a naive (timestamp_ntz) value, independent of the
+    session time zone, so ``window()`` days line up with the naive calendar days."""
+    c = F.col(naive)
+    secs = (F.unix_date(F.to_date(c)).cast("long") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c))
+    return F.timestamp_seconds(secs)
+
+
+def window_day(window_col: str = "ventana") -> F.Column:
+    """Calendar day (naive) of a window produced over ``event_time``."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(F.col(f"{window_col}.start")) / 86400).cast("int"))
+
+
 def csv_stream(spark: SparkSession, path: str, schema: StructType, max_files_per_trigger: int = 1,
                sep: str = ",") -> DataFrame:
     """Stream of CSV files arriving in ``path`` (schema declared, header row)."""
