@@ -313,7 +313,7 @@ def classify_geometries(features: DataFrame, id_col: str, gtype: str = "gtype",
     for t in tolerances:
         cond = gap <= F.lit(float(t))
         closed_tol = F.when(cond, F.lit(float(t))) if closed_tol is None else closed_tol.when(cond, F.lit(float(t)))
-    is_line = F.col(gtype) == "LineString"
+    is_line = (F.col(gtype) == "LineString") & pts.isNotNull()   # size(null) is -1 without ANSI mode
     n_distinct = F.size(F.array_distinct(pts))
     hull = convex_hull(pts)
     closed_ring = F.concat(F.slice(pts, 1, F.size(pts) - 1), F.array(first))

@@ -341,7 +341,8 @@ def geo2(spark, d):
     """GEO2 geometry audit/repair: polygons pass, closed lines close, open lines -> convex hull, points rejected."""
     c = spatial.classify_geometries(_features(spark, d), "departamento_id")
     return c.select("departamento_id", "status", "action",
-                    F.size(F.element_at("repaired_rings", 1)).alias("n_vertices"))
+                    F.when(F.col("repaired_rings").isNotNull(), F.size(F.element_at("repaired_rings", 1)))
+                    .alias("n_vertices"))
 
 
 @register("geo9_feature_rows", with_ctes(["deptos", "station_depto", "gems"], f"""
