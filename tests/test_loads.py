@@ -68,3 +68,14 @@ def test_lookup_strict_raises(spark):
     m, u = load.lookup_dimension(facts.filter(F.col("departamento") == "Salto"), dim, "departamento", "nombre",
                                  "did", "departamento_id", strict=True)
     assert m.count() == 1 and u.count() == 0
+
+
+def test_first_per_id_with_a_hot_id(spark):
+    # one id holds a third of the rows: the aggregate still returns its first row only
+    n = 30_000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
+                               .alias("id"), (n - F.col("id")).alias("pos"), F.col("id").alias("v"))
+    out = load.first_per_id(df, "id", "pos")
+    hot = out.filter(F.col("id") == "hot").collect()
+    assert len(hot) == 1 and hot[0].v == n - 3 and hot[0].pos == 3
+    assert out.count() == 1 + 2 * n // 3

@@ -91,3 +91,13 @@ def test_exact_quantiles_match_numpy_with_hot_group(spark):
         exp = np.percentile(vals, [25, 50, 75])
         assert (got[g].q1, got[g].q2, got[g].q3) == pytest.approx(tuple(exp))
         assert got[g].n == len(vals)
+
+
+def test_exact_quantiles_coarse_sketch_still_exact(spark):
+    # a very coarse sketch widens the brackets; the result must not change
+    rnd = random.Random(11)
+    rows = [(g, rnd.expovariate(1.0)) for g in range(3) for _ in range(500)]
+    df = spark.createDataFrame(rows, "g long, v double")
+    got = {r.g: r.q for r in stats.exact_quantiles(df, ["g"], "v", [0.9], ["q"], accuracy=10).collect()}
+    for g in range(3):
+        assert got[g] == pytest.approx(float(np.percentile([v for x, v in rows if x == g], 90)))
