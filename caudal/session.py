@@ -46,14 +46,19 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting points at shared storage and is read as is. Only
-    when it is unset (local tests) a fresh scratch folder is created.
+    On a cluster the setting points at shared storage and is read as is; without it this raises.
+    Only in local mode, where driver and executors are one process, an unset folder is made here.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="caudal-ckpt-", dir=os.environ.get("CAUDAL_SCRATCH", "/tmp"))
+        current = spark.sparkContext.getCheckpointDir()
+    if not current:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        current = tempfile.mkdtemp(prefix="caudal-ckpt-", dir=os.environ.get("CAUDAL_SCRATCH"))
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(current)
