@@ -37,6 +37,11 @@ def source_key(col: str):
     return F.coalesce(F.concat(F.lit("="), F.col(col)), F.lit(""))
 
 
+def row_key(doc_id, text):
+    """64-bit hash of a document's id (null like the greatest) and text (UTF-8): rows equal in both share it."""
+    return F.xxhash64(F.lit(3), F.coalesce(doc_id, F.lit(2**63 - 1)), text)
+
+
 def rows_of(batch, *names):
     """The rows of an Arrow batch as tuples of Python values."""
     return zip(*(batch.column(n).to_pylist() for n in names))
