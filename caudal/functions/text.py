@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,28 +12,41 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _unaccented() -> tuple[str, str]:
+    """Precomposed letters that decompose into one letter and combining marks, and those letters."""
+    accented, plain = [], []
+    for code in (*range(0xC0, 0x250), *range(0x370, 0x530), *range(0x1E00, 0x2000)):
+        bare = "".join(c for c in unicodedata.normalize("NFD", chr(code)) if unicodedata.category(c) != "Mn")
+        if len(bare) == 1 and bare != chr(code):
+            accented.append(chr(code))
+            plain.append(bare)
+    return "".join(accented), "".join(plain)
+
+
+ACCENTED, PLAIN = _unaccented()
+
+
 def normalize_name(c: Column | str) -> Column:
     """CLN1: lower case, trimmed, combining marks removed ("Río Negro" -> "rio negro").
 
-    NFD decomposition is not a Spark built-in, so precomposed Latin letters are
-    folded with ``translate`` and any remaining combining mark is dropped with a
-    regex. Both run JVM-side inside codegen.
+    Spark has no NFD decomposition: precomposed Latin, Greek and Cyrillic letters are folded with
+    ``translate`` by a table made from the Unicode data, and marks that stand alone are dropped
+    with a regex. Both run JVM-side inside codegen.
     """
-    # Precomposed letters and their unaccented forms.
-    accented = "áàâäãåéèêëíìîïóòôöõúùûüýÿñçÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÝÑÇ"
-    plain = "aaaaaaeeeeiiiiooooouuuuyyncAAAAAAEEEEIIIIOOOOOUUUUYNC"
-    folded = F.translate(F.lower(F.trim(_c(c))), accented, plain)
-    return F.regexp_replace(folded, r"\p{M}", "")
+    folded = F.translate(F.lower(F.trim(_c(c))), ACCENTED, PLAIN)
+    return F.regexp_replace(folded, r"\p{Mn}", "")
 
 
 def repair_double_encoding(c: Column | str) -> Column:
     """Undo UTF-8 text that was decoded as Latin-1 once ("NotificaciÃ³n" -> "Notificación").
 
-    Applied only where the tell-tale ``Ã`` occurs, so clean text is untouched.
+    Applied only where the tell-tale ``Ã`` occurs, the text fits Latin-1 and its bytes are UTF-8;
+    any other text stays as it is ("SÃO PAULO", "NotificaciÃ³n – x").
     """
     col = _c(c)
-    fixed = F.decode(F.encode(col, "ISO-8859-1"), "UTF-8")
-    return F.when(col.contains("Ã"), fixed).otherwise(col)
+    fits = col.contains("Ã") & col.rlike("^[\\x{0}-\\x{FF}]*$")
+    fixed = F.try_validate_utf8(F.encode(F.when(fits, col), "ISO-8859-1").cast("string"))
+    return F.coalesce(fixed, col)
 
 
 def format_magnitude(c: Column | str) -> Column:

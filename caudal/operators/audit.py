@@ -21,33 +21,36 @@ def row_counts(tables: dict[str, DataFrame], total_label: str = "TOTAL") -> Data
     return r.select(F.coalesce("tabla", F.lit(total_label)).alias("tabla"), "registros")
 
 
+def _reconciled(origen: Column, missing: Column) -> list[Column]:
+    """Difference and reason: the task's configured reason, ``(*)`` added when the target has more rows than the
+    source; without a source N/A, and without a target ``sin destino``."""
+    diff = F.when(missing, F.lit(None).cast("long")).otherwise(origen - F.col("destino_n"))
+    reason = F.col("motivo")
+    return [diff.alias("diferencia"),
+            F.when(missing, F.lit("N/A")).when(F.col("destino_n").isNull(), F.lit("sin destino"))
+            .when(diff < 0, F.concat(reason, F.lit(" (*)"))).otherwise(reason).alias("motivo")]
+
+
 def reconcile(source_counts: DataFrame, target_counts: DataFrame) -> DataFrame:
-    """Per task, source rows after cleaning vs target rows; difference, reason,
-    ``(*)`` when the target has more rows than the source; N/A when the source is missing.
+    """Per task, source rows after cleaning vs target rows, their difference and the reason.
 
-    source_counts: (tarea, destino, origen); target_counts: (destino, destino_n).
+    source_counts: (tarea, destino, origen or null for a missing source, motivo); target_counts: (destino, destino_n).
     """
     j = source_counts.join(target_counts, "destino", "left")
-    diff = F.col("origen") - F.col("destino_n")
-    return j.select(
-        "tarea", "destino", "origen", "destino_n",
-        F.when(F.col("origen").isNull(), F.lit(None).cast("long")).otherwise(diff).alias("diferencia"),
-        F.when(F.col("origen").isNull(), F.lit("N/A"))
-        .when(diff < 0, F.lit("(*)")).when(diff == 0, F.lit("OK")).otherwise(F.lit("duplicados/ya presentes"))
-        .alias("motivo"))
+    return j.select("tarea", "destino", "origen", "destino_n", *_reconciled(F.col("origen"), F.col("origen").isNull()))
 
 
 def reconcile_shared(source_counts: DataFrame, target_counts: DataFrame) -> DataFrame:
-    """Several sources feed one target: sum of sources vs target; any missing source -> N/A."""
+    """Several sources feed one target: sum of sources vs target; any missing source -> N/A.
+
+    Columns as for ``reconcile``; the reason is the target's (the least text among its sources).
+    """
     s = source_counts.groupBy("destino").agg(
-        F.sum("origen").cast("long").alias("origen"), F.bool_or(F.col("origen").isNull()).alias("falta"))
+        F.sum("origen").cast("long").alias("origen"), F.bool_or(F.col("origen").isNull()).alias("falta"),
+        F.min("motivo").alias("motivo"))
     j = s.join(target_counts, "destino", "left")
-    diff = F.col("origen") - F.col("destino_n")
-    return j.select(
-        "destino", F.when(F.col("falta"), F.lit(None).cast("long")).otherwise(F.col("origen")).alias("origen"),
-        "destino_n",
-        F.when(F.col("falta"), F.lit(None).cast("long")).otherwise(diff).alias("diferencia"),
-        F.when(F.col("falta"), F.lit("N/A")).when(diff < 0, F.lit("(*)")).otherwise(F.lit("OK")).alias("estado"))
+    origen = F.when(F.col("falta"), F.lit(None).cast("long")).otherwise(F.col("origen"))
+    return j.select("destino", origen.alias("origen"), "destino_n", *_reconciled(origen, F.col("falta")))
 
 
 def drop_accounting(tagged: DataFrame, reason: str = "reason") -> DataFrame:
@@ -74,11 +77,23 @@ def files_per_code(df: DataFrame, code: str, file: str) -> DataFrame:
     return df.select(code, file).distinct().groupBy(code).agg(F.sort_array(F.collect_list(file)).alias("archivos"))
 
 
-def parameter_coverage(df: DataFrame, code: str, station: str, total_label: str = "Total") -> DataFrame:
-    """Rows and distinct stations per code plus a Total row with distinct stations overall;
-    codes without rows do not appear."""
-    r = df.rollup(code).agg(F.count(F.lit(1)).alias("filas"), F.countDistinct(station).alias("estaciones"))
-    return r.select(F.coalesce(F.col(code), F.lit(total_label)).alias(code), "filas", "estaciones")
+def parameter_coverage(df: DataFrame, code: str, station: str, total_label: str = "Total", file: str | None = None,
+                       names: DataFrame | None = None) -> DataFrame:
+    """Rows and stations per code plus a Total row with distinct stations overall; codes without rows
+    do not appear, a null code is a code.
+
+    With ``file`` the stations of a code are counted per file and summed. ``names`` (code, nombre) adds the
+    parameter's name, null where there is none and on the Total row.
+    """
+    files = [F.col(file).alias("__f")] if file else [F.lit(0).alias("__f")]
+    per = df.groupBy(F.col(code), *files).agg(F.count(F.lit(1)).alias("filas"), F.countDistinct(station).alias("estaciones"))
+    per = per.groupBy(code).agg(F.sum("filas").alias("filas"), F.sum("estaciones").alias("estaciones"))
+    total = df.agg(F.count(F.lit(1)).alias("filas"), F.countDistinct(station).alias("estaciones"))
+    if names is not None:
+        per = per.join(names.select(F.col(names.columns[0]).alias("__c"), F.col("nombre")), F.col(code) == F.col("__c"), "left").drop("__c")
+        total = total.withColumn("nombre", F.lit(None).cast("string"))
+    total = total.select(F.lit(total_label).alias(code), *[c for c in per.columns if c != code])
+    return per.unionByName(total)
 
 
 def null_profile(df: DataFrame, cols: list[str]) -> DataFrame:

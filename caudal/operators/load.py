@@ -3,7 +3,7 @@
 The reference's database statements (insert-if-absent, upsert, delete by key set,
 dimension lookups, constraint checks, manifest diff) become joins:
 - insert-if-absent = first row per id inside the batch (``min(struct(position, row))``,
-  partial aggregation) + ``left_anti`` against the target's ids;
+  partial aggregation) + ``left_anti`` against the ids of the target partitions the batch touches;
 - upsert = full outer join on the id, the update side wins;
 - delete = ``left_anti`` rewrite (the removed count is the ``left_semi`` count).
 Writers append/overwrite Parquet; nothing is collected to the driver.
@@ -31,10 +31,16 @@ def first_per_id(batch: DataFrame, id_col: str, order_col: str) -> DataFrame:
 
 
 def insert_if_absent(batch: DataFrame, existing_ids: DataFrame, id_col: str = "id",
-                     order_col: str = "pos") -> DataFrame:
-    """LOAD1 / LOAD2: rows to append: first row per id in the batch, ids already in the target skipped."""
+                     order_col: str = "pos", partition: list[str] | None = None) -> DataFrame:
+    """LOAD1 / LOAD2: rows to append: first row per id in the batch, ids already in the target skipped.
+
+    ``partition`` names columns that both sides have, that follow from the id and by which the target is laid
+    out: only the target partitions the batch touches are then read (a semi-join that prunes at run time).
+    """
+    if partition:
+        existing_ids = existing_ids.join(batch.select(*partition).distinct(), partition, "left_semi")
     first = first_per_id(batch, id_col, order_col)
-    return first.join(existing_ids.select(id_col).distinct(), id_col, "left_anti")
+    return first.join(existing_ids.select(id_col), id_col, "left_anti")
 
 
 def already_present(batch: DataFrame, existing_ids: DataFrame, id_col: str = "id") -> DataFrame:
@@ -42,16 +48,22 @@ def already_present(batch: DataFrame, existing_ids: DataFrame, id_col: str = "id
     return batch.select(id_col).distinct().join(existing_ids.select(id_col), id_col, "left_semi")
 
 
-def upsert(target: DataFrame, updates: DataFrame, id_col: str = "id") -> DataFrame:
+def upsert(target: DataFrame, updates: DataFrame, id_col: str = "id", order_col: str | None = None) -> DataFrame:
     """LOAD3: new rows overwrite old ones with the same id; other target rows stay.
 
-    Written as a full outer join on the id (one shuffle, no window): the update
-    side wins column by column when present.
+    An id that repeats among the updates is written once: the row with the greatest ``order_col`` (which the
+    target need not have) wins, or without one the greatest row. A full outer join on the id follows; the
+    update side wins column by column when present.
     """
-    u = updates.select(*[F.col(c).alias(f"__u_{c}") for c in updates.columns])
+    keep = [c for c in updates.columns if c in target.columns]
+    order = [F.col(order_col)] if order_col else []
+    last = F.max(F.struct(*[o.alias("__o") for o in order], *[F.col(c).alias(f"__u_{c}") for c in keep if c != id_col]))
+    u = updates.groupBy(F.col(id_col).alias(f"__u_{id_col}")).agg(last.alias("__r"))
+    u = u.select(f"__u_{id_col}", *[F.col(f"__r.__u_{c}") for c in keep if c != id_col])
     j = target.join(u, target[id_col] == u[f"__u_{id_col}"], "full")
     has_u = F.col(f"__u_{id_col}").isNotNull()
-    return j.select(*[F.when(has_u, F.col(f"__u_{c}")).otherwise(F.col(c)).alias(c) for c in target.columns])
+    return j.select(*[F.when(has_u, F.col(f"__u_{c}")).otherwise(F.col(c)).alias(c) if c in keep else F.col(c)
+                      for c in target.columns])
 
 
 def lookup_dimension(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, dim_id: str,
@@ -135,11 +147,3 @@ def refreshed_state(state: DataFrame, diff: DataFrame, synced_at: Column | None
         "resource_id", "package", "modulo", F.coalesce("hash", F.lit("")).alias("hash"), "archivo_local",
         ts.alias("last_synced"))
     return upsert(state.select(*changed.columns), changed, "resource_id")
-
-
-def write_append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """SRC9: append rows to a Parquet fact table (partitioned for pruning)."""
-    w = df.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)

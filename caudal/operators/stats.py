@@ -1,16 +1,17 @@
 """Exact grouped quantiles that never hold a whole group in one task.
 
-``F.percentile`` keeps every value of a group in one aggregation buffer, so a
+``F.percentile`` keeps every distinct value of a group in one aggregation buffer, so a
 group holding a third of the rows would land on one executor. Here:
 
-1. ``percentile_approx`` (a mergeable sketch, partial-aggregated) brackets each
+1. rows are counted per (group, value), so ties are one row from here on;
+2. ``percentile_approx`` (a mergeable sketch, partial-aggregated) brackets each
    target rank: the exact order statistic lies between the approximations at
    p -/+ delta (delta a few times the sketch's rank error 1/accuracy);
-2. one pass counts the values below the bracket and keeps only the values inside
-   it (about 2*delta*n per group and probability);
-3. the few bracketed values are ranked per (group, probability) and the two
-   order statistics around p*(n-1) are interpolated linearly (the rule of
-   pandas ``quantile`` and DuckDB ``quantile_cont``).
+3. one pass sums the counts below the bracket and keeps the distinct values inside
+   it (at most about 2*delta*n per group and probability);
+4. a cumulative sum over these values gives the two order statistics around p*(n-1),
+   which are interpolated linearly (the rule of pandas ``quantile`` and DuckDB
+   ``quantile_cont``).
 
 A group whose bracket check fails (should not happen) falls back to the full
 [min, max] bracket for that group only, which is still exact.
@@ -47,11 +48,12 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
         "__r0": F.floor(pos).cast("long"), "__r1": F.ceil(pos).cast("long"),
         "__f": pos - F.floor(pos)})
 
-    # counts below / inside each bracket (one pass over the data, joined on the group keys)
+    # counts below / inside each bracket (one pass over the distinct values, joined on the group keys)
+    v = v.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
     j = v.join(targets.select(*keys, "__j", "__a", "__b"), keys)
     counts = j.groupBy(*keys, "__j").agg(
-        F.sum(F.when(F.col("__v") < F.col("__a"), 1).otherwise(0)).alias("__below"),
-        F.sum(F.when(F.col("__v") <= F.col("__b"), 1).otherwise(0)).alias("__upto"))
+        F.sum(F.when(F.col("__v") < F.col("__a"), F.col("__c")).otherwise(0)).alias("__below"),
+        F.sum(F.when(F.col("__v") <= F.col("__b"), F.col("__c")).otherwise(0)).alias("__upto"))
     t = targets.join(counts, [*keys, "__j"])
     ok = (F.col("__below") <= F.col("__r0")) & (F.col("__upto") >= F.col("__r1") + 1)
     t = t.withColumns({
@@ -62,11 +64,15 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     inside = v.join(t.select(*keys, "__j", "__a", "__b", "__below", "__r0", "__r1"), keys).filter(
         (F.col("__v") >= F.col("__a")) & (F.col("__v") <= F.col("__b")))
     w = Window.partitionBy(*keys, "__j").orderBy("__v")
-    ranked = inside.withColumn("__rk", F.row_number().over(w) - 1 + F.col("__below"))
-    picks = ranked.filter((F.col("__rk") == F.col("__r0")) | (F.col("__rk") == F.col("__r1"))).groupBy(
-        *keys, "__j").agg(
-        F.max(F.when(F.col("__rk") == F.col("__r0"), F.col("__v"))).alias("__v0"),
-        F.max(F.when(F.col("__rk") == F.col("__r1"), F.col("__v"))).alias("__v1"))
+    # a value holds the ranks from __at to __to - 1
+    ranked = inside.withColumn("__to", F.sum("__c").over(w) + F.col("__below")).withColumn("__at", F.col("__to") - F.col("__c"))
+
+    def holds(r):
+        return (F.col("__at") <= F.col(r)) & (F.col(r) < F.col("__to"))
+
+    picks = ranked.filter(holds("__r0") | holds("__r1")).groupBy(*keys, "__j").agg(
+        F.max(F.when(holds("__r0"), F.col("__v"))).alias("__v0"),
+        F.max(F.when(holds("__r1"), F.col("__v"))).alias("__v1"))
     res = t.select(*keys, "__j", "n", "__f").join(picks, [*keys, "__j"]).withColumn(
         "__q", F.col("__v0") + F.col("__f") * (F.col("__v1") - F.col("__v0")))
     out = res.groupBy(*keys).agg(

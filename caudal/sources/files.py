@@ -9,10 +9,14 @@ large collections into one document per partition.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+LOG = logging.getLogger(__name__)
+
 # The CSV dialects of the sources.
 DIALECTS = {
     "semicolon_utf8": {"sep": ";", "encoding": "UTF-8"},
@@ -27,26 +31,40 @@ def string_schema(columns: list[str]) -> StructType:
 
 
 def read_delimited(spark: SparkSession, paths: str | list[str], columns: list[str] | StructType,
-                   dialect: str = "comma", header: bool = True, with_path: bool = False) -> DataFrame:
-    """SRC1: delimited scan with a dialect; malformed rows are kept with nulls (PERMISSIVE)."""
+                   dialect: str = "comma", header: bool = True, with_path: bool = False,
+                   skip_unreadable: bool = False) -> DataFrame:
+    """SRC1: delimited scan with a dialect; malformed rows are kept with nulls (PERMISSIVE).
+
+    A corrupt or vanished file ends the job. ``skip_unreadable`` leaves such files out instead;
+    ``unread_files`` then tells which gave no row.
+    """
     schema = columns if isinstance(columns, StructType) else string_schema(columns)
     opts = dict(DIALECTS[dialect])
     r = (spark.read.schema(schema).option("header", str(header).lower()).option("mode", "PERMISSIVE")
          .option("sep", opts["sep"]).option("encoding", opts["encoding"])
-         .option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true"))
+         .option("ignoreMissingFiles", str(skip_unreadable).lower())
+         .option("ignoreCorruptFiles", str(skip_unreadable).lower()))
     df = r.csv(paths)
     if with_path:
         df = df.withColumn("source_file", F.col("_metadata.file_path"))
     return df
 
 
+def unread_files(spark: SparkSession, paths: str | list[str], rows: DataFrame, path_col: str = "source_file") -> DataFrame:
+    """SRC1: listed files (path, length) of which ``rows`` has none: skipped as unreadable, or empty."""
+    listed = spark.read.format("binaryFile").load(paths).select("path", "length")  # content is not read
+    plain = F.regexp_replace(path_col, "^file:/+", "/")
+    seen = rows.select(plain.alias("__p")).distinct()
+    return listed.join(seen, F.regexp_replace("path", "^file:/+", "/") == F.col("__p"), "left_anti")
+
+
 def read_many(spark: SparkSession, groups: list[tuple[str, list[str]]], dialect: str = "comma",
               attribute: str | None = None, pattern: str | None = None) -> DataFrame:
     """SRC2: several globs with differing columns -> one frame (missing columns null).
 
     ``groups`` is a list of (glob, columns). The attribute taken from the path is
-    ``regexp_extract(file_path, pattern, 1)``. Missing files are skipped
-    (``ignoreMissingFiles``); each glob is one parallel scan.
+    ``regexp_extract(file_path, pattern, 1)``. A glob that matches nothing is skipped and
+    logged; each glob is one parallel scan.
     """
     frames = []
     for glob, cols in groups:
@@ -56,6 +74,7 @@ def read_many(spark: SparkSession, groups: list[tuple[str, list[str]]], dialect:
         except Exception as e:  # noqa: BLE001 - the source's file is absent: skip it, like the loaders do
             if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
                 raise
+            LOG.warning("no input matches %s: skipped", glob)
             continue
         frames.append(df)
     if not frames:

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -37,9 +38,13 @@ def window_day(window_col: str = "ventana") -> F.Column:
     return F.date_from_unix_date(F.floor(F.unix_seconds(F.col(f"{window_col}.start")) / 86400).cast("int"))
 
 
-def csv_stream(spark: SparkSession, path: str, schema: StructType, max_files_per_trigger: int = 1,
+def csv_stream(spark: SparkSession, path: str, schema: StructType, max_files_per_trigger: int,
                sep: str = ",") -> DataFrame:
-    """Stream of CSV files arriving in ``path`` (schema declared, header row)."""
+    """Stream of CSV files arriving in ``path`` (schema declared, header row).
+
+    ``max_files_per_trigger`` bounds a micro-batch; each batch reads the target's ids once, so a small
+    number makes many reads.
+    """
     return (spark.readStream.schema(schema).option("header", "true").option("sep", sep)
             .option("maxFilesPerTrigger", max_files_per_trigger).csv(path))
 
@@ -48,8 +53,9 @@ def _ensure_table(spark: SparkSession, path: str, schema: StructType) -> None:
     """Create an empty Parquet table (schema only) unless one exists, so batches can read it."""
     try:
         spark.read.schema(schema).parquet(path).limit(0).collect()
-        return
-    except Exception:  # noqa: BLE001 - missing path
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         spark.createDataFrame([], schema).write.mode("append").parquet(path)
 
 
