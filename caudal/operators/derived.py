@@ -111,16 +111,19 @@ def claims_summary(claims_vs_quality: DataFrame) -> DataFrame:
 
 
 def top_bottom(summary: DataFrame, value_col: str, n: int = 3, decimals: int = 4) -> DataFrame:
-    """The n highest and n lowest bodies by mean (a top-k report), value rounded."""
-    w_hi = Window.orderBy(F.col(value_col).desc(), "nombre")
-    w_lo = Window.orderBy(F.col(value_col).asc(), F.col("nombre").desc())
-    r = summary.select("nombre", value_col, "observaciones").withColumns(
-        {"_hi": F.row_number().over(w_hi), "_lo": F.row_number().over(w_lo)})
-    top = r.filter(F.col("_hi") <= n).select(F.lit("mayores").alias("grupo"), F.col("_hi").alias("posicion"),
-                                            "nombre", F.round(value_col, decimals).alias(value_col), "observaciones")
-    bottom = r.filter(F.col("_lo") <= n).select(F.lit("menores").alias("grupo"), F.col("_lo").alias("posicion"),
-                                               "nombre", F.round(value_col, decimals).alias(value_col), "observaciones")
-    return top.unionByName(bottom)
+    """The n highest and n lowest bodies by mean (a top-k report), value rounded.
+
+    Each end is an ``orderBy().limit(n)`` (the n best of each task meet); only those n rows are numbered.
+    """
+    rows = summary.select("nombre", value_col, "observaciones").filter(F.col(value_col).isNotNull())
+
+    def end(label, *order):
+        best = rows.orderBy(*order).limit(n)
+        return best.select(F.lit(label).alias("grupo"), F.row_number().over(Window.orderBy(*order)).alias("posicion"),
+                           "nombre", F.round(value_col, decimals).alias(value_col), "observaciones")
+
+    return end("mayores", F.col(value_col).desc(), F.col("nombre")).unionByName(
+        end("menores", F.col(value_col).asc(), F.col("nombre").desc()))
 
 
 def distribution(obs: DataFrame, summary: DataFrame, value_col: str = "ndci") -> DataFrame:

@@ -55,16 +55,24 @@ def _num_text(v: Column) -> Column:
     return F.when(v == F.floor(v), F.floor(v).cast("long").cast("string")).otherwise(v.cast("string"))
 
 
-def polygon_wkt(rings: Column) -> Column:
-    """Canonical text of a polygon: ``POLYGON ((x y, x y, ...), (...))``."""
+def polygon_wkt(rings: Column, gtype: Column | None = None) -> Column:
+    """Canonical text of a polygon, ``POLYGON ((x y, x y, ...), (...))``; of type MultiPolygon (each ring the
+    outer ring of a part), ``MULTIPOLYGON (((x y, ...)), ((...)))``."""
     ring_txt = F.transform(rings, lambda r: F.concat(F.lit("("), F.array_join(
         F.transform(r, lambda p: F.concat(_num_text(p["lon"]), F.lit(" "), _num_text(p["lat"]))), ", "), F.lit(")")))
-    return F.concat(F.lit("POLYGON ("), F.array_join(ring_txt, ", "), F.lit(")"))
+    one = F.concat(F.lit("POLYGON ("), F.array_join(ring_txt, ", "), F.lit(")"))
+    if gtype is None:
+        return one
+    parts = F.transform(ring_txt, lambda t: F.concat(F.lit("("), t, F.lit(")")))
+    return F.when(gtype == "MultiPolygon", F.concat(F.lit("MULTIPOLYGON ("), F.array_join(parts, ", "), F.lit(")"))).otherwise(one)
 
 
-def area_docs(df: DataFrame, rings: str = "rings", name: str = "nombre") -> DataFrame:
-    """KEY3: area documents: id from (geometry text, name or None); ``SIN_NOMBRE`` default applied after the id."""
-    geom = polygon_wkt(F.col(rings))
+def area_docs(df: DataFrame, rings: str = "rings", name: str = "nombre", gtype: str | None = None) -> DataFrame:
+    """KEY3: area documents: id from (geometry text, name or None); ``SIN_NOMBRE`` default applied after the id.
+
+    ``gtype`` names a column with the geometry type; polygons without one.
+    """
+    geom = polygon_wkt(F.col(rings), F.col(gtype) if gtype else None)
     nm = F.when(F.col(name).isNull() | (F.col(name) == ""), F.lit(None).cast("string")).otherwise(F.col(name))
     return df.select(stable_id(geom, nm).alias("id"),
                      F.coalesce(nm, F.lit("SIN_NOMBRE")).alias("nombre"), F.col(rings).alias("rings"))

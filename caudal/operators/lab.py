@@ -33,11 +33,14 @@ def monthly_stats(facts: DataFrame, station_depto: DataFrame, code: str, year_fr
     """Q08: monthly avg/min/max/count of ``value`` per department's station set; null values excluded."""
     f = facts.filter((F.col("code") == code) & F.col("value").isNotNull()
                      & year_range_filter("fecha_inicio", year_from, year_to))
-    j = f.join(station_depto.select(F.col("estacion_id").alias("location_id"), "nombre"), "location_id")
     periodo = F.date_trunc("month", F.col("fecha_inicio")).cast("date").alias("periodo")
-    return j.groupBy("nombre", periodo).agg(
-        F.avg("value").alias("valor_medio"), F.min("value").alias("valor_min"),
-        F.max("value").alias("valor_max"), F.count(F.lit(1)).alias("n_mediciones"))
+    # facts are reduced to (station, month) before they meet the departments
+    per = f.groupBy("location_id", periodo).agg(F.sum("value").alias("_sum"), F.min("value").alias("_min"),
+                                                F.max("value").alias("_max"), F.count(F.lit(1)).alias("_n"))
+    j = per.join(station_depto.select(F.col("estacion_id").alias("location_id"), "nombre"), "location_id")
+    return j.groupBy("nombre", "periodo").agg(
+        (F.sum("_sum") / F.sum("_n")).alias("valor_medio"), F.min("_min").alias("valor_min"),
+        F.max("_max").alias("valor_max"), F.sum("_n").alias("n_mediciones"))
 
 
 def mean_of_station_means(facts: DataFrame, station_depto: DataFrame, value_col: str, out: str,

@@ -7,7 +7,7 @@ span, not by data volume.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caudal.functions.dates import year_range_filter
@@ -84,10 +84,18 @@ def index_observations(params: DataFrame, locations: DataFrame, year_from: int,
 
 
 def monthly_gap_fill(df: DataFrame, key: str, period: str = "periodo") -> DataFrame:
-    """Q26: one row per month between each key's first and last month; absent months are null rows."""
-    bounds = df.groupBy(key).agg(F.min(period).alias("_lo"), F.max(period).alias("_hi"))
-    months = bounds.select(key, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 MONTH"))).alias(period))
-    return months.join(df, [key, period], "left")
+    """Q26: one row per month between each key's first and last month; absent months are null rows.
+
+    One pass over ``df``: each row brings the empty months up to its key's next month along. A key's rows are its
+    months, which the time span bounds.
+    """
+    others = [c for c in df.columns if c not in (key, period)]
+    following = F.lead(period).over(Window.partitionBy(key).orderBy(period))
+    months = F.sequence(F.col(period), F.greatest(F.add_months(F.coalesce("_next", F.add_months(period, 1)), -1), F.col(period)),
+                        F.expr("INTERVAL 1 MONTH"))
+    rows = df.withColumn("_next", following).select(
+        key, F.posexplode(months).alias("_i", "_m"), *others)
+    return rows.select(key, F.col("_m").cast("date").alias(period), *[F.when(F.col("_i") == 0, F.col(c)).alias(c) for c in others])
 
 
 def lag_join(pad: DataFrame, idx: DataFrame, key: str, lag_months: int = 1) -> DataFrame:

@@ -12,73 +12,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caudal.session import cut_lineage
-
 from caudal.functions.dates import year_range_filter
 from caudal.functions.ids import stable_id
 from caudal.operators.spatial import nearest_points, points_in_polygons, representative_points
 
 
-def with_point_id(grid_long: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
-    """Attach the deterministic grid point id (KEY1 over latitude, longitude)."""
-    return grid_long.withColumn("punto_id", stable_id(lat, lon))
-
+def grid_registry(grid_points: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """KEY4: distinct grid coordinates -> (punto_id, lon, lat).
 
-def grid_registry(grid_long: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
-    """KEY4: distinct grid coordinates -> (punto_id, lon, lat)."""
-    pts = grid_long.select(lon, lat).distinct()
+    ``grid_points`` is the registry's own source (a row per point, or a few), not the fact table.
+    """
+    pts = grid_points.select(lon, lat).distinct()
     return pts.select(stable_id(lat, lon).alias("punto_id"), F.col(lon).alias("lon"), F.col(lat).alias("lat"))
 
 
 def point_means(grid_facts: DataFrame, tipo: str, year_from: int, year_to: int) -> DataFrame:
+    """Mean of ``tipo`` per grid point over the years, which reach the scan as filters; the id is hashed
+    once per point, after the aggregation."""
     f = grid_facts.filter((F.col("type") == tipo) & year_range_filter("fecha_inicio", year_from, year_to))
-    return f.groupBy("punto_id").agg(F.avg("value").alias("_pm"))
-
-
-def registry_and_means(grid_facts: DataFrame, tipo: str, year_from: int, year_to: int) -> tuple[DataFrame, DataFrame]:
-    """KEY4 registry and per-point means of ``tipo`` in the period from ONE aggregate over the facts.
-
-    Facts are grouped by coordinates; the point id (KEY1 of lat, lon) is attached to the
-    aggregated rows, so the hash runs once per grid point instead of once per fact.
-    """
-    sel = (F.col("type") == tipo) & year_range_filter("fecha_inicio", year_from, year_to)
-    if "punto_id" in grid_facts.columns:      # ids already assigned upstream
-        agg = grid_facts.groupBy("punto_id", "lon", "lat").agg(F.avg(F.when(sel, F.col("value"))).alias("_pm"))
-    else:
-        agg = grid_facts.groupBy("lon", "lat").agg(F.avg(F.when(sel, F.col("value"))).alias("_pm"))
-        agg = agg.withColumn("punto_id", stable_id("lat", "lon"))
-    agg = cut_lineage(agg)  # one row per grid point; lineage to the fact scan is cut here
-    return agg.select("punto_id", "lon", "lat"), agg.filter(F.col("_pm").isNotNull()).select("punto_id", "_pm")
+    means = f.groupBy("lon", "lat").agg(F.avg("value").alias("_pm")).filter(F.col("_pm").isNotNull())
+    return means.select(stable_id("lat", "lon").alias("punto_id"), "_pm")
 
 
-def soil_by_department(grid_facts: DataFrame, registry: DataFrame | None, deptos: DataFrame, tipo: str,
+def soil_by_department(grid_facts: DataFrame, registry: DataFrame, deptos: DataFrame, tipo: str,
                        year_from: int, year_to: int, k_fallback: int = 12,
                        cell_deg: float = 0.25) -> DataFrame:
     """Q11: (nombre, valor_medio) = mean of grid-point means per department, with fallbacks A and B.
 
-    ``grid_facts`` carry (punto_id, lon, lat, type, fecha_inicio, value); with
-    ``registry=None`` the registry is derived from the same single aggregate that
-    yields the point means (KEY4), so the fact table is scanned once.
+    ``grid_facts`` carry (lon, lat, type, fecha_inicio, value), ``registry`` (punto_id, lon, lat). One lazy plan:
+    the filtered facts are aggregated once, everything else is registry-sized.
     """
-    reg_all, pm = registry_and_means(grid_facts, tipo, year_from, year_to)
-    registry = reg_all if registry is None else cut_lineage(registry)
-    pip = points_in_polygons(registry, deptos, "departamento_id", cell_deg=cell_deg).select(
-        "departamento_id", "punto_id")
-    no_points = deptos.join(pip.select("departamento_id"), "departamento_id", "left_anti")
-    rep_a = representative_points(no_points, "departamento_id")
-    near1 = nearest_points(rep_a, registry, "departamento_id", "punto_id", k=1,
-                           qlon="rep_lon", qlat="rep_lat").select("departamento_id", "punto_id")
-    members = pip.unionByName(near1)
-    direct = members.join(pm, "punto_id").groupBy("departamento_id").agg(F.avg("_pm").alias("valor_medio"))
-
-    without_values = members.select("departamento_id").distinct().join(direct, "departamento_id", "left_anti")
-    rep_b = representative_points(deptos.join(without_values, "departamento_id", "left_semi"), "departamento_id")
-    near_k = nearest_points(rep_b, registry, "departamento_id", "punto_id", k=k_fallback,
-                            qlon="rep_lon", qlat="rep_lat")
-    fallback = near_k.join(pm, "punto_id").groupBy("departamento_id").agg(F.avg("_pm").alias("valor_medio"))
-
-    vals = direct.unionByName(fallback)
-    return vals.join(deptos.select("departamento_id", "nombre"), "departamento_id").select("nombre", "valor_medio")
+    means = point_means(grid_facts, tipo, year_from, year_to)
+    inside = points_in_polygons(registry, deptos, "departamento_id", cell_deg=cell_deg).select(
+        "departamento_id", "punto_id", F.lit(0).alias("rank"))
+    near = nearest_points(representative_points(deptos, "departamento_id"), registry, "departamento_id", "punto_id",
+                          k=k_fallback, qlon="rep_lon", qlat="rep_lat").select("departamento_id", "punto_id", "rank")
+    # every department brings the points inside it (rank 0) and its nearest ones; each input is planned once
+    points = inside.unionByName(near).join(means, "punto_id", "left")
+
+    def mean(rank):
+        return F.avg(F.when(rank, F.col("_pm")))
+
+    rank = F.col("rank")
+    vals = points.groupBy("departamento_id").agg(
+        F.count_if(rank == 0).alias("_inside"), mean(rank == 0).alias("_own"), mean(rank == 1).alias("_nearest"), mean(rank > 0).alias("_around"))
+    value = F.coalesce(F.when(F.col("_inside") > 0, F.col("_own")).otherwise(F.col("_nearest")), F.col("_around"))
+    return vals.select("departamento_id", value.alias("valor_medio")).filter(F.col("valor_medio").isNotNull()).join(
+        deptos.select("departamento_id", "nombre"), "departamento_id").select("nombre", "valor_medio")
 
 
 def monthly_point_means(grid_facts: DataFrame, tipo: str, year_from: int, year_to: int,

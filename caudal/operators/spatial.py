@@ -13,8 +13,6 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caudal.session import cut_lineage
-
 from caudal.functions.text import fixed
 from caudal.functions.geometry import (
     EARTH_RADIUS_M, METERS_PER_DEGREE, bbox_ring, edges_contain, haversine_m, polygon_edges, rings_bbox,
@@ -190,53 +188,62 @@ def _top_k(cands: DataFrame, q_id: str, p_id: str, k: int, salt_buckets: int = 1
     return first.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= k)
 
 
+# Cells of the unbounded k-nearest search: the finest side in degrees, and how often it doubles
+# (the coarsest cell holds the whole sphere).
+_FINEST_DEG, _LEVELS = 0.02, 15
+
+
 def nearest_points(queries: DataFrame, points: DataFrame, q_id: str, p_id: str, k: int = 1,
                    max_distance_m: float | None = None, qlon: str = "lon", qlat: str = "lat",
-                   plon: str = "lon", plat: str = "lat", start_radius_m: float = 50_000.0,
-                   growth: float = 4.0) -> DataFrame:
+                   plon: str = "lon", plat: str = "lat") -> DataFrame:
     """GEO4: the k nearest points of each query point, optionally within a maximum distance.
 
-    Output (q_id, p_id, dist_m, rank). With ``max_distance_m`` it is one
-    neighbourhood join. Without it the search radius grows (x ``growth``) for the
-    queries that still have fewer than min(k, number of points) points in range; a
-    query with that many points inside radius R has its exact k nearest among them,
-    so the answer is exact. The loop ends when every query is resolved or the
-    radius covers the sphere (a handful of rounds). Each round's pending set is
-    checkpointed, so lineage stays short.
+    Output (q_id, p_id, dist_m, rank). With ``max_distance_m`` it is one neighbourhood join. Without it
+    it is one lazy plan too: points are counted per cell of a nested grid, each query takes the
+    smallest of its own cells (side doubling per level) that holds k points, and meets the points within
+    that cell's diagonal. At least k points lie there, so its k nearest are among them. Fewer than k
+    points in all: every point. Rows with a null position have no result and are none.
     """
     if max_distance_m is not None:
         cands = _neighbour_candidates(queries, points, q_id, p_id, float(max_distance_m), qlon, qlat, plon, plat)
         return _top_k(cands, q_id, p_id, k)
 
-    half_circumference = math.pi * EARTH_RADIUS_M
-    pending = cut_lineage(queries.select(q_id, qlon, qlat))
-    if pending.isEmpty():
-        return _top_k(_neighbour_candidates(pending, points, q_id, p_id, start_radius_m,
-                                            qlon, qlat, plon, plat), q_id, p_id, k)
-    need = k          # lowered to min(k, #points) only if a query is still pending after a round
-    counted = False
-    radius = float(start_radius_m)
-    results = []
-    while True:
-        final = radius >= half_circumference
-        cands = _neighbour_candidates(pending, points, q_id, p_id, min(radius, half_circumference),
-                                      qlon, qlat, plon, plat)
-        if final:
-            results.append(_top_k(cands, q_id, p_id, k))
-            break
-        counts = cands.groupBy(q_id).agg(F.count(F.lit(1)).alias("_n"))
-        done = counts.filter(F.col("_n") >= need).select(q_id)
-        results.append(_top_k(cands.join(done, q_id, "left_semi"), q_id, p_id, k))
-        pending = cut_lineage(pending.join(done, q_id, "left_anti"))
-        if pending.isEmpty():
-            break
-        if not counted:
-            need, counted = min(k, points.count()), True
-        radius *= growth
-    out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
-    return out
+    def placed(df, key, lon, lat):
+        x, y = F.pmod(F.col(lon) + 180.0, F.lit(360.0)), F.col(lat) + 90.0
+        return df.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull()).select(
+            F.col(key), F.col(lon).alias(f"_{key}_lon"), F.col(lat).alias(f"_{key}_lat"),
+            F.floor(y / _FINEST_DEG).cast("long").alias("_row"), F.floor(x / _FINEST_DEG).cast("long").alias("_col"))
+
+    def at_levels(df):
+        up = F.expr("shiftleft(1L, _level)")
+        df = df.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(_LEVELS - 1))))
+        return df.withColumns({"_r": F.floor(F.col("_row") / up).cast("long"), "_c": F.floor(F.col("_col") / up).cast("long")})
+
+    q, p = placed(queries, q_id, qlon, qlat), placed(points, p_id, plon, plat)
+    cells = p.groupBy("_row", "_col").agg(F.count(F.lit(1)).alias("_n"))
+    counts = at_levels(cells).groupBy("_level", "_r", "_c").agg(F.sum("_n").alias("_n")).filter(F.col("_n") >= k)
+    # the first level that holds k points; the coarsest stands for a sphere with fewer
+    place = F.struct("_level", f"_{q_id}_lon", f"_{q_id}_lat", "_row", "_col")
+    q = at_levels(q).join(counts, ["_level", "_r", "_c"], "left")
+    q = q.filter(F.col("_n").isNotNull() | (F.col("_level") == _LEVELS - 1)).groupBy(q_id).agg(F.min(place).alias("_p"))
+    q = q.select(q_id, "_p.*")
+    up = F.expr("shiftleft(1L, _level)")
+    side = F.lit(_FINEST_DEG) * up
+    reach = side * (math.sqrt(2.0) * (1 + 1e-9))  # degrees of arc
+    total = F.ceil(F.lit(360.0) / side).cast("long")
+    lat = F.abs(F.col(f"_{q_id}_lat"))
+    # columns that a reach spans at the far latitude; near a pole, all
+    wide = F.when(reach + lat >= 89.0, total).otherwise(
+        F.least(total, F.ceil(F.lit(math.sqrt(2.0) * (1 + 1e-9)) / F.cos(F.radians(F.least(F.lit(89.0), lat + reach)))).cast("long") + 1))
+    q = q.select(q_id, "_level", f"_{q_id}_lon", f"_{q_id}_lat", total.alias("_total"), wide.alias("_wide"),
+                 F.when(F.col("_level") == _LEVELS - 1, F.lit(math.pi * EARTH_RADIUS_M + 1.0)).otherwise(reach * METERS_PER_DEGREE).alias("_reach"),
+                 F.floor(F.col("_col") / up).cast("long").alias("_c0"),
+                 F.explode(F.transform(F.sequence(F.lit(-2), F.lit(2)), lambda d: F.floor(F.col("_row") / up).cast("long") + d)).alias("_r"))
+    q = q.withColumn("_c", F.explode(F.array_distinct(F.transform(
+        F.sequence(-F.col("_wide"), F.col("_wide")), lambda d: F.pmod(F.col("_c0") + d, F.col("_total"))))))
+    j = q.join(at_levels(p).drop("_row", "_col"), ["_level", "_r", "_c"])
+    j = j.withColumn("dist_m", haversine_m(f"_{q_id}_lon", f"_{q_id}_lat", f"_{p_id}_lon", f"_{p_id}_lat"))
+    return _top_k(j.filter(F.col("dist_m") <= F.col("_reach")).select(q_id, p_id, "dist_m"), q_id, p_id, k)
 
 
 # ------------------------------------------------------------------ GEO5 / GEO6
@@ -304,7 +311,8 @@ def classify_geometries(features: DataFrame, id_col: str, gtype: str = "gtype",
     (array<struct<lon,lat>>) and ``rings`` for Polygon/MultiPolygon. Polygon and
     MultiPolygon pass; a LineString whose ends meet within a tolerance becomes a
     polygon (closed ring); another LineString with 3+ distinct vertices becomes its
-    convex hull; anything else is rejected. Status: ok / convertible / failed.
+    convex hull if that has an area; anything else (points, vertices on one straight line) is rejected.
+    Status: ok / convertible / failed.
     """
     pts = F.col(coords)
     first, last = F.element_at(pts, 1), F.element_at(pts, -1)
@@ -314,19 +322,19 @@ def classify_geometries(features: DataFrame, id_col: str, gtype: str = "gtype",
         cond = gap <= F.lit(float(t))
         closed_tol = F.when(cond, F.lit(float(t))) if closed_tol is None else closed_tol.when(cond, F.lit(float(t)))
     is_line = (F.col(gtype) == "LineString") & pts.isNotNull()   # size(null) is -1 without ANSI mode
-    n_distinct = F.size(F.array_distinct(pts))
     hull = convex_hull(pts)
+    has_hull = F.size(hull) >= 4  # three corners and the first again
     closed_ring = F.concat(F.slice(pts, 1, F.size(pts) - 1), F.array(first))
     status = (
         F.when(F.col(gtype).isin("Polygon", "MultiPolygon"), "ok")
         .when(is_line & closed_tol.isNotNull() & (F.size(pts) >= 4), "convertible")
-        .when(is_line & (n_distinct >= 3), "convertible")
+        .when(is_line & has_hull, "convertible")
         .otherwise("failed")
     )
     action = (
         F.when(F.col(gtype).isin("Polygon", "MultiPolygon"), "pass")
         .when(is_line & closed_tol.isNotNull() & (F.size(pts) >= 4), "close_ring")
-        .when(is_line & (n_distinct >= 3), "convex_hull")
+        .when(is_line & has_hull, "convex_hull")
         .otherwise("reject")
     )
     repaired = (
@@ -340,9 +348,11 @@ def classify_geometries(features: DataFrame, id_col: str, gtype: str = "gtype",
 
 
 def convex_hull(pts: Column) -> Column:
-    """Monotone-chain convex hull of a vertex array as a closed ring (counter-clockwise).
+    """Monotone-chain convex hull of a vertex array as a closed ring (counter-clockwise); fewer than four
+    vertices if all lie on one line.
 
-    Runs as JVM higher-order functions over the feature's own vertex array.
+    Runs as JVM higher-order functions over the feature's own vertex array: one sorted scan in each
+    direction, in which a step copies the points kept so far once (quadratic in a feature's hull at worst).
     """
     s = F.array_sort(F.array_distinct(pts), lambda a, b: F.when(a["lon"] < b["lon"], -1)
                      .when(a["lon"] > b["lon"], 1).when(a["lat"] < b["lat"], -1)
@@ -353,19 +363,20 @@ def convex_hull(pts: Column) -> Column:
 
     def chain(arr):
         def step(acc, p):
-            # pop while the last two points and p do not make a left turn
-            trimmed = F.aggregate(
-                F.sequence(F.lit(1), F.size(acc)), acc,
-                lambda a, _i: F.when(
-                    (F.size(a) >= 2) & (cross(F.element_at(a, -2), F.element_at(a, -1), p) <= 0),
-                    F.slice(a, 1, F.size(a) - 1)).otherwise(a))
-            return F.concat(trimmed, F.array(p))
+            # how many of the last points do not make a left turn towards p: one scan from the end
+            turns = F.aggregate(
+                F.reverse(F.sequence(F.lit(2), F.greatest(F.size(acc), F.lit(2)))),
+                F.struct(F.lit(0).alias("drop"), (F.size(acc) < 2).alias("done")),
+                lambda t, i: F.when(t["done"], t).otherwise(F.struct(
+                    F.when(cross(F.element_at(acc, i - 1), F.element_at(acc, i), p) <= 0, t["drop"] + 1).otherwise(t["drop"]).alias("drop"),
+                    (cross(F.element_at(acc, i - 1), F.element_at(acc, i), p) > 0).alias("done"))))
+            return F.concat(F.slice(acc, F.lit(1), F.size(acc) - turns["drop"]), F.array(p))
         empty = F.slice(arr, 1, 0)
         return F.aggregate(arr, empty, step)
 
     lower = chain(s)
     upper = chain(F.reverse(s))
-    hull = F.concat(F.slice(lower, 1, F.size(lower) - 1), F.slice(upper, 1, F.size(upper) - 1))
+    hull = F.concat(F.slice(lower, F.lit(1), F.size(lower) - 1), F.slice(upper, F.lit(1), F.size(upper) - 1))
     return F.concat(hull, F.slice(hull, 1, 1))
 
 
@@ -380,17 +391,25 @@ def with_coverage(locations: DataFrame, grid: DataFrame, loc_id: str, grid_id: s
 
 
 def feature_rows(polygons: DataFrame, metric: DataFrame, key: str, value_col: str,
-                 rings: str = "rings", missing_label: str = "Sin datos") -> DataFrame:
-    """GEO9: polygons left-joined with a metric, ranked, one GeoJSON feature string per row."""
-    j = polygons.select(key, rings).join(metric.select(key, value_col), key, "left")
+                 rings: str = "rings", missing_label: str = "Sin datos", gtype: str | None = None) -> DataFrame:
+    """GEO9: polygons left-joined with a metric, ranked, one GeoJSON feature string per row.
+
+    ``gtype`` names a column with the geometry type; rows of type MultiPolygon hold the outer ring of each part
+    in ``rings``. Only (key, value) is ranked; geometries join the ranks and are not sorted.
+    """
+    kind = F.lit("Polygon") if gtype is None else F.col(gtype)
+    j = polygons.select(key, rings, kind.alias("_type")).join(metric.select(key, value_col), key, "left")
     w = Window.orderBy(F.col(value_col).desc_nulls_last(), F.col(key))
-    j = j.withColumn("ranking", F.when(F.col(value_col).isNotNull(), F.row_number().over(w)))
+    ranks = metric.select(key, value_col).filter(F.col(value_col).isNotNull()).join(polygons.select(key), key, "left_semi")
+    ranks = ranks.select(key, F.row_number().over(w).alias("ranking"))
+    j = j.join(ranks, key, "left")
     label = F.when(F.col(value_col).isNull(), F.lit(missing_label)).otherwise(fixed(value_col, 2))
-    geometry = F.struct(
-        F.lit("Polygon").alias("type"),
-        F.transform(F.col(rings), lambda r: F.transform(r, lambda p: F.array(p["lon"], p["lat"]))).alias("coordinates"))
+    points = F.transform(F.col(rings), lambda r: F.transform(r, lambda p: F.array(p["lon"], p["lat"])))
+    parts = F.transform(points, lambda r: F.array(r))
+    coordinates = F.when(F.col("_type") == "MultiPolygon", F.to_json(parts)).otherwise(F.to_json(points))
     props = F.struct(F.col(key).alias("nombre"), F.col(value_col).alias("valor"), label.alias("etiqueta"),
                      F.col("ranking"))
-    feature = F.to_json(F.struct(F.lit("Feature").alias("type"), F.col(key).alias("id"),
-                                 props.alias("properties"), geometry.alias("geometry")))
+    feature = F.concat(F.lit('{"type":"Feature","id":'), F.to_json(F.array(F.col(key))).substr(F.lit(2), F.length(F.to_json(F.array(F.col(key)))) - 2),
+                       F.lit(',"properties":'), F.to_json(props), F.lit(',"geometry":{"type":"'), F.col("_type"),
+                       F.lit('","coordinates":'), coordinates, F.lit("}}"))
     return j.select(key, value_col, "ranking", label.alias("etiqueta"), feature.alias("feature"))

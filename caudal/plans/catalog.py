@@ -272,15 +272,15 @@ def _grid(spark, d):
 
 
 def _registry(spark, d):
-    return soil.grid_registry(S.puntomedicion(spark, d))
+    return soil.grid_registry(S.grid_points(spark, d))
 
 
 def _soil(spark, d, tipo="IBH"):
-    return soil.soil_by_department(_grid(spark, d), None, S.departamentos(spark, d), tipo, Y0, Y1)
+    return soil.soil_by_department(_grid(spark, d), _registry(spark, d), S.departamentos(spark, d), tipo, Y0, Y1)
 
 
 _SOIL_CTES = f"""
-, gp AS (SELECT DISTINCT lon, lat FROM grid),
+, gp AS (SELECT lon, lat FROM grid_points),
 pip AS (
   SELECT d.departamento_id, g.lon, g.lat FROM gp g JOIN deptos d ON (
        (d.shape = 0 AND g.lon > d.x0 + 0.1 AND g.lon < d.x0 + 1.2 AND g.lat > d.y0 + 0.1 AND g.lat < d.y0 + 0.9)
@@ -314,14 +314,16 @@ soil AS (SELECT d.nombre, x.v AS valor_medio
 
 
 def _soil_sql(tipo: str, body: str, extra: list[str] | None = None) -> str:
-    return with_ctes(["deptos", "grid"] + (extra or []), "").rstrip() + _SOIL_CTES.replace("{tipo}", tipo) + body
+    return with_ctes(["deptos", "grid", "grid_points"] + (extra or []), "").rstrip() + _SOIL_CTES.replace("{tipo}", tipo) + body
 
 
-@register("key4_grid_registry", with_ctes(["grid"], """
-SELECT DISTINCT lon, lat FROM grid"""))
+@register("key4_grid_registry", with_ctes(["grid_points"], """
+SELECT lon, lat, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4)
+       || '-' || substr(h, 21, 12) AS punto_id
+FROM (SELECT lon, lat, md5(CAST(lat AS VARCHAR) || '|' || CAST(lon AS VARCHAR)) AS h FROM grid_points)"""))
 def key4(spark, d):
-    """KEY4 grid point registry: distinct coordinates (ids are KEY1 of lat, lon)."""
-    return _registry(spark, d).select("lon", "lat")
+    """KEY4 grid point registry: distinct coordinates and their ids (KEY1 of lat, lon)."""
+    return _registry(spark, d).select("lon", "lat", "punto_id")
 
 
 @register("q11_soil_by_department", _soil_sql("IBH", f"""
@@ -393,14 +395,13 @@ def q16(spark, d):
 
 
 @register("q15_minmax_normalise", _soil_sql("IBH", _RISK_BODY + f"""
-SELECT nombre, {R('on_')} AS pct_ose_norm, {R('gn_')} AS val_gems_norm FROM n WHERE nombre IS NOT NULL""",
+SELECT nombre, {R('on_')} AS pct_ose_norm, {R('gn_')} AS val_gems_norm FROM n WHERE nombre IS NOT NULL AND (pct_ose IS NOT NULL OR val_gems IS NOT NULL)""",
     ["oseparam", "station_depto", "gems", "registro"]))
 def q15(spark, d):
-    """Q15 min-max normalisation of the contamination parts over departments."""
+    """Q15 min-max normalisation of the contamination parts over the departments that have one."""
     ose = quality.pct_presence_by_department(S.oseparam(spark, d), S.departamentos(spark, d),
                                              "COLIFORMES TOTALES", Y0, Y1, out="pct_ose")
-    j = ose.join(_q13(spark, d), "nombre", "full").join(_q14(spark, d), "nombre", "full") \
-        .join(_soil(spark, d).select("nombre"), "nombre", "full")
+    j = ose.join(_q13(spark, d), "nombre", "full")
     return j.select("nombre", risk.minmax("pct_ose").alias("pct_ose_norm"),
                     risk.minmax("val_gems").alias("val_gems_norm")).filter(F.col("nombre").isNotNull())
 

@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caudal.functions.ids import stable_id
-from caudal.operators import audit, clean, keys, spatial, spectral
+from caudal.operators import audit, clean, load, spatial, spectral
 from caudal.plans import surrogates as S
 from caudal.plans.catalog import _Q13_BODY
-from caudal.plans.catalog_ingest import CLAIMS_SQL, HOURLY_SQL, LAB_SQL, _clean_lab, _hourly_with_pos
+from caudal.plans.catalog_ingest import CLAIMS_SQL, HOURLY_SQL, LAB_MIN_YEAR, LAB_SQL, _clean_lab, _hourly_with_pos
 from caudal.plans.oracle import with_ctes
 from caudal.plans.registry import R, register
-from caudal.session import cut_lineage
 
 DATE_FROM, DATE_TO = "2016-01-01", "2019-12-31"
 HALF = 0.015
 
 PIXELS_SQL = """
   SELECT e.label AS location_id, e.vec_id AS scene_id,
-         CAST(DATE '2016-01-01' + CAST(e.vec_id * 3 AS INTEGER) AS DATE) AS fecha,
+         CAST(DATE '2015-01-01' + CAST(e.vec_id * 3 % 2190 AS INTEGER) AS DATE) AS fecha,
          CAST((e.vec_id * 7) % 40 AS DOUBLE) AS cloud_cover,
          CAST(-58.4 AS DOUBLE) + CAST(e.label % 5 AS DOUBLE) + 0.52 + CAST((t.i % 5) - 2 AS DOUBLE) * 0.01 AS lon,
          CAST(-35.0 AS DOUBLE) + CAST(e.label // 5 AS DOUBLE) + 0.52 + CAST((t.i // 5) - 2 AS DOUBLE) * 0.01 AS lat,
@@ -121,76 +122,98 @@ def a01(spark, d):
         "sentinel_params": S.sentinel_params(spark, d)})
 
 
-@register("a02_reconciliation", with_ctes([], f"""
+_REASONS = {"reclamos": "reclamos repetidos", "inumet": "misma hora y estacion", "gems": "muestras repetidas"}
+
+
+@register("a02_reconciliation", with_ctes(["gems", "registro"], f"""
 , cl AS ({CLAIMS_SQL}),
 h AS ({HOURLY_SQL}),
 lb AS ({LAB_SQL}),
-s AS (SELECT 'reclamos' AS tarea, 'reclamosose' AS destino, COUNT(*) AS origen FROM cl WHERE tipo_reclamo IS NOT NULL
-      UNION ALL SELECT 'inumet', 'paraminumet', COUNT(*) FROM h
-      UNION ALL SELECT 'gems', 'gemsparams', COUNT(*) FROM lb),
-t AS (SELECT 'reclamosose' AS destino, COUNT(*) AS destino_n FROM (SELECT DISTINCT departamento_id, tipo_reclamo,
-        region, fecha_inicio, fecha_fin, id_reclamo_comercial_m FROM cl WHERE tipo_reclamo IS NOT NULL)
-      UNION ALL SELECT 'paraminumet', COUNT(*) FROM (SELECT DISTINCT estacion_id, fecha_inicio FROM h)
-      UNION ALL SELECT 'gemsparams', COUNT(*) FROM (SELECT DISTINCT "GEMS Station Number", code, fecha_inicio, value,
-        unit, data_quality, depth FROM lb))
+s(tarea, destino, origen, motivo) AS (
+      SELECT 'reclamos', 'reclamosose', COUNT(*), '{_REASONS["reclamos"]}' FROM cl WHERE tipo_reclamo IS NOT NULL
+      UNION ALL SELECT 'inumet', 'paraminumet', COUNT(*), '{_REASONS["inumet"]}' FROM h
+      UNION ALL SELECT 'gems', 'gemsparams', COUNT(*), '{_REASONS["gems"]}' FROM lb
+      UNION ALL SELECT 'estaciones', 'ubicaciones', COUNT(*), 'nuevas' FROM supplier
+      UNION ALL SELECT 'registros', 'registrotempprec', NULL, 'sin archivo'),
+t(destino, destino_n) AS (
+      SELECT 'reclamosose', COUNT(*) FROM orders
+      UNION ALL SELECT 'paraminumet', COUNT(*) FROM (SELECT DISTINCT user_id, date_trunc('hour', ts) FROM events)
+      UNION ALL SELECT 'gemsparams', COUNT(*) FROM gems WHERE year(fecha_inicio) >= 1997 AND location_id % 9 <> 4
+                                                         AND value IS NOT NULL
+      UNION ALL SELECT 'registrotempprec', COUNT(*) FROM registro)
 SELECT s.tarea, s.destino, s.origen, t.destino_n, s.origen - t.destino_n AS diferencia,
-       CASE WHEN s.origen IS NULL THEN 'N/A' WHEN s.origen - t.destino_n < 0 THEN '(*)'
-            WHEN s.origen = t.destino_n THEN 'OK' ELSE 'duplicados/ya presentes' END AS motivo
+       CASE WHEN s.origen IS NULL THEN 'N/A' WHEN t.destino_n IS NULL THEN 'sin destino'
+            WHEN s.origen < t.destino_n THEN s.motivo || ' (*)' ELSE s.motivo END AS motivo
 FROM s LEFT JOIN t ON s.destino = t.destino"""))
 def a02(spark, d):
-    """A02 reconciliation: cleaned source rows vs rows in the target after insert-if-absent."""
-    cl = clean.clean_claims(S.raw_claims(spark, d), min_year=1995)
-    from caudal.operators import load as L
-    clm, _ = L.lookup_dimension(cl, S.departamentos(spark, d), "departamento", "nombre", "departamento_id",
-                                "departamento_id", normalize=True)
-    cl_ids = keys.with_natural_id(clm, "reclamosose")
-    h = _hourly_with_pos(S.raw_hourly(spark, d)).withColumn(
-        "id", stable_id("estacion_id", "fecha_inicio", F.lit("PRECIPITACION"), F.lit("HORA")))
-    lb = _clean_lab(spark, d).withColumnRenamed("GEMS Station Number", "location_id")
-    lb_ids = keys.with_natural_id(lb, "gemsparams")
-    def stats(df, tarea, destino):
-        # one aggregate per source: rows after cleaning and distinct ids the target would hold
-        return df.agg(F.count(F.lit(1)).alias("origen"), F.countDistinct("id").alias("destino_n")).select(
-            F.lit(tarea).alias("tarea"), F.lit(destino).alias("destino"), "origen", "destino_n")
-
-    both = cut_lineage(stats(cl_ids, "reclamos", "reclamosose").unionByName(stats(h, "inumet", "paraminumet"))
-                       .unionByName(stats(lb_ids, "gems", "gemsparams")))
-    src = both.select("tarea", "destino", "origen")
-    tgt = both.select("destino", "destino_n")
-    return audit.reconcile(src, tgt)
-
-
-@register("a03_shared_target", with_ctes([], """
-, e AS (SELECT event_id, 'S' || CAST(user_id AS VARCHAR) AS st, date_trunc('hour', ts) AS h,
-               CASE WHEN event_type IN ('click', 'view') THEN 'PRECIPITACION' ELSE 'HUMEDAD' END AS code
-        FROM events WHERE event_id % 97 <> 0 AND event_type <> 'error')
-SELECT 'paraminumet' AS destino, CAST(COUNT(*) AS BIGINT) AS origen,
-       (SELECT COUNT(*) FROM (SELECT DISTINCT st, h, code FROM e)) AS destino_n,
-       CAST(COUNT(*) AS BIGINT) - (SELECT COUNT(*) FROM (SELECT DISTINCT st, h, code FROM e)) AS diferencia,
-       CASE WHEN COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT st, h, code FROM e)) < 0 THEN '(*)' ELSE 'OK' END
-         AS estado
-FROM e"""))
+    """A02 reconciliation: cleaned source rows against the loaded tables, which are counted on their own. Claims have
+    fewer rows than the target, hourly rows more, lab rows as many; one target and one source are missing."""
+    ev = S.read(spark, d, "events").select("user_id", F.date_trunc("hour", "ts").alias("h")).distinct()
+    gems = S.gemsparams(spark, d).filter((F.year("fecha_inicio") >= 1997) & (F.col("location_id") % 9 != 4) & F.col("value").isNotNull())
+    sources = {
+        ("reclamos", "reclamosose"): clean.clean_claims(S.raw_claims(spark, d), min_year=1995),
+        ("inumet", "paraminumet"): _hourly_with_pos(S.raw_hourly(spark, d)),
+        ("gems", "gemsparams"): _clean_lab(spark, d),
+    }
+    targets = {"reclamosose": S.reclamosose(spark, d), "paraminumet": ev, "gemsparams": gems,
+               "registrotempprec": S.registrotempprec(spark, d)}
+
+    def counted(df, **names):
+        return df.agg(F.count(F.lit(1)).alias("n")).select(*[F.lit(v).alias(k) for k, v in names.items()], "n")
+
+    parts = [counted(df, tarea=t, destino=x, motivo=_REASONS[t]) for (t, x), df in sources.items()]
+    parts.append(counted(S.estaciones(spark, d), tarea="estaciones", destino="ubicaciones", motivo="nuevas"))
+    parts.append(spark.range(1).select(F.lit("registros").alias("tarea"), F.lit("registrotempprec").alias("destino"),
+                                       F.lit("sin archivo").alias("motivo"), F.lit(None).cast("long").alias("n")))
+    src = functools.reduce(DataFrame.unionByName, parts).withColumnRenamed("n", "origen")
+    tgt = functools.reduce(DataFrame.unionByName, [counted(df, destino=x) for x, df in targets.items()])
+    return audit.reconcile(src, tgt.withColumnRenamed("n", "destino_n"))
+
+
+@register("a03_shared_target", with_ctes([], f"""
+, e AS (SELECT h.*, event_type FROM ({HOURLY_SQL}) h JOIN events USING (event_id)),
+s(destino, origen) AS (
+  SELECT 'paraminumet', COUNT(*) FROM e WHERE event_type IN ('click', 'view')
+  UNION ALL SELECT 'paraminumet', COUNT(*) FROM e WHERE event_type NOT IN ('click', 'view')
+  UNION ALL SELECT 'reclamosose', COUNT(*) FROM ({CLAIMS_SQL}) WHERE tipo_reclamo IS NOT NULL
+  UNION ALL SELECT 'reclamosose', 0
+  UNION ALL SELECT 'grillas', NULL UNION ALL SELECT 'grillas', COUNT(*) FROM part
+  UNION ALL SELECT 'nuevo', COUNT(*) FROM part),
+t(destino, destino_n) AS (
+  SELECT 'paraminumet', COUNT(*) FROM (SELECT DISTINCT estacion_id, fecha_inicio,
+                                              event_type IN ('click', 'view') FROM e)
+  UNION ALL SELECT 'reclamosose', COUNT(*) FROM orders
+  UNION ALL SELECT 'grillas', COUNT(*) FROM part),
+j AS (SELECT destino, CAST(SUM(origen) AS BIGINT) AS suma, bool_or(origen IS NULL) AS falta FROM s GROUP BY 1)
+SELECT j.destino, CASE WHEN falta THEN NULL ELSE suma END AS origen, destino_n,
+       CASE WHEN falta THEN NULL ELSE suma - destino_n END AS diferencia,
+       CASE WHEN falta THEN 'N/A' WHEN destino_n IS NULL THEN 'sin destino' WHEN suma < destino_n THEN 'varias fuentes (*)'
+            ELSE 'varias fuentes' END AS motivo
+FROM j LEFT JOIN t ON j.destino = t.destino"""))
 def a03(spark, d):
-    """A03 reconciliation for a shared target: two hourly sources (precipitation, humidity) into one table."""
+    """A03 reconciliation for shared targets: hourly precipitation and humidity (more than the target holds), claims
+    (fewer), a group with a missing source, and one without a target."""
     ev = S.read(spark, d, "events").select("event_id", "event_type")
     h = _hourly_with_pos(S.raw_hourly(spark, d)).join(ev, F.col("pos") == F.col("event_id"))
     h = h.withColumn("code", F.when(F.col("event_type").isin("click", "view"), "PRECIPITACION").otherwise("HUMEDAD"))
-    h = h.withColumn("id", stable_id("estacion_id", "fecha_inicio", "code", F.lit("HORA")))
-    src = h.groupBy("code").agg(F.count(F.lit(1)).alias("origen")).select(
-        F.lit("paraminumet").alias("destino"), "origen")
-    tgt = h.select("id").distinct().agg(F.count(F.lit(1)).alias("destino_n")).select(
-        F.lit("paraminumet").alias("destino"), "destino_n")
-    return audit.reconcile_shared(src, tgt)
+    points = S.grid_points(spark, d)
+
+    def counted(df, destino):
+        return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(destino).alias("destino"), "n")
+
+    src = [counted(h.filter(F.col("code") == c), "paraminumet") for c in ("PRECIPITACION", "HUMEDAD")]
+    claims = clean.clean_claims(S.raw_claims(spark, d), min_year=1995)
+    src += [counted(claims, "reclamosose"), counted(claims.filter(F.lit(False)), "reclamosose"), counted(points, "grillas"),
+            spark.range(1).select(F.lit("grillas").alias("destino"), F.lit(None).cast("long").alias("n")), counted(points, "nuevo")]
+    tgt = [counted(h.select("estacion_id", "fecha_inicio", "code").distinct(), "paraminumet"),
+           counted(S.reclamosose(spark, d), "reclamosose"), counted(points, "grillas")]
+    src = functools.reduce(DataFrame.unionByName, src).withColumnRenamed("n", "origen").withColumn("motivo", F.lit("varias fuentes"))
+    return audit.reconcile_shared(src, functools.reduce(DataFrame.unionByName, tgt).withColumnRenamed("n", "destino_n"))
 
 
 def _claims_tagged(spark, d, min_year=1996):
-    raw = S.raw_claims(spark, d)
-    fecha = clean.to_timestamp_lenient("fecha_ingreso")
-    rules = [("sin_datos", F.col("departamento").eqNullSafe("SIN DATOS")),
-             ("fecha_invalida", fecha.isNull()),
-             ("anterior_minimo", F.year(fecha) < min_year),
-             ("tipo_no_mapeado", clean.claim_type("tipo_reclamo_comercial").isNull())]
-    return clean.tag_drop_reason(raw.withColumn("fecha_inicio", fecha), rules)
+    raw = S.raw_claims(spark, d).withColumn("fecha_inicio", clean.to_timestamp_lenient("fecha_ingreso"))
+    return clean.tag_drop_reason(raw, clean.claim_rules(min_year))
 
 
 _CLAIMS_RAW_SQL = """
@@ -202,10 +225,35 @@ _CLAIMS_RAW_SQL = """
 
 
 @register("a04_drop_accounting", with_ctes([], f"""
-SELECT COALESCE(reason, 'conservada') AS motivo, COUNT(*) AS filas FROM ({_CLAIMS_RAW_SQL}) GROUP BY 1"""))
+, r(limpiador, motivo) AS (
+  SELECT 'reclamos', reason FROM ({_CLAIMS_RAW_SQL})
+  UNION ALL SELECT 'inumet', CASE WHEN event_id % 97 = 0 THEN 'fecha nulo'
+                                  WHEN event_type = 'error' THEN 'valor no numerico' END FROM events
+  UNION ALL SELECT 'bacteriologia', CASE WHEN l_returnflag = 'N' AND l_linenumber % 3 = 0 THEN 'valor censurado' END
+            FROM lineitem
+  UNION ALL SELECT 'gems', CASE WHEN l_tax = 0 THEN 'valor no numerico' END FROM lineitem
+            WHERE l_suppkey % 9 <> 4 AND year(l_shipdate) >= 1997
+  UNION ALL SELECT 'precipitaciones', CASE WHEN l_tax = 0 THEN 'temperaturaMaxima nulo' END FROM lineitem
+  UNION ALL SELECT 'suelos', CASE WHEN p_size > 45 THEN 'Factor_K nulo' END FROM part
+  UNION ALL SELECT 'departamento de reclamo', CASE WHEN o_orderkey % 50 = 7 THEN 'sin departamento' END FROM orders)
+SELECT limpiador, COALESCE(motivo, 'conservada') AS motivo, COUNT(*) AS filas FROM r GROUP BY 1, 2"""))
 def a04(spark, d):
-    """A04 drop accounting of the claims cleaner: rows per first failing rule."""
-    return audit.drop_accounting(_claims_tagged(spark, d))
+    """A04 drop accounting of every cleaner by its own rules, and of the department lookup."""
+    lab = clean.select_lab_samples(S.raw_lab_samples(spark, d), min_year=LAB_MIN_YEAR)
+    tagged = {
+        "reclamos": _claims_tagged(spark, d),
+        "inumet": clean.tag_drop_reason(S.raw_hourly(spark, d), clean.hourly_rules("precip_horario")),
+        "bacteriologia": clean.tag_drop_reason(S.raw_ose_samples(spark, d), clean.quarterly_rules()),
+        "gems": clean.tag_drop_reason(lab, clean.lab_rules()),
+        "precipitaciones": clean.tag_drop_reason(S.raw_daily(spark, d), clean.daily_rules()),
+        "suelos": clean.tag_drop_reason(S.raw_areas(spark, d), clean.soil_rules()),
+    }
+    found, lost = load.lookup_dimension(S.raw_claims(spark, d), S.departamentos(spark, d), "departamento", "nombre",
+                                        "departamento_id", "departamento_id", normalize=True)
+    tagged["departamento de reclamo"] = found.select(F.lit(None).cast("string").alias("reason")).unionByName(
+        lost.select(F.lit("sin departamento").alias("reason")))
+    parts = [audit.drop_accounting(df).select(F.lit(name).alias("limpiador"), "motivo", "filas") for name, df in tagged.items()]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 @register("a05_claims_by_year", with_ctes([], f"""
@@ -247,12 +295,19 @@ def a06(spark, d):
 
 
 @register("a07_parameter_coverage", with_ctes([], f"""
-, c AS ({LAB_SQL})
-SELECT code, COUNT(*) AS filas, COUNT(DISTINCT "GEMS Station Number") AS estaciones FROM c GROUP BY 1
-UNION ALL SELECT 'Total', COUNT(*), COUNT(DISTINCT "GEMS Station Number") FROM c""".replace("WITH \n,", "WITH")))
+, c AS (SELECT CASE WHEN code = 'pH' THEN NULL ELSE code END AS code, "GEMS Station Number" AS st,
+               CASE WHEN depth > 2 THEN 'hondo.csv' ELSE 'somero.csv' END AS archivo FROM ({LAB_SQL})),
+p AS (SELECT code, archivo, COUNT(*) AS n, COUNT(DISTINCT st) AS e FROM c GROUP BY 1, 2)
+SELECT code, CAST(SUM(n) AS BIGINT) AS filas, CAST(SUM(e) AS BIGINT) AS estaciones,
+       CASE code WHEN 'TOTCOLI' THEN 'Total Coliforms' END AS nombre FROM p GROUP BY 1
+UNION ALL SELECT 'Total', COUNT(*), COUNT(DISTINCT st), NULL FROM c""".replace("WITH \n,", "WITH")))
 def a07(spark, d):
-    """A07 parameter coverage: rows and distinct stations per code plus a Total row."""
-    return audit.parameter_coverage(_clean_lab(spark, d), "code", "GEMS Station Number")
+    """A07 parameter coverage: rows and stations per code (stations summed over files, a null code among them) with the
+    parameter's name, plus a Total row."""
+    lab = _clean_lab(spark, d).withColumn("archivo", F.when(F.col("depth") > 2, "hondo.csv").otherwise("somero.csv"))
+    lab = lab.withColumn("code", F.when(F.col("code") != "pH", F.col("code")))
+    names = spark.createDataFrame([("TOTCOLI", "Total Coliforms"), ("X", "unused")], "code string, nombre string")
+    return audit.parameter_coverage(lab, "code", "GEMS Station Number", file="archivo", names=names)
 
 
 _LAB_COLS = ["GEMS Station Number", "Sample Date", "Sample Time", "Parameter Code", "Value Flags", "Value"]
@@ -345,16 +400,28 @@ def geo2(spark, d):
                     .alias("n_vertices"))
 
 
+_FIRST_X, _FIRST_Y = ("CASE shape " + " ".join(f"WHEN {k} THEN {p[0][i]}" for k, p in S.SHAPES.items()) + " END" for i in (0, 1))
+
+
 @register("geo9_feature_rows", with_ctes(["deptos", "station_depto", "gems"], f"""
 , p AS ({_Q13_BODY})
 SELECT d.nombre, {R('p.val_gems')} AS val_gems,
        CASE WHEN p.val_gems IS NULL THEN NULL
             ELSE CAST(row_number() OVER (ORDER BY p.val_gems DESC NULLS LAST, d.nombre) AS INTEGER) END AS ranking,
-       CASE WHEN p.val_gems IS NULL THEN 'Sin datos' ELSE printf('%.2f', p.val_gems) END AS etiqueta
+       CASE WHEN p.val_gems IS NULL THEN 'Sin datos' ELSE printf('%.2f', p.val_gems) END AS etiqueta,
+       CASE WHEN d.departamento_id % 2 = 0 THEN 'Polygon' ELSE 'MultiPolygon' END AS tipo,
+       CASE shape WHEN 2 THEN 7 ELSE 5 END AS vertices, x0 + {_FIRST_X} AS lon0, y0 + {_FIRST_Y} AS lat0
 FROM deptos d LEFT JOIN p ON d.nombre = p.nombre"""))
 def geo9(spark, d):
     """GEO9 feature assembly: department polygons left-joined with the lab contamination metric
     (departments without stations -> 'Sin datos'), ranked, one GeoJSON feature text per row."""
     from caudal.plans.catalog import _q13
-    feats = spatial.feature_rows(S.departamentos(spark, d), _q13(spark, d), "nombre", "val_gems")
-    return feats.select("nombre", "val_gems", F.col("ranking").cast("int").alias("ranking"), "etiqueta")
+    areas = S.departamentos(spark, d).withColumn(
+        "gtype", F.when(F.col("departamento_id") % 2 == 0, "Polygon").otherwise("MultiPolygon"))
+    feats = spatial.feature_rows(areas, _q13(spark, d), "nombre", "val_gems", gtype="gtype")
+    f = F.from_json("feature", "struct<id:string,geometry:struct<type:string,coordinates:string>>")
+    kind, text = f["geometry"]["type"], f["geometry"]["coordinates"]
+    ring = F.when(kind == "Polygon", F.from_json(text, "array<array<array<double>>>")[0]).otherwise(
+        F.from_json(text, "array<array<array<array<double>>>>")[0][0])
+    return feats.select(f["id"].alias("nombre"), "val_gems", F.col("ranking").cast("int").alias("ranking"), "etiqueta", kind.alias("tipo"),
+                        F.size(ring).alias("vertices"), ring[0][0].alias("lon0"), ring[0][1].alias("lat0"))

@@ -118,11 +118,13 @@ def geo4_knn(spark, d):
 
 
 @register("geo7_point_coords", with_ctes(["grid"], """
-SELECT DISTINCT lat, lon FROM grid WHERE type = 'PAD'"""))
+SELECT lat, lon, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4)
+       || '-' || substr(h, 21, 12) AS punto_id
+FROM (SELECT DISTINCT lat, lon, md5(CAST(lat AS VARCHAR) || '|' || CAST(lon AS VARCHAR)) AS h FROM grid WHERE type = 'PAD')"""))
 def geo7(spark, d):
     """GEO7 coordinates (lat, lon) of the grid points that carry PAD values, by id."""
     ids = soil.grid_registry(_grid(spark, d).filter(F.col("type") == "PAD")).select("punto_id")
-    return derived.point_coords(_registry(spark, d), ids).select("lat", "lon")
+    return derived.point_coords(_registry(spark, d), ids).select("lat", "lon", "punto_id")
 
 
 @register("q30_locations_with_code", with_ctes(["sentinel"], """
@@ -204,7 +206,7 @@ def q25(spark, d):
 @register("q26_month_gap_fill", with_ctes([], """
 , sel AS (
   SELECT e.label AS location_id, e.vec_id AS scene_id,
-         CAST(DATE '2016-01-01' + CAST(e.vec_id * 3 AS INTEGER) AS DATE) AS fecha,
+         CAST(DATE '2015-01-01' + CAST(e.vec_id * 3 % 2190 AS INTEGER) AS DATE) AS fecha,
          CAST(e.embedding[t.i * 3 + 1] AS DOUBLE) AS red, CAST(e.embedding[t.i * 3 + 3] AS DOUBLE) AS rededge1
   FROM embeddings e CROSS JOIN range(0, 21) t(i)
   WHERE (e.vec_id * 7) % 40 < 20 AND (e.vec_id + t.i) % 8 = 6 AND t.i % 5 BETWEEN 1 AND 3 AND t.i // 5 BETWEEN 1 AND 3),
@@ -222,7 +224,7 @@ def q26(spark, d):
     months have no usable scene."""
     from caudal.operators import spectral
     from caudal.plans.catalog_audit import _bounds
-    px = spectral.select_scenes(S.pixels(spark, d), _bounds(spark, d), "2016-01-01", "2099-12-31")
+    px = spectral.select_scenes(S.pixels(spark, d), _bounds(spark, d), "2015-01-01", "2099-12-31")
     med = spectral.scene_medians(spectral.water_mask(px), "NDCI")
     idx = med.groupBy("location_id", F.trunc("fecha", "month").alias("periodo")).agg(F.avg("valor").alias("ndci"))
     return ndci.monthly_gap_fill(idx, "location_id").select("location_id", "periodo", "ndci")

@@ -110,40 +110,36 @@ def cln7(spark, d):
                                        "data_quality", "value", "depth", "granularidad", "value_cat")
 
 
-GRID_YEAR = 1997
-DEKAD_COLS = [f"{GRID_YEAR}_{m:02d}{k}" for m in range(1, 13) for k in (1, 2, 3, 0)]
-
-
 def _wide_grid(spark, d):
-    """Wide ten-day grid table (one row per point, ``yyyy_mmd`` columns + monthly means ``yyyy_mm0``)."""
-    g = S.puntomedicion(spark, d).filter((F.col("type") == "PAD") & (F.year("fecha_inicio") == GRID_YEAR))
+    """Wide ten-day grid table: one row per type and point, ``yyyy_mmd`` columns and monthly means ``yyyy_mm0`` of
+    every year in the data (the years are column names, a handful)."""
+    g = S.puntomedicion(spark, d)
+    years = sorted(r[0] for r in g.select(F.year("fecha_inicio")).distinct().collect())
     dom = F.dayofmonth("fecha_inicio")
     dek = F.when(dom <= 10, 1).when(dom <= 20, 2).otherwise(3)
-    mm = F.lpad(F.month("fecha_inicio").cast("string"), 2, "0")
-    codes = F.array(F.concat(F.lit(f"{GRID_YEAR}_"), mm, dek.cast("string")),
-                    F.concat(F.lit(f"{GRID_YEAR}_"), mm, F.lit("0")))
-    g = g.select("lon", "lat", "value", F.explode(codes).alias("col"))
-    w = g.groupBy(F.col("lon").alias("Longitud"), F.col("lat").alias("Latitud")).pivot("col", DEKAD_COLS).agg(
-        F.avg("value"))
-    return w
+    month = F.concat(F.year("fecha_inicio").cast("string"), F.lit("_"), F.lpad(F.month("fecha_inicio").cast("string"), 2, "0"))
+    codes = F.array(F.concat(month, dek.cast("string")), F.concat(month, F.lit("0")))
+    g = g.select("type", "lon", "lat", "value", F.explode(codes).alias("col"))
+    return g.groupBy("type", F.col("lon").alias("Longitud"), F.col("lat").alias("Latitud")).pivot(
+        "col", [f"{y}_{m:02d}{k}" for y in years for m in range(1, 13) for k in (1, 2, 3, 0)]).agg(F.avg("value"))
 
 
 @register("cln9_grid_wide_to_long", with_ctes(["grid"], f"""
-, pts AS (SELECT DISTINCT lon, lat FROM grid WHERE type = 'PAD' AND year(fecha_inicio) = {GRID_YEAR}),
-dk AS (SELECT m, k FROM range(1, 13) t(m) CROSS JOIN range(1, 4) u(k)),
-agg AS (SELECT lon, lat, month(fecha_inicio) AS m,
+, pts AS (SELECT DISTINCT type, lon, lat FROM grid),
+dk AS (SELECT y, m, k FROM (SELECT DISTINCT year(fecha_inicio) AS y FROM grid) CROSS JOIN range(1, 13) t(m) CROSS JOIN range(1, 4) u(k)),
+agg AS (SELECT type, lon, lat, year(fecha_inicio) AS y, month(fecha_inicio) AS m,
                CASE WHEN day(fecha_inicio) <= 10 THEN 1 WHEN day(fecha_inicio) <= 20 THEN 2 ELSE 3 END AS k,
                AVG(value) AS v
-        FROM grid WHERE type = 'PAD' AND year(fecha_inicio) = {GRID_YEAR} GROUP BY 1, 2, 3, 4)
-SELECT p.lon AS longitud, p.lat AS latitud, {R('a.v')} AS valor,
-       make_timestamp({GRID_YEAR}, dk.m, CASE dk.k WHEN 1 THEN 1 WHEN 2 THEN 11 ELSE 21 END, 0, 0, 0) AS fecha_inicio,
-       CAST(CASE dk.k WHEN 1 THEN make_date({GRID_YEAR}, dk.m, 10) WHEN 2 THEN make_date({GRID_YEAR}, dk.m, 20)
-            ELSE last_day(make_date({GRID_YEAR}, dk.m, 1)) END AS TIMESTAMP) + INTERVAL '23:59:59' AS fecha_fin
+        FROM grid GROUP BY 1, 2, 3, 4, 5, 6)
+SELECT p.type, p.lon AS longitud, p.lat AS latitud, {R('a.v')} AS valor,
+       make_timestamp(dk.y, dk.m, CASE dk.k WHEN 1 THEN 1 WHEN 2 THEN 11 ELSE 21 END, 0, 0, 0) AS fecha_inicio,
+       CAST(CASE dk.k WHEN 1 THEN make_date(dk.y, dk.m, 10) WHEN 2 THEN make_date(dk.y, dk.m, 20)
+            ELSE last_day(make_date(dk.y, dk.m, 1)) END AS TIMESTAMP) + INTERVAL '23:59:59' AS fecha_fin
 FROM pts p CROSS JOIN dk
-LEFT JOIN agg a ON a.lon = p.lon AND a.lat = p.lat AND a.m = dk.m AND a.k = dk.k"""))
+LEFT JOIN agg a ON a.type = p.type AND a.lon = p.lon AND a.lat = p.lat AND a.y = dk.y AND a.m = dk.m AND a.k = dk.k"""))
 def cln9(spark, d):
-    """CLN8 + CLN9 + CLN10 wide ten-day grid (pivoted from the facts) back to long rows."""
-    return clean.grid_wide_to_long(_wide_grid(spark, d))
+    """CLN8 + CLN9 + CLN10 wide ten-day grid (pivoted from the facts of all types and years) back to long rows."""
+    return clean.grid_wide_to_long(_wide_grid(spark, d), keep=("type",))
 
 
 @register("cln11_daily_clean", with_ctes([], f"""
@@ -178,10 +174,11 @@ def cln13(spark, d):
         F.count(F.lit(1)).alias("n"))
 
 
-_AREA_LETTERS_SQL = """CASE WHEN i <= 26 THEN chr(CAST(64 + i AS INTEGER))
-     WHEN i <= 702 THEN chr(CAST(65 + (i - 27) // 26 AS INTEGER)) || chr(CAST(65 + (i - 27) % 26 AS INTEGER))
-     ELSE chr(CAST(65 + (i - 703) // 676 AS INTEGER)) || chr(CAST(65 + ((i - 703) // 26) % 26 AS INTEGER))
-          || chr(CAST(65 + (i - 703) % 26 AS INTEGER)) END"""
+# place j from the right exists from ordinal (26^(j+1) - 26) / 25 + 1 on
+_AREA_LETTERS_SQL = """array_to_string(list_transform(range(9, -1, -1), lambda j:
+     CASE WHEN i > (26 ** (j + 1) - 26) / 25
+          THEN chr(CAST(65 + ((i - CAST((26 ** (j + 1) - 26) / 25 AS BIGINT) - 1) // CAST(26 ** j AS BIGINT)) % 26 AS INTEGER))
+          ELSE '' END), '')"""
 
 
 @register("cln14_disambiguate_names", with_ctes([], f"""
@@ -405,12 +402,13 @@ SELECT COALESCE(ch.resource_id, st.resource_id) AS resource_id, COALESCE(ch.hash
        ch.resource_id IS NOT NULL AS actualizado
 FROM st FULL OUTER JOIN ch ON st.resource_id = ch.resource_id""".replace("WITH \n,", "WITH")))
 def load3(spark, d):
-    """LOAD3 upsert of the file-state table with the changed resources (new rows overwrite)."""
-    diff = load.manifest_diff(_resolved(spark, d), S.file_state(spark, d))
-    changed = diff.filter(F.col("motivo").isNotNull()).select("resource_id", F.col("hash"),
-                                                               F.lit(True).alias("actualizado"))
+    """LOAD3 upsert of the file-state table with the changed resources; each comes twice, first with a stale hash:
+    the later row wins."""
+    diff = load.manifest_diff(_resolved(spark, d), S.file_state(spark, d)).filter(F.col("motivo").isNotNull())
+    turns = F.array(F.struct(F.lit(1).alias("turno"), F.lit("viejo").alias("hash")), F.struct(F.lit(2).alias("turno"), F.col("hash").alias("hash")))
+    changed = diff.select("resource_id", F.lit(True).alias("actualizado"), F.inline(turns))
     state = S.file_state(spark, d).withColumn("actualizado", F.lit(False))
-    return load.upsert(state, changed, "resource_id")
+    return load.upsert(state, changed, "resource_id", order_col="turno")
 
 
 @register("load4_dimension_lookup", with_ctes([], """
@@ -514,26 +512,98 @@ def cln6(spark, d):
     return sel.groupBy("Parameter Code").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("cln8_drop_monthly_means", with_ctes(["grid"], f"""
-SELECT lon AS Longitud, lat AS Latitud, CAST(COUNT(DISTINCT month(fecha_inicio) * 10
+@register("cln8_drop_monthly_means", with_ctes(["grid"], """
+SELECT type, lon AS Longitud, lat AS Latitud, CAST(COUNT(DISTINCT year(fecha_inicio) * 1000 + month(fecha_inicio) * 10
        + CASE WHEN day(fecha_inicio) <= 10 THEN 1 WHEN day(fecha_inicio) <= 20 THEN 2 ELSE 3 END) AS INTEGER) AS con_valor
-FROM grid WHERE type = 'PAD' AND year(fecha_inicio) = {GRID_YEAR} GROUP BY 1, 2"""))
+FROM grid GROUP BY 1, 2, 3"""))
 def cln8(spark, d):
-    """CLN8 monthly-mean columns (``yyyy_mm0``) removed from the wide grid: per point, how many of
+    """CLN8 monthly-mean columns (``yyyy_mm0``) removed from the wide grid: per type and point, how many of
     the remaining dekad columns hold a value."""
     w = _wide_grid(spark, d)
-    cols = clean.period_columns(w, ("id", "Longitud", "Latitud"))
-    assert not any(c.endswith("0") for c in cols)
-    n = sum(F.when(F.col(f"`{c}`").isNotNull(), 1).otherwise(0) for c in cols)
-    return w.select("Longitud", "Latitud", n.cast("int").alias("con_valor"))
+    cols = clean.period_columns(w, ("id", "type", "Longitud", "Latitud"))
+    held = F.size(F.array_compact(F.array(*[F.col(f"`{c}`") for c in cols])))
+    return w.select("type", "Longitud", "Latitud", held.cast("int").alias("con_valor"))
 
 
-@register("cln10_dekad_bounds", with_ctes(["grid"], f"""
-SELECT DISTINCT make_timestamp({GRID_YEAR}, month(fecha_inicio), day(fecha_inicio), 0, 0, 0) AS fecha_inicio,
+@register("cln10_dekad_bounds", with_ctes(["grid"], """
+SELECT DISTINCT make_timestamp(year(fecha_inicio), month(fecha_inicio), day(fecha_inicio), 0, 0, 0) AS fecha_inicio,
        CAST(CASE WHEN day(fecha_inicio) = 1 THEN fecha_inicio + 9 WHEN day(fecha_inicio) = 11 THEN fecha_inicio + 9
             ELSE last_day(fecha_inicio) END AS TIMESTAMP) + INTERVAL '23:59:59' AS fecha_fin
-FROM grid WHERE type = 'PAD' AND year(fecha_inicio) = {GRID_YEAR}"""))
+FROM grid"""))
 def cln10(spark, d):
     """CLN10 dekad label -> [start 00:00, end 23:59:59] for every period column with data."""
-    long = clean.grid_wide_to_long(_wide_grid(spark, d))
+    long = clean.grid_wide_to_long(_wide_grid(spark, d), keep=("type",))
     return long.filter(F.col("valor").isNotNull()).select("fecha_inicio", "fecha_fin").distinct()
+
+
+# ------------------------------------------------------------------ KEY5: the other natural key lists
+
+_GRID_ID = uuid_sql("lat", "lon")
+KEY5_SQL = {
+    "oseparam": ("oseparam_ids", ["departamento_id", "code", "fecha_inicio", "fecha_fin", "value_cat", "'TRIMESTRE'", "id_muestra_m"]),
+    "gemsparams": ("""(SELECT *, fecha_inicio + INTERVAL 1 DAY AS fecha_fin FROM gems)""",
+                   ["location_id", "code", "fecha_inicio", "fecha_fin", "value", "'mg/l'", "'Good'", "NULL", "'DIA'"]),
+    "puntomedicion": (f"""(SELECT {_GRID_ID} AS punto_id, value, type, fecha_inicio, CASE WHEN day(fecha_inicio) < 21
+        THEN CAST(fecha_inicio + 9 AS DATE) ELSE last_day(fecha_inicio) END AS fecha_fin FROM grid)""",
+                      ["punto_id", "value", "type", "fecha_inicio", "fecha_fin", "'PERIODO'"]),
+    "paraminumet": (f"({HOURLY_SQL})", ["estacion_id", "fecha_inicio", "'PRECIPITACION'", "'HORA'"]),
+    "registrotempprec": ("""(SELECT l_suppkey AS location_id, CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) + INTERVAL 9 HOUR AS fecha_inicio,
+        CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) + INTERVAL '1 day 08:59:59' AS fecha_fin, l_quantity / 2 AS tmax,
+        l_tax * 100 AS tmin, l_discount * 100 AS lluvia FROM lineitem)""",
+                         ["location_id", "fecha_inicio", "fecha_fin", "tmax", "tmin", "lluvia", "'DIA'"]),
+    "sentinel_params": ("sentinel", ["location_id", "code", "fecha_inicio", "fecha_inicio", "value", "'DIA'"]),
+    "erosion_cuenca": ("part", ["p_partkey", "p_retailprice / 100", "p_size % 5"]),
+    "erosion_suelos": ("part", ["p_partkey", "p_brand", "p_type", "CASE WHEN p_size <= 45 THEN p_retailprice / 1000 END", "NULL"]),
+    "departamentos": ("nation", ["n_name", "lpad(CAST(n_nationkey AS VARCHAR), 2, '0')"]),
+}
+
+
+def _key5_rows(spark, d, table):
+    if table == "oseparam":
+        return S.oseparam(spark, d)
+    if table == "gemsparams":
+        return S.gemsparams(spark, d)
+    if table == "puntomedicion":
+        return S.puntomedicion(spark, d).withColumn("punto_id", stable_id("lat", "lon")).withColumnsRenamed({"value": "valor", "type": "tipo"})
+    if table == "paraminumet":
+        h = clean.clean_hourly(S.raw_hourly(spark, d), "precip_horario", "PRECIPITACION")
+        return h.withColumnsRenamed({"estacion_id": "location_id", "fecha_inicio": "fecha"})
+    if table == "registrotempprec":
+        return S.registrotempprec(spark, d)
+    if table == "sentinel_params":
+        return S.sentinel_params(spark, d).withColumnsRenamed({"fecha_inicio": "fecha", "value": "valor"})
+    if table == "departamentos":
+        return S.departamentos(spark, d)
+    if table == "erosion_cuenca":
+        return S.raw_areas(spark, d).withColumnsRenamed({"pos": "area_id", "A_pon_cuen": "ponderacion", "Cluster": "cluster"})
+    p = S.read(spark, d, "part").select("p_partkey", F.col("p_brand").alias("grupo"), F.col("p_type").alias("perfil"))
+    areas = S.raw_areas(spark, d).select(F.col("pos").alias("area_id"), F.col("Factor_K").alias("factor_k"))
+    return areas.join(p, F.col("area_id") == F.col("p_partkey")).withColumn("taxonomia", F.lit(None).cast("string"))
+
+
+_OSE_IDS = """
+, oseparam_ids AS (
+  SELECT s.s_nationkey AS departamento_id, CASE WHEN l.l_linestatus = 'F' THEN 'COLIFORMES TOTALES' ELSE 'COLIFORMES FECALES' END AS code,
+         CAST(date_trunc('quarter', l.l_shipdate) AS TIMESTAMP) AS fecha_inicio,
+         CAST(last_day(CAST(date_trunc('quarter', l.l_shipdate) + INTERVAL 2 MONTH AS DATE)) AS TIMESTAMP) AS fecha_fin,
+         CASE WHEN l.l_returnflag = 'R' THEN 'Presencia' WHEN l.l_returnflag = 'A' THEN 'Ausencia'
+              WHEN l.l_linenumber % 3 = 1 THEN NULL ELSE 'Indeterminado' END AS value_cat,
+         l.l_orderkey * 10 + l.l_linenumber AS id_muestra_m
+  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  WHERE NOT (l.l_returnflag = 'N' AND l.l_linenumber % 3 = 0))"""
+
+
+def _register_key5(table, source, parts):
+    ctes = {"gemsparams": ["gems"], "puntomedicion": ["grid"], "sentinel_params": ["sentinel"]}.get(table, [])
+    sql = f"SELECT id, COUNT(*) AS n FROM (SELECT {uuid_sql(*parts)} AS id FROM {source}) GROUP BY 1"
+    sql = _OSE_IDS.replace(", oseparam_ids", "WITH oseparam_ids", 1) + sql if table == "oseparam" else with_ctes(ctes, sql)
+
+    @register(f"key5_{table}", sql)
+    def key5_table(spark, d):
+        return keys.with_natural_id(_key5_rows(spark, d, table), table).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+
+    key5_table.__doc__ = f"KEY5 natural-key ids of {table}: rows per id."
+
+
+for _table, (_source, _parts) in KEY5_SQL.items():
+    _register_key5(_table, _source, _parts)

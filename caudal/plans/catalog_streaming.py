@@ -22,7 +22,8 @@ from caudal.streaming import ingest
 
 RAW_COLS = ["fecha", "estacion_id", "precip_horario", "event_id"]
 N_FILES = 8
-DELAY = "31 days"  # longer than the data's span: the registered runs drop no late row
+DELAY_MINUTES = 2 * 24 * 60 + 30  # far below the data's span, and between two of its full hours
+DELAY = f"{DELAY_MINUTES} minutes"
 
 
 def _lay_down(spark, d):
@@ -32,6 +33,23 @@ def _lay_down(spark, d):
     return base
 
 
+def _run_waves(spark, d, start):
+    """Run ``start(base, stream)`` to its end over the rows whose id does not end in 0, then again, from its
+    checkpoint, over the others: of these, the ones behind the watermark are late."""
+    base = scratch_path(spark, f"stream/{uuid.uuid4().hex[:12]}")
+    raw = S.raw_hourly(spark, d).select(*RAW_COLS)
+    for wave in (raw.filter("event_id % 10 <> 0"), raw.filter("event_id % 10 = 0")):
+        wave.repartitionByRange(N_FILES, "event_id").write.mode("append").option("header", "true").csv(f"{base}/in")
+        stream = ingest.csv_stream(spark, f"{base}/in", string_schema(RAW_COLS), max_files_per_trigger=10 * N_FILES)
+        start(base, stream).awaitTermination()
+    return base
+
+
+_WAVES_SQL = f"""
+, h AS ({HOURLY_SQL}),
+mark AS (SELECT max(fecha_inicio) - INTERVAL {DELAY_MINUTES} MINUTE AS w FROM h WHERE event_id % 10 <> 0)"""
+
+
 def _prepare(df):
     h = _hourly_with_pos(df.withColumn("event_id", F.col("event_id").cast("long")))
     return h.withColumn("id", stable_id("estacion_id", "fecha_inicio", F.lit("PRECIPITACION"), F.lit("HORA"))) \
@@ -53,33 +71,35 @@ def st1(spark, d):
     return spark.read.parquet(f"{base}/target").select("id", "estacion_id", "fecha_inicio")
 
 
-@register("st2_stream_dedupe", _DISTINCT_SQL)
+@register("st2_stream_dedupe", with_ctes([], f"""{_WAVES_SQL}
+SELECT DISTINCT {uuid_sql('estacion_id', 'fecha_inicio', "'PRECIPITACION'", "'HORA'")} AS id, estacion_id, fecha_inicio
+FROM h, mark WHERE event_id % 10 <> 0 OR fecha_inicio > w"""))
 def st2(spark, d):
-    """ST2 stream de-duplication by id within an event-time watermark."""
-    base = _lay_down(spark, d)
-    stream = ingest.csv_stream(spark, f"{base}/in", string_schema(RAW_COLS), max_files_per_trigger=2)
-    rows = _prepare(stream).withColumn("event_time", ingest.event_time("fecha_inicio"))
-    dd = ingest.dedupe_stream(rows, "id", "event_time", DELAY)
-    q = (dd.select("id", "estacion_id", "fecha_inicio").writeStream.format("parquet")
-         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    """ST2 stream de-duplication by id within an event-time watermark; late rows of the second wave are dropped."""
+    def start(base, stream):
+        rows = _prepare(stream).withColumn("event_time", ingest.event_time("fecha_inicio"))
+        dd = ingest.dedupe_stream(rows, "id", "event_time", DELAY)
+        return (dd.select("id", "estacion_id", "fecha_inicio").writeStream.format("parquet")
+                .option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt")
+                .trigger(availableNow=True).start())
+
+    return spark.read.parquet(f"{_run_waves(spark, d, start)}/out")
 
 
-@register("st3_stream_daily_stats", with_ctes([], f"""
+@register("st3_stream_daily_stats", with_ctes([], f"""{_WAVES_SQL}
 SELECT estacion_id, 'PRECIPITACION' AS code, CAST(date_trunc('day', fecha_inicio) AS DATE) AS dia,
        {R('AVG(value)')} AS valor_medio, {R('MIN(value)')} AS valor_min, {R('MAX(value)')} AS valor_max,
        COUNT(*) AS n_mediciones
-FROM ({HOURLY_SQL}) GROUP BY 1, 2, 3""".replace("WITH \n", "")))
+FROM h, mark WHERE event_id % 10 <> 0 OR date_trunc('day', fecha_inicio) + INTERVAL 1 DAY > w GROUP BY 1, 2, 3"""))
 def st3(spark, d):
-    """ST3 daily avg/min/max/count per (station, code) with a watermark (update mode -> change log)."""
-    base = _lay_down(spark, d)
-    stream = ingest.csv_stream(spark, f"{base}/in", string_schema(RAW_COLS), max_files_per_trigger=2)
-    rows = _prepare(stream).withColumn("event_time", ingest.event_time("fecha_inicio"))
-    agg = ingest.daily_stats_stream(rows, ["estacion_id", "code"], "event_time", "value", DELAY)
-    agg = agg.select("estacion_id", "code", ingest.window_day("ventana").alias("dia"), "valor_medio",
-                     "valor_min", "valor_max", "n_mediciones")
-    q = ingest.changelog_sink(agg, f"{base}/log", f"{base}/ckpt")
-    q.awaitTermination()
+    """ST3 daily avg/min/max/count per (station, code) with a watermark (update mode -> change log); rows of the second
+    wave whose day has passed the watermark are dropped."""
+    def start(base, stream):
+        rows = _prepare(stream).withColumn("event_time", ingest.event_time("fecha_inicio"))
+        agg = ingest.daily_stats_stream(rows, ["estacion_id", "code"], "event_time", "value", DELAY)
+        agg = agg.select("estacion_id", "code", ingest.window_day("ventana").alias("dia"), "valor_medio",
+                         "valor_min", "valor_max", "n_mediciones")
+        return ingest.changelog_sink(agg, f"{base}/log", f"{base}/ckpt")
+
+    base = _run_waves(spark, d, start)
     return ingest.current_from_changelog(spark.read.parquet(f"{base}/log"), ["estacion_id", "code", "dia"])

@@ -68,7 +68,9 @@ CTES["grid"] = """
   FROM lineitem"""
 
 CTES["grid_points"] = """
-  SELECT DISTINCT lon, lat FROM grid"""
+  SELECT DISTINCT CAST(-58.4 AS DOUBLE) + (p_partkey % 16) / 3 AS lon,
+         CAST(-35.0 AS DOUBLE) + ((p_partkey // 16) % 16) / 3 AS lat
+  FROM part"""
 
 CTES["ndci_loc"] = """
   SELECT n_nationkey AS location_id, 'Laguna ' || n_name AS nombre,
@@ -87,7 +89,6 @@ CTES["sentinel"] = """
 # Dependencies between CTEs, so a query lists only what it reads directly.
 DEPS = {
     "station_depto": ["estaciones", "deptos"],
-    "grid_points": ["grid"],
 }
 
 

@@ -87,6 +87,12 @@ def grid_coords(partkey: Column) -> tuple[Column, Column]:
     return lon, lat
 
 
+def grid_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grid coordinates: the registry's own source (a row per part, far fewer than facts)."""
+    lon, lat = grid_coords(F.col("p_partkey"))
+    return read(spark, sf_dir, "part").select(lon.alias("lon"), lat.alias("lat"))
+
+
 def sentinel_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read(spark, sf_dir, "nation")
     k = F.col("n_nationkey")
@@ -289,7 +295,8 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     Each embedding is one scene; element triples (3i, 3i+1, 3i+2) are the red,
     green and red-edge reflectance of pixel i; scene class scl = (vec_id + i) % 8
     (6 = water); location = label; pixel coordinates on a small lattice around
-    the water body centre; cloud cover = (vec_id * 7) % 40; date = 2016-01-01 + 3*vec_id days.
+    the water body centre; cloud cover = (vec_id * 7) % 40; date = 2015-01-01 + (3*vec_id % 2190) days,
+    so every size of the table spreads over the same six years.
     """
     e = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     px = e.select(
@@ -304,7 +311,7 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return px.select(
         F.col("label").alias("location_id"),
         F.col("vec_id").alias("scene_id"),
-        F.date_add(F.lit("2016-01-01").cast("date"), (F.col("vec_id") * 3).cast("int")).alias("fecha"),
+        F.date_add(F.lit("2015-01-01").cast("date"), (F.col("vec_id") * 3 % 2190).cast("int")).alias("fecha"),
         ((F.col("vec_id") * 7) % 40).cast("double").alias("cloud_cover"),
         (cx + ((i % 5) - 2) * F.lit(0.01)).alias("lon"),
         (cy + (_idiv(i, 5) - 2) * F.lit(0.01)).alias("lat"),
