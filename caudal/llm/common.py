@@ -118,24 +118,22 @@ def ranked(df: DataFrame, keys: list[str], order: list, spread, out: str, bucket
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of links between long ids: columns node, root (the smallest id reached).
 
-    Rounds of min-label exchange with pointer jumping; the labels of each round are written to the
-    shared folder. Rounds grow with the logarithm of a component's diameter, rows with the links.
+    Each node points to a smaller node of its component. In a round it hears of its neighbours' grandparents, and
+    it and its parent take the least; the pointers shorten at least by half, so rounds grow with the logarithm of a
+    component's diameter. Each round's pointers are written to the shared folder; rows stay in proportion to the links.
     """
     links = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
-    both = links.union(links.select("b", "a")).distinct()
-    both = written(both, "links")
-    labels = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root"))
-                     .select(F.col("a").alias("node"), "root"), "labels")
+    both = written(links.union(links.select("b", "a")).distinct(), "links")
+    labels = written(both.groupBy("a").agg(F.min("b").alias("b")).select(
+        F.col("a").alias("node"), F.least("a", "b").alias("root")), "labels")
     while True:
-        near = (both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("near")))
-        new = (labels.join(near, labels["node"] == near["a"], "left")
-               .select("node", "root", F.least("root", F.coalesce("near", "root")).alias("seen")))
-        # pointer jumping: a node takes its root's root, and a root takes the least label seen below it
-        pulled = new.groupBy(F.col("root").alias("up")).agg(F.min("seen").alias("low"))
-        jumped = (new.join(pulled, new["root"] == pulled["up"], "left")
-                  .select("node", F.col("root").alias("old"), F.least("seen", F.coalesce("low", "seen")).alias("root")))
-        jumped = written(jumped, "labels")
-        changed = jumped.where("old <> root").limit(1).count()
-        labels = jumped.select("node", "root")
-        if not changed:
-            return labels
+        up = labels.select(F.col("node").alias("root"), F.col("root").alias("top"))
+        known = labels.join(up, "root")
+        near = both.join(known.select(F.col("node").alias("b"), "top"), "b").groupBy("a").agg(F.min("top").alias("low"))
+        known = known.join(near, known["node"] == near["a"]).select("node", "root", F.least("top", "low").alias("low"))
+        votes = known.select("node", F.least("root", "low").alias("vote"), F.col("root").alias("old")).union(
+            known.select(F.col("root").alias("node"), F.col("low").alias("vote"), F.lit(None).cast("long")))
+        new = written(votes.groupBy("node").agg(F.min("vote").alias("root"), F.max("old").alias("old")), "labels")
+        if not new.where("old <> root").limit(1).count():
+            return new.select("node", "root")
+        labels = new.select("node", "root")
