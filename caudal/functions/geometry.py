@@ -79,7 +79,3 @@ def rings_bbox(rings: Column) -> dict[str, Column]:
         "min_lat": F.array_min(F.transform(pts, lambda p: p["lat"])),
         "max_lat": F.array_max(F.transform(pts, lambda p: p["lat"])),
     }
-
-
-def cell_index(v, cell_deg: float) -> Column:
-    return F.floor(_c(v) / F.lit(float(cell_deg))).cast("long")

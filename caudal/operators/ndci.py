@@ -101,9 +101,9 @@ def monthly_gap_fill(df: DataFrame, key: str, period: str = "periodo") -> DataFr
 def lag_join(pad: DataFrame, idx: DataFrame, key: str, lag_months: int = 1) -> DataFrame:
     """Q27: shift ``pad`` forward by ``lag_months``, full outer join with ``idx`` on the month,
     keep the original pad month as ``pad_periodo``, then gap-fill (Q26)."""
-    p = pad.select(key, F.col("periodo").alias("pad_periodo"),
-                   F.add_months("periodo", lag_months).alias("_lagged"), "pad")
-    i = idx.select(F.col(key).alias("_k"), F.col("periodo").alias("_p"), "ndci")
+    month = naive_period("periodo").cast("date")  # both sides without a time zone (Q30)
+    p = pad.select(key, month.alias("pad_periodo"), F.add_months(month, lag_months).alias("_lagged"), "pad")
+    i = idx.select(F.col(key).alias("_k"), month.alias("_p"), "ndci")
     j = p.join(i, (p[key] == i["_k"]) & (p["_lagged"] == i["_p"]), "full")
     merged = j.select(F.coalesce(key, "_k").alias(key), F.coalesce("_p", "_lagged").alias("periodo"),
                       "pad", "pad_periodo", "ndci")

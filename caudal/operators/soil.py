@@ -27,9 +27,11 @@ def grid_registry(grid_points: DataFrame, lon: str = "lon", lat: str = "lat") ->
 
 
 def point_means(grid_facts: DataFrame, tipo: str, year_from: int, year_to: int) -> DataFrame:
-    """Mean of ``tipo`` per grid point over the years, which reach the scan as filters; the id is hashed
-    once per point, after the aggregation."""
+    """Mean of ``tipo`` per grid point over the years, which reach the scan as filters. Facts name their point by
+    ``punto_id``, or by coordinates, whose id is hashed once per point after the aggregation."""
     f = grid_facts.filter((F.col("type") == tipo) & year_range_filter("fecha_inicio", year_from, year_to))
+    if "punto_id" in grid_facts.columns:
+        return f.groupBy("punto_id").agg(F.avg("value").alias("_pm")).filter(F.col("_pm").isNotNull())
     means = f.groupBy("lon", "lat").agg(F.avg("value").alias("_pm")).filter(F.col("_pm").isNotNull())
     return means.select(stable_id("lat", "lon").alias("punto_id"), "_pm")
 

@@ -33,34 +33,6 @@ def bbox_polygons(points: DataFrame, lon: str = "lon", lat: str = "lat", half_wi
 
 # ------------------------------------------------------------------ GEO3
 
-def polygon_band_index(polygons: DataFrame, poly_id: str, rings: str = "rings",
-                       cell_deg: float = 0.25) -> DataFrame:
-    """Index (poly_id, cell_row, cell_col, edges) for the point-in-polygon join.
-
-    Each edge is listed in every latitude band (row) it spans; a point's
-    even-odd ray test only needs the edges spanning its own latitude, so the
-    band's edge list is exact. Columns of a band are limited to the x-range of
-    its edges: a point outside that range has an even crossing count.
-    Group size is bounded by the polygon's vertex count, not by data volume.
-    """
-    c = float(cell_deg)
-    e = polygons.select(F.col(poly_id), F.explode(polygon_edges(F.col(rings))).alias("e")).select(
-        poly_id, "e.x1", "e.y1", "e.x2", "e.y2")
-    e = e.filter(F.col("y1") != F.col("y2"))  # horizontal edges never cross a horizontal ray
-    e = e.withColumn("cell_row", F.explode(F.sequence(
-        F.floor(F.least("y1", "y2") / c).cast("long"), F.floor(F.greatest("y1", "y2") / c).cast("long"))))
-    bands = e.groupBy(poly_id, "cell_row").agg(
-        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"),
-        F.min(F.least("x1", "x2")).alias("bx0"),
-        F.max(F.greatest("x1", "x2")).alias("bx1"),
-    )
-    return bands.select(
-        poly_id, "cell_row",
-        F.explode(F.sequence(F.floor(F.col("bx0") / c).cast("long"), F.floor(F.col("bx1") / c).cast("long"))).alias("cell_col"),
-        "edges",
-    )
-
-
 def polygon_cell_index(polygons: DataFrame, poly_id: str, rings: str = "rings",
                        cell_deg: float = 0.25) -> DataFrame:
     """(poly_id, cell_row, cell_col, interior, edges) for the point-in-polygon join.
@@ -107,7 +79,7 @@ def polygon_cell_index(polygons: DataFrame, poly_id: str, rings: str = "rings",
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, poly_id: str, lon: str = "lon",
                        lat: str = "lat", rings: str = "rings", cell_deg: float = 0.25,
-                       poly_cols: list[str] | None = None) -> DataFrame:
+                       poly_cols: list[str] | None = None, salt: int = 1) -> DataFrame:
     """GEO3: every (point, polygon) pair with the point inside the polygon.
 
     One equi-join of points to the polygon cell index on the cell key; points in
@@ -115,6 +87,9 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, poly_id: str, lon
     against the edges spanning their latitude band. A point inside two overlapping
     polygons appears once per polygon. Output is the point's columns plus
     ``poly_id`` (and ``poly_cols`` of the polygon).
+
+    ``salt`` splits the points of a cell over that many keys, for points that crowd in few cells; the
+    index (polygons' cells, not points) is repeated as often.
     """
     c = float(cell_deg)
     index = polygon_cell_index(polygons, poly_id, rings, c)
@@ -122,9 +97,14 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, poly_id: str, lon
         "cell_row": F.floor(F.col(lat) / c).cast("long"),
         "cell_col": F.floor(F.col(lon) / c).cast("long"),
     })
-    cand = pts.join(index, ["cell_row", "cell_col"])
+    keys = ["cell_row", "cell_col"]
+    if salt > 1:
+        pts = pts.withColumn("_salt", F.pmod(F.xxhash64(lon, lat), F.lit(salt)).cast("int"))
+        index = index.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        keys = [*keys, "_salt"]
+    cand = pts.join(index, keys)
     inside = cand.filter(F.col("interior") | edges_contain(F.col("edges"), F.col(lon), F.col(lat)))
-    out = inside.drop("cell_row", "cell_col", "edges", "interior")
+    out = inside.drop(*keys, "edges", "interior")
     if poly_cols:
         out = out.join(polygons.select(poly_id, *poly_cols), poly_id)
     return out

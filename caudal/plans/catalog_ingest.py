@@ -8,7 +8,7 @@ from caudal.functions.ids import stable_id
 from caudal.operators import clean, keys, load
 from caudal.plans import surrogates as S
 from caudal.plans.oracle import with_ctes
-from caudal.plans.registry import R, register
+from caudal.plans.registry import QUERIES, R, register
 
 # ------------------------------------------------------------------ oracle pieces
 
@@ -602,7 +602,7 @@ def _register_key5(table, source, parts):
     def key5_table(spark, d):
         return keys.with_natural_id(_key5_rows(spark, d, table), table).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
 
-    key5_table.__doc__ = f"KEY5 natural-key ids of {table}: rows per id."
+    QUERIES[f"key5_{table}"].__doc__ = f"KEY5 natural-key ids of {table}: rows per id."
 
 
 for _table, (_source, _parts) in KEY5_SQL.items():

@@ -172,6 +172,18 @@ def src9(spark, d):
     return back.groupBy("departamento_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("src9_whole_sink", with_ctes(["oseparam"], """
+SELECT code, CAST(year(fecha_inicio) AS INTEGER) AS anio, departamento_id, COUNT(*) AS n, COUNT(value_cat) AS con_valor
+FROM oseparam GROUP BY 1, 2, 3"""))
+def src9_whole(spark, d):
+    """SRC9 fact sink: every partition read back."""
+    path = _scratch(spark, "oseparam")
+    facts = S.oseparam(spark, d).withColumn("anio", F.year("fecha_inicio"))
+    files.write_facts(facts, path, ["code", "anio"], mode="overwrite")
+    return spark.read.parquet(path).groupBy("code", "anio", "departamento_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count("value_cat").alias("con_valor"))
+
+
 @register("load7_staged_series", with_ctes(["sentinel"], f"""
 , m AS (SELECT location_id, CAST(date_trunc('month', fecha_inicio) AS DATE) AS fecha, AVG(value) AS valor
         FROM sentinel WHERE code = 'NDCI' AND year(fecha_inicio) BETWEEN {Y0} AND {Y1} GROUP BY 1, 2)

@@ -179,23 +179,31 @@ def write_facts(df: DataFrame, path: str, partition_by: list[str], mode: str = "
     out.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def write_json_arrays(df: DataFrame, path: str) -> None:
-    """Write records as JSON arrays, one array document per partition (parallel writers)."""
-    recs = df.select(F.to_json(F.struct("*")).alias("j"), F.spark_partition_id().alias("__p"))
-    docs = recs.groupBy("__p").agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("j")), F.lit("]")).alias("value"))
-    docs.select("value").write.mode("overwrite").text(path)
+#: Records in one JSON document: what a task holds as one string.
+DOCUMENT_RECORDS = 10_000
 
 
-def write_feature_collections(features: DataFrame, path: str, properties: list[str]) -> None:
-    """Write GeoJSON FeatureCollections, one per partition, from (props..., gtype, rings)."""
+def _documents(records: DataFrame, head: str, tail: str, per_document: int) -> DataFrame:
+    """JSON texts (column ``j``) joined to documents of at most ``per_document`` records of one partition."""
+    place = F.monotonically_increasing_id()  # partition in the upper bits, row in the lower 33
+    rows = records.withColumn("__d", place - F.pmod(F.pmod(place, F.lit(1 << 33)), F.lit(per_document)))
+    return rows.groupBy("__d").agg(F.concat(F.lit(head), F.concat_ws(",", F.collect_list("j")), F.lit(tail)).alias("value")).select("value")
+
+
+def write_json_arrays(df: DataFrame, path: str, per_document: int = DOCUMENT_RECORDS) -> None:
+    """Write records as JSON arrays of bounded length, one per file (parallel writers)."""
+    recs = df.select(F.to_json(F.struct("*")).alias("j"))
+    _documents(recs, "[", "]", per_document).write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+
+
+def write_feature_collections(features: DataFrame, path: str, properties: list[str], per_document: int = DOCUMENT_RECORDS) -> None:
+    """Write GeoJSON FeatureCollections of bounded length from (props..., gtype, rings), one per file."""
     coords = F.to_json(F.transform("rings", lambda r: F.transform(r, lambda p: F.array(p["lon"], p["lat"]))))
     feat = F.concat(
         F.lit('{"type":"Feature","properties":'), F.to_json(F.struct(*[F.col(p) for p in properties])),
         F.lit(',"geometry":{"type":"'), F.col("gtype"), F.lit('","coordinates":'), coords, F.lit("}}"))
-    recs = features.select(feat.alias("j"), F.spark_partition_id().alias("__p"))
-    docs = recs.groupBy("__p").agg(F.concat(F.lit('{"type":"FeatureCollection","features":['),
-                                            F.concat_ws(",", F.collect_list("j")), F.lit("]}")).alias("value"))
-    docs.select("value").write.mode("overwrite").text(path)
+    _documents(features.select(feat.alias("j")), '{"type":"FeatureCollection","features":[', "]}", per_document).write.mode(
+        "overwrite").option("maxRecordsPerFile", 1).text(path)
 
 
 def write_feature_lines(features: DataFrame, path: str, properties: list[str]) -> None:

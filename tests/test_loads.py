@@ -79,3 +79,38 @@ def test_first_per_id_with_a_hot_id(spark):
     hot = out.filter(F.col("id") == "hot").collect()
     assert len(hot) == 1 and hot[0].v == n - 3 and hot[0].pos == 3
     assert out.count() == 1 + 2 * n // 3
+
+
+def test_upsert_writes_a_repeated_id_once(spark):
+    target = spark.createDataFrame([("a", 1), ("b", 2)], "id string, v int")
+    upd = spark.createDataFrame([("a", 10, 1), ("a", 30, 3), ("a", 20, 2), ("c", 5, 1)], "id string, v int, pos int")
+    got = load.upsert(target, upd, order_col="pos").collect()
+    assert sorted((r.id, r.v) for r in got) == [("a", 30), ("b", 2), ("c", 5)]
+
+
+def test_insert_reads_only_the_partitions_of_the_batch(spark):
+    batch = spark.createDataFrame([("a", "x", 1), ("b", "x", 2)], "id string, code string, pos long")
+    existing = spark.createDataFrame([("a", "x"), ("b", "y")], "id string, code string")
+    got = load.insert_if_absent(batch, existing, partition=["code"]).collect()
+    assert [r.id for r in got] == ["b"]  # an id names its partition: ids of other partitions are not read
+
+
+def test_reconciliation_cases(spark):
+    from caudal.operators import audit
+    src = spark.createDataFrame([("t1", "a", 5, "m"), ("t2", "b", 3, "m"), ("t3", "c", 4, "m"), ("t4", "d", None, "m"), ("t5", "e", 7, "m")],
+                                "tarea string, destino string, origen long, motivo string")
+    tgt = spark.createDataFrame([("a", 5), ("b", 4), ("c", 1), ("d", 9)], "destino string, destino_n long")
+    got = {r.tarea: (r.diferencia, r.motivo) for r in audit.reconcile(src, tgt).collect()}
+    assert got == {"t1": (0, "m"), "t2": (-1, "m (*)"), "t3": (3, "m"), "t4": (None, "N/A"), "t5": (None, "sin destino")}
+    src = spark.createDataFrame([("a", 2, "m"), ("a", 2, "m"), ("b", 1, "m"), ("b", None, "m"), ("c", 1, "m")],
+                                "destino string, origen long, motivo string")
+    got = {r.destino: (r.origen, r.diferencia, r.motivo) for r in audit.reconcile_shared(src, tgt).collect()}
+    assert got == {"a": (4, -1, "m (*)"), "b": (None, None, "N/A"), "c": (1, 0, "m")}
+
+
+def test_parameter_coverage_with_a_null_code(spark):
+    from caudal.operators import audit
+    df = spark.createDataFrame([("A", "s1", "f1"), ("A", "s1", "f2"), ("A", "s2", "f2"), (None, "s3", "f1")], "code string, st string, f string")
+    names = spark.createDataFrame([("A", "Alfa")], "code string, nombre string")
+    got = [(r.code, r.filas, r.estaciones, r.nombre) for r in audit.parameter_coverage(df, "code", "st", file="f", names=names).collect()]
+    assert sorted(got, key=str) == sorted([("A", 3, 3, "Alfa"), (None, 1, 1, None), ("Total", 4, 3, None)], key=str)

@@ -30,9 +30,10 @@ def test_soil_fallbacks(spark):
          ("P4", "IBH", dt.date(2020, 1, 1), 40.0), ("P3", "PAD", dt.date(2020, 1, 1), 99.0)],
         "punto_id string, type string, fecha_inicio date, value double").join(reg, "punto_id")
     expected = {"D1": 10.0, "D2": 20.0, "D3": pytest.approx((10 + 20 + 40) / 3)}
-    for registry in (reg, None):   # explicit registry, or derived from the facts (KEY4)
+    ids = soil.grid_registry(reg)  # KEY4 ids of the coordinates; facts then name points by coordinates
+    for points, rows in ((reg, facts), (ids, facts.drop("punto_id"))):
         got = {r.nombre: r.valor_medio
-               for r in soil.soil_by_department(facts, registry, deptos, "IBH", 2020, 2020).collect()}
+               for r in soil.soil_by_department(rows, points, deptos, "IBH", 2020, 2020).collect()}
         assert got == expected
 
 
@@ -101,3 +102,22 @@ def test_exact_quantiles_coarse_sketch_still_exact(spark):
     got = {r.g: r.q for r in stats.exact_quantiles(df, ["g"], "v", [0.9], ["q"], accuracy=10).collect()}
     for g in range(3):
         assert got[g] == pytest.approx(float(np.percentile([v for x, v in rows if x == g], 90)))
+
+
+def test_quantiles_of_constant_and_tied_groups(spark):
+    from caudal.operators.stats import exact_quantiles
+    df = spark.range(30_000).select((F.col("id") % 2).alias("g"), F.when(F.col("id") % 2 == 0, 7.0).otherwise((F.col("id") % 5).cast("double")).alias("v"))
+    got = {r.g: (r.n, r.q25, r.q50, r.q75) for r in exact_quantiles(df, ["g"], "v", [0.25, 0.5, 0.75], accuracy=100).collect()}
+    assert got == {0: (15_000, 7.0, 7.0, 7.0), 1: (15_000, 1.0, 2.0, 3.0)}
+
+
+def test_gap_fill_keeps_every_month_once(spark):
+    import datetime as dt
+
+    from caudal.operators.ndci import monthly_gap_fill
+    d = dt.date
+    df = spark.createDataFrame([("a", d(2020, 1, 1), 1.0), ("a", d(2020, 4, 1), 4.0), ("a", d(2020, 5, 1), 5.0), ("b", d(2021, 12, 1), 9.0)],
+                               "k string, periodo date, v double")
+    got = [(r.k, r.periodo, r.v) for r in monthly_gap_fill(df, "k").orderBy("k", "periodo").collect()]
+    assert got == [("a", d(2020, 1, 1), 1.0), ("a", d(2020, 2, 1), None), ("a", d(2020, 3, 1), None), ("a", d(2020, 4, 1), 4.0),
+                   ("a", d(2020, 5, 1), 5.0), ("b", d(2021, 12, 1), 9.0)]

@@ -80,7 +80,7 @@ def test_stream_insert_if_absent_idempotent(spark, tmp):
         return df.select("id", F.col("pos").cast("long").alias("pos"), F.col("v").cast("double").alias("v"))
 
     def run():
-        q = ingest.insert_if_absent_stream(ingest.csv_stream(spark, src, schema), prep, os.path.join(tmp, "t"),
+        q = ingest.insert_if_absent_stream(ingest.csv_stream(spark, src, schema, 1), prep, os.path.join(tmp, "t"),
                                            os.path.join(tmp, "ck"))
         q.awaitTermination()
 
@@ -102,3 +102,24 @@ def test_read_many_skips_missing_glob(spark, tmp):
                         attribute="tipo", pattern=r"/(precip|humedad)/")
     rows = u.collect()
     assert len(rows) == 1 and rows[0].tipo == "precip"
+
+
+def test_unreadable_file_ends_the_read_unless_skipped(spark, tmp_path):
+    import gzip
+
+    from caudal.sources import files
+    (tmp_path / "good.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "bad.csv.gz").write_bytes(gzip.compress(b"a,b\n" + b"3,4\n" * 5000)[:14])
+    with pytest.raises(Exception):
+        files.read_delimited(spark, f"{tmp_path}/*", ["a", "b"]).collect()
+    rows = files.read_delimited(spark, f"{tmp_path}/*", ["a", "b"], with_path=True, skip_unreadable=True)
+    assert [(r.a, r.b) for r in rows.collect()] == [("1", "2")]
+    left = files.unread_files(spark, f"{tmp_path}/*", rows).collect()
+    assert [r.path.rsplit("/", 1)[1] for r in left] == ["bad.csv.gz"]
+
+
+def test_json_documents_are_bounded(spark, tmp_path):
+    from caudal.sources import files
+    files.write_json_arrays(spark.range(25).coalesce(1), f"{tmp_path}/arrays", per_document=10)
+    assert sorted(r.id for r in files.read_json_array(spark, f"{tmp_path}/arrays", "id long").collect()) == list(range(25))
+    assert len(list((tmp_path / "arrays").glob("*.txt"))) == 3

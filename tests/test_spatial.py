@@ -60,7 +60,7 @@ def test_knn_matches_brute_force(spark, k, maxd):
     qs = [(i, rnd.uniform(-62, -48), rnd.uniform(-38, -26)) for i in range(40)]
     P = spark.createDataFrame(pts, "pid long, lon double, lat double")
     Q = spark.createDataFrame(qs, "qid long, lon double, lat double")
-    got = spatial.nearest_points(Q, P, "qid", "pid", k=k, max_distance_m=maxd, start_radius_m=20_000.0)
+    got = spatial.nearest_points(Q, P, "qid", "pid", k=k, max_distance_m=maxd)
     got = {(r.qid, r.rank): r.pid for r in got.collect()}
     for qid, qx, qy in qs:
         d = sorted((hav(qx, qy, x, y), pid) for pid, x, y in pts)
@@ -98,3 +98,68 @@ def test_geometry_audit(spark):
     assert got[3].action == "convex_hull" and len(got[3].repaired_rings[0]) == 4
     assert (got[4].status, got[4].action) == ("failed", "reject")
     assert got[5].action == "close_ring" and got[5].snap_tolerance == pytest.approx(1e-4)
+
+
+@pytest.mark.parametrize("n,k", [(200, 3), (2, 5), (1, 1)])
+def test_knn_over_the_whole_sphere(spark, n, k):
+    rnd = random.Random(11)
+    pts = [(i, rnd.uniform(-180, 180), rnd.choice([rnd.uniform(-90, 90), 89.9, -89.9])) for i in range(n)]
+    qs = [(i, rnd.choice([-179.99, 179.99, rnd.uniform(-180, 180)]), rnd.choice([-90.0, 90.0, rnd.uniform(-90, 90)])) for i in range(40)]
+    P = spark.createDataFrame([*pts, (900, None, 1.0)], "pid long, lon double, lat double")
+    Q = spark.createDataFrame([*qs, (900, 1.0, None)], "qid long, lon double, lat double")
+    got = {(r.qid, r.rank): r.dist_m for r in spatial.nearest_points(Q, P, "qid", "pid", k=k).collect()}
+    assert len(got) == 40 * min(k, n)
+    for qid, qx, qy in qs:
+        for rank, d in enumerate(sorted(hav(qx, qy, x, y) for _, x, y in pts)[:k], start=1):
+            assert got[qid, rank] == pytest.approx(d, abs=1e-3)
+
+
+def test_vertices_on_one_line_are_no_polygon(spark):
+    rows = [(1, "LineString", [(0, 0), (1, 1), (2, 2)]), (2, "LineString", [(0, 0), (1, 0), (1, 1), (0.4, 0.2)]),
+            (3, "LineString", [(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)]), (4, "Point", [(0, 0)])]
+    data = [(i, t, [{"lon": float(x), "lat": float(y)} for x, y in p]) for i, t, p in rows]
+    df = spark.createDataFrame(data, "id int, gtype string, coords array<struct<lon:double,lat:double>>")
+    got = {r.id: (r.status, r.action, None if r.repaired_rings is None else len(r.repaired_rings[0]))
+           for r in spatial.classify_geometries(df, "id").collect()}
+    assert got == {1: ("failed", "reject", None), 2: ("convertible", "convex_hull", 4),
+                   3: ("convertible", "close_ring", 5), 4: ("failed", "reject", None)}
+
+
+def test_hull_matches_brute_force(spark):
+    rnd = random.Random(5)
+    pts = [(rnd.randint(0, 12), rnd.randint(0, 12)) for _ in range(60)]
+    df = spark.createDataFrame([([{"lon": float(x), "lat": float(y)} for x, y in pts],)], "c array<struct<lon:double,lat:double>>")
+    ring = [(p.lon, p.lat) for p in df.select(spatial.convex_hull(F.col("c"))).first()[0]]
+
+    def left(o, a, b):
+        return (a[0] - o[0]) * (b[1] - o[1]) - (a[1] - o[1]) * (b[0] - o[0])
+
+    assert ring[0] == ring[-1] and set(ring) <= set(pts)
+    assert all(left(a, b, p) >= 0 for a, b in zip(ring, ring[1:]) for p in pts)
+    assert all(left(a, b, c) > 0 for a, b, c in zip(ring, ring[1:], ring[2:]))
+
+
+def test_parts_of_a_multipolygon_are_no_holes(spark):
+    import json
+
+    from caudal.operators import keys
+    square = [{"lon": float(x), "lat": float(y)} for x, y in [(0, 0), (1, 0), (1, 1), (0, 0)]]
+    other = [{"lon": p["lon"] + 5, "lat": p["lat"]} for p in square]
+    areas = spark.createDataFrame([("a", [square, other], "MultiPolygon"), ("b", [square], "Polygon")],
+                                  "nombre string, rings array<array<struct<lon:double,lat:double>>>, gtype string")
+    metric = spark.createDataFrame([("a", 1.5)], "nombre string, v double")
+    rows = {r.nombre: (r, json.loads(r.feature)) for r in spatial.feature_rows(areas, metric, "nombre", "v", gtype="gtype").collect()}
+    assert rows["a"][1]["geometry"] == {"type": "MultiPolygon", "coordinates": [[[[p["lon"], p["lat"]] for p in r]] for r in (square, other)]}
+    assert rows["b"][1]["geometry"]["type"] == "Polygon" and len(rows["b"][1]["geometry"]["coordinates"]) == 1
+    assert rows["a"][1]["id"] == "a" and rows["a"][1]["properties"]["ranking"] == 1 and rows["b"][0].etiqueta == "Sin datos"
+    text = areas.select(keys.polygon_wkt(F.col("rings"), F.col("gtype"))).collect()
+    assert text[0][0] == "MULTIPOLYGON (((0 0, 1 0, 1 1, 0 0)), ((5 0, 6 0, 6 1, 5 0)))" and text[1][0] == "POLYGON ((0 0, 1 0, 1 1, 0 0))"
+    ids = {r.id for r in keys.area_docs(areas, gtype="gtype").collect()} | {r.id for r in keys.area_docs(areas).collect()}
+    assert len(ids) == 3  # b alone has one id for both
+
+
+def test_salted_cells_give_the_same_pairs(spark):
+    polys = poly(spark, [(1, [(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)]), (2, [(0.4, 0.4), (0.6, 0.4), (0.6, 0.6), (0.4, 0.6), (0.4, 0.4)])])
+    pts = spark.range(500).select(F.col("id").alias("pt"), (0.4001 + F.col("id") / 3000).alias("lon"), F.lit(0.45).alias("lat"))
+    plain, salted = (sorted((r.pt, r.pid) for r in spatial.points_in_polygons(pts, polys, "pid", salt=n).collect()) for n in (1, 7))
+    assert plain == salted and len(plain) > 500

@@ -1,4 +1,4 @@
-"""Print the registered queries as a markdown table (name, survey ID, description, oracle)."""
+"""Print the registered analytics queries as a markdown table (name, survey ID, description, oracle)."""
 
 from __future__ import annotations
 
@@ -8,11 +8,11 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from caudal.plans import catalog  # noqa: E402
 
 
 def main():
-    qs, sqls = entry.queries(), entry.oracle_sql()
+    qs, sqls = catalog.QUERIES, catalog.ORACLE
     print("| query | survey ID | what it checks | oracle |")
     print("|---|---|---|---|")
     for name in sorted(qs, key=lambda n: (re.sub(r"\d.*", "", n), int(re.search(r"\d+", n).group()), n)):
