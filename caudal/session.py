@@ -6,11 +6,15 @@ helpers here are for tests, the bench and command-line use.
 
 from __future__ import annotations
 
+import atexit
+import logging
 import os
 import tempfile
 
 from pyspark.sql import SparkSession
 
+LOG = logging.getLogger(__name__)
+
 # Settings every caudal job relies on: UTC wall clock, AQE for runtime
 # re-planning (coalescing, skew splits, broadcast conversion of sides whose
 # measured size is under the threshold), no UI server.
@@ -65,18 +69,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+_SCRATCH: list[tuple[SparkSession, str]] = []
 
 
-def cut_lineage(df):
-    """Reliable checkpoint into the shared checkpoint folder (never a local checkpoint).
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A sub-folder of the shared checkpoint folder for written intermediate tables.
 
-    Library operators call this instead of ``df.checkpoint()`` so a caller's session
-    needs no extra setup: the folder named by ``spark.checkpoint.dir`` is used (a
-    scratch folder only when the setting is unset, as in tests).
+    It is removed when the driver process ends, or by ``remove_scratch``.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    base = ensure_checkpoint_dir(spark)
+    path = base.rstrip("/") + "/" + name
+    _SCRATCH.append((spark, path))
+    return path
+
+
+@atexit.register
+def remove_scratch() -> None:
+    """Delete the folders that ``scratch_path`` named, through Spark's file systems."""
+    while _SCRATCH:
+        spark, path = _SCRATCH.pop()
+        try:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()).delete(target, True)
+        except Exception as e:  # noqa: BLE001 - the JVM may be gone; the folder then stays for the store's owner
+            LOG.debug("scratch folder %s stays: %s", path, e)
