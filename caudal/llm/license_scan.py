@@ -30,6 +30,8 @@ from caudal.llm.common import SHINGLE_WORDS, WordHash, mix, rows_of, shingle_has
 MAX_TEMPLATES = 5000
 CONTAINMENT = 0.8
 MISS = 1e-4
+#: Hashes (bands times shingles) that are held at once; longer texts take fewer bands at a time.
+MATRIX = 1 << 20
 FOUND = "doc_id long, template string, start int, stop int, containment double"
 
 #: Standard wordings of license notices.
@@ -92,9 +94,9 @@ def document_shingles(text: bytes, hashes: LicenseWords):
     return (shingle_hashes(words) if len(words) >= SHINGLE_WORDS else words[:0]), place
 
 
-def minhash(shingles: np.ndarray, band: int) -> np.ndarray:
-    """The band's hash of each shingle: its minimum over a set is the set's MinHash."""
-    h = (shingles ^ _SEEDS[band]) * np.uint64(0xD6E8FEB86659FD93)
+def minhash(shingles: np.ndarray, low: int, high: int) -> np.ndarray:
+    """Hashes of the shingles, a row per band: a row's minimum over a set is the set's MinHash in that band."""
+    h = (shingles[None, :] ^ _SEEDS[low:high, None]) * np.uint64(0xD6E8FEB86659FD93)
     return h ^ (h >> np.uint64(32))
 
 
@@ -129,39 +131,38 @@ class Templates:
             self.sets.append(s)
             size = window_class(len(s))
             by_class.setdefault(size, []).append((i, bands_for(len(s), size, containment, miss)))
-        #: class size -> per band (sorted values, template of each)
-        self.bands = {}
+        #: class size -> bands, sorted MinHash values to look for, and the template of each
+        self.classes = {}
         for size, members in sorted(by_class.items()):
-            rows = []
-            for band in range(max(n for _, n in members)):
-                pairs = sorted((int(minhash(self.sets[i], band).min()), i) for i, n in members if band < n)
-                rows.append((np.array([v for v, _ in pairs], np.uint64), np.array([i for _, i in pairs])))
-            self.bands[size] = rows
+            pairs = sorted((int(v), i) for i, n in members for v in minhash(self.sets[i], 0, n).min(1))
+            self.classes[size] = (max(n for _, n in members), np.array([v for v, _ in pairs], np.uint64), np.array([i for _, i in pairs]))
+        self.most = max((n for n, _, _ in self.classes.values()), default=0)
 
-    def candidates(self, shingles: np.ndarray):
+    def candidates(self, shingles: np.ndarray) -> list[tuple[int, int, int]]:
         """(class size, first shingle of the window, template) that share a MinHash value, each once."""
-        n, minima, out = len(shingles), {}, set()
-        for size, rows in self.bands.items():
-            half = max(1, size // 2)
-            for band, (values, which) in enumerate(rows):
-                if band not in minima:
-                    minima[band] = (1, minhash(shingles, band))
-                step, m = minima[band]
+        out, rows = set(), max(1, MATRIX // max(1, len(shingles)))
+        for low in range(0, self.most if len(shingles) else 0, rows):
+            high = min(self.most, low + rows)
+            step, m = 1, minhash(shingles, low, high)
+            for size, (bands, values, which) in self.classes.items():
+                half = max(1, size // 2)
                 while step < half:  # minima of blocks of `step` shingles to blocks of twice as many
-                    if len(m) % 2:
-                        m = np.append(m, m[-1])
-                    m = np.minimum(m[::2], m[1::2])
+                    if m.shape[1] % 2:
+                        m = np.hstack([m, m[:, -1:]])
+                    m = np.minimum(m[:, ::2], m[:, 1::2])
                     step *= 2
-                minima[band] = (step, m)
-                w = np.minimum(m, np.append(m[1:], m[-1])) if size > 1 else m
+                w = m[: max(0, bands - low)]
+                if not len(w):
+                    continue
+                if size > 1:
+                    w = np.minimum(w, np.hstack([w[:, 1:], w[:, -1:]]))
                 at = np.searchsorted(values, w)
-                hit = np.flatnonzero(values[np.minimum(at, len(values) - 1)] == w)
-                for p in hit:
-                    j = at[p]
-                    while j < len(values) and values[j] == w[p]:
+                for band, p in zip(*np.nonzero(values[np.minimum(at, len(values) - 1)] == w)):
+                    j = at[band, p]
+                    while j < len(values) and values[j] == w[band, p]:
                         out.add((size, int(p) * half, int(which[j])))
                         j += 1
-        return sorted(out) if n else []
+        return sorted(out)
 
     def scan(self, text: bytes, hashes: LicenseWords):
         """Best match of each template in a text: (name, first word, word after the last, containment)."""
