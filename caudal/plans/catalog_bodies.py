@@ -269,7 +269,7 @@ def q29(spark, d):
 
 # ============================================================ derived dashboard tables
 
-@register("d01_rank_soil", with_ctes(["deptos", "grid"], "").rstrip() + __import__(
+@register("d01_rank_soil", with_ctes(["deptos", "grid", "grid_points"], "").rstrip() + __import__(
     "caudal.plans.catalog", fromlist=["_SOIL_CTES"])._SOIL_CTES.replace("{tipo}", "IBH") + f"""
 SELECT nombre, {R('valor_medio')} AS valor_medio,
        CAST(row_number() OVER (ORDER BY valor_medio DESC, nombre) AS INTEGER) AS ranking FROM soil""")
@@ -419,7 +419,7 @@ def d08(spark, d):
     return derived.department_month_matrix(m, MONTHS)
 
 
-@register("d09_national_kpi", with_ctes(["deptos", "grid"], "").rstrip() + __import__(
+@register("d09_national_kpi", with_ctes(["deptos", "grid", "grid_points"], "").rstrip() + __import__(
     "caudal.plans.catalog", fromlist=["_SOIL_CTES"])._SOIL_CTES.replace("{tipo}", "IBH") + f"""
 SELECT {R('AVG(valor_medio)')} AS promedio_nacional, {R('MIN(valor_medio)')} AS minimo,
        {R('MAX(valor_medio)')} AS maximo FROM soil""")
