@@ -125,10 +125,10 @@ def write_token_blocks(docs: DataFrame, out_path: str, tokenizer_file: str, voca
 def read_token_blocks(spark: SparkSession, path: str) -> DataFrame:
     """The block table with ``start``: ids of all blocks before the block, over the whole table."""
     blocks = spark.read.schema(BLOCK_SCHEMA).parquet(path)
-    parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n"))  # a row per partition written
+    parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n"))  # a row per partition written: broadcast
     w = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     parts = parts.selectExpr("part", f"coalesce(sum(n) OVER (ORDER BY part {w}), 0) AS part_start")
-    return blocks.join(parts, "part").withColumn("start", F.col("part_start") + F.col("start_in_part"))
+    return blocks.join(F.broadcast(parts), "part").withColumn("start", F.col("part_start") + F.col("start_in_part"))
 
 
 def document_tokens(blocks: DataFrame) -> DataFrame:

@@ -1,14 +1,16 @@
 """Token ids of whole texts, shared by the binary output (1) and packing (8).
 
-Ids come from the ``tokenizers`` library. A tokenizer whose normaliser and pre-tokeniser never
-join two sides of white space gives a text the ids of its words in order, so each distinct word
-is encoded once and its ids are reused. Words are what ASCII white space separates; lower-casing
-them first changes nothing for a tokenizer that lower-cases itself. Texts in which either could
-matter (a special token's bracket, combining marks) are encoded whole. ``tests/llm`` compares both ways.
+Ids come from the ``tokenizers`` library. A tokenizer whose normaliser and pre-tokeniser never join two sides of white
+space gives a text the ids of its words in order, so each distinct word is encoded once and its ids are reused. A word of
+ASCII and Latin letters is made of pre-tokens (runs of letters, digits, runs of the rest) that have their ids alone;
+runs of letters go straight to the model, past the normaliser and the pre-tokeniser's pattern. Everything in which this
+could matter (a special token's bracket, combining marks, apostrophes, other scripts) is encoded as it stands.
+``tests/llm`` compares both ways.
 """
 
 from __future__ import annotations
 
+import re
 import sys
 
 import numpy as np
@@ -16,12 +18,15 @@ import numpy as np
 TOKENIZER_FILE = "word_bpe_49k.json"
 VOCAB_SIZE = 49_408
 END_ID = 1
-#: Words whose ids a Python worker keeps (about 200 bytes each); the store is emptied when full.
-MAX_WORDS = 700_000
+#: Words whose ids a Python worker keeps in each of two generations (about 200 bytes each); a reused worker keeps them.
+MAX_WORDS = 400_000
 #: Texts, and their bytes, that are encoded together.
-BATCH_TEXTS, BATCH_BYTES = 256, 1 << 20
+BATCH_TEXTS, BATCH_BYTES = 1024, 4 << 20
 
-_ASCII_ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
+_LETTERS = "a-zß-öø-įı-ſ"  # without the one letter whose lower case is two characters
+_PLAIN = re.compile(f"[!-&(-~{_LETTERS}]+")  # ASCII but the apostrophe, and Latin letters
+_ASCII_PRE_TOKENS = re.compile(rb"[a-z]+|[0-9]|[^0-9a-z]+")
+_PRE_TOKENS = re.compile(f"[{_LETTERS}]+|[0-9]|[^0-9{_LETTERS}]+")
 
 
 def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
@@ -33,16 +38,18 @@ def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
 class Encoder:
     """``encode(texts)``: for each UTF-8 text the ids as little-endian unsigned 32-bit integers.
 
-    ``by_word`` needs a tokenizer that lower-cases and drops white space; without it every text
+    ``by_word`` needs a tokenizer that lower-cases, drops white space and splits as said above; without it every text
     is encoded whole.
     """
 
     def __init__(self, path: str, by_word: bool = True):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.by_word = by_word
+        self.tokenizer, self.by_word = Tokenizer.from_file(path), by_word
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.ids: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     @classmethod
     def of_worker(cls, path: str, by_word: bool = True) -> Encoder:
@@ -58,52 +65,61 @@ class Encoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         plain = [self.by_word and not (b"<|" in t or b"\xcc" in t or b"\xcd" in t) for t in texts]
         lists = [t.lower().split() if p else [] for t, p in zip(texts, plain)]
-        self._learn(lists)
+        words = set().union(*lists)
+        self._learn(words)
         get = self.ids.__getitem__
         return [b"".join(map(get, ws)) if p else self.whole(t) for t, p, ws in zip(texts, plain, lists)]
 
-    def _learn(self, lists: list[list[bytes]]) -> None:
-        words = set().union(*lists)
+    def _learn(self, words: set[bytes]) -> None:
+        if len(self.ids) >= MAX_WORDS:
+            self.ids, self.older = {}, self.ids
         new = words.difference(self.ids)
-        if len(self.ids) + len(new) > MAX_WORDS:
-            self.ids.clear()
-            new = words
-        if not new:
-            return
-        parts = {w: p for w in new if (p := _parts(w)) is not None}
-        todo = new.difference(parts)
-        for p in parts.values():
-            todo.update(p)
-        todo = list(todo.difference(self.ids))
-        if todo:
-            joined = b" ".join(todo).decode()
-            encoding = self.tokenizer.encode(joined, add_special_tokens=False)
-            ids = np.array(encoding.ids, "<u4")
-            at = np.fromiter((o[0] for o in encoding.offsets), np.int64, len(ids))
-            lengths = np.fromiter((len(w.decode()) for w in todo), np.int64, len(todo))
-            cut = (np.searchsorted(at, np.cumsum(lengths + 1) - lengths - 1) * 4).tolist()
-            raw = ids.tobytes()
-            self.ids.update(zip(todo, (raw[i:j] for i, j in zip(cut, [*cut[1:], len(raw)]))))
+        if self.older:
+            again = new.intersection(self.older)
+            self.ids.update((w, self.older[w]) for w in again)
+            new -= again
+        runs = [w for w in new if w.isalpha()]  # ASCII letters
+        parts = {w: _parts(w) for w in new.difference(runs)}
+        todo = set().union(*parts.values()).difference(self.ids, runs)
+        more = [w for w in todo if _is_run(w)]
+        self._add_runs(runs + more)
+        self._add_others(list(todo.difference(more)))
+        ids = self.ids
         for w, p in parts.items():
-            self.ids[w] = b"".join([self.ids[x] for x in p])
-
-
-def _parts(word: bytes) -> list[bytes] | None:
-    """Simpler words that have the word's ids together, or None: lower case for Latin letters
-    beyond ASCII, and a full stop or comma after a letter or digit on its own."""
-    out = word
-    if not word.isascii():
-        s = word.decode()
-        if max(s) < "ƀ" and "İ" not in s:
-            out = s.lower().encode()
-            ends = s[-2:-1].isalpha()
-        else:
-            ends = False
-    else:
-        ends = len(word) > 1 and word[-2] in _ASCII_ALNUM
-    if ends and out[-1] in b".,":
-        return [out[:-1], out[-1:]]
-    return None if out == word else [out]
+            if w not in ids:
+                ids[w] = b"".join([ids[x] for x in p])
+
+    def _add_runs(self, runs: list[bytes]) -> None:
+        if runs:
+            encoding = self.model.encode([w.decode() for w in runs], is_pretokenized=True, add_special_tokens=False)
+            of = np.array(encoding.word_ids, np.int64)
+            self._cut(runs, encoding.ids, np.searchsorted(of, np.arange(len(runs))))
+
+    def _add_others(self, words: list[bytes]) -> None:
+        if words:
+            encoding = self.tokenizer.encode(b" ".join(words).decode(), add_special_tokens=False)
+            at = np.fromiter((o[0] for o in encoding.offsets), np.int64, len(encoding.offsets))
+            lengths = np.fromiter((len(w.decode()) for w in words), np.int64, len(words))
+            self._cut(words, encoding.ids, np.searchsorted(at, np.cumsum(lengths + 1) - lengths - 1))
+
+    def _cut(self, words: list[bytes], ids: list[int], starts: np.ndarray) -> None:
+        raw, cut = np.array(ids, "<u4").tobytes(), (starts * 4).tolist()
+        self.ids.update(zip(words, [raw[i:j] for i, j in zip(cut, [*cut[1:], len(raw)])]))
+
+
+def _is_run(word: bytes) -> bool:
+    """A run of letters, as ``_parts`` makes them: it has no other character if it has one letter."""
+    return word.isalpha() or (word[0] >= 0xC3 and _PLAIN.fullmatch(word.decode()) is not None)
+
+
+def _parts(word: bytes) -> list[bytes]:
+    """Pre-tokens of a word that have its ids one after another; the word itself if that is not certain."""
+    if word.isascii():
+        return [word] if b"'" in word else _ASCII_PRE_TOKENS.findall(word)
+    s = word.decode().lower()
+    if _PLAIN.fullmatch(s) is None:
+        return [word]
+    return [p.encode() for p in _PRE_TOKENS.findall(s)]
 
 
 def batches(rows, text_of):
