@@ -20,12 +20,17 @@ in a sketch of fixed size (``SKETCH`` counters), then contents of more shingles.
 documents share makes no signature where a document has anything rarer.
 
 Equal sets are one node. Nodes that share a signature are a group (equal groups are taken once), and each pair of a
-group is a candidate, but pairs are not emitted per group: in each round every group's hub is compared with its other
-nodes and leaves the group, linked nodes become components, and groups of one component are done. The hub is a node of the
-component with fewest nodes in the group, among those the one in most groups. As soon as the pairs left between components
-are at most ``PAIRS_PER_NODE`` per node, they are compared at once. So each pair that shares a signature is compared or
-known to be connected, components are exact, and the rows of a round grow with the groups' rows. Candidates are verified
-on the shingles of the whole texts.
+group is a candidate, but pairs are not emitted per group:
+
+1. Every group's hub (its node in most groups) is compared with its other nodes; linked nodes become components.
+2. Groups that still have several components go through cells: pairs of slices of at most about ``SLICE`` nodes, a task's
+   work each. A cell looks at pairs of different components that no earlier group has. A pair is out if more of its
+   ``BUCKETS`` bucket hashes differ than shingles may (each differing bucket holds a differing shingle, so this loses no
+   link). The pairs left are emitted if they are few for the cell's nodes, and their minimum spanning forest otherwise;
+   then the group comes again, with the components that these links made and room for eight times as many pairs.
+
+So each pair that shares a signature is compared, ruled out or known to be connected, components are exact, and a round
+emits rows in proportion to the groups' rows. Candidates are verified on the shingles of the whole texts.
 
 Texts that are null or without words have an empty set and link with nothing; with fewer than five words the whole
 sequence is the one shingle. Repeated rows, ids and null ids are rows whose equal sets link; component_id is the least id
@@ -40,12 +45,16 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caudal.llm.common import WordHash, components, mix, row_key, rows_of, shingle_hashes, utf8, words_of, written
+from caudal.llm.common import WordHash, components, mix, ranked, row_key, rows_of, shingle_hashes, utf8, words_of, written
+from caudal.llm.stratified_shards import unit_hash
 
 #: Jaccard similarity as a fraction, counters of the sketch (log2), slices it is summed in.
 SHARE, OF = 80, 100
 SKETCH_BITS, SLICES = 18, 64
-PAIRS_PER_NODE = 2
+#: Bucket hashes of four bits that a node has, nodes of a group in a slice, pairs per node that a cell may emit at first.
+BUCKETS, SLICE, PAIRS_PER_NODE = 512, 1000, 4
+#: Type of a group's number in a node's list (up to 2**32 groups of several components at a time).
+GROUP = "<u4"
 _SLICE = (1 << SKETCH_BITS) // SLICES
 
 
@@ -106,16 +115,27 @@ def _profile():
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
         hashes, counts = WordHash(), np.zeros(1 << SKETCH_BITS, np.uint32)
+        places, held = [], 0
+
+        def count():
+            if places:
+                counts[:] += np.bincount(np.concatenate(places), minlength=len(counts)).astype(np.uint32)
+                places.clear()
+
         for b in batches:
-            n, nodes, places = [], [], []
+            n, nodes = [], []
             for text in b.column("text").to_pylist():
                 s = shingle_set(text, hashes)
                 n.append(len(s))
                 nodes.append(set_digest(s) if len(s) else None)
                 places.append(_places(s))
-            counts += np.bincount(np.concatenate(places), minlength=len(counts)).astype(np.uint32) if places else 0
+                held += len(s)
+                if held >= 1 << 20:
+                    count()
+                    held = 0
             blank = [None] * len(n)
             yield rows(b.column("doc_id"), b.column("key"), n, nodes, blank, blank)
+        count()
         blank = [None] * SLICES
         yield rows(blank, blank, blank, blank, range(SLICES), [counts[i * _SLICE : (i + 1) * _SLICE].tobytes() for i in range(SLICES)])
 
@@ -203,46 +223,168 @@ def verified(pairs: DataFrame, texts: DataFrame, share: int = SHARE, of: int = O
     return rows.sortWithinPartitions("a").select("a", "b", "text_a", "text_b").mapInArrow(_verifier(share, of), "a long, b long")
 
 
+_NIBBLES = np.array([(x > 15) + (x % 16 > 0) for x in range(256)], np.uint8)
+
+
+def bucket_hashes(shingles: np.ndarray) -> bytes:
+    """BUCKETS hashes of four bits: of the shingles in each bucket of the domain."""
+    h = np.zeros(BUCKETS, np.uint8)
+    np.bitwise_xor.at(h, (shingles % np.uint64(BUCKETS)).astype(np.int64), (mix(shingles) >> np.uint64(60)).astype(np.uint8))
+    return (h[::2] << np.uint8(4) | h[1::2]).tobytes()
+
+
+def _carder(batches):
+    import pyarrow as pa
+
+    hashes = WordHash()
+    for b in batches:
+        sets = [shingle_set(t, hashes) for t in b.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([len(x) for x in sets], pa.int64()),
+                                          pa.array([bucket_hashes(x) for x in sets], pa.binary())], ["node", "n", "card"])
+
+
+def _lister(batches):
+    """Lists of groups as sorted binary: a tenth of the work of lists of Python integers later on."""
+    import pyarrow as pa
+
+    for b in batches:
+        if b.num_rows and max(int(x.max()) for x in b.column("grps").to_numpy(zero_copy_only=False)) >> 32:
+            raise OverflowError("more than 2**32 open groups: widen GROUP")
+        lists = [np.sort(x).astype(GROUP).tobytes() for x in b.column("grps").to_numpy(zero_copy_only=False)]
+        yield pa.RecordBatch.from_arrays([b.column("node"), b.column("n"), b.column("card"), pa.array(lists, pa.binary())],
+                                         ["node", "n", "card", "grps"])
+
+
+def _forest(cost: np.ndarray, root: np.ndarray) -> list[tuple[int, int]]:
+    """Minimum spanning forest of a symmetric cost matrix (1 << 16: no edge); equal roots are connected."""
+    none, m = 1 << 16, len(cost)  # above any count of differing buckets
+    out, todo = [], np.ones(m, bool)
+    cost = np.where(root[:, None] == root[None, :], 0, cost)
+    for start in range(m):
+        if not todo[start]:
+            continue
+        best, via = np.full(m, none), np.full(m, -1)
+        at = start
+        while True:
+            todo[at] = False
+            nearer = todo & (cost[at] < best)
+            best[nearer], via[nearer] = cost[at][nearer], at
+            left = np.where(todo, best, none)
+            at = int(left.argmin())
+            if left[at] >= none:
+                break
+            if root[via[at]] != root[at]:
+                out.append((int(via[at]), at))
+    return out
+
+
+def _paired(room: int, share: int, of: int):
+    """Members sorted by cell to candidate pairs (a, b); (null, grp) for a group that has more."""
+    def run(batches):
+        import pyarrow as pa
+
+        def frombuffer(raw):
+            return np.frombuffer(raw, GROUP)
+
+        def cell(grp, low, high, rows):
+            node, n, root, salt = (np.array(c, np.int64) for c in zip(*[r[:4] for r in rows]))
+            may = (root[:, None] != root[None, :]) & (of * n[:, None] >= share * n[None, :]) & (of * n[None, :] >= share * n[:, None])
+            if low != high:
+                may &= salt[:, None] != salt[None, :]
+            i, j = (x.astype(np.int32) for x in np.nonzero(np.triu(may, 1)))
+            del may
+            if not len(i):
+                return [], False
+            cards = np.stack([np.frombuffer(r[5], np.uint8) for r in rows])
+            differ = np.concatenate([_NIBBLES[cards[i[k : k + 4096]] ^ cards[j[k : k + 4096]]].sum(1, dtype=np.int32)
+                                     for k in range(0, len(i), 4096)])
+            # |difference| <= (of - share) / (of + share) * (a + b) for linked sets
+            keep = (of + share) * differ <= (of - share) * (n[i] + n[j])
+            i, j, differ = i[keep], j[keep], differ[keep]
+            # a pair belongs to the first of the groups that both are in
+            before = {int(x): frombuffer(rows[x][4]) for x in np.unique(np.r_[i, j])}
+            before = {x: set(g[: np.searchsorted(g, grp)].tolist()) for x, g in before.items()}
+            keep = np.array([before[x].isdisjoint(before[y]) for x, y in zip(i.tolist(), j.tolist())], bool)
+            i, j, differ = i[keep], j[keep], differ[keep]
+            if len(i) <= room * len(rows):
+                return list(zip(node[i].tolist(), node[j].tolist())), False
+            cost = np.full((len(rows), len(rows)), 1 << 16, np.int32)
+            cost[i, j] = cost[j, i] = differ
+            return [(int(node[x]), int(node[y])) for x, y in _forest(cost, root)], True
+
+        def out(found):
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        def close(key, rows, found):
+            if len(rows) > 1:
+                pairs, more = cell(*key, rows)
+                found += [(min(x), max(x)) for x in pairs]
+                if more:
+                    found.append((None, key[0]))
+
+        key, rows, found = None, [], []
+        for b in batches:
+            for r in rows_of(b, "grp", "low", "high", "node", "n", "root", "salt", "grps", "card"):
+                if r[:3] != key:
+                    close(key, rows, found)
+                    key, rows = r[:3], []
+                    if len(found) >= 20_000:
+                        yield out(found)
+                        found = []
+                rows.append(r[3:])
+        close(key, rows, found)
+        if found:
+            yield out(found)
+
+    return run
+
+
+def _open(groups: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Rows of groups that have several components, with the nodes' roots and the group's size."""
+    if roots is None:
+        rows = groups.withColumn("root", F.col("node"))
+    else:
+        rows = groups.join(roots, "node", "left").select("grp", "node", F.coalesce("root", "node").alias("root"))
+    by = Window.partitionBy("grp")
+    rows = rows.select("*", F.count(F.lit(1)).over(by).alias("m"), F.min("root").over(by).alias("r0"), F.max("root").over(by).alias("r1"))
+    return rows.where("r0 < r1").select("grp", "node", "root", "m")
+
+
 def link_components(groups: DataFrame, texts: DataFrame) -> DataFrame:
     """node, root of every node that links, from groups of candidate nodes (grp, node) and the nodes' texts."""
-    groups = written(groups, "groups")
-    most = PAIRS_PER_NODE * groups.select("node").distinct().count()
-    links, roots, tested = None, None, None
+    parts = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    used = groups.groupBy("node").agg(F.count(F.lit(1)).alias("used"))
+    hub = F.max(F.struct("used", "node")).over(Window.partitionBy("grp"))["node"]
+    pairs = groups.join(used, "node").select("grp", "node", hub.alias("hub")).where("node <> hub")
+    pairs = written(pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(), "pairs")
+    links = written(verified(pairs, texts), "links")
+    roots = components(links)
+    # groups of two are settled by their hub; the others are numbered, as a node's list of them travels with it
+    groups = written(_open(groups, roots).where("m > 2").select("grp", "node"), "open")
+    numbers = ranked(groups.select("grp").distinct(), [], ["grp"], unit_hash(F.col("grp"), seed=4), "number")
+    groups = written(groups.join(numbers, "grp").select(F.col("number").cast("long").alias("grp"), "node"), "open")
+    # a node is in as many groups as it has signatures at most; groups of one component no longer count
+    lists = groups.groupBy("node").agg(F.collect_list("grp").alias("grps"))
+    cards = texts.mapInArrow(_carder, "node long, n long, card binary").join(lists, "node")
+    cards = written(cards.mapInArrow(_lister, "node long, n long, card binary, grps binary"), "cards")
+    room = PAIRS_PER_NODE
     while True:
-        rows = groups
-        if roots is not None:
-            rows = rows.join(roots, "node", "left").select("grp", "node", F.coalesce("root", "node").alias("root"))
-        else:
-            rows = rows.withColumn("root", F.col("node"))
-        by_grp, by_part = Window.partitionBy("grp"), Window.partitionBy("grp", "root")
-        rows = rows.withColumn("in_part", F.count(F.lit(1)).over(by_part)).withColumn("size", F.count(F.lit(1)).over(by_grp))
-        rows = written(rows.where("in_part < size"), "open")  # groups of several components
-        left = rows.agg(F.sum((F.col("size") - F.col("in_part")) / 2)).first()[0]
-        if not left:
-            break
-        if left <= most:
-            other = rows.select("grp", F.col("node").alias("b"), F.col("root").alias("root_b"))
-            pairs = rows.join(other, "grp").where("root <> root_b AND node < b").select(F.col("node").alias("a"), "b")
-        else:
-            used = rows.groupBy("node").agg(F.count(F.lit(1)).alias("used"))
-            rows = rows.join(used, "node")
-            hub = F.min(F.struct("in_part", -F.col("used"), "node", "root")).over(by_grp)
-            rows = written(rows.withColumn("hub", hub).select("grp", "node", "root", F.col("hub.node").alias("hub"),
-                                                              F.col("hub.root").alias("hub_root")), "hubs")
-            pairs = rows.where("root <> hub_root").select(F.col("hub").alias("a"), F.col("node").alias("b"))
-            groups = rows.where("node <> hub").select("grp", "node")
-        pairs = pairs.distinct()
-        if tested is not None:
-            known = tested.union(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            pairs = pairs.join(known, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        found = written(verified(pairs, texts), "links")
-        links = found if links is None else links.union(found)
+        rows = _open(groups, roots).withColumn("s", F.ceil(F.col("m") / SLICE).cast("int"))
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("node", "grp"), F.col("s")).cast("int"))
+        rows = rows.withColumn("with", F.explode(F.expr("sequence(0, s - 1)"))).join(cards, "node").select(
+            "grp", F.least("salt", "with").alias("low"), F.greatest("salt", "with").alias("high"), "node", "n", "root", "salt", "grps", "card")
+        rows = rows.repartition(parts, "grp", "low", "high").sortWithinPartitions("grp", "low", "high")
+        found = written(rows.mapInArrow(_paired(room, SHARE, OF), "a long, b long"), "found")
+        new = written(found.where("a IS NOT NULL").distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
+        more = verified(new, texts)
+        links = written(links.union(more), "links")
         roots = components(links)
-        if left <= most:
-            break
-        tested = pairs if tested is None else tested.union(pairs)
-    return roots
+        open_groups = written(found.where("a IS NULL").select(F.col("b").alias("grp")).distinct(), "open")
+        if not open_groups.limit(1).count():
+            return roots
+        groups = written(groups.join(open_groups, "grp", "left_semi"), "groups")
+        pairs = written(pairs.union(new), "pairs")
+        room *= 8
 
 
 def jaccard_groups(docs: DataFrame) -> DataFrame:
@@ -258,11 +400,7 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     one = profile.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key"))
     texts = written(rows.select("key", "text").join(one, "key").groupBy("node").agg(F.min("text").alias("text")), "texts")
     roots = link_components(groups, texts)
-    if roots is not None:
-        profile = profile.join(roots, "node", "left")
-    else:
-        profile = profile.withColumn("root", F.lit(None).cast("long"))
-    profile = profile.withColumn("root", F.coalesce("root", "node"))
+    profile = profile.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = profile.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
     out = profile.join(least, "root", "left")
     component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least"))
