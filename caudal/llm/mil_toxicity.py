@@ -198,7 +198,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = MAX_PER_LABEL) -> d
         yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(train(bags))], pa.binary())})
 
     sample = training_sample(docs, labels, per_label).coalesce(1)
-    return pickle.loads(bytes(sample.mapInArrow(run, "model binary").first()["model"]))
+    row = sample.mapInArrow(run, "model binary").first()  # none if the sample has no partition
+    return pickle.loads(bytes(row["model"])) if row else train([])
 
 
 def score_documents(docs: DataFrame, model: dict, carry: list[str] | None = None) -> DataFrame:
