@@ -13,7 +13,8 @@ Partitions. In band i the shingle domain is cut into n = 2**i + 4 partitions by
 Enumerated subsets. Rank a set's partitions by a fixed order of their contents. The g highest of the partitions in which
 two linked sets agree are among the h + g highest of both, h = floor(a / 4) for a set of size a, since a partition
 ranked above them in one set is one of the H <= h that differ or one of these g. So if each set has one signature for each
-g-subset of its h + g highest partitions, linked sets share a signature: no link is lost. g is 2 for h up to 3, else 1.
+g-subset of its h + g highest partitions, linked sets share a signature: no link is lost. g is 2 in bands up to 3, else 1:
+a band's sets all have the same g, whatever their sizes.
 
 The order decides the cost, never the result: contents with rare shingles rank high, by counts over the whole corpus
 in a sketch of fixed size (``SKETCH`` counters), then contents of more shingles. A passage or line that very many
@@ -80,12 +81,11 @@ def signatures(shingles: np.ndarray, sketch: np.ndarray, mean: float) -> np.ndar
     h = a // 4
     if not h:  # a linked set would be equal
         return np.zeros(0, np.uint64)
-    g = 2 if h <= 3 else 1
     seen = sketch[(shingles & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]
     common = np.log2(1 + seen / mean).astype(np.int64)  # 0 or 1: no more than chance
     out = []
     for band in bands_of(a):
-        n = (1 << band) + 4
+        n, g = (1 << band) + 4, 2 if band <= 3 else 1  # by the band alone: both sets of a pair have the same
         part = ((shingles >> np.uint64(20)) % np.uint64(n)).astype(np.int64)
         content = np.zeros(n, np.uint64)
         np.add.at(content, part, mix(shingles + np.uint64(band)))

@@ -107,6 +107,26 @@ def test_linked_sets_share_a_signature(n, seed, hot):
     assert len(np.intersect1d(sa, sb))
 
 
+def test_linked_sets_of_all_small_sizes_share_a_signature():
+    rng = np.random.default_rng(7)
+    sketch = rng.integers(0, 3, 1 << partenum_join.SKETCH_BITS).astype(float)
+    for a in range(4, 41):
+        for b in range(a, 41):
+            both = math.ceil(80 * (a + b) / 180)  # the least intersection that links
+            if both > a or a == b == both:
+                continue
+            for _ in range(5):
+                union = rng.integers(0, 2**64, a + b - both, dtype=np.uint64)
+                sa, sb = (partenum_join.signatures(np.sort(s), sketch, 1.0) for s in (union[:a], union[a - both :]))
+                assert len(np.intersect1d(sa, sb)), (a, b)
+
+
+def test_a_word_appended_across_size_bands_links(spark):
+    text = sentence(random.Random(12), 19)  # 15 shingles, then 16
+    docs = spark.createDataFrame([(1, text), (2, text + " more")], "doc_id long, text string")
+    assert {r.component_id for r in partenum_join.jaccard_groups(docs).collect()} == {1}
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "a long, b long")
     got = {r.node: r.root for r in components(links).collect()}
