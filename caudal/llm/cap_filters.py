@@ -15,8 +15,8 @@ A filter's members are salted into slices of about ``SLICE`` rows; each pair of
 hot filter nor a class of copies meets in one task, and pairs are counted in matrices of slices, never emitted: a task
 returns a count per vector and as few links as connect its members.
 
-Null, zero, empty and non-finite vectors, vectors of another length than most, and null labels link with nothing. Null
-ids take no part in links and get a null component. Rows that repeat an id with the same vector and label are rows of
+Vectors of each length have filters and cells of their own: vectors of different lengths have no cosine. Null, zero,
+empty and non-finite vectors and null labels link with nothing. Null ids take no part in links and get a null component. Rows that repeat an id with the same vector and label are rows of
 their own that link (cosine 1); component_id is the smallest id reached. An empty table gives no rows.
 """
 
@@ -43,7 +43,7 @@ class Filters:
 
     def __init__(self, dim: int, parts: int = PARTS, directions: int = DIRECTIONS, caps: int = CAPS, seed: int = SEED):
         rng = np.random.default_rng(seed)
-        self.parts = min(parts, dim)
+        self.dim, self.directions, self.parts = dim, directions, min(parts, dim)
         self.turn = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
         self.cuts = [dim * i // self.parts for i in range(self.parts + 1)]
         self.codes = []
@@ -93,25 +93,32 @@ def classes_of(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     # copies of a vector meet as partial counts only
     classes = rows.where("node IS NOT NULL").groupBy("node").agg(
         F.first("label").alias("label"), F.count(F.lit(1)).alias("n"), F.first("v").alias("v"))
-    sizes = classes.groupBy(F.size("v").alias("d")).agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "d").limit(1)
-    classes = classes.join(F.broadcast(sizes.select("d")), F.size("v") == F.col("d")).drop("d")  # one row
     return rows.select("vec_id", "node"), written(classes, "classes")
 
 
 def _decoder(filters: Filters):
-    """Adds to each class its filters and replaces its vector by the unit vector."""
+    """Adds to each class its length and its filters among those of the length, and replaces its vector by the unit vector.
+
+    ``filters`` are of one length; other lengths get filters like them. Classes come sorted by length."""
     def run(batches):
         import pyarrow as pa
 
+        now = filters
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
-                v = np.array(part.column("v").to_pylist(), np.float64)
-                v /= np.abs(v).max(1, keepdims=True)  # lengths neither over- nor underflow
-                unit = v / np.linalg.norm(v, axis=1, keepdims=True)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("node"), part.column("label"), part.column("n"), pa.array(filters.decode(unit), pa.list_(pa.int64())),
-                     pa.array([u.astype("<f8").tobytes() for u in unit], pa.binary())], ["node", "label", "n", "caps", "v"])
+            dims = b.column("d").to_numpy()
+            ends = np.flatnonzero(np.diff(dims)) + 1
+            for low, high in zip([0, *ends.tolist()], [*ends.tolist(), len(dims)]):
+                if low < high and dims[low] != now.dim:
+                    now = Filters(int(dims[low]), directions=filters.directions)
+                for at in range(low, high, 512):
+                    part = b.slice(at, min(512, high - at))
+                    v = np.array(part.column("v").to_pylist(), np.float64)
+                    v /= np.abs(v).max(1, keepdims=True)  # lengths neither over- nor underflow
+                    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("node"), part.column("label"), part.column("n"), part.column("d"),
+                         pa.array(now.decode(unit), pa.list_(pa.int64())),
+                         pa.array([u.astype("<f8").tobytes() for u in unit], pa.binary())], ["node", "label", "n", "d", "caps", "v"])
 
     return run
 
@@ -137,7 +144,7 @@ def _earlier(caps: list[np.ndarray], cap: int) -> np.ndarray:
 
 
 def _verifier(cosine: float):
-    """Members sorted by cell (cap, label, slice pair) to node, n (vectors linked here), other (a node of the same
+    """Members sorted by cell (length, cap, label, slice pair) to node, n (vectors linked here), other (a node of the same
     component, or null)."""
     def run(batches):
         import pyarrow as pa
@@ -161,17 +168,17 @@ def _verifier(cosine: float):
 
         key, rows, found = None, [], []
         for b in batches:
-            for r in rows_of(b, "cap", "label", "low", "high", "node", "n", "salt", "caps", "v"):
-                if r[:4] != key:
+            for r in rows_of(b, "cap", "label", "d", "low", "high", "node", "n", "salt", "caps", "v"):
+                if r[:5] != key:
                     if len(rows) > 1:
-                        found.append(cell(key[0], *key[2:], rows))
-                    key, rows = r[:4], []
+                        found.append(cell(key[0], *key[3:], rows))
+                    key, rows = r[:5], []
                     if len(found) >= 500:
                         yield out(found)
                         found = []
-                rows.append(r[4:])
+                rows.append(r[5:])
         if len(rows) > 1:
-            found.append(cell(key[0], *key[2:], rows))
+            found.append(cell(key[0], *key[3:], rows))
         if found:
             yield out(found)
 
@@ -182,17 +189,17 @@ def near_links(classes: DataFrame, filters: Filters, cosine: float = COSINE, sli
     """node, n (linked vectors of other classes found in a cell), other (a node of the same component)."""
     spark = classes.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    decoded = written(classes.select("node", "label", "n", "v").repartition(parts)
-                      .mapInArrow(_decoder(filters), "node long, label long, n long, caps array<long>, v binary"), "caps")
-    members = decoded.select("node", "label", F.explode("caps").alias("cap"))
+    sized = classes.select("node", "label", "n", F.size("v").alias("d"), "v").repartition(parts).sortWithinPartitions("d")
+    decoded = written(sized.mapInArrow(_decoder(filters), "node long, label long, n long, d int, caps array<long>, v binary"), "caps")
+    members = decoded.select("node", "label", "d", F.explode("caps").alias("cap"))
     # most filters have one member: only narrow rows meet to find the others
-    full = members.groupBy("cap", "label").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    cells = (members.join(full, ["cap", "label"]).withColumn("s", F.ceil(F.col("m") / slice_rows).cast("int"))
+    full = members.groupBy("cap", "label", "d").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    cells = (members.join(full, ["cap", "label", "d"]).withColumn("s", F.ceil(F.col("m") / slice_rows).cast("int"))
              .withColumn("salt", F.pmod(F.xxhash64("node", "cap"), F.col("s")).cast("int"))
              .withColumn("with", F.explode(F.expr("sequence(0, s - 1)")))
-             .select("cap", "label", F.least("salt", "with").alias("low"), F.greatest("salt", "with").alias("high"), "salt", "node"))
+             .select("cap", "label", "d", F.least("salt", "with").alias("low"), F.greatest("salt", "with").alias("high"), "salt", "node"))
     cells = cells.join(decoded.select("node", "n", "caps", "v"), "node")
-    key = ["cap", "label", "low", "high"]
+    key = ["cap", "label", "d", "low", "high"]
     cells = cells.repartition(parts, *key).sortWithinPartitions(*key)
     return cells.select(*key, "node", "n", "salt", "caps", "v").mapInArrow(_verifier(cosine), "node long, n long, other long")
 

@@ -98,6 +98,19 @@ def test_near_duplicates_reach_almost_all_pairs(spark):
     assert tuple(got[None]) == (None, 0, None, False)
 
 
+def test_vectors_of_every_length_link_with_their_own(spark):
+    rng = np.random.default_rng(9)
+    rows = clusters(rng)
+    for dim in (1, 3, 33):
+        centre = rng.normal(size=dim) + 3
+        rows += [(1000 * dim + i, (centre * (1 + 1e-3 * rng.normal(size=dim)) * s).astype(np.float32).tolist(), 1) for i, s in enumerate([1, 1, 2, 5])]
+    got = {r.vec_id: tuple(r) for r in cap_filters.near_duplicates(table(spark, rows)).collect()}
+    for dim in (1, 3, 33):
+        for w in links_by_hand([x for x in rows if len(x[1]) == dim], dim):
+            assert w[1] == 3 and got[w[0]] == w
+    assert len(got) == len(rows)
+
+
 def test_slices_of_a_hot_filter(spark, monkeypatch):
     rng = np.random.default_rng(6)
     centre = rng.normal(size=16)
