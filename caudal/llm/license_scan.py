@@ -8,7 +8,8 @@ length; windows of a class overlap by half, so one of them holds a whole copy.
   class has as many bands as make a miss rarer than ``MISS`` at the least Jaccard similarity that a window around a
   matching copy can have, so retrieval is certain up to that probability, exactly certain where copies fill the window.
 * Verification: the share of the template's distinct shingles that lie in the candidate window; a match needs
-  ``CONTAINMENT``. The best window of each template and document is returned, the first among equals.
+  ``CONTAINMENT``. Matching windows of a template that overlap are merged, and each copy in them is returned with the
+  words it spans: a text that holds a notice several times has a row for each.
 
 Window minima are built from halves, so a class costs one pass over its minima. Templates are a parameter of at most
 ``MAX_TEMPLATES``, which every task holds; texts are read whole by one scan without a shuffle.
@@ -20,6 +21,8 @@ Repeated rows and null ids are rows of their own. An empty table gives no rows.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -116,6 +119,57 @@ def bands_for(shingles: int, size: int, containment: float = CONTAINMENT, miss:
     return 1 if jaccard >= 1 else min(len(_SEEDS), math.ceil(math.log(miss) / math.log(1 - jaccard)))
 
 
+def copies(at: list[int], found: list[int], rank: dict[int, int], distinct: int, size: int, containment: float) -> list[tuple[int, int, int]]:
+    """Disjoint copies of a template among its shingles in a text: first and last place, distinct shingles.
+
+    ``at`` and ``found``: places and hashes of the shingles that the template has; ``rank``: their places in the template.
+    A copy's core is the earliest run, of at most ``size`` places, that holds enough distinct shingles, and what follows
+    it in the template's order. What lies between two cores is dealt to both where they gain most, and a copy ends where
+    it gains nothing more."""
+    cores, low, counts = [], 0, Counter()
+    for i, x in enumerate(found):
+        if i < low:
+            continue
+        counts[x] += 1
+        while counts[found[low]] > 1 or at[i] - at[low] >= size:  # no shorter run holds as many
+            counts[found[low]] -= 1
+            if not counts[found[low]]:
+                del counts[found[low]]
+            low += 1
+        if len(counts) / distinct >= containment:
+            end = i
+            while end + 1 < len(found) and rank[found[end + 1]] > rank[found[end]] and found[end + 1] not in counts and at[end + 1] - at[low] < size:
+                end += 1
+                counts[found[end]] += 1
+            cores.append((low, end))
+            low, counts = end + 1, Counter()
+
+    def gains(core, side):
+        """Hits of ``side``, in order from the core, that are new to it, as places in ``side``."""
+        have, out = set(found[core[0] : core[1] + 1]), []
+        for k, j in enumerate(side):
+            if abs(at[j] - at[core[0] if j < core[0] else core[1]]) >= size:
+                break
+            if found[j] not in have:
+                have.add(found[j])
+                out.append(k + 1)
+        return out
+
+    spans = [list(c) for c in cores]
+    for c in range(len(cores) + 1):
+        first = cores[c - 1][1] + 1 if c else 0
+        last = cores[c][0] if c < len(cores) else len(found)
+        after = gains(cores[c - 1], range(first, last)) if c else []
+        before = gains(cores[c], range(last - 1, first - 1, -1)) if c < len(cores) else []
+        best = max([0, *after], key=lambda k: (bisect_right(after, k) + bisect_right(before, last - first - k), -k))
+        if c:
+            spans[c - 1][1] = first + best - 1
+        if c < len(cores):
+            reach = bisect_right(before, last - first - best)
+            spans[c][0] = last - before[reach - 1] if reach else last
+    return [(at[i], at[j], len(set(found[i : j + 1]))) for i, j in spans]
+
+
 class Templates:
     """Shingle sets of the templates and, per window class and band, the MinHash values to look for."""
 
@@ -123,12 +177,13 @@ class Templates:
         if len(texts) > MAX_TEMPLATES:
             raise ValueError(f"more than {MAX_TEMPLATES} templates")
         hashes, self.containment = LicenseWords(), containment
-        self.names, self.sets, by_class = list(texts), [], {}
+        self.names, self.sets, self.ranks, by_class = list(texts), [], [], {}
         for i, name in enumerate(self.names):
-            s = np.unique(document_shingles(texts[name].encode(), hashes)[0])
+            s, first = np.unique(document_shingles(texts[name].encode(), hashes)[0], return_index=True)
             if not len(s):
                 raise ValueError(f"template {name} has fewer than {SHINGLE_WORDS} words")
             self.sets.append(s)
+            self.ranks.append(dict(zip(s.tolist(), first.tolist())))
             size = window_class(len(s))
             by_class.setdefault(size, []).append((i, bands_for(len(s), size, containment, miss)))
         #: class size -> bands, sorted MinHash values to look for, and the template of each
@@ -165,17 +220,24 @@ class Templates:
         return sorted(out)
 
     def scan(self, text: bytes, hashes: LicenseWords):
-        """Best match of each template in a text: (name, first word, word after the last, containment)."""
+        """Copies of each template in a text: (name, first word, word after the last, containment)."""
         shingles, place = document_shingles(text, hashes)
-        best = {}
-        if len(shingles):
-            for size, at, t in self.candidates(shingles):
-                cut = shingles[at : at + size]
-                inside = np.flatnonzero(np.isin(cut, self.sets[t]))
-                share = len(np.unique(cut[inside])) / len(self.sets[t])
-                if share >= self.containment and share > best.get(t, (0,))[0]:
-                    best[t] = (share, int(place[at + inside[0]]), int(place[at + inside[-1] + SHINGLE_WORDS - 1]) + 1)
-        return [(self.names[t], a, b, share) for t, (share, a, b) in sorted(best.items())]
+        areas = {}
+        for size, at, t in self.candidates(shingles) if len(shingles) else []:
+            cut = shingles[at : at + size]
+            if len(np.intersect1d(cut, self.sets[t])) / len(self.sets[t]) >= self.containment:
+                mine = areas.setdefault(t, [])
+                if mine and at <= mine[-1][1]:
+                    mine[-1][1] = at + size
+                else:
+                    mine.append([at, at + size, size])
+        out = []
+        for t, mine in sorted(areas.items()):
+            for low, high, size in mine:
+                inside = low + np.flatnonzero(np.isin(shingles[low:high], self.sets[t]))
+                for a, b, n in copies(inside.tolist(), shingles[inside].tolist(), self.ranks[t], len(self.sets[t]), size, self.containment):
+                    out.append((self.names[t], int(place[a]), int(place[b + SHINGLE_WORDS - 1]) + 1, n / len(self.sets[t])))
+        return out
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:

@@ -284,6 +284,21 @@ def test_licenses_match_brute_force(spark, odd_docs, no_docs):
     assert license_scan.scan_licenses(odd_docs).count() == 0 == license_scan.scan_licenses(no_docs).count()
 
 
+def test_every_copy_of_a_repeated_notice_is_listed(spark):
+    r, rows, want = random.Random(14), [], Counter()
+    for i, (name, t) in enumerate(license_scan.TEMPLATES.items()):
+        n, words = len(t.split()), []
+        for gap in (30, 0, 1, 7, n, 200):  # copies side by side, near and far
+            words += sentence(r, gap).split()
+            want[i, name, len(words), len(words) + n] += 1
+            words += t.split()
+        rows.append((i, " ".join(words)))
+    got = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    names = list(license_scan.TEMPLATES)
+    assert Counter((x.doc_id, x.template, x.start, x.stop) for x in got if x.template == names[x.doc_id]) == want
+    assert {x.containment for x in got if x.template == names[x.doc_id]} == {1.0}
+
+
 def test_bands_make_misses_rare():
     for n in range(1, 300):
         size = license_scan.window_class(n)
