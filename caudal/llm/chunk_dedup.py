@@ -8,7 +8,10 @@ gives the same chunks in both.
 A chunk is identified by a 64-bit digest of its words. Of equal chunks over the whole table, the first (by doc_id, nulls
 last, then by a hash of the text, then by place) stays. The others are repeats; those in an unbroken run of at least
 ``MIN_RUN`` words are removed. Shorter runs stay, so stock phrases, short common lines and a chance collision of
-digests remove nothing; a shared passage of over 50 words holds such a run.
+digests remove nothing. A shared passage need not hold such a run, as cuts depend on the cut before and must fall into
+step first: simulated on random words, two copies of a passage in random surroundings, 70 of 20000 passages of 51 words
+stayed whole, 22 of 55, 11 of 60 and none of 80. Where a run is found, about 12 words of the passage stay on average:
+those before the step and in its last, partial chunk. Runs are not extended word by word to the passage's edges.
 
 Repeats within one input task are settled there: only the first of equal chunks of a task moves, flagged repeats go to
 their document straight away. So a chunk that a third of all rows hold arrives once per task at most.
