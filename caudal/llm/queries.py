@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caudal.llm import (cap_filters, chunk_dedup, entropy_mix, license_scan, mil_toxicity, partenum_join,
-                        stratified_shards, tier_packing, token_files, tokens, topk_norm)
+from caudal.llm import (cap_filters, chunk_dedup, entropy_mix, license_scan, mil_toxicity, partenum_join, periodic_runs,
+                        ppm_scoring, qr_whitening, stratified_shards, tier_packing, token_files, tokens, topk_norm)
 from caudal.llm.common import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +143,22 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     """License notices in all documents."""
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op11_ppm_scoring")
+def op11(spark, sf_dir):
+    """PPM scores of all documents by a model of those outside the held-out fifth."""
+    held_out = F.crc32(F.col("doc_id").cast("long").cast("string")) % 5 == 1
+    return ppm_scoring.score_documents(table(spark, sf_dir, "documents"), held_out)
+
+
+@query("op12_periodic_runs")
+def op12(spark, sf_dir):
+    """Periodic runs of words in all documents, of which every tenth has a planted tail that repeats."""
+    return periodic_runs.scan(table(spark, sf_dir, "documents"), periodic_runs.digest, periodic_runs.DIGEST, periodic_runs.planted)
+
+
+@query("op13_qr_whitening")
+def op13(spark, sf_dir):
+    """The 4 first whitened components of all embeddings."""
+    return qr_whitening.whiten(table(spark, sf_dir, "embeddings"))
