@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,29 +13,81 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _unaccented() -> tuple[str, str]:
-    """Precomposed letters that decompose into one letter and combining marks, and those letters."""
-    accented, plain = [], []
-    for code in (*range(0xC0, 0x250), *range(0x370, 0x530), *range(0x1E00, 0x2000)):
-        bare = "".join(c for c in unicodedata.normalize("NFD", chr(code)) if unicodedata.category(c) != "Mn")
-        if len(bare) == 1 and bare != chr(code):
-            accented.append(chr(code))
-            plain.append(bare)
-    return "".join(accented), "".join(plain)
+def bound(c: Column, fn) -> Column:
+    """``fn(c)`` with ``c`` computed once, however often ``fn`` uses it. The part inside is interpreted, not compiled: it is
+    for rare cases whose code would make the whole stage too large."""
+    return F.element_at(F.transform(F.array(c), fn), 1)
 
 
-ACCENTED, PLAIN = _unaccented()
+#: White space as Python's ``str.strip`` knows it.
+WHITE_SPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
-def normalize_name(c: Column | str) -> Column:
-    """CLN1: lower case, trimmed, combining marks removed ("Río Negro" -> "rio negro").
+def strip(c: Column | str) -> Column:
+    """Text without white space of any kind (tab, CR, no-break and other Unicode spaces) at its ends."""
+    return F.btrim(_c(c), F.lit(WHITE_SPACE))
+
+
+@lru_cache(maxsize=1)
+def decompositions() -> tuple[str, str, dict[str, str]]:
+    """Canonical decompositions without their combining marks, from the Unicode data, Hangul aside.
 
-    Spark has no NFD decomposition: precomposed Latin, Greek and Cyrillic letters are folded with
-    ``translate`` by a table made from the Unicode data, and marks that stand alone are dropped
-    with a regex. Both run JVM-side inside codegen.
+    Characters that become one character, those characters, and a map of the few that become several or none.
     """
-    folded = F.translate(F.lower(F.trim(_c(c))), ACCENTED, PLAIN)
-    return F.regexp_replace(folded, r"\p{Mn}", "")
+    from_one, to_one, to_more = [], [], {}
+    for code in range(0xC0, 0x110000):
+        c = chr(code)
+        if 0xAC00 <= code <= 0xD7A3 or not unicodedata.decomposition(c):
+            continue
+        whole = unicodedata.normalize("NFD", c)
+        bare = "".join(x for x in whole if unicodedata.category(x) != "Mn")
+        if whole == c or bare == c:
+            continue
+        if len(bare) == 1:
+            from_one.append(c)
+            to_one.append(bare)
+        elif bare:
+            to_more[c] = bare
+    return "".join(from_one), "".join(to_one), to_more
+
+
+def _hangul(ch: Column) -> Column:
+    """Jamo of a Hangul syllable by the arithmetic of its code point: leading consonant, vowel, and a final one or none."""
+    def letters(first, n):
+        return F.array(*[F.lit(chr(first + i)) for i in range(n)])
+
+    s = F.ascii(ch) - 0xAC00
+    finals = F.concat(F.array(F.lit("")), letters(0x11A8, 27))
+    return F.concat(F.element_at(letters(0x1100, 19), F.floor(s / 588).cast("int") + 1),
+                    F.element_at(letters(0x1161, 21), F.floor(s % 588 / 28).cast("int") + 1),
+                    F.element_at(finals, (s % 28).cast("int") + 1))
+
+
+def unaccented(c: Column | str) -> Column:
+    """Canonical decomposition (NFD) without combining marks (category Mn), over all of Unicode.
+
+    Spark has no NFD: characters that decompose into one and marks are folded with ``translate``; Hangul syllables and
+    the few that decompose into several go character by character; marks that stand alone are dropped. ASCII text
+    takes none of these steps.
+    """
+    before, after, more = decompositions()
+    table = F.create_map(*[F.lit(x) for kv in more.items() for x in kv])
+    several = "[\\x{AC00}-\\x{D7A3}" + "".join(more) + "]"
+
+    def one(ch):
+        return F.when(ch.between("\uac00", "\ud7a3"), _hangul(ch)).otherwise(F.coalesce(F.element_at(table, ch), ch))
+
+    def split(x):
+        return F.when(x.rlike(several), F.array_join(F.transform(F.split(x, ""), one), "")).otherwise(x)
+
+    col = _c(c)
+    bare = bound(F.translate(col, before, after), lambda x: F.regexp_replace(split(x), r"\p{Mn}", ""))
+    return F.when(col.rlike(r"[^\x00-\x7F]"), bare).otherwise(col)
+
+
+def normalize_name(c: Column | str) -> Column:
+    """CLN1: lower case, stripped of white space, combining marks removed ("Río Negro\\r" -> "rio negro")."""
+    return unaccented(strip(F.lower(_c(c))))
 
 
 def repair_double_encoding(c: Column | str) -> Column:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from caudal.functions.date_shapes import shape_counts, with_day_first
 from caudal.functions.ids import stable_id
+from caudal.functions.text import strip
 from caudal.operators import clean, keys, load
 from caudal.plans import surrogates as S
 from caudal.plans.oracle import with_ctes
@@ -62,11 +64,13 @@ def _clean_lab(spark, d):
 
 # ------------------------------------------------------------------ cleaners
 
-@register("cln1_normalize_names", with_ctes([], f"""
-SELECT DISTINCT CASE WHEN l.l_linenumber % 2 = 0 THEN ' ' || lower(n.n_name) ELSE n.n_name END AS departamento,
-       lower(trim(strip_accents(CASE WHEN l.l_linenumber % 2 = 0 THEN ' ' || lower(n.n_name) ELSE n.n_name END)))
-         AS nombre_norm
-FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey""".replace(
+@register("cln1_normalize_names", with_ctes([], """
+SELECT DISTINCT departamento, lower(trim(strip_accents(departamento), ' ' || chr(9) || chr(13) || chr(160))) AS nombre_norm
+FROM (SELECT CASE l.l_linenumber % 5 WHEN 0 THEN ' ' || lower(n.n_name) WHEN 1 THEN n.n_name WHEN 2 THEN n.n_name || chr(9)
+             WHEN 3 THEN list_aggregate(list_transform(string_split(n.n_name, ' '), lambda w: upper(w[1]) || lower(w[2:])),
+                                        'string_agg', ' ') || chr(160)
+             ELSE translate(n.n_name, 'AEIOUC', 'ÁÈÎÕÜḈ') || chr(13) END AS departamento
+      FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey)""".replace(
     "WITH \n", "")))
 def cln1(spark, d):
     """CLN1 name normaliser over the raw sample department names."""
@@ -161,6 +165,40 @@ def cln12(spark, d):
     return clean.clean_claims(S.raw_claims(spark, d), min_year=1995)
 
 
+@register("cln2_date_shapes", with_ctes([], """
+SELECT shape, COUNT(*) AS rows, COUNT(*) FILTER (WHERE shape IS NOT NULL) AS dates FROM (
+  SELECT CASE WHEN event_id % 97 = 0 THEN NULL ELSE
+         CASE event_id % 9 WHEN 1 THEN 'zoned' WHEN 2 THEN 'zoned' WHEN 3 THEN 'compact' WHEN 4 THEN 'hour' WHEN 5 THEN 'numeric'
+              WHEN 6 THEN 'named' ELSE 'iso' END END AS shape FROM events)
+GROUP BY 1""".replace("WITH \n", "")))
+def cln2_shapes(spark, d):
+    """CLN2 how the dates of the hourly series are written: rows and dates per shape."""
+    return shape_counts(S.raw_hourly(spark, d), "fecha")
+
+
+@register("cln12_numeric_dates", with_ctes([], """
+SELECT archivo, day_first, COUNT(*) AS rows, COUNT(fecha) AS dates, MIN(fecha) AS first_date, MAX(fecha) AS last_date,
+       COALESCE(SUM(date_diff('day', DATE '1990-01-01', CAST(fecha AS DATE))), 0)::BIGINT AS day_sum
+FROM (SELECT archivo, day_first, CASE WHEN day_first THEN CAST(f AS TIMESTAMP)
+                                      WHEN day(f) <= 12 THEN make_timestamp(year(f), day(f), month(f), 0, 0, 0) END AS fecha
+      FROM (SELECT c.c_nationkey AS archivo, o.o_orderkey AS k, CAST(o.o_orderdate AS DATE) AS f,
+                   day(first_value(CAST(o.o_orderdate AS DATE)) OVER (PARTITION BY c.c_nationkey ORDER BY o.o_orderkey)) > 12 AS day_first
+            FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey))
+GROUP BY 1, 2""".replace("WITH \n", "")))
+def cln12_numeric(spark, d):
+    """CLN12 day/month dates, a file per nation: the order follows from each file's first value."""
+    o = S.read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    c = S.read(spark, d, "customer").select("c_custkey", "c_nationkey")
+    raw = o.join(c, o.o_custkey == c.c_custkey).select(
+        F.col("c_nationkey").alias("archivo"), F.col("o_orderkey").alias("pos"), F.date_format("o_orderdate", "d/M/yyyy").alias("texto"))
+    read = with_day_first(raw, "texto", ["archivo"], ["pos"])
+    read = read.select("archivo", "day_first", clean.to_timestamp_lenient("texto", F.col("day_first")).alias("fecha"))
+    return read.groupBy("archivo", "day_first").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("fecha").alias("dates"), F.min("fecha").alias("first_date"),
+        F.max("fecha").alias("last_date"),
+        F.coalesce(F.sum(F.datediff("fecha", F.lit("1990-01-01").cast("date"))), F.lit(0)).cast("long").alias("day_sum"))
+
+
 @register("cln13_claim_type_map", with_ctes([], """
 SELECT tipo_reclamo, COUNT(*) AS n FROM (SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'ALTO_CONSUMO'
        WHEN '2-HIGH' THEN 'ERROR_ESTIMACION' WHEN '3-MEDIUM' THEN 'DENUNCIA_NOTIFICACION_FACTURAS'
@@ -336,7 +374,7 @@ def _hourly_with_pos(raw):
     """CLN2 + CLN3 keeping the input position (event_id) for first-row-wins rules."""
     f = raw.dropna(subset=["fecha", "estacion_id", "precip_horario"])
     f = f.select(F.col("event_id").alias("pos"), clean.to_timestamp_lenient("fecha").alias("fecha"),
-                 F.trim("estacion_id").alias("estacion_id"), clean.to_number("precip_horario").alias("value"))
+                 strip("estacion_id").alias("estacion_id"), clean.to_number("precip_horario").alias("value"))
     f = f.dropna(subset=["fecha", "estacion_id", "value"])
     return f.select("pos", "estacion_id", F.col("fecha").alias("fecha_inicio"), "value")
 

@@ -107,6 +107,33 @@ def sentinel_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- raw source frames (string typed)
 
+def _with_text(df: DataFrame, text: Column, name: str) -> DataFrame:
+    """``df`` with a text column that is there as if read from a file: not computed again at each use."""
+    return df.select("*", F.inline(F.array(F.struct(text.alias(name)))))
+
+
+def _by_turns(key: Column, forms: list[Column]) -> Column:
+    """Form i for the rows with key % n = i."""
+    out = None
+    for i, f in enumerate(forms):
+        out = (F.when if out is None else out.when)(key % len(forms) == i, f)
+    return out
+
+
+def _day_texts(day: Column) -> list[Column]:
+    """A day as sources write it."""
+    plain = F.date_format(day, "yyyy-MM-dd")
+    return [plain, F.date_format(day, "yyyy/M/d"), F.date_format(day, "yyyyMMdd"), F.date_format(day, "MM/dd/yyyy"),
+            F.date_format(day, "dd-MMM-yyyy"), F.concat(plain, F.lit("\r")), F.concat(F.lit("\u00a0"), plain, F.lit("\t"))]
+
+
+def _hour_texts(ts: Column) -> list[Column]:
+    """An hour as sources write it."""
+    plain = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+    return [plain, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.concat(F.date_format(ts - F.expr("INTERVAL 3 HOURS"), "yyyy-MM-dd HH:mm"), F.lit("-03:00")),
+            F.date_format(ts, "yyyyMMdd'T'HHmmss"), F.date_format(ts, "yyyy-MM-dd HH"), F.date_format(ts, "MM/dd/yyyy hh:mm a"),
+            F.date_format(ts, "d MMM yyyy HH:mm"), F.concat(plain, F.lit("\r")), F.concat(F.lit("\u00a0"), F.date_format(ts, "yyyy/MM/dd H:mm"))]
+
 def raw_ose_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1-shaped quarterly categorical samples (``;`` CSV columns, all text)."""
     li = read(spark, sf_dir, "lineitem").select(
@@ -127,7 +154,9 @@ def raw_ose_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("M1").alias("metodo"),
         F.lit("Lab A").alias("laboratorio"),
         F.lit("Centro").alias("localidad"),
-        F.when(ln % 2 == 0, F.concat(F.lit(" "), F.lower("n_name"))).otherwise(F.col("n_name")).alias("departamento"),
+        _by_turns(ln, [F.concat(F.lit(" "), F.lower("n_name")), F.col("n_name"), F.concat(F.col("n_name"), F.lit("\t")),
+                       F.concat(F.initcap("n_name"), F.lit("\u00a0")), F.concat(F.translate("n_name", "AEIOUC", "ÁÈÎÕÜḈ"), F.lit("\r"))])
+        .alias("departamento"),
         (F.col("l_orderkey") * 10 + ln).cast("string").alias("id_muestra_m"),
         F.when(F.col("l_linestatus") == "F", "COLIFORMES TOTALES").otherwise("COLIFORMES FECALES").alias("parametro"),
         valor.alias("valor"),
@@ -139,10 +168,10 @@ def raw_ose_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F4-shaped hourly series from ``events``: text columns with padding and garbage."""
     e = read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    return e.select(
-        F.when(F.col("event_id") % 97 == 0, F.lit(None).cast("string"))
-        .otherwise(F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd HH:mm:ss")).alias("fecha"),
-        F.concat(F.lit(" S"), F.col("user_id").cast("string"), F.lit(" ")).alias("estacion_id"),
+    texts = _by_turns(F.col("event_id"), _hour_texts(F.date_trunc("hour", "ts")))
+    return _with_text(e, F.when(F.col("event_id") % 97 == 0, F.lit(None).cast("string")).otherwise(texts), "fecha").select(
+        "fecha",
+        F.concat(F.lit(" S"), F.col("user_id").cast("string"), _by_turns(F.col("event_id"), [F.lit(" "), F.lit("\u00a0"), F.lit("\r")])).alias("estacion_id"),
         F.when(F.col("event_type") == "error", F.lit("no_numerico"))
         .otherwise(F.col("value").cast("string")).alias("precip_horario"),
         F.col("event_id"),
@@ -163,11 +192,11 @@ def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "Error de Lectura Web")
         .otherwise(F.when(k % 2 == 0, "Tipo Desconocido").otherwise("Varios"))
     )
-    return j.select(
+    fecha = F.when(k % 61 == 3, F.lit("fecha invalida")).otherwise(_by_turns(k, _day_texts(F.to_date("o_orderdate"))))
+    return _with_text(j, fecha, "fecha_ingreso").select(
         F.when(F.col("c_nationkey") % 2 == 0, "Norte").otherwise("Sur").alias("region"),
         F.when(k % 50 == 7, F.lit("SIN DATOS")).otherwise(F.col("n_name")).alias("departamento"),
-        F.when(k % 61 == 3, F.lit("fecha invalida"))
-        .otherwise(F.to_date("o_orderdate").cast("string")).alias("fecha_ingreso"),
+        "fecha_ingreso",
         tipo.alias("tipo_reclamo_comercial"),
         k.cast("string").alias("id_reclamo_comercial_m"),
         F.lit("x").alias("extra"),
@@ -328,10 +357,10 @@ def raw_lab_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_tax", "l_returnflag", "l_shipdate")
     k = F.col("l_suppkey")
     code = F.when(F.col("l_returnflag") == "A", "TOTCOLI").when(F.col("l_returnflag") == "N", "ECOLI").otherwise("pH")
-    return li.select(
+    return _with_text(li, _by_turns(F.col("l_orderkey"), _day_texts(F.to_date("l_shipdate"))), "Sample Date").select(
         F.concat(F.when(k % 9 == 4, F.lit("ARG")).otherwise(F.lit("URY")), F.lpad(k.cast("string"), 6, "0"))
         .alias("GEMS Station Number"),
-        F.to_date("l_shipdate").cast("string").alias("Sample Date"),
+        "Sample Date",
         F.when(F.col("l_linenumber") % 2 == 0, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lpad((F.col("l_linenumber") + 7).cast("string"), 2, "0"), F.lit(":30:00")))
         .alias("Sample Time"),
