@@ -98,12 +98,11 @@ class Block:
         self.order = np.argsort(bucket, kind="stable")
         self.grams, self.gram_n, self.gram_bucket = self.sorted_grams[self.order], counts[self.order], bucket[self.order]
         known = Counter(chain.from_iterable(self.lists[i] for i in train))
-        for i in held:
-            known.update(dict.fromkeys(set(self.lists[i]).difference(known), 0))
-        each = sorted((zlib.crc32(w) % buckets, w) for w in known)
-        self.words = [w for _, w in each]
-        self.word_bucket = np.fromiter((b for b, _ in each), np.int64, len(each))
-        self.word_n = np.fromiter(map(known.__getitem__, self.words), np.int64, len(each))
+        every = sorted(known.keys() | chain.from_iterable(self.lists[i] for i in held))
+        bucket = np.fromiter(map(zlib.crc32, every), np.int64, len(every)) % buckets
+        order = np.argsort(bucket, kind="stable")
+        self.words, self.word_bucket = [every[i] for i in order.tolist()], bucket[order]
+        self.word_n = np.fromiter((known.get(w, 0) for w in self.words), np.int64, len(every))
 
     def rows(self, buckets: int):
         """(bucket, grams, gram_n, words, word_n) of each bucket that holds something."""
