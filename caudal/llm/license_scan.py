@@ -75,7 +75,7 @@ TEMPLATES = {
 }
 
 _ENDS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-_SEEDS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 class LicenseWords(WordHash):
@@ -99,7 +99,7 @@ def document_shingles(text: bytes, hashes: LicenseWords):
 
 def minhash(shingles: np.ndarray, low: int, high: int) -> np.ndarray:
     """Hashes of the shingles, a row per band: a row's minimum over a set is the set's MinHash in that band."""
-    h = (shingles[None, :] ^ _SEEDS[low:high, None]) * np.uint64(0xD6E8FEB86659FD93)
+    h = (shingles[None, :] ^ mix(np.arange(low + 1, high + 1, dtype=np.uint64) * _STEP)[:, None]) * np.uint64(0xD6E8FEB86659FD93)
     return h ^ (h >> np.uint64(32))
 
 
@@ -116,7 +116,7 @@ def bands_for(shingles: int, size: int, containment: float = CONTAINMENT, miss:
     """Bands that retrieve a matching window but for a probability below ``miss``."""
     shared = math.ceil(containment * shingles - 1e-9)
     jaccard = shared / (size + shingles - shared)
-    return 1 if jaccard >= 1 else min(len(_SEEDS), math.ceil(math.log(miss) / math.log(1 - jaccard)))
+    return 1 if jaccard >= 1 else math.ceil(math.log(miss) / math.log1p(-jaccard))
 
 
 def copies(at: list[int], found: list[int], rank: dict[int, int], distinct: int, size: int, containment: float) -> list[tuple[int, int, int]]:

@@ -15,7 +15,7 @@ are not negative (a polite word does not undo an insult); an L1 penalty chooses
 fitted without it.
 
 Training uses a sample of at most ``MAX_PER_LABEL`` labelled documents per label, those with the smallest seeded
-hash of doc_id; the sample, cut to sentences, is what the driver holds. Scoring reads every document whole; the
+hash of doc_id; one task reads it text by text and keeps its sentences as numbered features (4 bytes each). Scoring reads every document whole; the
 model is broadcast and has at most ``MAX_FEATURES`` weights.
 
 Null, empty and wordless texts have no sentence and score 0. Rows with a null label or id are not trained on.
@@ -61,35 +61,59 @@ def _features(sentence: bytes) -> set[bytes]:
     return out
 
 
+class Bags:
+    """Documents of the training sample as sets of numbered features, one array a sentence."""
+
+    def __init__(self):
+        self.number: dict[bytes, int] = {}
+        self.seen: list[list[int]] = []  # documents of label 0 and 1 that have the feature
+        self.sentences: list[np.ndarray] = []
+        self.bag_of: list[int] = []
+        self.labels: list[int] = []
+
+    def add(self, bag: list[bytes], label: int) -> None:
+        """A document by its sentences."""
+        every = set()
+        for s in bag:
+            known = {self.number.setdefault(f, len(self.number)) for f in _features(s)}
+            self.sentences.append(np.fromiter(known, np.int32, len(known)))
+            self.bag_of.append(len(self.labels))
+            every |= known
+        self.seen += [[0, 0] for _ in range(len(self.number) - len(self.seen))]
+        for f in every:
+            self.seen[f][label] += 1
+        self.labels.append(label)
+
+
 def train(bags: list[tuple[list[bytes], int]]) -> dict:
-    """Weights from (sentences, label) bags: ``{"bias": float, "weights": {feature: float}}``.
+    """``train_bags`` of (sentences, label) pairs."""
+    held = Bags()
+    for bag, y in bags:
+        held.add(bag, y)
+    return train_bags(held)
+
+
+def train_bags(bags: Bags) -> dict:
+    """Weights from labelled bags: ``{"bias": float, "weights": {feature: float}}``.
 
     The noisy-or likelihood is maximised with the two labels weighted to equal halves.
     """
-    labels = np.array([y for _, y in bags], np.float64)
+    labels = np.array(bags.labels, np.float64)
     if not len(labels) or labels.min() == labels.max():
         return {"bias": -np.inf, "weights": {}}
-    sets = [[_features(s) for s in ss] for ss, _ in bags]
-    seen: dict[bytes, list[int]] = {}
-    for bag, y in zip(sets, labels):
-        for f in set().union(*bag):
-            seen.setdefault(f, [0, 0])[int(y)] += 1
-    total = np.bincount(labels.astype(int), minlength=2)
-    lift = {f: abs(a / total[0] - b / total[1]) for f, (a, b) in seen.items() if a + b >= MIN_DOCS}
+    total = np.bincount(bags.labels, minlength=2)
+    lift = {f: abs(a / total[0] - b / total[1]) for f, (a, b) in zip(bags.number, bags.seen) if a + b >= MIN_DOCS}
     names = sorted(lift, key=lambda f: (-lift[f], f))[:MAX_FEATURES]
-    index = {f: i for i, f in enumerate(names)}
+    index = np.full(len(bags.number), -1, np.int32)
+    index[[bags.number[f] for f in names]] = np.arange(len(names), dtype=np.int32)
     # sentences as flat (sentence, feature) pairs; a sentence without a known feature counts by its bag's size only
-    rows, cols, bag_of, blank = [], [], [], np.zeros(len(bags))
-    for d, bag in enumerate(sets):
-        for s in bag:
-            known = [index[f] for f in s if f in index]
-            if known:
-                rows += [len(bag_of)] * len(known)
-                cols += known
-                bag_of.append(d)
-            else:
-                blank[d] += 1
-    rows, cols, bag_of = np.array(rows, np.int64), np.array(cols, np.int64), np.array(bag_of, np.int64)
+    known = [np.sort(k[k >= 0]) for k in (index[s] for s in bags.sentences)]
+    sizes = np.array([len(k) for k in known], np.int64)
+    cols = np.concatenate([*known, np.zeros(0, np.int32)])
+    rows = np.repeat(np.arange(np.count_nonzero(sizes)), sizes[sizes > 0])
+    every = np.array(bags.bag_of, np.int64)
+    bag_of = every[sizes > 0]
+    blank = np.bincount(every[sizes == 0], minlength=len(labels)).astype(np.float64)
     weight = np.where(labels > 0, 0.5 / total[1], 0.5 / total[0])
     theta = _ascend(rows, cols, bag_of, blank, labels, weight, np.r_[np.zeros(len(names)), -5.0], L1, 0.0)
     # the penalty chooses the features; their weights are then fitted without it
@@ -167,13 +191,19 @@ class Scorer:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, per_label: int = MAX_PER_LABEL, seed: int = SEED) -> DataFrame:
-    """At most ``per_label`` labelled documents of each label: text (UTF-8), toxic."""
-    toxic = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+    """At most ``per_label`` labelled documents of each label: text (UTF-8), toxic.
+
+    Labels count only where the document exists: ids meet first, the bound is set on what is left, and only then are the
+    texts fetched. Rows in ``labels`` without a document, however many, take no place in the sample.
+    """
+    ids = F.col("doc_id").cast("long").alias("doc_id")
+    toxic = (labels.select(ids, F.col("toxic").cast("int").alias("toxic"))
              .where("doc_id IS NOT NULL AND toxic IN (0, 1)").distinct()
+             .join(docs.select(ids), "doc_id", "left_semi")
              .withColumn("_order", F.xxhash64(F.lit(seed), "doc_id")))
     picked = [toxic.where(F.col("toxic") == y).orderBy("_order", "doc_id").limit(per_label) for y in (0, 1)]
     picked = F.broadcast(picked[0].union(picked[1]).select("doc_id", "toxic", "_order"))  # 2 * per_label rows at most
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text")).join(picked, "doc_id")
+    rows = docs.select(ids, utf8("text").alias("text")).join(picked, "doc_id")
     # repeated rows of one id add nothing; one text of each (id, label) is enough
     return rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).orderBy("doc_id", "toxic").select("text", "toxic")
 
@@ -194,12 +224,15 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = MAX_PER_LABEL) -> d
     def run(batches):
         import pyarrow as pa
 
-        bags = [(sentences(t), y) for b in batches for t, y in rows_of(b, "text", "toxic")]
-        yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(train(bags))], pa.binary())})
+        bags = Bags()
+        for b in batches:
+            for i in range(b.num_rows):  # one text at a time
+                bags.add(sentences(b.column("text")[i].as_py()), b.column("toxic")[i].as_py())
+        yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(train_bags(bags))], pa.binary())})
 
     sample = training_sample(docs, labels, per_label).coalesce(1)
     row = sample.mapInArrow(run, "model binary").first()  # none if the sample has no partition
-    return pickle.loads(bytes(row["model"])) if row else train([])
+    return pickle.loads(bytes(row["model"])) if row else train_bags(Bags())
 
 
 def score_documents(docs: DataFrame, model: dict, carry: list[str] | None = None) -> DataFrame:

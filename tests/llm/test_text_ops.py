@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from caudal.llm import chunk_dedup, license_scan, mil_toxicity, partenum_join
 from caudal.llm.common import WordHash, components, words_of
@@ -313,3 +314,17 @@ def test_bands_make_misses_rare():
 def test_short_templates_are_refused(no_docs):
     with pytest.raises(ValueError):
         license_scan.scan_licenses(no_docs, {"x": "too few words"})
+
+
+def test_labels_without_documents_take_no_place_in_the_sample(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(40)], "doc_id long, text string")
+    labels = spark.range(5_000).select((F.col("id") - 20).alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    got = mil_toxicity.training_sample(docs, labels, per_label=15).collect()
+    assert sorted(r.toxic for r in got) == [0] * 10 + [0] * 5 + [1] * 15
+
+
+def test_bands_have_no_cap():
+    few, many = license_scan.bands_for(100, 128), license_scan.bands_for(100, 128, 0.05)
+    assert few < 256 < many
+    shared = 5
+    assert (1 - shared / (128 + 100 - shared)) ** many <= license_scan.MISS * 1.0001
