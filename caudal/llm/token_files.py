@@ -14,7 +14,8 @@ any store Spark can write to holds it. Each row is one self-contained block::
 ``bits`` is the least width that holds every id below the vocabulary size. A group of 64 ids fills a whole
 number of 64-bit words, so a block unpacks in 64 vector steps and any id range unpacks alone.
 
-Documents come in ascending doc_id (nulls last; equal ids by text). Null texts are empty and hold the end
+Documents come in ascending doc_id (nulls last; equal ids by a hash of the text, so an id that many rows share is dealt to
+many tasks). Null texts are empty and hold the end
 id only. An empty table gives an empty block table.
 """
 
@@ -45,6 +46,8 @@ def pack(ids: np.ndarray, bits: int) -> bytes:
     groups = -(-len(ids) // 64)
     padded = np.zeros(groups * 64, np.uint64)
     padded[: len(ids)] = ids
+    if bits in (8, 16, 32):  # the same layout as whole numbers of that width
+        return padded.astype(f"<u{bits // 8}").tobytes()
     padded = padded.reshape(groups, 64)
     out = np.zeros((groups, bits), "<u8")
     for j in range(64):
@@ -59,6 +62,8 @@ def unpack(payload: bytes, bits: int, start: int, stop: int) -> np.ndarray:
     """Ids start to stop of a packed block; reads only the groups that hold them."""
     if stop <= start:
         return np.zeros(0, "<u4")
+    if bits in (8, 16, 32):
+        return np.frombuffer(payload, f"<u{bits // 8}", stop - start, start * bits // 8).astype("<u4")
     low, high = start // 64, -(-stop // 64)
     words = np.frombuffer(payload, "<u8", (high - low) * bits, low * bits * 8).reshape(high - low, bits)
     out = np.empty((high - low, 64), "<u4")
@@ -116,9 +121,9 @@ def write_token_blocks(docs: DataFrame, out_path: str, tokenizer_file: str, voca
     width = max(width_of(vocab_size), (end_id or 0).bit_length())
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"))
-               .repartitionByRange(n, F.col("doc_id").asc_nulls_last())
-               .sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"))
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
+    ordered = rows.repartitionByRange(n, *order).sortWithinPartitions(*order, "text")
     ordered.mapInArrow(_writer(tokenizer_file, width, end_id), BLOCK_SCHEMA).write.mode("overwrite").parquet(out_path)
 
 

@@ -1,11 +1,11 @@
 """Token ids of whole texts, shared by the binary output (1) and packing (8).
 
 Ids come from the ``tokenizers`` library. A tokenizer whose normaliser and pre-tokeniser never join two sides of white
-space gives a text the ids of its words in order, so each distinct word is encoded once and its ids are reused. A word of
-ASCII and Latin letters is made of pre-tokens (runs of letters, digits, runs of the rest) that have their ids alone;
-runs of letters go straight to the model, past the normaliser and the pre-tokeniser's pattern. Everything in which this
-could matter (a special token's bracket, combining marks, apostrophes, other scripts) is encoded as it stands.
-``tests/llm`` compares both ways.
+space gives a text the ids of its words in order. A word of ASCII and Latin letters is made of pre-tokens (runs of
+letters, digits, runs of the rest) that have their ids alone, so a text is cut into pre-tokens, each distinct one is encoded
+once and its ids are reused; runs of letters go straight to the model, past the normaliser and the pre-tokeniser's
+pattern. Everything in which this could matter (a special token's bracket, combining marks, apostrophes, other scripts) is
+encoded as it stands. ``tests/llm`` compares both ways.
 """
 
 from __future__ import annotations
@@ -18,15 +18,21 @@ import numpy as np
 TOKENIZER_FILE = "word_bpe_49k.json"
 VOCAB_SIZE = 49_408
 END_ID = 1
-#: Words whose ids a Python worker keeps in each of two generations (about 200 bytes each); a reused worker keeps them.
-MAX_WORDS = 400_000
+#: Pre-tokens whose ids a Python worker keeps in each of two generations (about 150 bytes each); a reused worker keeps them.
+MAX_WORDS = 200_000
 #: Texts, and their bytes, that are encoded together.
 BATCH_TEXTS, BATCH_BYTES = 1024, 4 << 20
 
 _LETTERS = "a-zß-öø-įı-ſ"  # without the one letter whose lower case is two characters
 _PLAIN = re.compile(f"[!-&(-~{_LETTERS}]+")  # ASCII but the apostrophe, and Latin letters
-_ASCII_PRE_TOKENS = re.compile(rb"[a-z]+|[0-9]|[^0-9a-z]+")
-_PRE_TOKENS = re.compile(f"[{_LETTERS}]+|[0-9]|[^0-9{_LETTERS}]+")
+_WORD_PARTS = re.compile(f"[{_LETTERS}]+|[0-9]|[^0-9{_LETTERS}]+")
+
+_BLANK, _SMALL, _ODD = r" \t-\r", "a-zß-öø-ÿ", "'\x80-\xde÷\u0100-\U0010ffff"
+_RUN = re.compile(f"[{_SMALL}]+")
+_HAS_ODD = re.compile(f"[{_ODD}]")
+#: Pre-tokens of a text in small letters of ASCII and Latin-1; with odd characters, a word that holds one stays whole.
+_PRE_TOKENS = re.compile(f"[{_SMALL}]+|[0-9]|[^0-9{_SMALL}{_BLANK}]+")
+_MIXED_PRE_TOKENS = re.compile(f"[^{_BLANK}{_ODD}]*+[{_ODD}][^{_BLANK}]*|[{_SMALL}]+|[0-9]|[^0-9{_SMALL}{_BLANK}{_ODD}]+")
 
 
 def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
@@ -48,8 +54,8 @@ class Encoder:
         self.tokenizer, self.by_word = Tokenizer.from_file(path), by_word
         self.model = Tokenizer(self.tokenizer.model)
         self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.ids: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.ids: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @classmethod
     def of_worker(cls, path: str, by_word: bool = True) -> Encoder:
@@ -64,13 +70,13 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         plain = [self.by_word and not (b"<|" in t or b"\xcc" in t or b"\xcd" in t) for t in texts]
-        lists = [t.lower().split() if p else [] for t, p in zip(texts, plain)]
+        lists = [_pre_tokens(t.lower().decode()) if p else [] for t, p in zip(texts, plain)]
         words = set().union(*lists)
         self._learn(words)
         get = self.ids.__getitem__
         return [b"".join(map(get, ws)) if p else self.whole(t) for t, p, ws in zip(texts, plain, lists)]
 
-    def _learn(self, words: set[bytes]) -> None:
+    def _learn(self, words: set[str]) -> None:
         if len(self.ids) >= MAX_WORDS:
             self.ids, self.older = {}, self.ids
         new = words.difference(self.ids)
@@ -78,7 +84,7 @@ class Encoder:
             again = new.intersection(self.older)
             self.ids.update((w, self.older[w]) for w in again)
             new -= again
-        runs = [w for w in new if w.isalpha()]  # ASCII letters
+        runs = [w for w in new if _RUN.fullmatch(w)]
         parts = {w: _parts(w) for w in new.difference(runs)}
         todo = set().union(*parts.values()).difference(self.ids, runs)
         more = [w for w in todo if _is_run(w)]
@@ -89,37 +95,39 @@ class Encoder:
             if w not in ids:
                 ids[w] = b"".join([ids[x] for x in p])
 
-    def _add_runs(self, runs: list[bytes]) -> None:
+    def _add_runs(self, runs: list[str]) -> None:
         if runs:
-            encoding = self.model.encode([w.decode() for w in runs], is_pretokenized=True, add_special_tokens=False)
+            encoding = self.model.encode(runs, is_pretokenized=True, add_special_tokens=False)
             of = np.array(encoding.word_ids, np.int64)
             self._cut(runs, encoding.ids, np.searchsorted(of, np.arange(len(runs))))
 
-    def _add_others(self, words: list[bytes]) -> None:
+    def _add_others(self, words: list[str]) -> None:
         if words:
-            encoding = self.tokenizer.encode(b" ".join(words).decode(), add_special_tokens=False)
+            encoding = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
             at = np.fromiter((o[0] for o in encoding.offsets), np.int64, len(encoding.offsets))
-            lengths = np.fromiter((len(w.decode()) for w in words), np.int64, len(words))
+            lengths = np.fromiter(map(len, words), np.int64, len(words))
             self._cut(words, encoding.ids, np.searchsorted(at, np.cumsum(lengths + 1) - lengths - 1))
 
-    def _cut(self, words: list[bytes], ids: list[int], starts: np.ndarray) -> None:
+    def _cut(self, words: list[str], ids: list[int], starts: np.ndarray) -> None:
         raw, cut = np.array(ids, "<u4").tobytes(), (starts * 4).tolist()
         self.ids.update(zip(words, [raw[i:j] for i, j in zip(cut, [*cut[1:], len(raw)])]))
 
 
-def _is_run(word: bytes) -> bool:
+def _is_run(word: str) -> bool:
     """A run of letters, as ``_parts`` makes them: it has no other character if it has one letter."""
-    return word.isalpha() or (word[0] >= 0xC3 and _PLAIN.fullmatch(word.decode()) is not None)
+    return word.isalpha() and _PLAIN.fullmatch(word) is not None
+
+
+def _pre_tokens(text: str) -> list[str]:
+    """Pre-tokens of a text (A-Z in lower case); words with an apostrophe, or a character beyond ASCII and small Latin-1
+    letters, stay whole."""
+    return (_MIXED_PRE_TOKENS if _HAS_ODD.search(text) else _PRE_TOKENS).findall(text)
 
 
-def _parts(word: bytes) -> list[bytes]:
+def _parts(word: str) -> list[str]:
     """Pre-tokens of a word that have its ids one after another; the word itself if that is not certain."""
-    if word.isascii():
-        return [word] if b"'" in word else _ASCII_PRE_TOKENS.findall(word)
-    s = word.decode().lower()
-    if _PLAIN.fullmatch(s) is None:
-        return [word]
-    return [p.encode() for p in _PRE_TOKENS.findall(s)]
+    s = word.lower()
+    return [word] if word.isascii() or _PLAIN.fullmatch(s) is None else _WORD_PARTS.findall(s)
 
 
 def batches(rows, text_of):
