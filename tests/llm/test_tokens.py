@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -38,8 +39,12 @@ def test_width_is_the_least_that_holds_the_vocabulary():
 
 
 def reference(rows):
-    """Rows in the operator's order with their ids."""
-    rows = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, (r[1] or "").encode()))
+    """Rows in the operator's order (equal ids by Spark's signed xxhash64 of the text) with their ids."""
+    def key(r):
+        h = xxhash.xxh64_intdigest((r[1] or "").encode(), 42)
+        return r[0] is None, r[0] or 0, h - (h >> 63 << 64)
+
+    rows = sorted(rows, key=key)
     return [(r[0], np.frombuffer(ENCODER.whole((r[1] or "").encode()) + b"\1\0\0\0", "<u4")) for r in rows]
 
 
