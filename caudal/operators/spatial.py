@@ -168,47 +168,59 @@ def _top_k(cands: DataFrame, q_id: str, p_id: str, k: int, salt_buckets: int = 1
     return first.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= k)
 
 
-# Cells of the unbounded k-nearest search: the finest side in degrees, and how often it doubles
-# (the coarsest cell holds the whole sphere).
-_FINEST_DEG, _LEVELS = 0.02, 15
+# Cells of the unbounded k-nearest search: the side in degrees at level 0; each level above doubles it (the coarsest cell
+# holds the whole sphere), each below, for crowded cells only, halves it.
+_MIDDLE_DEG, _LEVELS, _FINE_LEVELS = 0.02, 15, 18
+# A middle cell with more points is counted in finer cells too.
+_CROWDED = 256
 
 
-def nearest_points(queries: DataFrame, points: DataFrame, q_id: str, p_id: str, k: int = 1,
-                   max_distance_m: float | None = None, qlon: str = "lon", qlat: str = "lat",
-                   plon: str = "lon", plat: str = "lat") -> DataFrame:
-    """GEO4: the k nearest points of each query point, optionally within a maximum distance.
+def _side(level: Column) -> Column:
+    return F.lit(_MIDDLE_DEG) * F.pow(F.lit(2.0), level.cast("double"))
 
-    Output (q_id, p_id, dist_m, rank). With ``max_distance_m`` it is one neighbourhood join. Without it
-    it is one lazy plan too: points are counted per cell of a nested grid, each query takes the
-    smallest of its own cells (side doubling per level) that holds k points, and meets the points within
-    that cell's diagonal. At least k points lie there, so its k nearest are among them. Fewer than k
-    points in all: every point. Rows with a null position have no result and are none.
-    """
-    if max_distance_m is not None:
-        cands = _neighbour_candidates(queries, points, q_id, p_id, float(max_distance_m), qlon, qlat, plon, plat)
-        return _top_k(cands, q_id, p_id, k)
 
+def _cell_at(level: Column, middle: Column, position: Column) -> Column:
+    """Row (or column) of a position in the cells of a level; ``middle`` is that of level 0."""
+    up = F.call_function("shiftright", middle, F.greatest(level, F.lit(0)))
+    return F.when(level >= 0, up).otherwise(F.floor(position / _side(level)).cast("long"))
+
+
+def nearest_candidates(queries: DataFrame, points: DataFrame, q_id: str, p_id: str, k: int, qlon: str = "lon", qlat: str = "lat",
+                       plon: str = "lon", plat: str = "lat") -> DataFrame:
+    """Pairs (q_id, p_id, dist_m) that hold the k nearest points of every query; see ``nearest_points``."""
     def placed(df, key, lon, lat):
         x, y = F.pmod(F.col(lon) + 180.0, F.lit(360.0)), F.col(lat) + 90.0
         return df.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull()).select(
-            F.col(key), F.col(lon).alias(f"_{key}_lon"), F.col(lat).alias(f"_{key}_lat"),
-            F.floor(y / _FINEST_DEG).cast("long").alias("_row"), F.floor(x / _FINEST_DEG).cast("long").alias("_col"))
+            F.col(key), F.col(lon).alias(f"_{key}_lon"), F.col(lat).alias(f"_{key}_lat"), x.alias("_x"), y.alias("_y"),
+            F.floor(y / _MIDDLE_DEG).cast("long").alias("_row"), F.floor(x / _MIDDLE_DEG).cast("long").alias("_col"))
+
+    def at(df, levels):
+        df = df.withColumn("_level", F.explode(levels))
+        lv = F.col("_level")
+        return df.withColumns({"_r": _cell_at(lv, F.col("_row"), F.col("_y")), "_c": _cell_at(lv, F.col("_col"), F.col("_x"))})
 
-    def at_levels(df):
-        up = F.expr("shiftleft(1L, _level)")
-        df = df.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(_LEVELS - 1))))
-        return df.withColumns({"_r": F.floor(F.col("_row") / up).cast("long"), "_c": F.floor(F.col("_col") / up).cast("long")})
+    def levels(low, high):
+        return F.sequence(F.lit(low), F.lit(high))
 
     q, p = placed(queries, q_id, qlon, qlat), placed(points, p_id, plon, plat)
     cells = p.groupBy("_row", "_col").agg(F.count(F.lit(1)).alias("_n"))
-    counts = at_levels(cells).groupBy("_level", "_r", "_c").agg(F.sum("_n").alias("_n")).filter(F.col("_n") >= k)
+    crowded = cells.filter(F.col("_n") > max(k, _CROWDED)).select("_row", "_col", F.lit(True).alias("_crowded"))
+    p = p.join(crowded, ["_row", "_col"], "left")
+    # of points in one place only the k smallest ids can be among the k nearest
+    place_rank = F.row_number().over(Window.partitionBy(f"_{p_id}_lon", f"_{p_id}_lat").orderBy(p_id))
+    dense = p.filter("_crowded").withColumn("_i", place_rank).filter(F.col("_i") <= k).drop("_i")
+    p = p.filter("_crowded IS NULL").unionByName(dense).drop("_crowded")
+    coarse = cells.withColumn("_level", F.explode(levels(0, _LEVELS - 1))).groupBy(
+        "_level", *[F.call_function("shiftright", F.col(c), F.col("_level")).alias(n) for c, n in (("_row", "_r"), ("_col", "_c"))]).agg(F.sum("_n").alias("_n"))
+    fine = at(dense, levels(-_FINE_LEVELS, -1)).groupBy("_level", "_r", "_c").agg(F.count(F.lit(1)).alias("_n"))
+    counts = coarse.unionByName(fine).filter(F.col("_n") >= k)
     # the first level that holds k points; the coarsest stands for a sphere with fewer
-    place = F.struct("_level", f"_{q_id}_lon", f"_{q_id}_lat", "_row", "_col")
-    q = at_levels(q).join(counts, ["_level", "_r", "_c"], "left")
+    place = F.struct("_level", f"_{q_id}_lon", f"_{q_id}_lat", "_r", "_c")
+    q = at(q, levels(-_FINE_LEVELS, _LEVELS - 1)).join(counts, ["_level", "_r", "_c"], "left")
     q = q.filter(F.col("_n").isNotNull() | (F.col("_level") == _LEVELS - 1)).groupBy(q_id).agg(F.min(place).alias("_p"))
     q = q.select(q_id, "_p.*")
-    up = F.expr("shiftleft(1L, _level)")
-    side = F.lit(_FINEST_DEG) * up
+    chosen = q.agg(F.collect_set("_level").alias("l")).scalar()  # as many as there are levels at most
+    side = _side(F.col("_level"))
     reach = side * (math.sqrt(2.0) * (1 + 1e-9))  # degrees of arc
     total = F.ceil(F.lit(360.0) / side).cast("long")
     lat = F.abs(F.col(f"_{q_id}_lat"))
@@ -217,13 +229,32 @@ def nearest_points(queries: DataFrame, points: DataFrame, q_id: str, p_id: str,
         F.least(total, F.ceil(F.lit(math.sqrt(2.0) * (1 + 1e-9)) / F.cos(F.radians(F.least(F.lit(89.0), lat + reach)))).cast("long") + 1))
     q = q.select(q_id, "_level", f"_{q_id}_lon", f"_{q_id}_lat", total.alias("_total"), wide.alias("_wide"),
                  F.when(F.col("_level") == _LEVELS - 1, F.lit(math.pi * EARTH_RADIUS_M + 1.0)).otherwise(reach * METERS_PER_DEGREE).alias("_reach"),
-                 F.floor(F.col("_col") / up).cast("long").alias("_c0"),
-                 F.explode(F.transform(F.sequence(F.lit(-2), F.lit(2)), lambda d: F.floor(F.col("_row") / up).cast("long") + d)).alias("_r"))
-    q = q.withColumn("_c", F.explode(F.array_distinct(F.transform(
+                 F.col("_c").alias("_c0"), F.explode(F.transform(F.sequence(F.lit(-2), F.lit(2)), lambda d: F.col("_r") + d)).alias("_row"))
+    q = q.withColumnRenamed("_row", "_r").withColumn("_c", F.explode(F.array_distinct(F.transform(
         F.sequence(-F.col("_wide"), F.col("_wide")), lambda d: F.pmod(F.col("_c0") + d, F.col("_total"))))))
-    j = q.join(at_levels(p).drop("_row", "_col"), ["_level", "_r", "_c"])
+    j = q.join(at(p, chosen).drop("_row", "_col", "_x", "_y"), ["_level", "_r", "_c"])
     j = j.withColumn("dist_m", haversine_m(f"_{q_id}_lon", f"_{q_id}_lat", f"_{p_id}_lon", f"_{p_id}_lat"))
-    return _top_k(j.filter(F.col("dist_m") <= F.col("_reach")).select(q_id, p_id, "dist_m"), q_id, p_id, k)
+    return j.filter(F.col("dist_m") <= F.col("_reach")).select(q_id, p_id, "dist_m")
+
+
+def nearest_points(queries: DataFrame, points: DataFrame, q_id: str, p_id: str, k: int = 1,
+                   max_distance_m: float | None = None, qlon: str = "lon", qlat: str = "lat",
+                   plon: str = "lon", plat: str = "lat") -> DataFrame:
+    """GEO4: the k nearest points of each query point, optionally within a maximum distance.
+
+    Output (q_id, p_id, dist_m, rank). With ``max_distance_m`` it is one neighbourhood join. Without it
+    it is one lazy plan too: points are counted per cell of a nested grid, each query takes the
+    smallest of its own cells that holds k points, and meets the points within
+    that cell's diagonal. At least k points lie there, so its k nearest are among them. Cells that crowd are
+    counted down to a side of about a centimetre, and of points in one place k are kept, so a query meets
+    few points more than k however dense they lie; points are keyed for the levels that some query
+    chose. Fewer than k points in all: every point. Rows with a null position have no result and are none.
+    """
+    if max_distance_m is not None:
+        cands = _neighbour_candidates(queries, points, q_id, p_id, float(max_distance_m), qlon, qlat, plon, plat)
+    else:
+        cands = nearest_candidates(queries, points, q_id, p_id, k, qlon, qlat, plon, plat)
+    return _top_k(cands, q_id, p_id, k)
 
 
 # ------------------------------------------------------------------ GEO5 / GEO6

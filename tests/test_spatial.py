@@ -163,3 +163,30 @@ def test_salted_cells_give_the_same_pairs(spark):
     pts = spark.range(500).select(F.col("id").alias("pt"), (0.4001 + F.col("id") / 3000).alias("lon"), F.lit(0.45).alias("lat"))
     plain, salted = (sorted((r.pt, r.pid) for r in spatial.points_in_polygons(pts, polys, "pid", salt=n).collect()) for n in (1, 7))
     assert plain == salted and len(plain) > 500
+
+
+@pytest.mark.parametrize("k", [1, 5])
+def test_knn_in_one_crowded_cell(spark, k):
+    import numpy as np
+
+    g = np.random.default_rng(k)
+    n = 40_000
+    lon, lat = -56 + 0.019 * g.random(n) ** 3, -34 + 0.019 * g.random(n)
+    lon[:5000], lat[:5000] = lon[0], lat[0]  # a third of a crowd in one place
+    qlon, qlat = -56 + 0.019 * g.random(60), -34 + 0.019 * g.random(60)
+    qlon[0], qlat[0] = lon[0], lat[0]
+    P = spark.createDataFrame(list(zip(range(n), lon.tolist(), lat.tolist())), "pid long, lon double, lat double")
+    Q = spark.createDataFrame(list(zip(range(60), qlon.tolist(), qlat.tolist())), "qid long, lon double, lat double")
+    got = {(r.qid, r.rank): r for r in spatial.nearest_points(Q, P, "qid", "pid", k=k).collect()}
+    assert len(got) == 60 * k
+    p1, p2 = np.radians(qlat)[:, None], np.radians(lat)[None, :]
+    a = np.sin((p2 - p1) / 2) ** 2 + np.cos(p1) * np.cos(p2) * np.sin(np.radians(lon[None, :] - qlon[:, None]) / 2) ** 2
+    d = 2 * EARTH_RADIUS_M * np.arcsin(np.minimum(1, np.sqrt(a)))
+    for i in range(60):
+        order = np.lexsort((np.arange(n), d[i]))[:k]
+        assert [got[i, r + 1].dist_m for r in range(k)] == pytest.approx(d[i][order].tolist(), abs=1e-6)
+        if i == 0:
+            assert [got[i, r + 1].pid for r in range(k)] == list(range(k))  # ties: the smallest ids
+    pairs = spatial.nearest_candidates(Q, P, "qid", "pid", k)
+    assert pairs.groupBy("qid").count().agg(F.max("count")).first()[0] < 3000
+    assert pairs.count() < 60 * 1000
