@@ -19,7 +19,7 @@ How it runs. Texts are dealt into blocks of about ``BLOCK_BYTES`` as they are re
 (context and byte) and words once, with its training count, packed into one row per bucket; a bucket adds up the counts
 of all blocks. The trie's levels are tables, made one from the other by grouping; grams that no training text has are looked
 up level by level, the longest context first. Each block gets back one number for each gram and word it sent and scores
-its documents. Blocks, buckets (their number follows the bytes) and tables are bounded or spread, whatever a source's or
+its documents. A gram's log10 travels in 4 bytes, so a score is exact to about 1e-7 of its size. Blocks, buckets (their number follows the bytes) and tables are bounded or spread, whatever a source's or
 a word's share; every count covers all training texts.
 
 A null id trains. Null, empty and blank texts consist of the end alone. Repeated rows train and are scored as often as they
@@ -41,7 +41,9 @@ from caudal.llm.common import mix, rows_of, utf8, words_of, written
 
 ORDER = 5
 #: Bytes of text in a block (a longer text is a block of its own), and for which a bucket is made.
-BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20
+BLOCK_BYTES, BUCKET_BYTES = 16 << 20, 4 << 20
+#: Bytes of text whose grams are listed at once.
+_LIST_BYTES = 2 << 20
 _END, _SYMBOLS = b"\n", 256
 _PARTS = "block long, bucket int, grams binary, gram_n binary, words binary, word_n binary, doc_id long, held_out boolean, text binary"
 
@@ -74,6 +76,31 @@ def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return v[first], np.diff(np.r_[first, len(v)])
 
 
+def distinct_grams(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams of the texts in ascending order, and counts; listed piece by piece."""
+    found, held, size = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], [], 0
+    for i, t in enumerate(texts):
+        held.append(t)
+        size += len(t)
+        if size >= _LIST_BYTES or i + 1 == len(texts):
+            found.append(distinct(grams_of(held, order)[0]))
+            held, size = [], 0
+    values, counts = (np.concatenate(x) for x in zip(*found))
+    by = np.argsort(values, kind="stable")
+    values = values[by]
+    first = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, np.int64)
+    return values[first], np.add.reduceat(counts[by], first) if len(values) else counts
+
+
+def squeezed(values) -> bytes:
+    """An array or bytes, compressed."""
+    return zlib.compress(values if isinstance(values, bytes) else values.tobytes(), 1)
+
+
+def unsqueezed(raw: bytes, dtype: str) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(raw), dtype)
+
+
 def gram_buckets(grams: np.ndarray, buckets: int) -> np.ndarray:
     """The bucket of each gram, one for all grams of a context."""
     return (mix(grams >> np.uint64(8)) % np.uint64(buckets)).astype(np.int64)
@@ -86,19 +113,22 @@ class Block:
     """
 
     def __init__(self, docs: list[tuple], order: int, buckets: int):
-        self.docs, self.lists = docs, [t.split() for _, _, t in docs]
-        train = [i for i, d in enumerate(docs) if not d[1]]
-        held = [i for i, d in enumerate(docs) if d[1]]
-        learned, n = distinct(grams_of([docs[i][2] for i in train], order)[0]) if train else (np.zeros(0, np.uint64),) * 2
-        asked, _ = distinct(grams_of([docs[i][2] for i in held], order)[0]) if held else (np.zeros(0, np.uint64),) * 2
+        self.docs = docs
+        learned, n = distinct_grams([t for _, held, t in docs if not held], order)
+        asked, _ = distinct_grams([t for _, held, t in docs if held], order)
         self.sorted_grams = np.union1d(learned, asked)
         counts = np.zeros(len(self.sorted_grams), np.int64)
         counts[np.searchsorted(self.sorted_grams, learned)] = n
         bucket = gram_buckets(self.sorted_grams, buckets)
         self.order = np.argsort(bucket, kind="stable")
         self.grams, self.gram_n, self.gram_bucket = self.sorted_grams[self.order], counts[self.order], bucket[self.order]
-        known = Counter(chain.from_iterable(self.lists[i] for i in train))
-        every = sorted(known.keys() | chain.from_iterable(self.lists[i] for i in held))
+        known, every = Counter(), set()
+        for _, held, t in docs:
+            if held:
+                every.update(t.split())
+            else:
+                known.update(t.split())
+        every = sorted(every.union(known))
         bucket = np.fromiter(map(zlib.crc32, every), np.int64, len(every)) % buckets
         order = np.argsort(bucket, kind="stable")
         self.words, self.word_bucket = [every[i] for i in order.tolist()], bucket[order]
@@ -110,8 +140,8 @@ class Block:
         g, w = np.searchsorted(self.gram_bucket, at), np.searchsorted(self.word_bucket, at)
         for b in np.flatnonzero((np.diff(g) > 0) | (np.diff(w) > 0)).tolist():
             of, ow = slice(g[b], g[b + 1]), slice(w[b], w[b + 1])
-            yield (b, self.grams[of].astype("<u8").tobytes(), self.gram_n[of].astype("<u4").tobytes(),
-                   _END.join(self.words[ow]), self.word_n[ow].astype("<u4").tobytes())
+            yield (b, squeezed(self.grams[of].astype("<u8")), squeezed(self.gram_n[of].astype("<u4")),
+                   squeezed(_END.join(self.words[ow])), squeezed(self.word_n[ow].astype("<u4")))
 
 
 def _dealer(order: int, buckets: int, block_bytes: int):
@@ -128,7 +158,7 @@ def _dealer(order: int, buckets: int, block_bytes: int):
             for i in range(0, len(parts), 64):
                 columns = list(zip(*[(base + count, *p, None, None, None) for p in parts[i : i + 64]]))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
-            columns = list(zip(*[(base + count, None, None, None, None, None, *d) for d in docs]))
+            columns = list(zip(*[(base + count, None, None, None, None, None, i, held, squeezed(t)) for i, held, t in docs]))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
         docs, size = [], 0
@@ -149,8 +179,8 @@ def _add_grams(key, table):
     """Counts of a bucket's grams over all blocks, and the total of each gram's context."""
     import pyarrow as pa
 
-    g = np.frombuffer(b"".join(table["grams"].to_pylist()), "<u8")
-    n = np.frombuffer(b"".join(table["gram_n"].to_pylist()), "<u4")
+    g = np.concatenate([unsqueezed(x, "<u8") for x in table["grams"].to_pylist()])
+    n = np.concatenate([unsqueezed(x, "<u4") for x in table["gram_n"].to_pylist()])
     order = np.argsort(g, kind="stable")
     g = g[order]
     first = np.flatnonzero(np.r_[True, g[1:] != g[:-1]]) if len(g) else np.zeros(0, np.int64)
@@ -167,13 +197,13 @@ def _add_words(key, table):
     """For each block of the bucket the counts of its words over all blocks; the first row has the bucket's sums."""
     import pyarrow as pa
 
-    lists = [w.split(_END) if w else [] for w in table["words"].to_pylist()]
+    lists = [zlib.decompress(w).split() for w in table["words"].to_pylist()]
     whole: dict[bytes, int] = {}
     for ws, n in zip(lists, table["word_n"].to_pylist()):
-        for w, k in zip(ws, np.frombuffer(n, "<u4").tolist()):
+        for w, k in zip(ws, unsqueezed(n, "<u4").tolist()):
             whole[w] = whole.get(w, 0) + k
     sums = [sum(whole.values()), sum(n > 0 for n in whole.values())]
-    counts = [np.fromiter(map(whole.__getitem__, ws), "<i8", len(ws)).tobytes() for ws in lists]
+    counts = [squeezed(np.fromiter(map(whole.__getitem__, ws), "<i8", len(ws))) for ws in lists]
     rows, rest = len(lists), [0] * (len(lists) - 1)
     return pa.table({"block": table["block"].cast(pa.int64()), "bucket": pa.array([key[0].as_py()] * rows, pa.int32()),
                      "counts": pa.array(counts, pa.binary()), "n": pa.array([sums[0], *rest], pa.int64()),
@@ -187,8 +217,7 @@ def _hand_out(key, known, parts):
     g, value = known["g"].to_numpy(), known["logp"].to_numpy()
     order = np.argsort(g)
     g, value = g[order], value[order]
-    out = [value[np.searchsorted(g, np.frombuffer(x, "<u8").astype(np.int64))].astype("<f8").tobytes() if x else b""
-           for x in parts["grams"].to_pylist()]
+    out = [squeezed(value[np.searchsorted(g, unsqueezed(x, "<u8").astype(np.int64))].astype("<f4")) for x in parts["grams"].to_pylist()]
     return pa.table({"block": parts["block"].cast(pa.int64()), "bucket": pa.array([key[0].as_py()] * len(out), pa.int32()),
                      "logp": pa.array(out, pa.binary())})
 
@@ -202,20 +231,21 @@ def _scorer(order: int, buckets: int, n: int, v: int, trained: int):
     def score(docs, found):
         import pyarrow as pa
 
-        rows = list(rows_of(docs, "doc_id", "held_out", "text"))
+        rows = [(i, held, zlib.decompress(t)) for i, held, t in rows_of(docs, "doc_id", "held_out", "text")]
         if not rows:
             return pa.table({c: pa.array([], t) for c, t in
                              zip(SCORED, (pa.int64(), pa.bool_(), *[pa.int64()] * 3, *[pa.float64()] * 2))})
         block = Block(rows, order, buckets)
         found = found.sort_by("bucket")
-        logp = np.frombuffer(b"".join(x for x in found["logp"].to_pylist() if x is not None), "<f8")
-        counts = np.frombuffer(b"".join(x for x in found["counts"].to_pylist() if x is not None), "<i8")
+        logp = np.concatenate([unsqueezed(x, "<f4") for x in found["logp"].to_pylist() if x is not None])
+        counts = np.concatenate([unsqueezed(x, "<i8") for x in found["counts"].to_pylist() if x is not None])
         values = np.empty(len(logp))
         values[block.order] = logp  # in the order of sorted_grams
         base = dict(zip(block.words, (np.log10(counts + 0.5) - below).tolist()))
         known = {w for w, c in zip(block.words, counts.tolist()) if c}
         out = []
-        for (doc_id, held_out, text), ws in zip(block.docs, block.lists):
+        for doc_id, held_out, text in block.docs:
+            ws = text.split()
             g, _ = grams_of([text], order)
             out.append((doc_id, held_out, len(ws) + 1, sum(map(known.__contains__, ws)) + (trained > 0), tokens_n,
                         float(sum(map(base.__getitem__, ws))) + log10(trained + 0.5) - below,
