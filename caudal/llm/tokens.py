@@ -19,7 +19,7 @@ TOKENIZER_FILE = "word_bpe_49k.json"
 VOCAB_SIZE = 49_408
 END_ID = 1
 #: Pre-tokens whose ids a Python worker keeps in each of two generations (about 150 bytes each); a reused worker keeps them.
-MAX_WORDS = 200_000
+MAX_WORDS = 300_000
 #: Texts, and their bytes, that are encoded together.
 BATCH_TEXTS, BATCH_BYTES = 1024, 4 << 20
 
