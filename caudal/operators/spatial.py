@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from caudal.functions.text import fixed
 from caudal.functions.geometry import (
-    EARTH_RADIUS_M, METERS_PER_DEGREE, bbox_ring, edges_contain, haversine_m, polygon_edges, rings_bbox,
+    EARTH_RADIUS_M, METERS_PER_DEGREE, bbox_ring, haversine_m, polygon_edges, rings_bbox,
 )
 
 # ------------------------------------------------------------------ GEO1
@@ -33,48 +33,83 @@ def bbox_polygons(points: DataFrame, lon: str = "lon", lat: str = "lat", half_wi
 
 # ------------------------------------------------------------------ GEO3
 
-def polygon_cell_index(polygons: DataFrame, poly_id: str, rings: str = "rings",
-                       cell_deg: float = 0.25) -> DataFrame:
-    """(poly_id, cell_row, cell_col, interior, edges) for the point-in-polygon join.
-
-    Built per polygon with higher-order functions over its own edge array (no
-    shuffle): for each latitude band (row) the edges spanning it are kept (exact for
-    the even-odd ray test); a cell touched by an edge's bounding box is a boundary
-    cell and carries its band's edges; any other cell of the bounding box lies
-    wholly inside or outside, its centre is tested once, and inside cells are kept
-    with ``interior = true`` and no edges so their points skip the test. The index
-    is bounded by the polygon's cells, not by the data.
-    """
-    c = float(cell_deg)
+# Cells of a polygon's own grid halve at most so often. Its columns and rows begin at odd places of their own, so that
+# outlines and points with round coordinates and slopes do not run through its corners, where rounding would decide.
+_POLYGON_LEVELS, _COLUMN_ORIGIN, _ROW_ORIGIN = 14, (math.sqrt(5) - 1) / 2, math.sqrt(2) - 1
 
-    def cell(v):
-        return F.floor(v / F.lit(c)).cast("long")
 
-    def spans(e, r):
-        return (cell(F.least(e["y1"], e["y2"])) <= r) & (cell(F.greatest(e["y1"], e["y2"])) >= r)
+def polygon_cell_index(polygons: DataFrame, poly_id: str, rings: str = "rings", cell_deg: float = 0.25) -> DataFrame:
+    """(poly_id, level, cell_row, cell_col, inside, edges) for the point-in-polygon join.
 
-    edges = polygon_edges(F.col(rings))
+    Every polygon has a grid of its own: cells of ``cell_deg / 2^level``, as fine as keeps its cells no more than its edges
+    (and the cells of ``cell_deg``). So an outline of n edges is spread over about sqrt(n) cells, each with its own few
+    edges. Edges are exploded first; a cell that an edge's bounding box touches holds that edge. ``inside`` tells whether
+    the middle of the cell's left side (its reference) lies in the polygon: the crossings of the row's middle line are
+    counted along the row. Cells that no edge touches lie wholly inside or outside; inside ones have no edges.
+    """
     bb = rings_bbox(F.col(rings))
-    base = polygons.select(poly_id, edges.alias("_e"), *[v.alias(k) for k, v in bb.items()])
-    per_row = base.select(
-        poly_id, "_e", "min_lon", "max_lon",
-        F.explode(F.sequence(cell(F.col("min_lat")), cell(F.col("max_lat")))).alias("cell_row"))
-    r = F.col("cell_row")
-    per_row = per_row.select(
-        poly_id, "cell_row",
-        F.filter("_e", lambda e: (e["y1"] != e["y2"]) & spans(e, r)).alias("edges"),
-        F.array_distinct(F.flatten(F.transform(
-            F.filter("_e", lambda e: spans(e, r)),
-            lambda e: F.sequence(cell(F.least(e["x1"], e["x2"])), cell(F.greatest(e["x1"], e["x2"])))))).alias("_bcols"),
-        F.sequence(cell(F.col("min_lon")), cell(F.col("max_lon"))).alias("_cols"))
-    cells = per_row.select(poly_id, "cell_row", "edges", "_bcols", F.explode("_cols").alias("cell_col"))
-    boundary = F.array_contains("_bcols", F.col("cell_col"))
-    cx = (F.col("cell_col") + 0.5) * c
-    cy = (F.col("cell_row") + 0.5) * c
-    interior = ~boundary & edges_contain(F.col("edges"), cx, cy)
-    return cells.filter(boundary | interior).select(
-        poly_id, "cell_row", "cell_col", interior.alias("interior"),
-        F.when(boundary, F.col("edges")).alias("edges"))
+    base = polygons.select(poly_id, polygon_edges(F.col(rings)).alias("_e"), *[v.alias(k) for k, v in bb.items()])
+    area = F.greatest((F.col("max_lon") - F.col("min_lon")) * (F.col("max_lat") - F.col("min_lat")), F.lit(1e-12))
+    level = F.floor(F.log2(F.lit(float(cell_deg)) * F.sqrt(F.size("_e") / area)))
+    base = base.withColumn("level", F.greatest(F.lit(0), F.least(F.lit(_POLYGON_LEVELS), level)).cast("int"))
+    side = _polygon_side(cell_deg)
+
+    def row(v):
+        return _polygon_row(v, side)
+
+    def column(v):
+        return _polygon_column(v, side)
+
+    key = [poly_id, "level", "cell_row", "cell_col"]
+    e = base.select(poly_id, "level", F.explode("_e").alias("e")).select(poly_id, "level", "e.*")
+    rows = e.withColumn("cell_row", F.explode(F.sequence(row(F.least("y1", "y2")), row(F.greatest("y1", "y2")))))
+    touched = rows.withColumn("cell_col", F.explode(F.sequence(column(F.least("x1", "x2")), column(F.greatest("x1", "x2")))))
+    middle = _reference(side)[1]
+    at = (F.col("x2") - F.col("x1")) * (middle - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1")
+    # a crossing lies left of the references from this column on
+    crossed = rows.filter((F.col("y1") > middle) != (F.col("y2") > middle)).withColumn("cell_col", F.ceil(at / side + F.lit(_COLUMN_ORIGIN)).cast("long"))
+    every = base.withColumn("cell_row", F.explode(F.sequence(row(F.col("min_lat")), row(F.col("max_lat"))))).withColumn(
+        "cell_col", F.explode(F.sequence(column(F.col("min_lon")), column(F.col("max_lon")))))
+    edge = F.struct("x1", "y1", "x2", "y2")
+    none = F.lit(None).cast("struct<x1:double,y1:double,x2:double,y2:double>")
+    marks = every.select(*key, F.lit(0).alias("_n"), F.lit(True).alias("_in"), none.alias("_edge"))
+    marks = marks.union(crossed.select(*key, F.lit(1), F.lit(None).cast("boolean"), none))
+    marks = marks.union(touched.select(*key, F.lit(0), F.lit(None).cast("boolean"), edge))
+    cells = marks.groupBy(*key).agg(F.sum("_n").alias("_n"), F.max("_in").alias("_in"), F.collect_list("_edge").alias("edges"))
+    along = Window.partitionBy(poly_id, "level", "cell_row").orderBy("cell_col")
+    cells = cells.withColumn("inside", F.sum("_n").over(along) % 2 == 1).filter("_in")
+    has_edges = F.size("edges") > 0
+    return cells.filter(F.col("inside") | has_edges).select(*key, "inside", F.when(has_edges, F.col("edges")).alias("edges"))
+
+
+def _polygon_side(cell_deg: float) -> Column:
+    return F.lit(float(cell_deg)) / F.pow(F.lit(2.0), F.col("level").cast("double"))
+
+
+def _polygon_row(lat: Column, side: Column) -> Column:
+    return F.floor(lat / side + F.lit(_ROW_ORIGIN)).cast("long")
+
+
+def _polygon_column(lon: Column, side: Column) -> Column:
+    return F.floor(lon / side + F.lit(_COLUMN_ORIGIN)).cast("long")
+
+
+def _reference(side: Column) -> tuple[Column, Column]:
+    """Longitude of the cell's left side, and latitude of its middle."""
+    return (F.col("cell_col") - F.lit(_COLUMN_ORIGIN)) * side, (F.col("cell_row") - F.lit(_ROW_ORIGIN) + F.lit(0.5)) * side
+
+
+def _same_side(edges: Column, lon: Column, lat: Column, left: Column, middle: Column) -> Column:
+    """Whether the path from a point along its latitude to the cell's left side, and on to the reference, meets an even
+    number of edges. Vertices on a line count as below it (left of it), on either part of the path."""
+    def step(even, e):
+        x = (e["x2"] - e["x1"]) * (lat - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
+        y = (e["y2"] - e["y1"]) * (left - e["x1"]) / (e["x2"] - e["x1"]) + e["y1"]
+        over = ((e["y1"] > lat) != (e["y2"] > lat)) & (x > left) & (x <= lon)
+        along = ((e["x1"] > left) != (e["x2"] > left)) & ((y > lat) != (y > middle))
+        return (even != over) != along
+
+    return F.aggregate(edges, F.lit(True), step)
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, poly_id: str, lon: str = "lon",
@@ -82,29 +117,32 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, poly_id: str, lon
                        poly_cols: list[str] | None = None, salt: int = 1) -> DataFrame:
     """GEO3: every (point, polygon) pair with the point inside the polygon.
 
-    One equi-join of points to the polygon cell index on the cell key; points in
-    interior cells match directly, points in boundary cells run the even-odd test
-    against the edges spanning their latitude band. A point inside two overlapping
+    One equi-join of points to the polygons' cell index on (level, cell); points in
+    cells without edges match directly, the others test the edges of their own cell, on the way to its reference.
+    A point inside two overlapping
     polygons appears once per polygon. Output is the point's columns plus
-    ``poly_id`` (and ``poly_cols`` of the polygon).
+    ``poly_id`` (and ``poly_cols`` of the polygon). Points are keyed for the levels that some polygon has: one, unless
+    outlines are very long.
 
     ``salt`` splits the points of a cell over that many keys, for points that crowd in few cells; the
     index (polygons' cells, not points) is repeated as often.
     """
-    c = float(cell_deg)
-    index = polygon_cell_index(polygons, poly_id, rings, c)
-    pts = points.withColumns({
-        "cell_row": F.floor(F.col(lat) / c).cast("long"),
-        "cell_col": F.floor(F.col(lon) / c).cast("long"),
+    index = polygon_cell_index(polygons, poly_id, rings, cell_deg)
+    levels = index.agg(F.collect_set("level").alias("l")).scalar()  # _POLYGON_LEVELS + 1 at most
+    side = _polygon_side(cell_deg)
+    pts = points.withColumn("level", F.explode(levels)).withColumns({
+        "cell_row": _polygon_row(F.col(lat), side),
+        "cell_col": _polygon_column(F.col(lon), side),
     })
-    keys = ["cell_row", "cell_col"]
+    keys = ["level", "cell_row", "cell_col"]
     if salt > 1:
         pts = pts.withColumn("_salt", F.pmod(F.xxhash64(lon, lat), F.lit(salt)).cast("int"))
         index = index.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         keys = [*keys, "_salt"]
     cand = pts.join(index, keys)
-    inside = cand.filter(F.col("interior") | edges_contain(F.col("edges"), F.col(lon), F.col(lat)))
-    out = inside.drop(*keys, "edges", "interior")
+    same = _same_side(F.col("edges"), F.col(lon), F.col(lat), *_reference(side))
+    found = cand.filter(F.when(F.col("edges").isNull(), F.col("inside")).otherwise(F.col("inside") == same))
+    out = found.drop(*keys, "edges", "inside")
     if poly_cols:
         out = out.join(polygons.select(poly_id, *poly_cols), poly_id)
     return out

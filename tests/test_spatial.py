@@ -190,3 +190,43 @@ def test_knn_in_one_crowded_cell(spark, k):
     pairs = spatial.nearest_candidates(Q, P, "qid", "pid", k)
     assert pairs.groupBy("qid").count().agg(F.max("count")).first()[0] < 3000
     assert pairs.count() < 60 * 1000
+
+
+def ray_test(rings, x, y):
+    inside = False
+    for ring in rings:
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:]):
+            if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+                inside = not inside
+    return inside
+
+
+@pytest.mark.parametrize("cell", [0.25, 0.1, 3.0])
+def test_pip_is_the_ray_test_of_every_outline(spark, cell):
+    rnd = random.Random(int(cell * 100))
+
+    def star(cx, cy, n, r):
+        pts = [(cx + r * rnd.uniform(0.3, 1) * math.cos(2 * math.pi * i / n), cy + r * rnd.uniform(0.3, 1) * math.sin(2 * math.pi * i / n)) for i in range(n)]
+        return [*pts, pts[0]]
+
+    lattice = [(0.0, 0.0), (1.0, 0.0), (1.0, 0.25), (0.5, 0.25), (0.5, 0.75), (0.75, 0.75), (0.75, 0.5), (1.0, 0.5), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0)]
+    shapes = {1: [lattice], 2: [star(0.5, 0.5, 9, 0.8)], 3: [star(0.3, 0.6, 700, 1.1)], 4: [star(0.5, 0.5, 40, 1.0), star(0.5, 0.5, 30, 0.2)],
+              5: [[(0.1, 0.1), (0.9, 0.1), (0.9, 0.1000001), (0.1, 0.1000001), (0.1, 0.1)]]}
+    data = [(i, [[{"lon": x, "lat": y} for x, y in r] for r in rings]) for i, rings in shapes.items()]
+    polys = spark.createDataFrame(data, "pid long, rings array<array<struct<lon:double,lat:double>>>")
+    places = [(rnd.uniform(-0.5, 1.6), rnd.uniform(-0.5, 1.6)) for _ in range(1500)]
+    places += [(i / 8, j / 8) for i in range(-2, 12) for j in range(-2, 12)]  # on cell borders, edges and vertices
+    pts = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(places)], "pt long, lon double, lat double")
+    got = {(r.pt, r.pid) for r in spatial.points_in_polygons(pts, polys, "pid", cell_deg=cell).collect()}
+    assert got == {(i, p) for i, (x, y) in enumerate(places) for p, rings in shapes.items() if ray_test(rings, x, y)}
+
+
+def test_a_long_outline_is_spread_over_cells(spark):
+    n = 20_000
+    ring = [(10 + math.cos(2 * math.pi * i / n), 10 + math.sin(2 * math.pi * i / n)) for i in range(n)]
+    polys = poly(spark, [(1, [*ring, ring[0]]), (2, [(9, 9), (9.5, 9), (9.5, 9.5), (9, 9)])])
+    index = spatial.polygon_cell_index(polys, "pid").filter("pid = 1").agg(F.max(F.size("edges")).alias("most"), F.count("*").alias("cells")).first()
+    assert index.most <= 200 and index.cells <= 2 * n
+    pts = spark.range(60 * 60).select(F.col("id").alias("pt"), (8.95 + F.col("id") % 60 * 0.0351).alias("lon"), (8.95 + F.floor(F.col("id") / 60) * 0.0351).alias("lat"))
+    got = {r.pt for r in spatial.points_in_polygons(pts, polys, "pid").filter("pid = 1").collect()}
+    assert got == {r.pt for r in pts.collect() if (r.lon - 10) ** 2 + (r.lat - 10) ** 2 < 1}
