@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caudal.functions.geometry import parts_of
 from caudal.functions.ids import stable_id, widen_floats
 
 # Natural key column order per fact table (KEY5). Literal parts are written as
@@ -55,24 +56,33 @@ def _num_text(v: Column) -> Column:
     return F.when(v == F.floor(v), F.floor(v).cast("long").cast("string")).otherwise(v.cast("string"))
 
 
-def polygon_wkt(rings: Column, gtype: Column | None = None) -> Column:
-    """Canonical text of a polygon, ``POLYGON ((x y, x y, ...), (...))``; of type MultiPolygon (each ring the
-    outer ring of a part), ``MULTIPOLYGON (((x y, ...)), ((...)))``."""
-    ring_txt = F.transform(rings, lambda r: F.concat(F.lit("("), F.array_join(
-        F.transform(r, lambda p: F.concat(_num_text(p["lon"]), F.lit(" "), _num_text(p["lat"]))), ", "), F.lit(")")))
-    one = F.concat(F.lit("POLYGON ("), F.array_join(ring_txt, ", "), F.lit(")"))
+def geometry_wkt(parts: Column, gtype: Column | None = None) -> Column:
+    """Canonical text of a geometry: ``POLYGON ((x y, ...), (hole), ...)`` of its one part, or, of type MultiPolygon,
+    ``MULTIPOLYGON (((x y, ...), (hole)), ((...)))``."""
+    def ring(r):
+        return F.concat(F.lit("("), F.array_join(F.transform(r, lambda p: F.concat(_num_text(p["lon"]), F.lit(" "), _num_text(p["lat"]))), ", "), F.lit(")"))
+
+    texts = F.transform(parts, lambda rings: F.concat(F.lit("("), F.array_join(F.transform(rings, ring), ", "), F.lit(")")))
+    one = F.concat(F.lit("POLYGON "), F.element_at(texts, 1))
     if gtype is None:
         return one
-    parts = F.transform(ring_txt, lambda t: F.concat(F.lit("("), t, F.lit(")")))
-    return F.when(gtype == "MultiPolygon", F.concat(F.lit("MULTIPOLYGON ("), F.array_join(parts, ", "), F.lit(")"))).otherwise(one)
+    return F.when(gtype == "MultiPolygon", F.concat(F.lit("MULTIPOLYGON ("), F.array_join(texts, ", "), F.lit(")"))).otherwise(one)
+
+
+def polygon_wkt(rings: Column, gtype: Column | None = None) -> Column:
+    """``geometry_wkt`` of a list of rings: one polygon, or, of type MultiPolygon, the outer ring of each part."""
+    one = F.array(rings)
+    parts = one if gtype is None else F.when(gtype == "MultiPolygon", F.transform(rings, lambda r: F.array(r))).otherwise(one)
+    return geometry_wkt(parts, gtype)
 
 
-def area_docs(df: DataFrame, rings: str = "rings", name: str = "nombre", gtype: str | None = None) -> DataFrame:
+def area_docs(df: DataFrame, geometry: str = "rings", name: str = "nombre", gtype: str | None = None) -> DataFrame:
     """KEY3: area documents: id from (geometry text, name or None); ``SIN_NOMBRE`` default applied after the id.
 
-    ``gtype`` names a column with the geometry type; polygons without one.
+    ``geometry`` names a column of parts (polygons with their holes) or of rings, ``gtype`` one with the geometry type;
+    polygons without one.
     """
-    geom = polygon_wkt(F.col(rings), F.col(gtype) if gtype else None)
+    geom = geometry_wkt(parts_of(df, geometry, gtype), F.col(gtype) if gtype else None)
     nm = F.when(F.col(name).isNull() | (F.col(name) == ""), F.lit(None).cast("string")).otherwise(F.col(name))
     return df.select(stable_id(geom, nm).alias("id"),
-                     F.coalesce(nm, F.lit("SIN_NOMBRE")).alias("nombre"), F.col(rings).alias("rings"))
+                     F.coalesce(nm, F.lit("SIN_NOMBRE")).alias("nombre"), F.col(geometry))

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from caudal.functions.text import fixed
 from caudal.functions.geometry import (
-    EARTH_RADIUS_M, METERS_PER_DEGREE, bbox_ring, haversine_m, polygon_edges, rings_bbox,
+    EARTH_RADIUS_M, METERS_PER_DEGREE, bbox_ring, coordinates_json, haversine_m, oriented_rings, parts_of,
+    polygon_edges, rings_bbox,
 )
 
 # ------------------------------------------------------------------ GEO1
@@ -298,11 +299,14 @@ def nearest_points(queries: DataFrame, points: DataFrame, q_id: str, p_id: str,
 # ------------------------------------------------------------------ GEO5 / GEO6
 
 def polygon_centroids(polygons: DataFrame, poly_id: str, rings: str = "rings") -> DataFrame:
-    """GEO5: area-weighted centroid (shoelace over all rings; holes subtract if reversed).
+    """GEO5: area-weighted centroid (shoelace over all rings). Of a column of parts, outer rings add and holes subtract
+    however they run; of a list of rings, holes subtract if reversed.
 
     Coordinates are taken relative to the polygon's first vertex so the cross
     products do not cancel for small polygons far from the origin.
     """
+    if polygons.schema[rings].dataType.simpleString().startswith("array<array<array<"):
+        polygons = polygons.select(poly_id, oriented_rings(F.col(rings)).alias(rings))
     origin = F.element_at(F.element_at(F.col(rings), 1), 1)
     e = polygons.select(poly_id, origin["lon"].alias("_ox"), origin["lat"].alias("_oy"),
                         F.explode(polygon_edges(F.col(rings))).alias("e"))
@@ -440,22 +444,20 @@ def with_coverage(locations: DataFrame, grid: DataFrame, loc_id: str, grid_id: s
 
 
 def feature_rows(polygons: DataFrame, metric: DataFrame, key: str, value_col: str,
-                 rings: str = "rings", missing_label: str = "Sin datos", gtype: str | None = None) -> DataFrame:
+                 geometry: str = "rings", missing_label: str = "Sin datos", gtype: str | None = None) -> DataFrame:
     """GEO9: polygons left-joined with a metric, ranked, one GeoJSON feature string per row.
 
-    ``gtype`` names a column with the geometry type; rows of type MultiPolygon hold the outer ring of each part
-    in ``rings``. Only (key, value) is ranked; geometries join the ranks and are not sorted.
+    ``geometry`` names a column of parts (polygons with their holes) or of rings, ``gtype`` one with the geometry type.
+    Only (key, value) is ranked; geometries join the ranks and are not sorted.
     """
     kind = F.lit("Polygon") if gtype is None else F.col(gtype)
-    j = polygons.select(key, rings, kind.alias("_type")).join(metric.select(key, value_col), key, "left")
+    j = polygons.select(key, parts_of(polygons, geometry, gtype).alias("_parts"), kind.alias("_type")).join(metric.select(key, value_col), key, "left")
     w = Window.orderBy(F.col(value_col).desc_nulls_last(), F.col(key))
     ranks = metric.select(key, value_col).filter(F.col(value_col).isNotNull()).join(polygons.select(key), key, "left_semi")
     ranks = ranks.select(key, F.row_number().over(w).alias("ranking"))
     j = j.join(ranks, key, "left")
     label = F.when(F.col(value_col).isNull(), F.lit(missing_label)).otherwise(fixed(value_col, 2))
-    points = F.transform(F.col(rings), lambda r: F.transform(r, lambda p: F.array(p["lon"], p["lat"])))
-    parts = F.transform(points, lambda r: F.array(r))
-    coordinates = F.when(F.col("_type") == "MultiPolygon", F.to_json(parts)).otherwise(F.to_json(points))
+    coordinates = coordinates_json(F.col("_parts"), F.col("_type"))
     props = F.struct(F.col(key).alias("nombre"), F.col(value_col).alias("valor"), label.alias("etiqueta"),
                      F.col("ranking"))
     feature = F.concat(F.lit('{"type":"Feature","id":'), F.to_json(F.array(F.col(key))).substr(F.lit(2), F.length(F.to_json(F.array(F.col(key)))) - 2),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caudal.operators import audit, clean, load, spatial, spectral
+from caudal.functions.geometry import parts_from_geojson
 from caudal.plans import surrogates as S
 from caudal.plans.catalog import _Q13_BODY
 from caudal.plans.catalog_ingest import CLAIMS_SQL, HOURLY_SQL, LAB_MIN_YEAR, LAB_SQL, _clean_lab, _hourly_with_pos
@@ -409,19 +410,22 @@ SELECT d.nombre, {R('p.val_gems')} AS val_gems,
        CASE WHEN p.val_gems IS NULL THEN NULL
             ELSE CAST(row_number() OVER (ORDER BY p.val_gems DESC NULLS LAST, d.nombre) AS INTEGER) END AS ranking,
        CASE WHEN p.val_gems IS NULL THEN 'Sin datos' ELSE printf('%.2f', p.val_gems) END AS etiqueta,
-       CASE WHEN d.departamento_id % 2 = 0 THEN 'Polygon' ELSE 'MultiPolygon' END AS tipo,
+       CASE WHEN d.departamento_id % 3 = 2 THEN 'MultiPolygon' ELSE 'Polygon' END AS tipo,
+       CAST(CASE d.departamento_id % 3 WHEN 2 THEN 2 ELSE 1 END AS INTEGER) AS partes,
+       CAST(CASE d.departamento_id % 3 WHEN 0 THEN 0 ELSE 1 END AS INTEGER) AS huecos,
+       CASE WHEN d.departamento_id % 3 = 0 THEN NULL ELSE x0 + CASE shape WHEN 3 THEN 0.74 ELSE 0.4 END END AS hueco_lon0,
        CASE shape WHEN 2 THEN 7 ELSE 5 END AS vertices, x0 + {_FIRST_X} AS lon0, y0 + {_FIRST_Y} AS lat0
 FROM deptos d LEFT JOIN p ON d.nombre = p.nombre"""))
 def geo9(spark, d):
     """GEO9 feature assembly: department polygons left-joined with the lab contamination metric
     (departments without stations -> 'Sin datos'), ranked, one GeoJSON feature text per row."""
     from caudal.plans.catalog import _q13
-    areas = S.departamentos(spark, d).withColumn(
-        "gtype", F.when(F.col("departamento_id") % 2 == 0, "Polygon").otherwise("MultiPolygon"))
-    feats = spatial.feature_rows(areas, _q13(spark, d), "nombre", "val_gems", gtype="gtype")
+    feats = spatial.feature_rows(S.areas(spark, d), _q13(spark, d), "nombre", "val_gems", geometry="parts", gtype="gtype")
     f = F.from_json("feature", "struct<id:string,geometry:struct<type:string,coordinates:string>>")
     kind, text = f["geometry"]["type"], f["geometry"]["coordinates"]
-    ring = F.when(kind == "Polygon", F.from_json(text, "array<array<array<double>>>")[0]).otherwise(
-        F.from_json(text, "array<array<array<array<double>>>>")[0][0])
+    parts = parts_from_geojson(kind, text)
+    outer, holes = parts[0][0], F.flatten(F.transform(parts, lambda rings: F.slice(rings, 2, F.size(rings))))
     return feats.select(f["id"].alias("nombre"), "val_gems", F.col("ranking").cast("int").alias("ranking"), "etiqueta", kind.alias("tipo"),
-                        F.size(ring).alias("vertices"), ring[0][0].alias("lon0"), ring[0][1].alias("lat0"))
+                        F.size(parts).alias("partes"), F.size(holes).alias("huecos"),
+                        F.get(F.get(holes, F.lit(0)), F.lit(0))["lon"].alias("hueco_lon0"),
+                        F.size(outer).alias("vertices"), outer[0]["lon"].alias("lon0"), outer[0]["lat"].alias("lat0"))

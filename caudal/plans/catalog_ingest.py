@@ -321,19 +321,22 @@ def _wkt_sql() -> str:
     def num(e):
         return f"(CASE WHEN ({e}) = floor({e}) THEN CAST(CAST(floor({e}) AS BIGINT) AS VARCHAR) ELSE CAST({e} AS VARCHAR) END)"
 
-    cases = []
-    for shape, pts in S.SHAPES.items():
-        ring = pts + [pts[0]]
-        txt = " || ', ' || ".join(f"{num(f'x0 + {dx}')} || ' ' || {num(f'y0 + {dy}')}" for dx, dy in ring)
-        cases.append(f"WHEN {shape} THEN {txt}")
-    return "'POLYGON ((' || CASE shape " + " ".join(cases) + " END || '))'"
+    def ring(pts):
+        return "'(' || " + " || ', ' || ".join(f"{num(f'x0 + {dx}')} || ' ' || {num(f'y0 + {dy}')}" for dx, dy in [*pts, pts[0]]) + " || ')'"
+
+    def by_shape(rings):
+        return "CASE shape " + " ".join(f"WHEN {s} THEN {ring(pts)}" for s, pts in rings.items()) + " END"
+
+    outer, hole = by_shape(S.SHAPES), by_shape(S.HOLES)
+    return (f"CASE departamento_id % 3 WHEN 0 THEN 'POLYGON (' || {outer} || ')' WHEN 1 THEN 'POLYGON (' || {outer} || ', ' || {hole} || ')'"
+            f" ELSE 'MULTIPOLYGON ((' || {outer} || ', ' || {hole} || '), (' || {ring(S.ISLAND)} || '))' END")
 
 
 @register("key3_area_docs", with_ctes(["deptos"], f"""
 SELECT {uuid_sql(_wkt_sql(), 'nombre')} AS id, nombre FROM deptos"""))
 def key3(spark, d):
-    """KEY3 area documents: id from (polygon text, name), default name applied after the id."""
-    return keys.area_docs(S.departamentos(spark, d)).select("id", "nombre")
+    """KEY3 area documents: id from (geometry text with parts and holes, name), default name applied after the id."""
+    return keys.area_docs(S.areas(spark, d), "parts", gtype="gtype").select("id", "nombre")
 
 
 @register("key5_natural_ids", with_ctes([], f"""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from caudal.functions.ids import stable_id
 from caudal.operators import clean, load, ndci, quality
+from caudal.functions.geometry import oriented_rings, signed_area
 from caudal.plans import surrogates as S
 from caudal.plans.catalog_ingest import CLAIMS_SQL
 from caudal.plans.oracle import with_ctes
@@ -64,38 +65,48 @@ def src2(spark, d):
 
 
 _DEPT_FEATURES_SQL = """
-SELECT nombre AS admlnm, lpad(CAST(departamento_id AS VARCHAR), 2, '0') AS admlcd, 'Polygon' AS gtype,
-       CAST(CASE shape WHEN 2 THEN 7 ELSE 5 END AS INTEGER) AS n_vertices,
-       {min_lon} AS min_lon, {max_lat} AS max_lat
+SELECT nombre AS admlnm, lpad(CAST(departamento_id AS VARCHAR), 2, '0') AS admlcd,
+       CASE departamento_id % 3 WHEN 2 THEN 'MultiPolygon' ELSE 'Polygon' END AS gtype,
+       CAST(CASE shape WHEN 2 THEN 7 ELSE 5 END + CASE departamento_id % 3 WHEN 0 THEN 0 WHEN 1 THEN 5 ELSE 10 END AS INTEGER) AS n_vertices,
+       CAST(CASE departamento_id % 3 WHEN 2 THEN 2 ELSE 1 END AS INTEGER) AS n_parts,
+       CAST(departamento_id % 3 + 1 AS INTEGER) AS n_rings,
+       {min_lon} AS min_lon, {max_lat} AS max_lat, {area} AS area, TRUE AS same
 FROM deptos"""
 
 
 def _dept_features_sql():
-    min_lon = R("x0 + CASE shape WHEN 0 THEN 0.1 WHEN 1 THEN 0.05 WHEN 2 THEN 0.1 ELSE 0.72 END")
+    min_lon = R("x0 + CASE WHEN departamento_id % 3 = 2 THEN 0.01 ELSE CASE shape WHEN 0 THEN 0.1 WHEN 1 THEN 0.05 WHEN 2 THEN 0.1 ELSE 0.72 END END")
     max_lat = R("y0 + CASE shape WHEN 0 THEN 0.9 WHEN 1 THEN 0.95 WHEN 2 THEN 0.9 ELSE 0.8 END")
-    return with_ctes(["deptos"], _DEPT_FEATURES_SQL.format(min_lon=min_lon, max_lat=max_lat))
+    area = R("CASE shape WHEN 0 THEN 0.88 WHEN 1 THEN 0.405 WHEN 2 THEN 0.48 ELSE 0.0064 END"
+             " - CASE WHEN departamento_id % 3 = 0 THEN 0 WHEN shape = 3 THEN 0.0016 ELSE 0.0036 END"
+             " + CASE WHEN departamento_id % 3 = 2 THEN 0.0009 ELSE 0 END")
+    return with_ctes(["deptos"], _DEPT_FEATURES_SQL.format(min_lon=min_lon, max_lat=max_lat, area=area))
 
 
 def _dept_features(spark, d):
-    dep = S.departamentos(spark, d)
-    return dep.select(F.col("nombre").alias("admlnm"), F.col("codigo").alias("admlcd"),
-                      F.lit("Polygon").alias("gtype"), "rings")
+    return S.areas(spark, d).select(F.col("nombre").alias("admlnm"), F.col("codigo").alias("admlcd"), "gtype", "parts")
 
 
-def _feature_summary(df):
+def _feature_summary(spark, d, df):
+    """What was read, with its area and whether it equals what was written."""
     pts = F.flatten("rings")
-    return df.select("admlnm", "admlcd", "gtype", F.size(F.element_at("rings", 1)).alias("n_vertices"),
-                     F.array_min(F.transform(pts, lambda p: p["lon"])).alias("min_lon"),
-                     F.array_max(F.transform(pts, lambda p: p["lat"])).alias("max_lat"))
+    area = F.aggregate(oriented_rings(F.col("parts")), F.lit(0.0), lambda a, r: a + signed_area(r))
+    written = _dept_features(spark, d).select("admlcd", F.col("parts").alias("written"))
+    return df.join(written, "admlcd").select(
+        "admlnm", "admlcd", "gtype", F.size(pts).alias("n_vertices"), F.size("parts").alias("n_parts"),
+        F.size("rings").alias("n_rings"),
+        F.array_min(F.transform(pts, lambda p: p["lon"])).alias("min_lon"),
+        F.array_max(F.transform(pts, lambda p: p["lat"])).alias("max_lat"),
+        area.alias("area"), (F.col("parts") == F.col("written")).alias("same"))
 
 
 @register("src3_geojson_collection", _dept_features_sql())
 def src3(spark, d):
-    """SRC3 GeoJSON FeatureCollection -> one row per feature (properties + parsed rings)."""
+    """SRC3 GeoJSON FeatureCollection -> one row per feature (properties, parts with holes)."""
     path = _scratch(spark, "deptos_fc")
     files.write_feature_collections(_dept_features(spark, d), path, ["admlnm", "admlcd"])
     back = files.read_geojson_collection(spark, path, ["admlnm", "admlcd"])
-    return _feature_summary(back)
+    return _feature_summary(spark, d, back)
 
 
 @register("src4_geojson_lines", _dept_features_sql())
@@ -104,7 +115,7 @@ def src4(spark, d):
     path = _scratch(spark, "deptos_nl")
     files.write_feature_lines(_dept_features(spark, d), path, ["admlnm", "admlcd"])
     back = files.read_geojson_lines(spark, path, ["admlnm", "admlcd"])
-    return _feature_summary(back)
+    return _feature_summary(spark, d, back)
 
 
 @register("src5_json_array", with_ctes(["estaciones"], f"""

@@ -68,6 +68,25 @@ def departamentos(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: A hole in each shape, and an island beside it.
+HOLES = {s: [(0.4, 0.4), (0.4, 0.46), (0.46, 0.46), (0.46, 0.4)] if s < 3 else [(0.74, 0.74), (0.74, 0.78), (0.78, 0.78), (0.78, 0.74)] for s in SHAPES}
+ISLAND = [(0.01, 0.01), (0.04, 0.01), (0.04, 0.04), (0.01, 0.04)]
+
+
+def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Departments with ``gtype`` and ``parts``: key % 3 = 0 their polygon, 1 the polygon with a hole, 2 a MultiPolygon of
+    the polygon with a hole and an island."""
+    k = F.col("departamento_id")
+    x0 = F.lit(LON0) + (k % 5).cast("double")
+    y0 = F.lit(LAT0) + _idiv(k, 5).cast("double")
+    hole = F.when(k % 7 == 6, _ring(HOLES[3], x0, y0)).otherwise(_ring(HOLES[0], x0, y0))
+    outer = F.element_at("rings", 1)
+    parts = (F.when(k % 3 == 0, F.array(F.array(outer))).when(k % 3 == 1, F.array(F.array(outer, hole)))
+             .otherwise(F.array(F.array(outer, hole), F.array(_ring(ISLAND, x0, y0)))))
+    return departamentos(spark, sf_dir).select(
+        "*", F.when(k % 3 == 2, "MultiPolygon").otherwise("Polygon").alias("gtype"), parts.alias("parts"))
+
+
 # ---------------------------------------------------------------- stations / grid / water bodies
 
 def estaciones(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from caudal.functions.geometry import coordinates_json, parts_from_geojson, parts_of
+
 LOG = logging.getLogger(__name__)
 
 # The CSV dialects of the sources.
@@ -90,24 +92,14 @@ def read_many(spark: SparkSession, groups: list[tuple[str, list[str]]], dialect:
 GEOMETRY_SCHEMA = "struct<type:string, coordinates:string>"
 
 
-def _rings_from_geojson(gtype: Column, coords_json: Column) -> Column:
-    """GeoJSON coordinates text -> rings array<array<struct<lon,lat>>> (Polygon, MultiPolygon)."""
-    def pts(arr):
-        return F.transform(arr, lambda p: F.struct(p[0].alias("lon"), p[1].alias("lat")))
-
-    poly = F.from_json(coords_json, "array<array<array<double>>>")
-    multi = F.from_json(coords_json, "array<array<array<array<double>>>>")
-    return (F.when(gtype == "Polygon", F.transform(poly, pts))
-            .when(gtype == "MultiPolygon", F.flatten(F.transform(multi, lambda pg: F.transform(pg, pts)))))
-
-
 def _line_from_geojson(gtype: Column, coords_json: Column) -> Column:
     line = F.from_json(coords_json, "array<array<double>>")
     return F.when(gtype == "LineString", F.transform(line, lambda p: F.struct(p[0].alias("lon"), p[1].alias("lat"))))
 
 
 def read_geojson_collection(spark: SparkSession, path: str, properties: list[str]) -> DataFrame:
-    """SRC3: FeatureCollection -> one row per feature: properties, type, rings, line coords.
+    """SRC3: FeatureCollection -> one row per feature: properties, type, parts (polygons with their holes), all rings in
+    one list, line coords.
 
     ``pos`` is the feature's position in its file (for order-dependent rules).
     """
@@ -124,7 +116,8 @@ def _features(f: DataFrame, properties: list[str]) -> DataFrame:
     return f.select(
         "source_file", "pos", *[F.col(f"f.properties.`{p}`").alias(p) for p in properties],
         g["type"].alias("gtype"),
-        _rings_from_geojson(g["type"], g["coordinates"]).alias("rings"),
+        parts_from_geojson(g["type"], g["coordinates"]).alias("parts"),
+        F.flatten(parts_from_geojson(g["type"], g["coordinates"])).alias("rings"),
         _line_from_geojson(g["type"], g["coordinates"]).alias("coords"),
     )
 
@@ -196,20 +189,23 @@ def write_json_arrays(df: DataFrame, path: str, per_document: int = DOCUMENT_REC
     _documents(recs, "[", "]", per_document).write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
 
 
-def write_feature_collections(features: DataFrame, path: str, properties: list[str], per_document: int = DOCUMENT_RECORDS) -> None:
-    """Write GeoJSON FeatureCollections of bounded length from (props..., gtype, rings), one per file."""
-    coords = F.to_json(F.transform("rings", lambda r: F.transform(r, lambda p: F.array(p["lon"], p["lat"]))))
-    feat = F.concat(
+def _feature_text(features: DataFrame, properties: list[str], geometry: str | None) -> Column:
+    """A GeoJSON feature from (props..., gtype, geometry); ``geometry`` names a column of parts or rings."""
+    column = geometry or ("parts" if "parts" in features.columns else "rings")
+    return F.concat(
         F.lit('{"type":"Feature","properties":'), F.to_json(F.struct(*[F.col(p) for p in properties])),
-        F.lit(',"geometry":{"type":"'), F.col("gtype"), F.lit('","coordinates":'), coords, F.lit("}}"))
-    _documents(features.select(feat.alias("j")), '{"type":"FeatureCollection","features":[', "]}", per_document).write.mode(
+        F.lit(',"geometry":{"type":"'), F.col("gtype"), F.lit('","coordinates":'),
+        coordinates_json(parts_of(features, column, "gtype"), F.col("gtype")), F.lit("}}"))
+
+
+def write_feature_collections(features: DataFrame, path: str, properties: list[str], per_document: int = DOCUMENT_RECORDS,
+                              geometry: str | None = None) -> None:
+    """Write GeoJSON FeatureCollections of bounded length from (props..., gtype, parts or rings), one per file."""
+    records = features.select(_feature_text(features, properties, geometry).alias("j"))
+    _documents(records, '{"type":"FeatureCollection","features":[', "]}", per_document).write.mode(
         "overwrite").option("maxRecordsPerFile", 1).text(path)
 
 
-def write_feature_lines(features: DataFrame, path: str, properties: list[str]) -> None:
+def write_feature_lines(features: DataFrame, path: str, properties: list[str], geometry: str | None = None) -> None:
     """Write newline-delimited GeoJSON features."""
-    coords = F.to_json(F.transform("rings", lambda r: F.transform(r, lambda p: F.array(p["lon"], p["lat"]))))
-    feat = F.concat(
-        F.lit('{"type":"Feature","properties":'), F.to_json(F.struct(*[F.col(p) for p in properties])),
-        F.lit(',"geometry":{"type":"'), F.col("gtype"), F.lit('","coordinates":'), coords, F.lit("}}"))
-    features.select(feat.alias("value")).write.mode("overwrite").text(path)
+    features.select(_feature_text(features, properties, geometry).alias("value")).write.mode("overwrite").text(path)

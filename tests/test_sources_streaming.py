@@ -123,3 +123,37 @@ def test_json_documents_are_bounded(spark, tmp_path):
     files.write_json_arrays(spark.range(25).coalesce(1), f"{tmp_path}/arrays", per_document=10)
     assert sorted(r.id for r in files.read_json_array(spark, f"{tmp_path}/arrays", "id long").collect()) == list(range(25))
     assert len(list((tmp_path / "arrays").glob("*.txt"))) == 3
+
+
+def test_geometries_with_holes_and_parts_round_trip(spark, tmp):
+    from pyspark.sql import functions as F
+
+    from caudal.functions.geometry import PARTS
+    from caudal.operators import keys, spatial
+
+    def ring(x, y, w, turn=False):
+        pts = [(x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y)]
+        return [{"lon": float(a), "lat": float(b)} for a, b in (pts[::-1] if turn else pts)]
+
+    rows = [("p", "Polygon", [[ring(0, 0, 4), ring(1, 1, 1)]]), ("m", "MultiPolygon", [[ring(0, 0, 4, True), ring(1, 1, 2)], [ring(10, 0, 1)]]),
+            ("s", "Polygon", [[ring(0.1, 0.2, 0.3)]])]
+    df = spark.createDataFrame(rows, f"name string, gtype string, parts {PARTS}")
+    files.write_feature_lines(df, os.path.join(tmp, "lines"), ["name"])
+    files.write_feature_collections(df, os.path.join(tmp, "fc"), ["name"], per_document=2)
+    back = [files.read_geojson_lines(spark, os.path.join(tmp, "lines"), ["name"]), files.read_geojson_collection(spark, os.path.join(tmp, "fc"), ["name"])]
+    want = {r.name: (r.gtype, r.parts) for r in df.collect()}
+    for b in back:
+        assert {r.name: (r.gtype, r.parts) for r in b.collect()} == want
+    # rings alone, as before: of a MultiPolygon each is a part
+    flat = df.where("name <> 'p'").select("name", "gtype", F.transform("parts", lambda p: p[0]).alias("rings"))
+    files.write_feature_lines(flat, os.path.join(tmp, "flat"), ["name"])
+    got = {r.name: len(r.parts) for r in files.read_geojson_lines(spark, os.path.join(tmp, "flat"), ["name"]).collect()}
+    assert got == {"m": 2, "s": 1}
+    text = {r.name: r.t for r in df.select("name", keys.geometry_wkt(F.col("parts"), F.col("gtype")).alias("t")).collect()}
+    assert text["m"].startswith("MULTIPOLYGON (((0 0, 0 4, 4 4, 4 0, 0 0), (1 1, 3 1,") and text["m"].endswith("), ((10 0, 11 0, 11 1, 10 1, 10 0)))")
+    assert text["p"] == "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (1 1, 2 1, 2 2, 1 2, 1 1))"
+    area = {r.name: r.area for r in spatial.polygon_centroids(df, "name", "parts").collect()}
+    assert area == pytest.approx({"p": 15.0, "m": 13.0, "s": 0.09})
+    metric = spark.createDataFrame([("m", 1.0)], "name string, v double")
+    feats = {r.name: json.loads(r.feature)["geometry"] for r in spatial.feature_rows(df, metric, "name", "v", "parts", gtype="gtype").collect()}
+    assert [len(p) for p in feats["m"]["coordinates"]] == [2, 1] and len(feats["p"]["coordinates"]) == 2
