@@ -30,6 +30,15 @@ def first_per_id(batch: DataFrame, id_col: str, order_col: str) -> DataFrame:
                        *[F.col(f"__b.`{c}`").alias(c) for c in cols if c != order_col]).select(*batch.columns)
 
 
+def last_per_id(batch: DataFrame, id_col: str, order_col: str | None = None) -> DataFrame:
+    """Last row of every id inside a batch: greatest ``order_col`` (dropped), or, without one, the last as the rows come
+    (file by file, line by line)."""
+    order = F.monotonically_increasing_id() if order_col is None else F.col(order_col)
+    cols = [c for c in batch.columns if c not in (id_col, order_col)]
+    best = batch.withColumn("__o", order).groupBy(id_col).agg(F.max_by(F.struct("__o", *cols), "__o").alias("__b"))
+    return best.select(id_col, *[F.col(f"__b.`{c}`").alias(c) for c in cols])
+
+
 def insert_if_absent(batch: DataFrame, existing_ids: DataFrame, id_col: str = "id",
                      order_col: str = "pos", partition: list[str] | None = None) -> DataFrame:
     """LOAD1 / LOAD2: rows to append: first row per id in the batch, ids already in the target skipped.
@@ -51,18 +60,17 @@ def already_present(batch: DataFrame, existing_ids: DataFrame, id_col: str = "id
 def upsert(target: DataFrame, updates: DataFrame, id_col: str = "id", order_col: str | None = None) -> DataFrame:
     """LOAD3: new rows overwrite old ones with the same id; other target rows stay.
 
-    An id that repeats among the updates is written once: the row with the greatest ``order_col`` (which the
-    target need not have) wins, or without one the greatest row. A full outer join on the id follows; the
-    update side wins column by column when present.
+    An id that repeats among the updates is written once: the last row wins (``last_per_id``: greatest ``order_col``, which
+    the target need not have, or the last as they come). A full outer join on the id follows; the
+    update side wins column by column when present. ``tables.merge_last`` does so by partition.
     """
     keep = [c for c in updates.columns if c in target.columns]
-    order = [F.col(order_col)] if order_col else []
-    last = F.max(F.struct(*[o.alias("__o") for o in order], *[F.col(c).alias(f"__u_{c}") for c in keep if c != id_col]))
-    u = updates.groupBy(F.col(id_col).alias(f"__u_{id_col}")).agg(last.alias("__r"))
-    u = u.select(f"__u_{id_col}", *[F.col(f"__r.__u_{c}") for c in keep if c != id_col])
+    u = last_per_id(updates.select(*keep, *([order_col] if order_col and order_col not in keep else [])), id_col, order_col)
+    u = u.select(*[F.col(c).alias(f"__u_{c}") for c in u.columns])
     j = target.join(u, target[id_col] == u[f"__u_{id_col}"], "full")
     has_u = F.col(f"__u_{id_col}").isNotNull()
-    return j.select(*[F.when(has_u, F.col(f"__u_{c}")).otherwise(F.col(c)).alias(c) if c in keep else F.col(c)
+    taken = [c for c in keep if f"__u_{c}" in u.columns]
+    return j.select(*[F.when(has_u, F.col(f"__u_{c}")).otherwise(F.col(c)).alias(c) if c in taken else F.col(c)
                       for c in target.columns])
 
 

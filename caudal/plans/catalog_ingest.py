@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from caudal.functions.date_shapes import shape_counts, with_day_first
 from caudal.functions.ids import stable_id
 from caudal.functions.text import strip
-from caudal.operators import clean, keys, load
+from caudal.operators import clean, keys, load, tables
 from caudal.plans import surrogates as S
 from caudal.plans.oracle import with_ctes
 from caudal.plans.registry import QUERIES, R, register
+from caudal.session import scratch_path
 
 # ------------------------------------------------------------------ oracle pieces
 
@@ -368,9 +371,32 @@ def load1(spark, d):
     (rows before the previous load's cut-off) are skipped."""
     c = _hourly_with_pos(S.raw_hourly(spark, d))
     keyed = c.withColumn("id", stable_id("estacion_id", "fecha_inicio", F.lit("PRECIPITACION"), F.lit("HORA")))
-    existing = keyed.filter(F.col("fecha_inicio") < F.lit(HOURLY_CUTOFF).cast("timestamp_ntz")).select("id")
-    new = load.insert_if_absent(keyed.select("id", "estacion_id", "fecha_inicio", "value", "pos"), existing)
-    return new
+    rows = tables.stage(keyed.select("id", "estacion_id", "fecha_inicio", "value", "pos", F.to_date("fecha_inicio").alias("dia")))
+    path = scratch_path(spark, f"load1/{uuid.uuid4().hex[:12]}")
+    tables.append(rows.filter(F.col("fecha_inicio") < F.lit(HOURLY_CUTOFF).cast("timestamp_ntz")), path, ["dia"])
+    table = spark.read.schema(rows.schema).parquet(path)
+    return tables.new_rows(rows, table, ["dia"]).drop("dia")
+
+
+@register("load1_one_file", with_ctes([], f"""
+, h AS ({HOURLY_SQL}),
+k AS (SELECT *, {uuid_sql('estacion_id', 'fecha_inicio', "'PRECIPITACION'", "'HORA'")} AS id FROM h),
+first AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY event_id) AS rn
+                         FROM k WHERE fecha_inicio >= TIMESTAMP '{HOURLY_CUTOFF}' - INTERVAL 1 DAY) WHERE rn = 1),
+existing AS (SELECT id FROM k WHERE fecha_inicio < TIMESTAMP '{HOURLY_CUTOFF}')
+SELECT id, estacion_id, fecha_inicio, {R('value')} AS value, event_id AS pos
+FROM first WHERE id NOT IN (SELECT id FROM existing)""".replace("WITH \n,", "WITH")))
+def load1_file(spark, d):
+    """LOAD1 of one file (from the day before the previous load's cut-off on) into a table of all days before the cut-off:
+    of the table only the file's days are read."""
+    c = _hourly_with_pos(S.raw_hourly(spark, d))
+    keyed = c.withColumn("id", stable_id("estacion_id", "fecha_inicio", F.lit("PRECIPITACION"), F.lit("HORA")))
+    rows = tables.stage(keyed.select("id", "estacion_id", "fecha_inicio", "value", "pos", F.to_date("fecha_inicio").alias("dia")))
+    path = scratch_path(spark, f"load1/{uuid.uuid4().hex[:12]}")
+    cutoff = F.lit(HOURLY_CUTOFF).cast("timestamp_ntz")
+    tables.append(rows.filter(F.col("fecha_inicio") < cutoff), path, ["dia"])
+    batch = rows.filter(F.col("fecha_inicio") >= cutoff - F.expr("INTERVAL 1 DAY"))
+    return tables.new_rows(batch, spark.read.schema(rows.schema).parquet(path), ["dia"]).drop("dia")
 
 
 def _hourly_with_pos(raw):
@@ -452,6 +478,31 @@ def load3(spark, d):
     return load.upsert(state, changed, "resource_id", order_col="turno")
 
 
+@register("load3_partition_merge", with_ctes([], f"""
+, st AS ({_state_sql()}),
+up AS (SELECT CAST(page_id AS VARCHAR) AS resource_id, md5(html) AS hash FROM pages WHERE contains(url, '?')),
+whole AS (SELECT COALESCE(u.resource_id, s.resource_id) AS resource_id, COALESCE(u.hash, s.hash) AS hash
+          FROM st s FULL JOIN up u ON s.resource_id = u.resource_id)
+SELECT resource_id, hash, substr(md5(resource_id), 1, 2) AS cubo,
+       substr(md5(resource_id), 1, 2) IN (SELECT substr(md5(resource_id), 1, 2) FROM up) AS reescrito
+FROM whole""".replace("WITH \n,", "WITH")))
+def load3_partitions(spark, d):
+    """LOAD3 into a state table of 256 buckets: pages with a query string are updated, each twice (the last counts); only
+    buckets that hold one are written again (``reescrito``: the row's file is another than before)."""
+    cubo = F.substring(F.md5(F.col("resource_id").cast("binary")), 1, 2).alias("cubo")
+    path = scratch_path(spark, f"load3/{uuid.uuid4().hex[:12]}")
+    tables.append(S.file_state(spark, d).select("*", cubo), path, ["cubo"])
+    before = tables.stage(spark.read.parquet(path).select("cubo", F.col("_metadata.file_name").alias("antes")).distinct(), "files")
+    pg = S.read(spark, d, "pages").filter(F.col("url").contains("?")).select(F.col("page_id").cast("string").alias("resource_id"), "html", "url")
+    twice = pg.withColumn("turno", F.explode(F.array(F.lit(2), F.lit(1))))
+    updates = twice.select("resource_id", F.when(F.col("turno") == 2, F.md5("html")).otherwise(F.md5("url")).alias("hash"), "turno", cubo)
+    tables.merge_last(spark, path, updates, ["cubo"], "resource_id", order_col="turno")
+    after = spark.read.parquet(path).select("resource_id", "hash", "cubo", F.col("_metadata.file_name").alias("ahora"))
+    kept = before.select("cubo", F.col("antes").alias("ahora"), F.lit(False).alias("reescrito"))
+    return after.join(kept, ["cubo", "ahora"], "left").select(
+        "resource_id", "hash", "cubo", F.coalesce("reescrito", F.lit(True)).alias("reescrito"))
+
+
 @register("load4_dimension_lookup", with_ctes([], """
 SELECT s.s_nationkey AS departamento_id, COUNT(*) AS n
 FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey

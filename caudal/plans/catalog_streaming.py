@@ -63,10 +63,11 @@ FROM ({HOURLY_SQL})""".replace("WITH \n", ""))
 
 @register("st1_stream_insert_if_absent", _DISTINCT_SQL)
 def st1(spark, d):
-    """ST1 file stream -> cleaner -> ids -> insert-if-absent (foreachBatch), availableNow."""
+    """ST1 file stream -> cleaner -> ids -> insert-if-absent into a table by day (foreachBatch), availableNow."""
     base = _lay_down(spark, d)
     stream = ingest.csv_stream(spark, f"{base}/in", string_schema(RAW_COLS), max_files_per_trigger=2)
-    q = ingest.insert_if_absent_stream(stream, _prepare, f"{base}/target", f"{base}/ckpt")
+    q = ingest.insert_if_absent_stream(stream, lambda df: _prepare(df).withColumn("dia", F.to_date("fecha_inicio")),
+                                       f"{base}/target", f"{base}/ckpt", partition=["dia"])
     q.awaitTermination()
     return spark.read.parquet(f"{base}/target").select("id", "estacion_id", "fecha_inicio")
 

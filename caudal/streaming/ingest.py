@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from caudal.operators import tables
 from caudal.operators.load import insert_if_absent
 
 
@@ -49,25 +50,33 @@ def csv_stream(spark: SparkSession, path: str, schema: StructType, max_files_per
             .option("maxFilesPerTrigger", max_files_per_trigger).csv(path))
 
 
-def _ensure_table(spark: SparkSession, path: str, schema: StructType) -> None:
+def _ensure_table(spark: SparkSession, path: str, schema: StructType, partition: list[str] | None = None) -> None:
     """Create an empty Parquet table (schema only) unless one exists, so batches can read it."""
     try:
         spark.read.schema(schema).parquet(path).limit(0).collect()
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        spark.createDataFrame([], schema).write.mode("append").parquet(path)
+        empty = spark.createDataFrame([], schema).write.mode("append")
+        (empty.partitionBy(*partition) if partition else empty).parquet(path)
 
 
 def insert_if_absent_stream(stream: DataFrame, prepare: Callable[[DataFrame], DataFrame], target: str,
                             checkpoint: str, id_col: str = "id", order_col: str = "pos",
-                            available_now: bool = True):
-    """ST1: ``prepare`` (cleaner + key) per micro-batch, then LOAD1 into ``target``."""
+                            available_now: bool = True, partition: list[str] | None = None):
+    """ST1: ``prepare`` (cleaner + key) per micro-batch, then LOAD1 into ``target``.
+
+    ``partition``: columns of the prepared rows that follow from the id and lay out the target; a micro-batch then reads
+    only the ids of the partitions it touches (``tables.load_new``). Without them it reads all ids.
+    """
     spark = stream.sparkSession
 
     def batch(df: DataFrame, epoch_id: int) -> None:
         rows = prepare(df)
-        _ensure_table(spark, target, rows.schema)
+        _ensure_table(spark, target, rows.schema, partition)
+        if partition:
+            tables.load_new(rows, target, partition, id_col, order_col)
+            return
         existing = spark.read.parquet(target).select(id_col)
         insert_if_absent(rows, existing, id_col, order_col).write.mode("append").parquet(target)
 

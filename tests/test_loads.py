@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from caudal.operators import load
+from caudal.operators import load, tables
 
 
 def test_insert_if_absent_first_wins_and_idempotent(spark):
@@ -114,3 +114,53 @@ def test_parameter_coverage_with_a_null_code(spark):
     names = spark.createDataFrame([("A", "Alfa")], "code string, nombre string")
     got = [(r.code, r.filas, r.estaciones, r.nombre) for r in audit.parameter_coverage(df, "code", "st", file="f", names=names).collect()]
     assert sorted(got, key=str) == sorted([("A", 3, 3, "Alfa"), (None, 1, 1, None), ("Total", 4, 3, None)], key=str)
+
+
+def test_upsert_without_an_order_column_takes_the_last_row(spark):
+    target = spark.createDataFrame([("a", "h0"), ("b", "h0")], "id string, h string")
+    upd = spark.createDataFrame([("a", "h9"), ("a", "h1"), ("c", "z"), ("c", None)], "id string, h string").coalesce(1)
+    got = {r.id: r.h for r in load.upsert(target, upd).collect()}
+    assert got == {"a": "h1", "b": "h0", "c": None}
+
+
+def test_a_load_reads_only_the_partitions_of_its_batch(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    rows = spark.range(400).select(F.format_string("id%d", "id").alias("id"), (F.col("id") % 40).cast("int").alias("dia"), F.col("id").alias("pos"))
+    tables.append(rows, path, ["dia"])
+    table = spark.read.schema(rows.schema).parquet(path)
+    batch = tables.stage(spark.createDataFrame([("id3", 3, 1), ("new", 3, 2), ("new", 3, 1), ("id7", 7, 1)], "id string, dia int, pos long"))
+    seen = tables.read_touched(table, batch, ["dia"])
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [dia" in plan and seen.select("dia").distinct().count() == 2
+    got = tables.new_rows(batch, table, ["dia"])
+    assert [(r.id, r.pos) for r in got.collect()] == [("new", 1)]
+    for _ in range(2):  # a repeated load adds nothing
+        tables.load_new(batch, path, ["dia"])
+    assert spark.read.parquet(path).count() == 401
+
+
+def test_many_or_several_partition_columns(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    rows = spark.range(100).select(F.col("id").cast("string").alias("id"), (F.col("id") % 5).cast("int").alias("a"),
+                                   F.when(F.col("id") % 2 == 0, F.lit("x")).alias("b"), F.col("id").alias("pos"))
+    tables.append(rows, path, ["a", "b"])
+    table = spark.read.schema(rows.schema).parquet(path)
+    batch = tables.stage(rows.where("a = 1 AND b = 'x' OR a = 2 AND b = 'x'"))
+    assert tables.read_touched(table, batch, ["a", "b"]).count() == 20
+    monkeypatch.setattr(tables, "MAX_NAMED", 1)
+    assert tables.read_touched(table, batch, ["a", "b"]).count() == 20
+
+
+def test_merge_rewrites_only_touched_partitions(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    rows = spark.range(60).select(F.col("id").cast("string").alias("id"), F.lit("old").alias("v")).withColumn("cubo", tables.id_bucket("id", 12))
+    tables.append(rows, path, ["cubo"])
+    before = {p.relative_to(path): p.stat().st_mtime_ns for p in __import__("pathlib").Path(path).glob("cubo=*/*.parquet")}
+    upd = spark.createDataFrame([("5", "x", 2), ("5", "y", 1), ("new", "n", 1)], "id string, v string, turn int").withColumn("cubo", tables.id_bucket("id", 12))
+    tables.merge_last(spark, path, upd, ["cubo"], "id", "turn")
+    got = {r.id: r.v for r in spark.read.parquet(path).collect()}
+    assert len(got) == 61 and got["5"] == "x" and got["new"] == "n" and sum(v == "old" for v in got.values()) == 59
+    touched = {r.cubo for r in upd.collect()}
+    after = {p.relative_to(path): p.stat().st_mtime_ns for p in __import__("pathlib").Path(path).glob("cubo=*/*.parquet")}
+    assert {f for f in before if int(f.parts[0][5:]) not in touched} == {f for f in after if int(f.parts[0][5:]) not in touched}
+    assert all(after[f] == before[f] for f in after if f in before) and not any(f in after for f in before if int(f.parts[0][5:]) in touched)
