@@ -16,7 +16,12 @@ A partial result is k rows per query and task; a window keeps the k best, ties t
 Blocks meet in a grid: row blocks in ``groups`` groups, query blocks in as many as the shuffle partitions ask for, and
 an equi-join on the cell. The stated query set meets all rows block by block; no task holds more than a block of each.
 
-Vectors that are null, empty, hold null, non-finite or (scaled) 2**30 and larger components, or have another length than most vectors take no
+Products of blocks whose entries are too large for exact doubles are formed from 64-bit integers, or Python's beyond those.
+Scaled components and scores beyond a long are cut to the nearest long; scores so cut
+come first, in no order among themselves. Vectors have products with those of their own length only: each
+length is searched by itself, with passes of its own.
+
+Vectors that are null, empty or hold null or non-finite components take no
 part, nor do rows with a null id. Rows that repeat an id are rows of their own; a query's own id is no candidate.
 A query id that repeats is asked once, with its least vector. An empty table gives no rows.
 """
@@ -33,20 +38,21 @@ from caudal.llm.common import rows_of, written
 ROW_BLOCK, QUERY_BLOCK, STRIPE, HEAD_ROWS, GROUPS = 2048, 512, 1024, 2048, 48
 #: Share of the summed squares that the leading rotated components hold.
 ENERGY = 0.9
-#: top: greatest length; least: least floor; floors: of the queries; lead, rest: leading components, residual lengths.
-BLOCK = "n int, top double, least double, ids binary, whole binary, lead binary, rest binary, floors binary"
-NONE = -(2.0**62)
+#: top: greatest length; least: least floor; floors: of the queries; lead, rest: leading components, residual lengths;
+#: width: bytes of an entry of whole.
+BLOCK = "n int, top double, least double, width int, ids binary, whole binary, lead binary, rest binary, floors binary"
+NONE = -(2**63)
+#: Share of the product of two lengths below which rounding of doubles stays.
+ROUNDING = 1e-13
 
 
 def integer_vectors(vectors: DataFrame, scale: int = 256) -> DataFrame:
-    """vec_id, v (array of long) of the vectors that take part."""
+    """vec_id, d (length), v (array of long) of the vectors that take part."""
     x = F.col("embedding")
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), x.cast("array<double>").alias("x")).where(
         "vec_id IS NOT NULL AND x IS NOT NULL AND size(x) > 0")
-    rows = rows.where(F.forall("x", lambda c: c.isNotNull() & (F.abs(c) * scale < 2.0**30)))  # nor are NaN and infinity below it
-    sizes = rows.groupBy(F.size("x").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").limit(1)
-    rows = rows.join(F.broadcast(sizes.select("d")), F.size("x") == F.col("d"))  # one row
-    return rows.select("vec_id", F.transform("x", lambda c: F.floor(c * scale)).alias("v"))
+    rows = rows.where(F.forall("x", lambda c: c.isNotNull() & (F.abs(c) < float("inf"))))  # nor is NaN below it
+    return rows.select("vec_id", F.size("x").alias("d"), F.transform("x", lambda c: F.floor(c * scale)).alias("v"))
 
 
 def _matrix(column) -> np.ndarray:
@@ -82,14 +88,27 @@ def rotation(rows: DataFrame) -> tuple[np.ndarray, int]:
     return np.ascontiguousarray(vectors), min(d, int(np.searchsorted(part, ENERGY)) + 1)
 
 
-def _products(k: int, head: tuple, ids: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """k-th best score of each vector among the head rows, its own id left out."""
+def _floors(k: int, head: tuple, ids: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """At most the k-th best score of each vector among the head rows, its own id left out."""
     head_ids, head_rows = head
     if len(head_ids) <= k:
-        return np.full(len(ids), NONE)
-    scores = m.astype(np.float64) @ head_rows.T
-    scores[ids[:, None] == head_ids[None, :]] = NONE
-    return -np.partition(-scores, k - 1, axis=1)[:, k - 1]
+        return np.full(len(ids), -np.inf)
+    x = m.astype(np.float64)
+    scores = x @ head_rows.T
+    scores[ids[:, None] == head_ids[None, :]] = -np.inf
+    slack = ROUNDING * np.sqrt((x**2).sum(1) * (head_rows**2).sum(1).max())
+    return -np.partition(-scores, k - 1, axis=1)[:, k - 1] - slack
+
+
+def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of the rows of two integer matrices as 64-bit integers, cut to their range."""
+    most = float(np.abs(a.astype(np.float64)).max(initial=0)) * float(np.abs(b.astype(np.float64)).max(initial=0)) * a.shape[1]
+    if most < 2**53:
+        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
+    if most < 2**62:
+        return a.astype(np.int64) @ b.astype(np.int64).T
+    whole = a.astype(object) @ b.astype(object).T
+    return np.clip(whole, NONE + 1, 2**63 - 1).astype(np.int64)
 
 
 def _blocks(turn: np.ndarray, lead: int, size: int, k: int = 0, head: tuple | None = None):
@@ -101,12 +120,13 @@ def _blocks(turn: np.ndarray, lead: int, size: int, k: int = 0, head: tuple | No
 
         def out(i, m):
             r = m.astype(np.float64) @ turn
-            floors = _products(k, head, i, m) if head else np.zeros(0)
+            floors = _floors(k, head, i, m) if head else np.zeros(0)
+            width = 4 if np.abs(m.astype(np.float64)).max(initial=0) < 2**31 else 8
             return pa.RecordBatch.from_pylist([{
                 "n": len(i), "top": float(np.sqrt((r**2).sum(1).max())), "least": float(floors.min()) if head else 0.0,
-                "ids": i.astype("<i8").tobytes(), "whole": m.astype("<i4").tobytes(), "lead": r[:, :lead].astype("<f8").tobytes(),
+                "width": width, "ids": i.astype("<i8").tobytes(), "whole": m.astype(f"<i{width}").tobytes(), "lead": r[:, :lead].astype("<f8").tobytes(),
                 "rest": np.sqrt((r[:, lead:] ** 2).sum(1)).astype("<f8").tobytes(), "floors": floors.astype("<f8").tobytes()}],
-                schema=pa.schema([("n", pa.int32()), ("top", pa.float64()), ("least", pa.float64()),
+                schema=pa.schema([("n", pa.int32()), ("top", pa.float64()), ("least", pa.float64()), ("width", pa.int32()),
                                   *[(c, pa.binary()) for c in ("ids", "whole", "lead", "rest", "floors")]]))
 
         for b in batches:
@@ -127,45 +147,48 @@ def _blocks(turn: np.ndarray, lead: int, size: int, k: int = 0, head: tuple | No
 
 
 def _best(k: int, scores: np.ndarray, ids: np.ndarray):
-    """The k best of each row of scores, ties to smaller ids: (scores, ids)."""
+    """The k best of each row of integer scores, ties to smaller ids: (scores, ids). ~x falls as x rises and cannot overflow."""
     if scores.shape[1] > k:
         # as many columns as reach the k-th best score in any row: more than k only in ties
-        cut = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
+        cut = ~np.partition(~scores, k - 1, axis=1)[:, k - 1 : k]
         keep = int((scores >= cut).sum(1).max())
         if keep < scores.shape[1]:
-            pick = np.argpartition(-scores, keep - 1, axis=1)[:, :keep]
+            pick = np.argpartition(~scores, keep - 1, axis=1)[:, :keep]
             scores, ids = np.take_along_axis(scores, pick, 1), np.take_along_axis(ids, pick, 1)
-    order = np.lexsort((ids, -scores), axis=1)[:, :k]
+    order = np.lexsort((ids, ~scores), axis=1)[:, :k]
     return np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1)
 
 
 class _Queries:
     """A block of queries and their k best rows so far."""
 
-    def __init__(self, k: int, n: int, ids: bytes, whole: bytes, lead: bytes, rest: bytes, floors: bytes):
-        self.k, self.ids, self.vectors, self.lead, self.rest = k, *_load(n, ids, whole, lead, rest)
+    def __init__(self, k: int, floors: bytes, *block):
+        self.k, (self.ids, self.vectors, self.lead, self.rest, self.length) = k, _load(*block)
         self.floors = np.frombuffer(floors, "<f8")
-        self.scores, self.best = np.full((n, k), NONE), np.full((n, k), -1, np.int64)
+        n = len(self.ids)
+        self.scores, self.best = np.full((n, k), NONE, np.int64), np.full((n, k), -1, np.int64)
 
-    def meet(self, ids, whole, lead, rest) -> None:
+    def meet(self, ids, whole, lead, rest, length) -> None:
         for at in range(0, len(ids), STRIPE):
             cut = slice(at, at + STRIPE)
             bound = self.lead @ lead[cut].T + np.outer(self.rest, rest[cut])
-            # the rotation's rounding is far below one unit of the integer scores
-            may = bound + 1e-6 * (1 + np.abs(bound)) >= np.maximum(self.floors, self.scores[:, -1])[:, None]
+            slack = 1e-6 * (1 + np.abs(bound)) + ROUNDING * np.outer(self.length, length[cut])
+            kth = np.where(self.scores[:, -1] == NONE, -np.inf, self.scores[:, -1].astype(np.float64))
+            may = bound + slack >= np.maximum(self.floors, kth)[:, None]
             rows, cols = np.flatnonzero(may.any(1)), np.flatnonzero(may.any(0))
             if not len(rows):
                 continue
             there = ids[cut][cols]
-            exact = self.vectors[rows].astype(np.float64) @ whole[cut][cols].astype(np.float64).T
+            exact = _exact(self.vectors[rows], whole[cut][cols])
             exact[there[None, :] == self.ids[rows][:, None]] = NONE
             self.scores[rows], self.best[rows] = _best(
                 self.k, np.hstack([self.scores[rows], exact]), np.hstack([self.best[rows], np.broadcast_to(there, exact.shape)]))
 
 
-def _load(n, ids, whole, lead, rest):
-    return (np.frombuffer(ids, "<i8"), np.frombuffer(whole, "<i4").reshape(n, -1),
-            np.frombuffer(lead, "<f8").reshape(n, -1), np.frombuffer(rest, "<f8"))
+def _load(n, width, ids, whole, lead, rest):
+    lead, rest = np.frombuffer(lead, "<f8").reshape(n, -1), np.frombuffer(rest, "<f8")
+    return (np.frombuffer(ids, "<i8"), np.frombuffer(whole, f"<i{width}").reshape(n, -1), lead, rest,
+            np.sqrt((lead**2).sum(1) + rest**2))
 
 
 def _search(k: int):
@@ -176,18 +199,17 @@ def _search(k: int):
         def out(q):
             kept = (q.scores > NONE).reshape(-1)
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(q.ids, k)[kept]), pa.array(q.best.reshape(-1)[kept]),
-                 pa.array(q.scores.reshape(-1)[kept].astype(np.int64))], ["query_id", "vec_id", "score"])
+                [pa.array(np.repeat(q.ids, k)[kept]), pa.array(q.best.reshape(-1)[kept]), pa.array(q.scores.reshape(-1)[kept])], ["query_id", "vec_id", "score"])
 
         now, queries = None, None
-        columns = ["n", "ids", "whole", "lead", "rest"]
+        columns = ["n", "width", "ids", "whole", "lead", "rest"]
         for b in batches:
-            for row in rows_of(b, *[f"q_{c}" for c in columns], "q_floors", *columns):
-                if row[1] != now:
+            for row in rows_of(b, "q_floors", *[f"q_{c}" for c in columns], *columns):
+                if row[3] != now:
                     if queries:
                         yield out(queries)
-                    now, queries = row[1], _Queries(k, *row[:6])
-                queries.meet(*_load(*row[6:]))
+                    now, queries = row[3], _Queries(k, *row[:7])
+                queries.meet(*_load(*row[7:]))
         if queries:
             yield out(queries)
 
@@ -197,23 +219,30 @@ def _search(k: int):
 def top_inner_products(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, groups: int = GROUPS) -> DataFrame:
     """query_id, rank (from 1), vec_id, score of each query's k best rows among all ``vectors`` but its own id.
 
-    ``queries`` has a column vec_id: the rows of ``vectors`` to ask for. Scores stay below 2**53 in size, so double
-    products of integers are exact.
+    ``queries`` has a column vec_id: the rows of ``vectors`` to ask for.
     """
     spark = vectors.sparkSession
-    rows = written(integer_vectors(vectors, scale).withColumn(
-        "length", F.aggregate("v", F.lit(0).cast("long"), lambda a, c: a + c * c)), "vectors")
+    every = written(integer_vectors(vectors, scale), "vectors")
+    # in a product, components only need their sizes: doubles
+    every = every.withColumn("length", F.aggregate("v", F.lit(0.0), lambda a, c: a + c.cast("double") * c.cast("double")))
+    asked = queries.select(F.col("vec_id").cast("long").alias("vec_id")).distinct()
+    out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    for r in every.select("d").distinct().collect():  # a row per length
+        out = out.unionByName(_of_one_length(every.where(F.col("d") == r.d).drop("d"), asked, k, groups))
+    return out
+
+
+def _of_one_length(rows: DataFrame, asked: DataFrame, k: int, groups: int) -> DataFrame:
+    """``top_inner_products`` among vectors of one length."""
+    spark = rows.sparkSession
     turn, lead = rotation(rows)
-    if not lead:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     top = rows.orderBy(F.desc("length"), "vec_id").limit(HEAD_ROWS).select("vec_id", "v").collect()  # HEAD_ROWS rows
     head = (np.array([r[0] for r in top], np.int64), np.array([r[1] for r in top], np.float64))
     across = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // groups)  # groups of query blocks
 
     striped = rows.repartition(groups, "vec_id").sortWithinPartitions(F.desc("length"), "vec_id")
     blocks = written(striped.select("vec_id", "v").mapInArrow(_blocks(turn, lead, ROW_BLOCK), BLOCK).drop("floors", "least"), "row-blocks")
-    asked = rows.join(queries.select(F.col("vec_id").cast("long").alias("vec_id")), "vec_id", "left_semi")
-    asked = asked.groupBy("vec_id").agg(F.min("v").alias("v"))
+    asked = rows.join(asked, "vec_id", "left_semi").groupBy("vec_id").agg(F.min("v").alias("v"))
     ask = written(asked.mapInArrow(_blocks(turn, lead, QUERY_BLOCK, k, head), BLOCK), "query-blocks")
 
     def cells(block, n, out):
@@ -224,7 +253,7 @@ def top_inner_products(vectors: DataFrame, queries: DataFrame, k: int = 5, scale
 
     ask = ask.select(*[F.col(c).alias(f"q_{c}") for c in ask.columns], cells("ids", across, "h"), every(groups, "g"))
     blocks = blocks.select("*", cells("ids", groups, "g"), every(across, "h"))
-    pairs = ask.join(blocks, ["g", "h"]).where("top * q_top >= q_least - 0.000001 * (1 + abs(q_least))")
+    pairs = ask.join(blocks, ["g", "h"]).where("top * q_top * 1.000001 + 0.000001 >= q_least")
     pairs = pairs.sortWithinPartitions("q_ids", F.desc("top"))
     found = pairs.mapInArrow(_search(k), "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))

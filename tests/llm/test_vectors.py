@@ -142,3 +142,23 @@ def test_decoding_lists_every_filter_above_the_threshold():
             assert set(got) == set(np.argsort(-sums)[:5])
         every.append(len(above))
     assert 5 < np.mean(every) < 40
+
+
+def test_top_k_of_every_length_and_size(spark, monkeypatch):
+    for name, v in (("ROW_BLOCK", 32), ("QUERY_BLOCK", 8), ("STRIPE", 16), ("HEAD_ROWS", 20), ("GROUPS", 3)):
+        monkeypatch.setattr(topk_norm, name, v)
+    rng = np.random.default_rng(4)
+    rows = []
+    for dim in (1, 2, 3, 7):
+        v = rng.normal(size=(60, dim)) * 10.0 ** rng.choice([0, 0, 3, 5, 6], (60, 1))
+        rows += [(1000 * dim + 10 * i, x.astype(np.float32).tolist(), 0) for i, x in enumerate(v)]
+    rows += [(60, [5e6, 1.0], 0), (80, [5e6, -5e6, 3.0], 0), (81, [5e6, 5e6, 5.0], 0), (100, [1.0, 2.0, 3.0], 0)]
+    df = table(spark, rows)
+    got = topk_norm.top_inner_products(df, df.where("vec_id % 20 = 0"), 5, groups=3).collect()
+    whole = [(i, [int(np.floor(256 * float(np.float32(c)))) for c in v]) for i, v, _ in rows]
+    want = []
+    for q, v in whole:
+        if q % 20 == 0:
+            score = {i: max(-(2**63) + 1, min(2**63 - 1, sum(a * b for a, b in zip(v, w)))) for i, w in whole if i != q and len(w) == len(v)}
+            want += [(q, r, i, s) for r, (i, s) in enumerate(sorted(score.items(), key=lambda x: (-x[1], x[0]))[:5], 1)]
+    assert sorted(map(tuple, got)) == sorted(want)
