@@ -5,7 +5,9 @@ directions; a filter is one direction of each part, so few directions make very
 to every filter whose inner product with it exceeds a threshold (a spherical cap): list decoding adds the
 parts' best sums branch by branch and never looks at all filters. Vectors of cosine 0.98 or more lie in nearly the same
 caps, and meet in a filter; vectors of other directions hardly do. A vector with fewer than ``LEAST`` caps takes its
-``LEAST`` best filters, so none is missed for lying between caps.
+``LEAST`` best filters, so none is missed for lying between caps. The threshold is set by a seeded simulation: it falls until
+``MEET`` of pairs at the least cosine share a filter. Short vectors have fewer parts, and no more directions than leave such
+pairs in common caps.
 
 Meeting vectors of one label are verified by their cosine in double precision. A pair that meets in several filters is
 counted in the first filter that both have. Vectors equal in every component and label are one class, compared once and
@@ -32,8 +34,13 @@ from pyspark.sql import functions as F
 from caudal.llm.common import components, rows_of, written
 
 COSINE = 0.98
-#: Parts of a vector, directions per part: PARTS to the power of it filters. Expected and least caps of a vector.
-PARTS, DIRECTIONS, CAPS, LEAST = 4, 32, 24, 12
+#: Parts of a vector at most (of PART_DIMS dimensions or more), directions per part: parts to the power of it filters.
+#: Expected and least caps of a vector.
+PARTS, PART_DIMS, DIRECTIONS, CAPS, LEAST = 4, 8, 32, 24, 12
+#: Directions of a part at most, by the number of parts; a part's scores are a row of so many products.
+MOST_DIRECTIONS = {1: 8192, 2: 4096, 3: 1024, 4: 512}
+#: Share of simulated pairs at the least cosine that must meet; share of a cap that such a pair has in common (one part).
+MEET, OVERLAP = 0.98, 0.4
 SLICE = 1000
 SEED = 20
 
@@ -41,9 +48,10 @@ SEED = 20
 class Filters:
     """Random product code over vectors of a dimension."""
 
-    def __init__(self, dim: int, parts: int = PARTS, directions: int = DIRECTIONS, caps: int = CAPS, seed: int = SEED):
+    def __init__(self, dim: int, parts: int | None = None, directions: int = DIRECTIONS, caps: int = CAPS, seed: int = SEED):
         rng = np.random.default_rng(seed)
-        self.dim, self.directions, self.parts = dim, directions, min(parts, dim)
+        self.dim, self.directions = dim, directions
+        self.parts = parts_of(dim) if parts is None else min(parts, dim)
         self.turn = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
         self.cuts = [dim * i // self.parts for i in range(self.parts + 1)]
         self.codes = []
@@ -51,8 +59,34 @@ class Filters:
             code = rng.normal(size=(directions, b - a))
             self.codes.append(code / np.linalg.norm(code, axis=1, keepdims=True) / math.sqrt(self.parts))
         filters = directions**self.parts
-        #: inner products with a random filter are close to normal with variance 1 / dim
-        self.threshold = NormalDist().inv_cdf(1 - min(0.5, caps / filters)) / math.sqrt(dim)
+        #: inner products with a random filter are close to normal with variance 1 / dim; see ``calibrate``
+        self.threshold = min(NormalDist().inv_cdf(1 - min(0.5, caps / filters)) / math.sqrt(dim), 0.999)
+
+    @classmethod
+    def for_table(cls, dim: int, classes: int, cosine: float = COSINE) -> Filters:
+        """Filters for so many different vectors: more of them as vectors grow, so a filter's members do not."""
+        parts = parts_of(dim)
+        most = MOST_DIRECTIONS[parts]
+        if parts == 1:
+            most = min(most, _caps_that_overlap(dim, cosine))
+        filters = cls(dim, directions=min(most, max(DIRECTIONS, math.ceil((classes * CAPS) ** (1 / parts)))))
+        filters.classes, filters.cosine = classes, cosine
+        filters.calibrate(cosine)
+        return filters
+
+    def calibrate(self, cosine: float, pairs: int = 400, seed: int = SEED + 1) -> None:
+        """Lower the threshold until MEET of simulated pairs at ``cosine`` meet in a filter."""
+        rng = np.random.default_rng(seed)
+        a, b = (rng.normal(size=(pairs, self.dim)) for _ in range(2))
+        a /= np.linalg.norm(a, axis=1, keepdims=True)
+        b -= a * (a * b).sum(1, keepdims=True)
+        b /= np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-300)
+        b = a if self.dim == 1 else cosine * a + math.sqrt(max(0.0, 1 - cosine**2)) * b
+        while True:
+            met = [len(np.intersect1d(x, y, True)) > 0 for x, y in zip(self.decode(a), self.decode(b))]
+            if np.mean(met) >= MEET or self.threshold <= 0:
+                return
+            self.threshold -= 0.1 / math.sqrt(self.dim)
 
     def decode(self, unit: np.ndarray, least: int = LEAST) -> list[np.ndarray]:
         """For each unit vector the filters above the threshold, or the ``least`` best if they are fewer; sorted."""
@@ -79,6 +113,29 @@ class Filters:
         return ids
 
 
+def parts_of(dim: int) -> int:
+    return max(1, min(PARTS, dim // PART_DIMS))
+
+
+def _caps_that_overlap(dim: int, cosine: float, n: int = 40_000) -> int:
+    """Directions of a single part such that CAPS caps hold a vector and a pair at ``cosine`` shares OVERLAP of a cap.
+
+    Caps of few dimensions must not shrink below the pair's angle, however many vectors there are."""
+    if dim == 1:
+        return CAPS
+    rng = np.random.default_rng(SEED)
+    x = rng.normal(size=(n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    s, other = x[:, 0], cosine * x[:, 0] + math.sqrt(max(0.0, 1 - cosine**2)) * x[:, 1]
+    share = 0.5
+    while share / 2 * n >= 200:
+        bar = np.quantile(s, 1 - share / 2)
+        if (other[s >= bar] >= bar).mean() < OVERLAP:
+            break
+        share /= 2
+    return max(CAPS, math.ceil(CAPS / share))
+
+
 def classes_of(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All rows with the class of their vector (null: links with nothing), and the classes.
 
@@ -109,7 +166,7 @@ def _decoder(filters: Filters):
             ends = np.flatnonzero(np.diff(dims)) + 1
             for low, high in zip([0, *ends.tolist()], [*ends.tolist(), len(dims)]):
                 if low < high and dims[low] != now.dim:
-                    now = Filters(int(dims[low]), directions=filters.directions)
+                    now = Filters.for_table(int(dims[low]), filters.classes, filters.cosine)
                 for at in range(low, high, 512):
                     part = b.slice(at, min(512, high - at))
                     v = np.array(part.column("v").to_pylist(), np.float64)
@@ -134,13 +191,18 @@ def _trees(near: np.ndarray) -> np.ndarray:
         label = seen
 
 
-def _earlier(caps: list[np.ndarray], cap: int) -> np.ndarray:
-    """Members by the filters before ``cap`` that any of them has: 1 where the member has it."""
+def _met_before(caps: list[np.ndarray], cap: int, width: int = 4096) -> np.ndarray:
+    """Whether two members have a filter before ``cap`` in common; filters are taken ``width`` at a time."""
     before = [x[x < cap] for x in caps]
     known, at = np.unique(np.concatenate(before), return_inverse=True)
-    m = np.zeros((len(caps), max(1, len(known))), np.float32)
-    m[np.repeat(np.arange(len(caps)), [len(x) for x in before]), at] = 1
-    return m
+    who = np.repeat(np.arange(len(caps)), [len(x) for x in before])
+    met = np.zeros((len(caps), len(caps)), bool)
+    for low in range(0, len(known), width):
+        here = (at >= low) & (at < low + width)
+        m = np.zeros((len(caps), min(width, len(known) - low)), np.float32)
+        m[who[here], at[here] - low] = 1
+        met |= m @ m.T > 0
+    return met
 
 
 def _verifier(cosine: float):
@@ -152,8 +214,9 @@ def _verifier(cosine: float):
         def cell(cap, low, high, rows):
             node, n, salt = (np.array(c, np.int64) for c in zip(*[r[:3] for r in rows]))
             v = np.stack([np.frombuffer(r[4], "<f8") for r in rows])
-            had = _earlier([np.array(r[3], np.int64) for r in rows], cap)
-            near = (v @ v.T >= cosine) & (had @ had.T == 0)
+            near = v @ v.T >= cosine
+            if near.sum() > len(near):  # links beyond each member's with itself
+                near &= ~_met_before([np.array(r[3], np.int64) for r in rows], cap)
             if low == high:
                 np.fill_diagonal(near, False)
             else:
@@ -211,9 +274,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     if not shape["n"]:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                            F.col("vec_id").isNotNull().alias("kept"))
-    # filters grow with the classes, so a filter's members do not
-    directions = min(256, max(DIRECTIONS, math.ceil((shape["n"] * CAPS) ** (1 / PARTS))))
-    links = written(near_links(classes, Filters(shape["d"], directions=directions), cosine), "near")
+    links = written(near_links(classes, Filters.for_table(shape["d"], shape["n"], cosine), cosine), "near")
     roots = components(links, "node", "other")
     linked = links.groupBy("node").agg(F.sum("n").alias("near"))
     known = (classes.select("node", "n").join(linked, "node", "left").join(roots, "node", "left")

@@ -162,3 +162,31 @@ def test_top_k_of_every_length_and_size(spark, monkeypatch):
             score = {i: max(-(2**63) + 1, min(2**63 - 1, sum(a * b for a, b in zip(v, w)))) for i, w in whole if i != q and len(w) == len(v)}
             want += [(q, r, i, s) for r, (i, s) in enumerate(sorted(score.items(), key=lambda x: (-x[1], x[0]))[:5], 1)]
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+@pytest.mark.parametrize("dim", [2, 3, 5, 6, 8, 10, 16, 24, 64])
+def test_recall_of_random_pairs_at_every_length(dim):
+    rng = np.random.default_rng(dim)
+    for classes in (500, 200_000):
+        filters = cap_filters.Filters.for_table(dim, classes)
+        for cosine in (0.98, 0.985, 0.99):
+            a, b = rng.normal(size=(2, 200, dim))
+            a /= np.linalg.norm(a, axis=1, keepdims=True)
+            b -= a * (a * b).sum(1, keepdims=True)
+            b = cosine * a + np.sqrt(1 - cosine**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+            met = [len(np.intersect1d(x, y)) > 0 for x, y in zip(filters.decode(a), filters.decode(b))]
+            assert np.mean(met) >= 0.93
+
+
+def test_short_vectors_reach_almost_all_pairs(spark):
+    rng = np.random.default_rng(7)
+    rows = []
+    for dim in (2, 4, 6, 8):
+        for g in range(12):
+            centre = rng.normal(size=dim)
+            centre /= np.linalg.norm(centre)
+            rows += [(10_000 * dim + 50 * g + i, (centre + rng.normal(size=dim) * 0.12 / np.sqrt(dim)).astype(np.float32).tolist(), 1) for i in range(12)]
+    got = {r.vec_id: r.n_links for r in cap_filters.near_duplicates(table(spark, rows)).collect()}
+    want = [w for dim in (2, 4, 6, 8) for w in links_by_hand([x for x in rows if len(x[1]) == dim], dim)]
+    there = sum(w[1] for w in want)
+    assert there > 2000 and 0.97 * there <= sum(got.values()) <= there
