@@ -422,7 +422,8 @@ def one_per_group(docs: DataFrame) -> DataFrame:
     by = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc"), "key")
     keep = groups.where("root IS NOT NULL").groupBy("root").agg(F.min(by)["key"].alias("_key")).select("_key", F.lit(1).alias("_most"))
     keep = keep.union(groups.where("root IS NULL").select("key", F.lit(2**31 - 1)).distinct())
-    rows = docs.withColumn("_key", row_key(F.col("doc_id").cast("long"), utf8("text"))).join(keep, "_key")
+    held = [F.col(f"`{c}`").alias(f"_in_{i}") for i, c in enumerate(docs.columns)]
+    rows = docs.select(*held, row_key(F.col("doc_id").cast("long"), utf8("text")).alias("_key")).join(keep, "_key")
     # rows equal in id and text share a key: they lie together already
     rows = rows.withColumn("_copy", F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(0))))
-    return rows.where("_copy <= _most").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.where("_copy <= _most").select(*[F.col(f"_in_{i}").alias(c) for i, c in enumerate(docs.columns)])
