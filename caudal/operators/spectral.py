@@ -7,7 +7,7 @@ bounded by the sensor footprint, not by the data volume.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caudal.functions.ids import stable_id
@@ -49,10 +49,15 @@ def index_value(code: str) -> Column:
 
 def scene_medians(pixels: DataFrame, code: str) -> DataFrame:
     """SP3 + SP4: median index per (location, scene, date) ignoring missing values;
-    scenes without any value are dropped."""
+    scenes without any value are dropped. The middle values are found by rank in a sort that spills, so no task holds a
+    scene's pixels in memory."""
     v = pixels.select("location_id", "scene_id", "fecha", index_value(code).alias("v")).filter(
         F.col("v").isNotNull() & ~F.isnan("v"))
-    return v.groupBy("location_id", "scene_id", "fecha").agg(F.median("v").alias("valor"))
+    scene = ["location_id", "scene_id", "fecha"]
+    sizes = v.groupBy(*scene).agg(F.count(F.lit(1)).alias("n"))
+    ranked = v.withColumn("r", F.row_number().over(Window.partitionBy(*scene).orderBy("v"))).join(sizes, scene)
+    middle = (F.col("r") >= F.floor((F.col("n") + 1) / 2)) & (F.col("r") <= F.ceil((F.col("n") + 1) / 2))
+    return ranked.filter(middle).groupBy(*scene).agg(F.avg("v").alias("valor"))
 
 
 def index_rows(pixels: DataFrame, bounds: DataFrame, code: str, date_from: str, date_to: str,

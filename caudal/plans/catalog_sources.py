@@ -42,6 +42,31 @@ def src1(spark, d):
     return c.groupBy("departamento", "tipo_reclamo").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("src1_rejected_lines", with_ctes([], """
+SELECT c_nationkey AS archivo, COUNT(*) AS filas, COUNT(*) FILTER (WHERE o_orderkey % 41 IN (5, 6)) AS rechazadas,
+       COUNT(*) FILTER (WHERE o_orderkey % 41 NOT IN (5, 6) AND o_orderkey % 50 <> 7 AND o_orderkey % 61 <> 3
+                        AND NOT (o_orderpriority = '5-LOW' AND o_orderkey % 2 = 0)) AS conservadas
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""".replace("WITH \n", "")))
+def src1_rejected(spark, d):
+    """SRC1 + A04 lines of each claims file, those that are malformed (a field short or over), and what the cleaner keeps."""
+    path = _scratch(spark, "claims_lines")
+    o = S.read(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("id_reclamo_comercial_m"), "o_custkey")
+    c = S.read(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("archivo"))
+    raw = S.raw_claims(spark, d).join(o.join(c, F.col("o_custkey") == F.col("c_custkey")), "id_reclamo_comercial_m")
+    k = F.col("id_reclamo_comercial_m").cast("long") % 41
+    fields = [F.regexp_replace(F.coalesce(F.col(x), F.lit("")), r"[\r\t]", "") for x in CLAIM_COLS]
+    line = F.when(k == 5, F.concat_ws(";", *fields[:-1])).when(k == 6, F.concat_ws(";", *fields, F.lit("y"))).otherwise(F.concat_ws(";", *fields))
+    raw.select("archivo", line.alias("value")).write.partitionBy("archivo").text(path)
+    back = files.read_delimited(spark, path, CLAIM_COLS, "semicolon_utf8", header=False, with_path=True, rejected="linea")
+    file = F.regexp_extract("source_file", r"archivo=(\d+)", 1).cast("int")
+    back = back.withColumn("archivo", file)
+    good, _ = files.split_rejected(back, "linea")
+    tagged = clean.tag_drop_reason(good, clean.claim_rules(1995)).filter("reason IS NULL").groupBy("archivo").agg(
+        F.count(F.lit(1)).alias("conservadas"))
+    return files.line_counts(back, "linea", "archivo").join(tagged, "archivo", "left").select(
+        "archivo", "filas", "rechazadas", F.coalesce("conservadas", F.lit(0)).alias("conservadas"))
+
+
 @register("src2_multi_file_union", with_ctes([], """
 SELECT CASE WHEN event_type = 'signup' THEN 'humedad' ELSE 'precip' END AS tipo, COUNT(*) AS filas,
        COUNT(*) FILTER (WHERE event_type NOT IN ('signup')) AS con_precip,

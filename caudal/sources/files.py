@@ -34,24 +34,42 @@ def string_schema(columns: list[str]) -> StructType:
 
 def read_delimited(spark: SparkSession, paths: str | list[str], columns: list[str] | StructType,
                    dialect: str = "comma", header: bool = True, with_path: bool = False,
-                   skip_unreadable: bool = False) -> DataFrame:
+                   skip_unreadable: bool = False, rejected: str | None = None) -> DataFrame:
     """SRC1: delimited scan with a dialect; malformed rows are kept with nulls (PERMISSIVE).
 
+    ``rejected`` names a column for the whole line of a malformed row (fewer or more fields than columns, a value that is
+    not of its column's type); null for the others. ``line_counts`` adds them up per file.
+
     A corrupt or vanished file ends the job. ``skip_unreadable`` leaves such files out instead;
     ``unread_files`` then tells which gave no row.
     """
     schema = columns if isinstance(columns, StructType) else string_schema(columns)
+    if rejected:
+        schema = StructType([*schema.fields, StructField(rejected, StringType(), True)])
     opts = dict(DIALECTS[dialect])
     r = (spark.read.schema(schema).option("header", str(header).lower()).option("mode", "PERMISSIVE")
          .option("sep", opts["sep"]).option("encoding", opts["encoding"])
          .option("ignoreMissingFiles", str(skip_unreadable).lower())
          .option("ignoreCorruptFiles", str(skip_unreadable).lower()))
-    df = r.csv(paths)
+    df = (r.option("columnNameOfCorruptRecord", rejected) if rejected else r).csv(paths)
     if with_path:
         df = df.withColumn("source_file", F.col("_metadata.file_path"))
+    if rejected:  # whether a line is malformed shows only when all its fields are read: no column is pruned below this
+        df = df.select(F.inline(F.array(F.struct(*df.columns))))
     return df
 
 
+def line_counts(rows: DataFrame, rejected: str, path_col: str = "source_file") -> DataFrame:
+    """SRC1 / A04: lines of each file and how many of them were malformed. ``unread_files`` lists the files without any."""
+    return rows.groupBy(path_col).agg(F.count(F.lit(1)).alias("filas"), F.count(rejected).alias("rechazadas"))
+
+
+def split_rejected(rows: DataFrame, rejected: str) -> tuple[DataFrame, DataFrame]:
+    """Well-formed rows without the column, and the malformed lines (``rejected``, and the file if it is there)."""
+    keep = [rejected, *(["source_file"] if "source_file" in rows.columns else [])]
+    return rows.filter(F.col(rejected).isNull()).drop(rejected), rows.filter(F.col(rejected).isNotNull()).select(*keep)
+
+
 def unread_files(spark: SparkSession, paths: str | list[str], rows: DataFrame, path_col: str = "source_file") -> DataFrame:
     """SRC1: listed files (path, length) of which ``rows`` has none: skipped as unreadable, or empty."""
     listed = spark.read.format("binaryFile").load(paths).select("path", "length")  # content is not read

@@ -157,3 +157,27 @@ def test_geometries_with_holes_and_parts_round_trip(spark, tmp):
     metric = spark.createDataFrame([("m", 1.0)], "name string, v double")
     feats = {r.name: json.loads(r.feature)["geometry"] for r in spatial.feature_rows(df, metric, "name", "v", "parts", gtype="gtype").collect()}
     assert [len(p) for p in feats["m"]["coordinates"]] == [2, 1] and len(feats["p"]["coordinates"]) == 2
+
+
+def test_rejected_lines_are_kept_and_counted(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n3\n4,5,6\n7,8\n,\n")
+    (tmp_path / "b.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "c.csv").write_text("a,b\n")
+    rows = files.read_delimited(spark, f"{tmp_path}/*.csv", ["a", "b"], with_path=True, rejected="line")
+    counts = {r.source_file.rsplit("/", 1)[1]: (r.filas, r.rechazadas) for r in files.line_counts(rows, "line").collect()}
+    assert counts == {"a.csv": (5, 2), "b.csv": (1, 0)}
+    good, bad = files.split_rejected(rows, "line")
+    assert sorted((r.a or "", r.b or "") for r in good.collect()) == [("", ""), ("1", "2"), ("1", "2"), ("7", "8")]
+    assert sorted(r.line for r in bad.collect()) == ["3", "4,5,6"]
+    assert [r.path.rsplit("/", 1)[1] for r in files.unread_files(spark, f"{tmp_path}/*.csv", rows).collect()] == ["c.csv"]
+
+
+def test_median_of_scenes_by_bracket_and_count(spark):
+    import numpy as np
+
+    g = np.random.default_rng(3)
+    rows = [(1, s, dt.date(2023, 1, 1), float(r), float(e)) for s, n in ((1, 4001), (2, 4000), (3, 1), (4, 2)) for r, e in g.integers(1, 400, (n, 2))]
+    px = spark.createDataFrame(rows, "location_id int, scene_id long, fecha date, red double, rededge1 double")
+    got = {r.scene_id: r.valor for r in spectral.scene_medians(px, "NDCI").collect()}
+    for s in (1, 2, 3, 4):
+        assert got[s] == pytest.approx(np.median([(e - r) / (e + r) for _, i, _, r, e in rows if i == s]), abs=1e-15)
