@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caudal.operators import audit, clean, load, spatial, spectral
-from caudal.functions.geometry import parts_from_geojson
+from caudal.functions.geometry import parts_from_geojson, signed_area
 from caudal.plans import surrogates as S
 from caudal.plans.catalog import _Q13_BODY
 from caudal.plans.catalog_ingest import CLAIMS_SQL, HOURLY_SQL, LAB_MIN_YEAR, LAB_SQL, _clean_lab, _hourly_with_pos
@@ -384,21 +384,32 @@ def _features(spark, d):
         F.when(kind == 0, F.col("rings")).alias("rings"))
 
 
-@register("geo2_geometry_audit", with_ctes(["deptos"], """
+_VERTICES = ", ".join(f"({s}, {i}, {x}, {y})" for s, pts in S.SHAPES.items() for i, (x, y) in enumerate(pts))
+
+
+@register("geo2_geometry_audit", with_ctes(["deptos"], f"""
+, v(shape, i, x, y) AS (VALUES {_VERTICES}),
+-- a directed pair of vertices is an edge of the hull if all others lie to its left
+hull AS (SELECT a.shape, COUNT(*) AS n, SUM(a.x * b.y - b.x * a.y) / 2 AS area FROM v a JOIN v b ON a.shape = b.shape AND a.i <> b.i
+         WHERE NOT EXISTS (SELECT 1 FROM v c WHERE c.shape = a.shape AND c.i <> a.i AND c.i <> b.i
+                           AND (b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) <= 0) GROUP BY 1),
+ring AS (SELECT a.shape, COUNT(*) AS n, ABS(SUM(a.x * b.y - b.x * a.y)) / 2 AS area FROM v a JOIN v b ON a.shape = b.shape
+           AND b.i = (a.i + 1) % (SELECT COUNT(*) FROM v c WHERE c.shape = a.shape) GROUP BY 1)
 SELECT departamento_id,
        CASE departamento_id % 4 WHEN 0 THEN 'ok' WHEN 3 THEN 'failed' ELSE 'convertible' END AS status,
        CASE departamento_id % 4 WHEN 0 THEN 'pass' WHEN 1 THEN 'close_ring' WHEN 2 THEN 'convex_hull' ELSE 'reject' END
          AS action,
-       CASE departamento_id % 4 WHEN 0 THEN NULL WHEN 3 THEN NULL
-            WHEN 1 THEN CASE shape WHEN 2 THEN 7 ELSE 5 END
-            ELSE CASE shape WHEN 2 THEN 6 ELSE 5 END END AS n_vertices
-FROM deptos"""))
+       CAST(CASE departamento_id % 4 WHEN 1 THEN ring.n + 1 WHEN 2 THEN hull.n + 1 END AS INTEGER) AS n_vertices,
+       {R('CASE departamento_id % 4 WHEN 1 THEN ring.area WHEN 2 THEN hull.area END')} AS area
+FROM deptos JOIN hull USING (shape) JOIN ring USING (shape)"""))
 def geo2(spark, d):
-    """GEO2 geometry audit/repair: polygons pass, closed lines close, open lines -> convex hull, points rejected."""
+    """GEO2 geometry audit/repair: polygons pass, closed lines close, open lines -> convex hull, points rejected; with the
+    repaired ring's vertices and area."""
     c = spatial.classify_geometries(_features(spark, d), "departamento_id")
+    ring = F.element_at("repaired_rings", 1)
     return c.select("departamento_id", "status", "action",
-                    F.when(F.col("repaired_rings").isNotNull(), F.size(F.element_at("repaired_rings", 1)))
-                    .alias("n_vertices"))
+                    F.when(F.col("repaired_rings").isNotNull(), F.size(ring)).alias("n_vertices"),
+                    F.when(F.col("repaired_rings").isNotNull(), F.abs(signed_area(ring))).alias("area"))
 
 
 _FIRST_X, _FIRST_Y = ("CASE shape " + " ".join(f"WHEN {k} THEN {p[0][i]}" for k, p in S.SHAPES.items()) + " END" for i in (0, 1))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import logging
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -91,9 +92,9 @@ def read_many(spark: SparkSession, groups: list[tuple[str, list[str]]], dialect:
         try:
             df = read_delimited(spark, glob, cols, dialect, with_path=True)
             df.schema  # resolves the path listing (metadata only); a glob matching nothing raises here
-        except Exception as e:  # noqa: BLE001 - the source's file is absent: skip it, like the loaders do
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise  # the source's file is there: its failure is no reason to skip it
             LOG.warning("no input matches %s: skipped", glob)
             continue
         frames.append(df)
