@@ -264,9 +264,7 @@ SELECT CAST(CASE WHEN k % 61 = 3 THEN NULL ELSE year(fecha) END AS INTEGER) AS a
 FROM ({_CLAIMS_RAW_SQL}) GROUP BY 1"""))
 def a05(spark, d):
     """A05 claims audit: rows per year kept / dropped (bad dates have no year and count under null)."""
-    t = _claims_tagged(spark, d)
-    raw_year = F.to_date(F.when(F.col("fecha_ingreso") == "fecha invalida", None).otherwise(F.col("fecha_ingreso")))
-    return audit.rows_by_year(t.withColumn("_y", raw_year.cast("timestamp_ntz")), "_y")
+    return audit.rows_by_year(_claims_tagged(spark, d), "fecha_inicio")
 
 
 @register("a05_unmapped_categories", with_ctes([], """
