@@ -48,11 +48,7 @@ def polygon_cell_index(polygons: DataFrame, poly_id: str, rings: str = "rings",
     the middle of the cell's left side (its reference) lies in the polygon: the crossings of the row's middle line are
     counted along the row. Cells that no edge touches lie wholly inside or outside; inside ones have no edges.
     """
-    bb = rings_bbox(F.col(rings))
-    base = polygons.select(poly_id, polygon_edges(F.col(rings)).alias("_e"), *[v.alias(k) for k, v in bb.items()])
-    area = F.greatest((F.col("max_lon") - F.col("min_lon")) * (F.col("max_lat") - F.col("min_lat")), F.lit(1e-12))
-    level = F.floor(F.log2(F.lit(float(cell_deg)) * F.sqrt(F.size("_e") / area)))
-    base = base.withColumn("level", F.greatest(F.lit(0), F.least(F.lit(_POLYGON_LEVELS), level)).cast("int"))
+    base = _with_level(polygons, poly_id, rings, cell_deg)
     side = _polygon_side(cell_deg)
 
     def row(v):
@@ -83,6 +79,14 @@ def polygon_cell_index(polygons: DataFrame, poly_id: str, rings: str = "rings",
     return cells.filter(F.col("inside") | has_edges).select(*key, "inside", F.when(has_edges, F.col("edges")).alias("edges"))
 
 
+def _with_level(polygons: DataFrame, poly_id: str, rings: str, cell_deg: float) -> DataFrame:
+    """poly_id, edges (``_e``), bounds and the level of the polygon's grid."""
+    base = polygons.select(poly_id, polygon_edges(F.col(rings)).alias("_e"), *[v.alias(k) for k, v in rings_bbox(F.col(rings)).items()])
+    area = F.greatest((F.col("max_lon") - F.col("min_lon")) * (F.col("max_lat") - F.col("min_lat")), F.lit(1e-12))
+    level = F.floor(F.log2(F.lit(float(cell_deg)) * F.sqrt(F.size("_e") / area)))
+    return base.withColumn("level", F.greatest(F.lit(0), F.least(F.lit(_POLYGON_LEVELS), level)).cast("int"))
+
+
 def _polygon_side(cell_deg: float) -> Column:
     return F.lit(float(cell_deg)) / F.pow(F.lit(2.0), F.col("level").cast("double"))
 
@@ -129,7 +133,7 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, poly_id: str, lon
     index (polygons' cells, not points) is repeated as often.
     """
     index = polygon_cell_index(polygons, poly_id, rings, cell_deg)
-    levels = index.agg(F.collect_set("level").alias("l")).scalar()  # _POLYGON_LEVELS + 1 at most
+    levels = _with_level(polygons, poly_id, rings, cell_deg).agg(F.collect_set("level").alias("l")).scalar()  # _POLYGON_LEVELS + 1 at most
     side = _polygon_side(cell_deg)
     pts = points.withColumn("level", F.explode(levels)).withColumns({
         "cell_row": _polygon_row(F.col(lat), side),
