@@ -92,6 +92,25 @@ def distinct_grams(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarr
     return values[first], np.add.reduceat(counts[by], first) if len(values) else counts
 
 
+def gram_sums(texts: list[bytes], order: int, grams: np.ndarray, values: np.ndarray) -> list[float]:
+    """For each text the sum of its grams' values; ``grams`` ascending. Grams are looked up in order, piece by piece."""
+    out, held, size = [], [], 0
+    for i, t in enumerate(texts):
+        held.append(t)
+        size += len(t)
+        if size >= _LIST_BYTES or i + 1 == len(texts):
+            g, starts = grams_of(held, order)
+            by = np.argsort(g)
+            g = g[by]
+            new = np.r_[True, g[1:] != g[:-1]]
+            found = values[np.searchsorted(grams, g[new])]
+            each = np.empty(len(g))
+            each[by] = found[np.cumsum(new) - 1]
+            out += np.add.reduceat(each, starts[:-1]).tolist()
+            held, size = [], 0
+    return out
+
+
 def squeezed(values) -> bytes:
     """An array or bytes, compressed."""
     return zlib.compress(values if isinstance(values, bytes) else values.tobytes(), 1)
@@ -228,7 +247,7 @@ def _scorer(order: int, buckets: int, n: int, v: int, trained: int):
     distinct_n = v + (trained > 0)
     below = log10(tokens_n + 0.5 * (distinct_n + 1))
 
-    def score(docs, found):
+    def run(docs, found):
         import pyarrow as pa
 
         rows = [(i, held, zlib.decompress(t)) for i, held, t in rows_of(docs, "doc_id", "held_out", "text")]
@@ -243,17 +262,16 @@ def _scorer(order: int, buckets: int, n: int, v: int, trained: int):
         values[block.order] = logp  # in the order of sorted_grams
         base = dict(zip(block.words, (np.log10(counts + 0.5) - below).tolist()))
         known = {w for w, c in zip(block.words, counts.tolist()) if c}
-        out = []
-        for doc_id, held_out, text in block.docs:
+        out, scores = [], gram_sums([t for _, _, t in block.docs], order, block.sorted_grams, values)
+        for (doc_id, held_out, text), score in zip(block.docs, scores):
             ws = text.split()
-            g, _ = grams_of([text], order)
             out.append((doc_id, held_out, len(ws) + 1, sum(map(known.__contains__, ws)) + (trained > 0), tokens_n,
                         float(sum(map(base.__getitem__, ws))) + log10(trained + 0.5) - below,
-                        float(values[np.searchsorted(block.sorted_grams, g)].sum())))
+                        score))
         kinds = (pa.int64(), pa.bool_(), *[pa.int64()] * 3, *[pa.float64()] * 2)
         return pa.table({c: pa.array(x, t) for c, x, t in zip(SCORED, zip(*out), kinds)})
 
-    return score
+    return run
 
 
 SCORED = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
