@@ -85,15 +85,22 @@ def parameter_coverage(df: DataFrame, code: str, station: str, total_label: str
     With ``file`` the stations of a code are counted per file and summed. ``names`` (code, nombre) adds the
     parameter's name, null where there is none and on the Total row.
     """
-    files = [F.col(file).alias("__f")] if file else [F.lit(0).alias("__f")]
-    per = df.groupBy(F.col(code), *files).agg(F.count(F.lit(1)).alias("filas"), F.countDistinct(station).alias("estaciones"))
-    per = per.groupBy(code).agg(F.sum("filas").alias("filas"), F.sum("estaciones").alias("estaciones"))
-    total = df.agg(F.count(F.lit(1)).alias("filas"), F.countDistinct(station).alias("estaciones"))
-    if names is not None:
-        per = per.join(names.select(F.col(names.columns[0]).alias("__c"), F.col("nombre")), F.col(code) == F.col("__c"), "left").drop("__c")
-        total = total.withColumn("nombre", F.lit(None).cast("string"))
-    total = total.select(F.lit(total_label).alias(code), *[c for c in per.columns if c != code])
-    return per.unionByName(total)
+    # the input is read once: its rows per code, file and station count for the code and for the total, which is there without rows too
+    one = df.groupBy(F.col(code).alias("__c"), (F.col(file) if file else F.lit(0)).alias("__f"), F.col(station).alias("__s")).agg(F.count(F.lit(1)).alias("__n"))
+    for_code = F.struct(F.lit(False).alias("whole"), F.col("__c").alias("c"), F.col("__f").alias("f"), F.col("__s").alias("s"), F.col("__n").alias("n"))
+    for_total = F.struct(F.lit(True).alias("whole"), F.lit(None).alias("c"), F.lit(None).alias("f"), F.col("__s").alias("s"), F.col("__n").alias("n"))
+    both = one.select(F.inline(F.array(for_code, for_total)))
+    stations = both.groupBy("whole", "c", "f", "s").agg(F.sum("n").alias("n"))
+    counted = stations.groupBy("whole", "c", "f").agg(F.sum("n").alias("filas"), F.count("s").alias("estaciones"))
+    counted = counted.unionByName(df.sparkSession.range(1).select(
+        F.lit(True).alias("whole"), F.lit(None).alias("c"), F.lit(None).alias("f"), F.lit(0).cast("long").alias("filas"), F.lit(0).cast("long").alias("estaciones")))
+    per = counted.groupBy("whole", F.col("c").alias(code)).agg(F.sum("filas").alias("filas"), F.sum("estaciones").alias("estaciones"))
+    label = F.when(F.col("whole"), F.lit(total_label)).otherwise(F.col(code)).alias(code)
+    if names is None:
+        return per.select(label, "filas", "estaciones")
+    names = names.select(F.lit(False).alias("__whole"), F.col(names.columns[0]).alias("__code"), F.col("nombre"))
+    per = per.join(names, (F.col("whole") == F.col("__whole")) & (F.col(code) == F.col("__code")), "left")
+    return per.select(label, "filas", "estaciones", "nombre")
 
 
 def null_profile(df: DataFrame, cols: list[str]) -> DataFrame:

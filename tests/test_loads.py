@@ -164,3 +164,23 @@ def test_merge_rewrites_only_touched_partitions(spark, tmp_path):
     after = {p.relative_to(path): p.stat().st_mtime_ns for p in __import__("pathlib").Path(path).glob("cubo=*/*.parquet")}
     assert {f for f in before if int(f.parts[0][5:]) not in touched} == {f for f in after if int(f.parts[0][5:]) not in touched}
     assert all(after[f] == before[f] for f in after if f in before) and not any(f in after for f in before if int(f.parts[0][5:]) in touched)
+
+
+def test_parameter_coverage_reads_its_rows_once_and_counts_none(spark):
+    from caudal.operators import audit
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        read.add(1)
+        return x
+
+    rows = [("A", "s1", "f1"), ("A", None, "f1"), ("A", "s1", "f2"), ("B", "s1", "f1"), (None, "s2", "f1"), ("Total", "s3", "f1")]
+    df = spark.createDataFrame(rows, "code string, st string, f string")
+    df = df.withColumn("st", F.udf(seen, "string")("st"))
+    names = spark.createDataFrame([("A", "Alfa"), ("A", "Alef"), ("Total", "T")], "code string, nombre string")
+    got = [tuple(r) for r in audit.parameter_coverage(df, "code", "st", file="f", names=names).select("code", "filas", "estaciones", "nombre").collect()]
+    assert sorted(got, key=str) == sorted([("A", 3, 2, "Alfa"), ("A", 3, 2, "Alef"), ("B", 1, 1, None), (None, 1, 1, None), ("Total", 1, 1, "T"),
+                                           ("Total", 6, 3, None)], key=str)
+    assert read.value == len(rows)
+    assert [tuple(r) for r in audit.parameter_coverage(df, "code", "st").where("code = 'A'").collect()] == [("A", 3, 1)]
+    assert [tuple(r) for r in audit.parameter_coverage(df.where("false"), "code", "st", file="f").collect()] == [("Total", 0, 0)]
