@@ -18,8 +18,8 @@ Beside it stands the ``base`` of single words: log10 of (count + 1/2) / (N + (V
 How it runs. Texts are dealt into blocks of about ``BLOCK_BYTES`` as they are read. A block sends each of its distinct grams
 (context and byte) and words once, with its training count, packed into one row per bucket; a bucket adds up the counts
 of all blocks. The trie's levels are tables, made one from the other by grouping; grams that no training text has are looked
-up level by level, the longest context first. Each block gets back one number for each gram and word it sent and scores
-its documents. A gram's log10 travels in 4 bytes, so a score is exact to about 1e-7 of its size. Blocks, buckets (their number follows the bytes) and tables are bounded or spread, whatever a source's or
+up level by level, the longest context first. Each block gets back the grams and words it sent, with one number for each, and
+scores its documents; it lists nothing anew. A gram's log10 travels in 4 bytes, so a score is exact to about 1e-7 of its size. Blocks, buckets (their number follows the bytes) and tables are bounded or spread, whatever a source's or
 a word's share; every count covers all training texts.
 
 A null id trains. Null, empty and blank texts consist of the end alone. Repeated rows train and are scored as often as they
@@ -29,8 +29,6 @@ come. Without training texts all bytes are alike and N = V = 0. An empty table g
 from __future__ import annotations
 
 import zlib
-from collections import Counter
-from itertools import chain
 from math import log10
 
 import numpy as np
@@ -92,21 +90,37 @@ def distinct_grams(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarr
     return values[first], np.add.reduceat(counts[by], first) if len(values) else counts
 
 
+def distinct_words(texts: list[bytes]) -> dict[bytes, int]:
+    """Distinct words of the texts (words joined by one space), and how often each occurs."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    raw = b"".join([t + b" " for t in texts if t])
+    at = np.r_[0, np.flatnonzero(np.frombuffer(raw, np.uint8) == ord(" ")) + 1]  # a word goes up to its space
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(raw)])
+    found = pc.value_counts(words)
+    return dict(zip(b"".join(found.field("values").to_pylist()).split(b" "), found.field("counts").to_pylist()))
+
+
 def gram_sums(texts: list[bytes], order: int, grams: np.ndarray, values: np.ndarray) -> list[float]:
-    """For each text the sum of its grams' values; ``grams`` ascending. Grams are looked up in order, piece by piece."""
+    """For each text the sum of its grams' values; ``grams`` ascending. Piece by piece the grams are sorted with the number
+    of their text in the bits that a gram leaves, so they are looked up in order, each distinct one once."""
+    spare = 64 - 8 * (order + 1)
+    most, mask = 1 << min(spare, 20), np.uint64((1 << spare) - 1)
     out, held, size = [], [], 0
     for i, t in enumerate(texts):
         held.append(t)
         size += len(t)
-        if size >= _LIST_BYTES or i + 1 == len(texts):
+        if size >= _LIST_BYTES or len(held) == most or i + 1 == len(texts):
             g, starts = grams_of(held, order)
-            by = np.argsort(g)
-            g = g[by]
-            new = np.r_[True, g[1:] != g[:-1]]
+            g <<= np.uint64(spare)
+            g |= np.repeat(np.arange(len(held), dtype=np.uint64), np.diff(starts))
+            g.sort()
+            of = (g & mask).astype(np.int64)
+            g >>= np.uint64(spare)
+            new = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
             found = values[np.searchsorted(grams, g[new])]
-            each = np.empty(len(g))
-            each[by] = found[np.cumsum(new) - 1]
-            out += np.add.reduceat(each, starts[:-1]).tolist()
+            out += np.bincount(of, np.repeat(found, np.diff(np.r_[new, len(g)])), len(held)).tolist()
             held, size = [], 0
     return out
 
@@ -126,28 +140,20 @@ def gram_buckets(grams: np.ndarray, buckets: int) -> np.ndarray:
 
 
 class Block:
-    """The distinct grams and words of a block's documents (id, held_out, text), in the order of their buckets.
-
-    ``words`` are in the order (bucket, word) and ``grams`` in the order (bucket, gram): the same in both passes.
-    """
+    """The distinct grams and words of a block's documents (id, held_out, text) and their training counts there, in the
+    orders (bucket, gram) and (bucket, word)."""
 
     def __init__(self, docs: list[tuple], order: int, buckets: int):
-        self.docs = docs
         learned, n = distinct_grams([t for _, held, t in docs if not held], order)
         asked, _ = distinct_grams([t for _, held, t in docs if held], order)
-        self.sorted_grams = np.union1d(learned, asked)
-        counts = np.zeros(len(self.sorted_grams), np.int64)
-        counts[np.searchsorted(self.sorted_grams, learned)] = n
-        bucket = gram_buckets(self.sorted_grams, buckets)
-        self.order = np.argsort(bucket, kind="stable")
-        self.grams, self.gram_n, self.gram_bucket = self.sorted_grams[self.order], counts[self.order], bucket[self.order]
-        known, every = Counter(), set()
-        for _, held, t in docs:
-            if held:
-                every.update(t.split())
-            else:
-                known.update(t.split())
-        every = sorted(every.union(known))
+        grams = np.union1d(learned, asked)
+        counts = np.zeros(len(grams), np.int64)
+        counts[np.searchsorted(grams, learned)] = n
+        bucket = gram_buckets(grams, buckets)
+        by = np.argsort(bucket, kind="stable")
+        self.grams, self.gram_n, self.gram_bucket = grams[by], counts[by], bucket[by]
+        known = distinct_words([t for _, held, t in docs if not held])
+        every = sorted(known.keys() | distinct_words([t for _, held, t in docs if held]).keys())
         bucket = np.fromiter(map(zlib.crc32, every), np.int64, len(every)) % buckets
         order = np.argsort(bucket, kind="stable")
         self.words, self.word_bucket = [every[i] for i in order.tolist()], bucket[order]
@@ -216,7 +222,7 @@ def _add_words(key, table):
     """For each block of the bucket the counts of its words over all blocks; the first row has the bucket's sums."""
     import pyarrow as pa
 
-    lists = [zlib.decompress(w).split() for w in table["words"].to_pylist()]
+    lists = [zlib.decompress(w).split() for w in table["words"].to_pylist()]  # no row holds a word twice
     whole: dict[bytes, int] = {}
     for ws, n in zip(lists, table["word_n"].to_pylist()):
         for w, k in zip(ws, unsqueezed(n, "<u4").tolist()):
@@ -224,52 +230,54 @@ def _add_words(key, table):
     sums = [sum(whole.values()), sum(n > 0 for n in whole.values())]
     counts = [squeezed(np.fromiter(map(whole.__getitem__, ws), "<i8", len(ws))) for ws in lists]
     rows, rest = len(lists), [0] * (len(lists) - 1)
-    return pa.table({"block": table["block"].cast(pa.int64()), "bucket": pa.array([key[0].as_py()] * rows, pa.int32()),
+    return pa.table({"block": table["block"].cast(pa.int64()), "words": table["words"].cast(pa.binary()),
                      "counts": pa.array(counts, pa.binary()), "n": pa.array([sums[0], *rest], pa.int64()),
                      "v": pa.array([sums[1], *rest], pa.int64())})
 
 
 def _hand_out(key, known, parts):
-    """For each block of the bucket the numbers of its grams, in their order."""
+    """For each block of the bucket its grams, as it sent them, and their numbers."""
     import pyarrow as pa
 
     g, value = known["g"].to_numpy(), known["logp"].to_numpy()
     order = np.argsort(g)
     g, value = g[order], value[order]
     out = [squeezed(value[np.searchsorted(g, unsqueezed(x, "<u8").astype(np.int64))].astype("<f4")) for x in parts["grams"].to_pylist()]
-    return pa.table({"block": parts["block"].cast(pa.int64()), "bucket": pa.array([key[0].as_py()] * len(out), pa.int32()),
-                     "logp": pa.array(out, pa.binary())})
+    return pa.table({"block": parts["block"].cast(pa.int64()), "grams": parts["grams"].cast(pa.binary()), "logp": pa.array(out, pa.binary())})
 
 
-def _scorer(order: int, buckets: int, n: int, v: int, trained: int):
-    """Scores of a block's documents from the numbers of its grams and words."""
+def _scorer(order: int, n: int, v: int, trained: int):
+    """Scores of a block's documents from its grams and words with their numbers."""
     tokens_n = n + trained
     distinct_n = v + (trained > 0)
     below = log10(tokens_n + 0.5 * (distinct_n + 1))
+    end = log10(trained + 0.5) - below
 
     def run(docs, found):
         import pyarrow as pa
 
-        rows = [(i, held, zlib.decompress(t)) for i, held, t in rows_of(docs, "doc_id", "held_out", "text")]
-        if not rows:
-            return pa.table({c: pa.array([], t) for c, t in
-                             zip(SCORED, (pa.int64(), pa.bool_(), *[pa.int64()] * 3, *[pa.float64()] * 2))})
-        block = Block(rows, order, buckets)
-        found = found.sort_by("bucket")
-        logp = np.concatenate([unsqueezed(x, "<f4") for x in found["logp"].to_pylist() if x is not None])
-        counts = np.concatenate([unsqueezed(x, "<i8") for x in found["counts"].to_pylist() if x is not None])
-        values = np.empty(len(logp))
-        values[block.order] = logp  # in the order of sorted_grams
-        base = dict(zip(block.words, (np.log10(counts + 0.5) - below).tolist()))
-        known = {w for w, c in zip(block.words, counts.tolist()) if c}
-        out, scores = [], gram_sums([t for _, _, t in block.docs], order, block.sorted_grams, values)
-        for (doc_id, held_out, text), score in zip(block.docs, scores):
-            ws = text.split()
-            out.append((doc_id, held_out, len(ws) + 1, sum(map(known.__contains__, ws)) + (trained > 0), tokens_n,
-                        float(sum(map(base.__getitem__, ws))) + log10(trained + 0.5) - below,
-                        score))
         kinds = (pa.int64(), pa.bool_(), *[pa.int64()] * 3, *[pa.float64()] * 2)
-        return pa.table({c: pa.array(x, t) for c, x, t in zip(SCORED, zip(*out), kinds)})
+        texts = [zlib.decompress(t) for t in docs["text"].to_pylist()]
+        if not texts:
+            return pa.table({c: pa.array([], t) for c, t in zip(SCORED, kinds)})
+
+        def numbers(column, dtype):
+            return np.concatenate([np.zeros(0, dtype), *[unsqueezed(x, dtype) for x in found[column].to_pylist() if x is not None]])
+
+        grams, logp = numbers("grams", "<u8"), numbers("logp", "<f4")
+        by = np.argsort(grams)
+        scores = gram_sums(texts, order, grams[by], logp[by].astype(float))
+        counts = numbers("counts", "<i8")
+        words = [w for x in found["words"].to_pylist() if x is not None for w in zlib.decompress(x).split()]
+        base = dict(zip(words, (np.log10(counts + 0.5) - below).tolist()))
+        unknown = {w for w, c in zip(words, counts.tolist()) if not c}
+        out = []
+        for text, score in zip(texts, scores):
+            ws = text.split()
+            strange = sum(map(unknown.__contains__, ws)) if unknown else 0
+            out.append((len(ws) + 1, len(ws) - strange + (trained > 0), tokens_n, float(sum(map(base.__getitem__, ws))) + end, score))
+        columns = [docs["doc_id"], docs["held_out"], *zip(*out)]
+        return pa.table({c: x.cast(t) if isinstance(x, pa.ChunkedArray) else pa.array(x, t) for c, x, t in zip(SCORED, columns, kinds)})
 
     return run
 
@@ -361,16 +369,17 @@ def score_documents(docs: DataFrame, held_out, order: int = ORDER, block_bytes:
     counts = written(sent.select("bucket", "grams", "gram_n").groupBy("bucket")
                      .applyInArrow(_add_grams, "bucket int, g long, n long, total long"), "grams")
     words = written(sent.select("block", "bucket", "words", "word_n").groupBy("bucket")
-                    .applyInArrow(_add_words, "block long, bucket int, counts binary, n long, v long"), "words")
+                    .applyInArrow(_add_words, "block long, words binary, counts binary, n long, v long"), "words")
     sums = words.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     levels, contexts = trie(counts.where("n > 0").select("g", "n"), order)
     logp = counts.where("n > 0").select("bucket", "g", F.log10((F.col("n") - F.lit(0.5)) / F.col("total")).alias("logp"))
     logp = logp.unionByName(_unseen(counts.where("n = 0"), levels, contexts))
     numbers = logp.groupBy("bucket").cogroup(sent.select("block", "bucket", "grams").groupBy("bucket")).applyInArrow(
-        _hand_out, "block long, bucket int, logp binary")
-    found = numbers.select("block", "bucket", "logp", F.lit(None).cast("binary").alias("counts")).union(
-        words.select("block", "bucket", F.lit(None).cast("binary"), "counts"))
+        _hand_out, "block long, grams binary, logp binary")
+    none = F.lit(None).cast("binary")
+    found = numbers.select("block", "grams", "logp", none.alias("words"), none.alias("counts")).union(
+        words.select("block", none, none, "words", "counts"))
     texts = parts.where("bucket IS NULL").select("block", "doc_id", "held_out", "text")
-    scorer = _scorer(order, buckets, int(sums["n"] or 0), int(sums["v"] or 0), int(whole["trained"] or 0))
+    scorer = _scorer(order, int(sums["n"] or 0), int(sums["v"] or 0), int(whole["trained"] or 0))
     return texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(
         scorer, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -280,3 +280,29 @@ def test_triangular_solve():
     r = np.triu(g.normal(size=(150, 150))) + 20 * np.eye(150)
     a = g.normal(size=(11, 150))
     assert np.abs(qr_whitening.solve_right(a, r) @ r - a).max() < 1e-10
+
+
+@pytest.mark.parametrize("order", [1, 5, 6])
+def test_gram_sums_are_those_of_single_grams(order):
+    texts = [b"", b"a", b"ab ab"] + [b"word%d of text %d" % (i % 7, i) for i in range(600)]
+    grams, _ = ppm_scoring.distinct_grams(texts, order)
+    values = np.linspace(-9, -1, len(grams))
+    each = [float(values[np.searchsorted(grams, ppm_scoring.grams_of([t], order)[0])].sum()) for t in texts]
+    assert np.allclose(ppm_scoring.gram_sums(texts, order, grams, values), each, rtol=1e-12)
+
+
+def test_scoring_uses_the_grams_and_words_that_a_block_sent(monkeypatch):
+    import pyarrow as pa
+
+    texts = [b"ab ab", b""]
+    grams, _ = ppm_scoring.distinct_grams(texts, 2)
+    pressed = ppm_scoring.squeezed
+    docs = pa.table({"doc_id": pa.array([1, 2], pa.int64()), "held_out": [False, True], "text": [pressed(t) for t in texts]})
+    cut = len(grams) // 2
+    found = pa.table({"grams": pa.array([pressed(grams[cut:]), None, pressed(grams[:cut])], pa.binary()),
+                      "logp": pa.array([pressed(np.full(len(grams) - cut, -1, "<f4")), None, pressed(np.full(cut, -1, "<f4"))], pa.binary()),
+                      "words": pa.array([None, pressed(b"ab"), None], pa.binary()),
+                      "counts": pa.array([None, pressed(np.array([2], "<i8")), None], pa.binary())})
+    monkeypatch.setattr(ppm_scoring, "Block", None)  # grams and words are not listed a second time
+    got = ppm_scoring._scorer(2, 2, 1, 1)(docs, found).to_pylist()
+    assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["score"]) for r in got] == [(3, 3, 3, -6.0), (1, 1, 3, -1.0)]
