@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from caudal.session import scratch_path
 
 SHINGLE_WORDS = 5
+#: Rows of an Arrow batch that are Python values at once.
+ROWS = 512
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -43,8 +45,10 @@ def row_key(doc_id, text):
 
 
 def rows_of(batch, *names):
-    """The rows of an Arrow batch as tuples of Python values."""
-    return zip(*(batch.column(n).to_pylist() for n in names))
+    """The rows of an Arrow batch as tuples of Python values, some of them at a time."""
+    for i in range(0, batch.num_rows, ROWS):
+        part = batch.slice(i, ROWS)
+        yield from zip(*(part.column(n).to_pylist() for n in names))
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -22,6 +22,8 @@ END_ID = 1
 MAX_WORDS = 300_000
 #: Texts, and their bytes, that are encoded together.
 BATCH_TEXTS, BATCH_BYTES = 1024, 4 << 20
+#: Pre-tokens that one call of the tokenizer encodes: its tokens and offsets take far more memory than their ids.
+ENCODED = 8192
 
 _LETTERS = "a-zß-öø-įı-ſ"  # without the one letter whose lower case is two characters
 _PLAIN = re.compile(f"[!-&(-~{_LETTERS}]+")  # ASCII but the apostrophe, and Latin letters
@@ -96,17 +98,19 @@ class Encoder:
                 ids[w] = b"".join([ids[x] for x in p])
 
     def _add_runs(self, runs: list[str]) -> None:
-        if runs:
-            encoding = self.model.encode(runs, is_pretokenized=True, add_special_tokens=False)
+        for i in range(0, len(runs), ENCODED):
+            some = runs[i : i + ENCODED]
+            encoding = self.model.encode(some, is_pretokenized=True, add_special_tokens=False)
             of = np.array(encoding.word_ids, np.int64)
-            self._cut(runs, encoding.ids, np.searchsorted(of, np.arange(len(runs))))
+            self._cut(some, encoding.ids, np.searchsorted(of, np.arange(len(some))))
 
     def _add_others(self, words: list[str]) -> None:
-        if words:
-            encoding = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        for i in range(0, len(words), ENCODED):
+            some = words[i : i + ENCODED]
+            encoding = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
             at = np.fromiter((o[0] for o in encoding.offsets), np.int64, len(encoding.offsets))
-            lengths = np.fromiter(map(len, words), np.int64, len(words))
-            self._cut(words, encoding.ids, np.searchsorted(at, np.cumsum(lengths + 1) - lengths - 1))
+            lengths = np.fromiter(map(len, some), np.int64, len(some))
+            self._cut(some, encoding.ids, np.searchsorted(at, np.cumsum(lengths + 1) - lengths - 1))
 
     def _cut(self, words: list[str], ids: list[int], starts: np.ndarray) -> None:
         raw, cut = np.array(ids, "<u4").tobytes(), (starts * 4).tolist()

@@ -122,3 +122,42 @@ def test_packing_of_an_empty_table_and_bad_tiers(no_docs):
     assert tier_packing.pack_documents(no_docs, PATH).count() == 0
     with pytest.raises(ValueError):
         tier_packing.pack_documents(no_docs, PATH, tiers=(2048, 1000))
+
+
+def test_a_call_of_the_tokenizer_gets_a_bounded_number_of_pre_tokens(monkeypatch):
+    encoder, calls = tokens.Encoder(tokens.tokenizer_path()), []
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def encode(self, words, **how):
+            calls.append(len(words if isinstance(words, list) else words.split()))
+            return self.inner.encode(words, **how)
+
+    letters = "abcdefghij"
+    runs = ["".join(letters[int(c)] for c in str(i)) for i in range(20_000)]
+    text = " ".join(runs + [f"don't{w}" for w in runs[:9_000]]).encode()
+    want = encoder.whole(text)
+    monkeypatch.setattr(encoder, "model", Counted(encoder.model))
+    monkeypatch.setattr(encoder, "tokenizer", Counted(encoder.tokenizer))
+    assert encoder.encode([text]) == [want]
+    assert len(calls) > 2 and max(calls) <= tokens.ENCODED
+
+
+def test_rows_of_a_batch_become_python_values_some_at_a_time():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from caudal.llm.common import rows_of
+
+    batch = pa.RecordBatch.from_pydict({"i": list(range(5_000)), "t": [b"%04d" % i * 500 for i in range(5_000)]})
+    tracemalloc.start()
+    rows = iter(rows_of(batch, "i", "t"))
+    assert next(rows) == (0, b"0000" * 500)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3_000_000  # the batch has 10 MB
+    assert [(i, t[:4]) for i, t in rows] == [(i, b"%04d" % i) for i in range(1, 5_000)]
+    assert list(rows_of(batch.slice(0, 0), "i", "t")) == []
