@@ -2,15 +2,16 @@
 
 Ids come from the ``tokenizers`` library. A tokenizer whose normaliser and pre-tokeniser never join two sides of white
 space gives a text the ids of its words in order. A word of ASCII and Latin letters is made of pre-tokens (runs of
-letters, digits, runs of the rest) that have their ids alone, so a text is cut into pre-tokens, each distinct one is encoded
-once and its ids are reused; runs of letters go straight to the model, past the normaliser and the pre-tokeniser's
-pattern. Everything in which this could matter (a special token's bracket, combining marks, apostrophes, other scripts) is
+letters, digits, runs of the rest) that have their ids alone, so a text is cut into words, each distinct one is cut into
+pre-tokens and encoded once, and its ids are reused; runs of letters go straight to the model, past the normaliser and the
+pre-tokeniser's pattern. Everything in which this could matter (a special token's bracket, combining marks, apostrophes, other scripts) is
 encoded as it stands. ``tests/llm`` compares both ways.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 import sys
 
 import numpy as np
@@ -18,8 +19,9 @@ import numpy as np
 TOKENIZER_FILE = "word_bpe_49k.json"
 VOCAB_SIZE = 49_408
 END_ID = 1
-#: Pre-tokens whose ids a Python worker keeps in each of two generations (about 150 bytes each); a reused worker keeps them.
-MAX_WORDS = 300_000
+#: Words whose ids a Python worker keeps in each of two generations (about 150 bytes each), and the bytes of the longest that
+#: stays after its batch; a reused worker keeps them.
+MAX_WORDS, LONG = 300_000, 64
 #: Texts, and their bytes, that are encoded together.
 BATCH_TEXTS, BATCH_BYTES = 1024, 4 << 20
 #: Pre-tokens that one call of the tokenizer encodes: its tokens and offsets take far more memory than their ids.
@@ -29,6 +31,8 @@ _LETTERS = "a-zß-öø-įı-ſ"  # without the one letter whose lower case is tw
 _PLAIN = re.compile(f"[!-&(-~{_LETTERS}]+")  # ASCII but the apostrophe, and Latin letters
 _WORD_PARTS = re.compile(f"[{_LETTERS}]+|[0-9]|[^0-9{_LETTERS}]+")
 
+#: Marks after a small letter, at the end of its word: a pre-token by themselves.
+_MARKS = re.compile(rb"[!-&(-/:-@[-`{-~](?<=[a-z].)[!-&(-/:-@[-`{-~]*+(?![^ \t-\r])")
 _BLANK, _SMALL, _ODD = r" \t-\r", "a-zß-öø-ÿ", "'\x80-\xde÷\u0100-\U0010ffff"
 _RUN = re.compile(f"[{_SMALL}]+")
 _HAS_ODD = re.compile(f"[{_ODD}]")
@@ -51,13 +55,12 @@ class Encoder:
     """
 
     def __init__(self, path: str, by_word: bool = True):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer, self.by_word = Tokenizer.from_file(path), by_word
-        self.model = Tokenizer(self.tokenizer.model)
-        self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.ids: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.model = Runs(self.tokenizer)
+        self.ids: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     @classmethod
     def of_worker(cls, path: str, by_word: bool = True) -> Encoder:
@@ -72,37 +75,46 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         plain = [self.by_word and not (b"<|" in t or b"\xcc" in t or b"\xcd" in t) for t in texts]
-        lists = [_pre_tokens(t.lower().decode()) if p else [] for t, p in zip(texts, plain)]
-        words = set().union(*lists)
-        self._learn(words)
+        lists = [_words(t) if p else [] for t, p in zip(texts, plain)]
+        long = self._learn(set().union(*lists))
         get = self.ids.__getitem__
-        return [b"".join(map(get, ws)) if p else self.whole(t) for t, p, ws in zip(texts, plain, lists)]
+        out = [b"".join(map(get, ws)) if p else self.whole(t) for t, p, ws in zip(texts, plain, lists)]
+        for w in long:
+            del self.ids[w]
+        return out
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: set[bytes]) -> list[bytes]:
+        """Ids of all these words; returns those that are too long to be kept."""
         if len(self.ids) >= MAX_WORDS:
             self.ids, self.older = {}, self.ids
-        new = words.difference(self.ids)
+        ids = self.ids
+        new = words.difference(ids)
         if self.older:
             again = new.intersection(self.older)
-            self.ids.update((w, self.older[w]) for w in again)
+            ids.update((w, self.older[w]) for w in again)
             new -= again
-        runs = [w for w in new if _RUN.fullmatch(w)]
-        parts = {w: _parts(w) for w in new.difference(runs)}
-        todo = set().union(*parts.values()).difference(self.ids, runs)
-        more = [w for w in todo if _is_run(w)]
-        self._add_runs(runs + more)
-        self._add_others(list(todo.difference(more)))
-        ids = self.ids
+        runs, others, parts = [], [], {}
+        for w in new:
+            text = w.decode()
+            if w.isalpha() or _RUN.fullmatch(text):
+                runs.append(text)
+            else:
+                parts[w] = [p.encode() for t in _pre_tokens(text) for p in _split(t)]
+        todo = set().union(*parts.values()).difference(ids, new.difference(parts))
+        for p in todo:
+            text = p.decode()
+            (runs if _is_run(text) else others).append(text)
+        self._add_runs(runs)
+        self._add_others(others)
         for w, p in parts.items():
             if w not in ids:
                 ids[w] = b"".join([ids[x] for x in p])
+        return [w for w in new | todo if len(w) > LONG]
 
     def _add_runs(self, runs: list[str]) -> None:
         for i in range(0, len(runs), ENCODED):
             some = runs[i : i + ENCODED]
-            encoding = self.model.encode(some, is_pretokenized=True, add_special_tokens=False)
-            of = np.array(encoding.word_ids, np.int64)
-            self._cut(some, encoding.ids, np.searchsorted(of, np.arange(len(some))))
+            self.ids.update(zip(map(str.encode, some), self.model.encode(some)))
 
     def _add_others(self, words: list[str]) -> None:
         for i in range(0, len(words), ENCODED):
@@ -114,22 +126,45 @@ class Encoder:
 
     def _cut(self, words: list[str], ids: list[int], starts: np.ndarray) -> None:
         raw, cut = np.array(ids, "<u4").tobytes(), (starts * 4).tolist()
-        self.ids.update(zip(words, [raw[i:j] for i, j in zip(cut, [*cut[1:], len(raw)])]))
+        self.ids.update(zip(map(str.encode, words), [raw[i:j] for i, j in zip(cut, [*cut[1:], len(raw)])]))
+
+
+class Runs:
+    """``encode(runs)``: the ids of runs of letters by a tokenizer's model alone, each as if a pre-token of a text."""
+
+    def __init__(self, tokenizer):
+        from tokenizers import pre_tokenizers
+
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.tokenize = tokenizer.model.tokenize
+        self.letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x180)}  # ASCII letters stay as they are
+
+    def encode(self, runs: list[str]) -> list[bytes]:
+        out = []
+        for run in runs:
+            ids = [t.id for t in self.tokenize(run if run.isascii() else run.translate(self.letters))]
+            out.append(struct.pack(f"<{len(ids)}I", *ids))
+        return out
 
 
 def _is_run(word: str) -> bool:
-    """A run of letters, as ``_parts`` makes them: it has no other character if it has one letter."""
+    """A run of letters, as ``_split`` makes them: it has no other character if it has one letter."""
     return word.isalpha() and _PLAIN.fullmatch(word) is not None
 
 
+def _words(text: bytes) -> list[bytes]:
+    """Words of a text, A-Z in lower case; marks at the end of a word are one of their own."""
+    return _MARKS.sub(rb" \g<0>", text.lower()).split()
+
+
 def _pre_tokens(text: str) -> list[str]:
     """Pre-tokens of a text (A-Z in lower case); words with an apostrophe, or a character beyond ASCII and small Latin-1
     letters, stay whole."""
     return (_MIXED_PRE_TOKENS if _HAS_ODD.search(text) else _PRE_TOKENS).findall(text)
 
 
-def _parts(word: str) -> list[str]:
-    """Pre-tokens of a word that have its ids one after another; the word itself if that is not certain."""
+def _split(word: str) -> list[str]:
+    """What ``_pre_tokens`` left whole, cut where its ids are those of its pre-tokens."""
     s = word.lower()
     return [word] if word.isascii() or _PLAIN.fullmatch(s) is None else _WORD_PARTS.findall(s)
 

@@ -161,3 +161,20 @@ def test_rows_of_a_batch_become_python_values_some_at_a_time():
     assert peak < 3_000_000  # the batch has 10 MB
     assert [(i, t[:4]) for i, t in rows] == [(i, b"%04d" % i) for i in range(1, 5_000)]
     assert list(rows_of(batch.slice(0, 0), "i", "t")) == []
+
+
+def test_each_distinct_word_is_cut_once_and_marks_alone(monkeypatch):
+    encoder, cut = tokens.Encoder(PATH), []
+    inner = tokens._pre_tokens
+    monkeypatch.setattr(tokens, "_pre_tokens", lambda text: cut.append(text) or inner(text))
+    texts = [b"One two, three!! (four) five5.\nsix\xc3\xa9 don't... \xc3\xa9!! x.y\x1cz a\xc2\xa0b end." * n for n in (1, 30, 200)]
+    assert encoder.encode(texts) == [encoder.whole(t) for t in texts]
+    assert sum(map(len, cut)) < 200  # the texts have 15,000 characters
+    assert encoder.encode(texts) == [encoder.whole(t) for t in texts] and len(cut) == len(set(cut))
+
+
+def test_long_words_do_not_stay():
+    encoder = tokens.Encoder(PATH)
+    texts = [b"ab1" * 5_000 + b" short", "字".encode() * 3_000, b"q" * 100 + b"9"]
+    assert encoder.encode(texts) == [encoder.whole(t) for t in texts] == encoder.encode(texts)
+    assert b"short" in encoder.ids and max(map(len, encoder.ids)) <= tokens.LONG
