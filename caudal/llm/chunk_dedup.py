@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caudal.llm.common import WordHash, mix, row_key, rows_of, utf8, words_of
+from caudal.llm.common import WordHash, mix, row_key, rows_of, slices_of, utf8, words_of
 
 #: Words in a chunk (least, greatest), and in a run of repeats that is removed (least).
 MIN_WORDS, MAX_WORDS, MIN_RUN = 4, 32, 16
@@ -76,7 +76,7 @@ def _chunker():
     def run(batches):
         import pyarrow as pa
 
-        hashes, held, size, seen = WordHash(), [], 0, set()
+        hashes, held, size, seen = WordHash.of_worker(), [], 0, set()
 
         def out():
             ids, keys, counts, digests = zip(*held)
@@ -174,8 +174,8 @@ def deduplicate_substrings(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame
     def run(batches):
         import pyarrow as pa
 
-        hashes = WordHash()
-        for b in batches:
+        hashes = WordHash.of_worker()
+        for b in (part for batch in batches for part in slices_of(batch)):
             texts = [None if t is None else t.encode() for t in b.column(names[text_at]).to_pylist()]
             places = b.column("places").to_pylist()
             done = [remove_runs(t or b"", p or [], hashes, min_run) for t, p in zip(texts, places)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 
 import numpy as np
@@ -44,10 +45,26 @@ def row_key(doc_id, text):
     return F.xxhash64(F.lit(3), F.coalesce(doc_id, F.lit(2**63 - 1)), text)
 
 
+def kept_by_worker(key, make):
+    """The object that the Python worker keeps under this key from task to task, made if it has none.
+
+    Only the key asked for last is kept: what one operator remembers makes room when the worker turns to another.
+    """
+    kept = sys.__dict__.setdefault("_caudal_kept", {})
+    if key not in kept:
+        kept.clear()
+        kept[key] = make()
+    return kept[key]
+
+
+def slices_of(batch):
+    """An Arrow batch in slices of at most ROWS rows."""
+    return (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS))
+
+
 def rows_of(batch, *names):
     """The rows of an Arrow batch as tuples of Python values, some of them at a time."""
-    for i in range(0, batch.num_rows, ROWS):
-        part = batch.slice(i, ROWS)
+    for part in slices_of(batch):
         yield from zip(*(part.column(n).to_pylist() for n in names))
 
 
@@ -74,6 +91,11 @@ class WordHash(dict):
         self[word] = h = self.digest(word)
         return h
 
+    @classmethod
+    def of_worker(cls) -> WordHash:
+        """One for all tasks of a worker, until it turns to other work."""
+        return kept_by_worker("words", cls)
+
     def of(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 

@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caudal.llm.common import rows_of, utf8
+from caudal.llm.common import kept_by_worker, slices_of, utf8
 
 #: Bounds of the training sample (documents of each label) and of the model.
 MAX_PER_LABEL = 1500
@@ -224,6 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = MAX_PER_LABEL) -> d
     def run(batches):
         import pyarrow as pa
 
+        kept_by_worker("toxicity", dict)  # nothing stays from other work
         bags = Bags()
         for b in batches:
             for i in range(b.num_rows):  # one text at a time
@@ -241,15 +242,18 @@ def score_documents(docs: DataFrame, model: dict, carry: list[str] | None = None
     carry = [c for c in (docs.columns if carry is None else carry) if c not in SCORED]
     fields = [docs.schema[c] for c in carry]
     names = [f"_in_{i}" for i in range(len(fields))]
-    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(carry, names)], utf8("text").alias("_text"))
+    once = "text" in carry and docs.schema["text"].dataType.typeName() == "string"
+    text = names[carry.index("text")] if once else "_text"
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(carry, names)], *([] if once else [utf8("text").alias("_text")]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         import pyarrow as pa
 
+        kept_by_worker("toxicity", dict)  # nothing stays from other work
         scorer = Scorer(shared.value)
-        for b in batches:
-            found = [scorer.score(t) for t in b.column("_text").to_pylist()]
+        for b in (part for batch in batches for part in slices_of(batch)):
+            found = [scorer.score(t or b"") for t in b.column(text).cast(pa.binary()).to_pylist()]
             score, n, worst, worst_score = zip(*found) if found else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [b.column(x) for x in names] + [pa.array(score, pa.float64()), pa.array([int(x >= 0.5) for x in score], pa.int32()),

@@ -46,7 +46,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caudal.llm.common import WordHash, components, mix, ranked, row_key, rows_of, shingle_hashes, utf8, words_of, written
+from caudal.llm.common import WordHash, components, mix, ranked, row_key, rows_of, shingle_hashes, slices_of, utf8, words_of, written
 from caudal.llm.stratified_shards import unit_hash
 
 #: Jaccard similarity as a fraction, counters of the sketch (log2), slices it is summed in.
@@ -114,7 +114,7 @@ def _profile():
         def rows(*columns):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-        hashes, counts = WordHash(), np.zeros(1 << SKETCH_BITS, np.uint32)
+        hashes, counts = WordHash.of_worker(), np.zeros(1 << SKETCH_BITS, np.uint32)
         places, held = [], 0
 
         def count():
@@ -124,13 +124,13 @@ def _profile():
 
         for b in batches:
             n, nodes = [], []
-            for text in b.column("text").to_pylist():
+            for (text,) in rows_of(b, "text"):
                 s = shingle_set(text, hashes)
                 n.append(len(s))
                 nodes.append(set_digest(s) if len(s) else None)
                 places.append(_places(s))
                 held += len(s)
-                if held >= 1 << 20:
+                if held >= 1 << 18:
                     count()
                     held = 0
             blank = [None] * len(n)
@@ -170,9 +170,9 @@ def _signer(sketch):
     def run(batches):
         import pyarrow as pa
 
-        counts, hashes, seen = sketch.value, WordHash(), set()
+        counts, hashes, seen = sketch.value, WordHash.of_worker(), set()
         mean = max(1.0, float(counts.mean()))
-        for b in batches:
+        for b in (part for batch in batches for part in slices_of(batch)):  # a document has a signature for each four shingles
             sigs, nodes = [np.zeros(0, np.uint64)], []
             for text in b.column("text").to_pylist():
                 s = shingle_set(text, hashes)
@@ -201,7 +201,7 @@ def _verifier(share: int, of: int):
     def run(batches):
         import pyarrow as pa
 
-        hashes, last, hub = WordHash(), None, None
+        hashes, last, hub = WordHash.of_worker(), None, None
         for b in batches:
             found = []
             for a, other, text_a, text_b in rows_of(b, "a", "b", "text_a", "text_b"):
@@ -236,8 +236,8 @@ def bucket_hashes(shingles: np.ndarray) -> bytes:
 def _carder(batches):
     import pyarrow as pa
 
-    hashes = WordHash()
-    for b in batches:
+    hashes = WordHash.of_worker()
+    for b in (part for batch in batches for part in slices_of(batch)):
         sets = [shingle_set(t, hashes) for t in b.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([len(x) for x in sets], pa.int64()),
                                           pa.array([bucket_hashes(x) for x in sets], pa.binary())], ["node", "n", "card"])

@@ -12,10 +12,11 @@ from __future__ import annotations
 
 import re
 import struct
-import sys
 
 import numpy as np
 
+from caudal.llm.common import kept_by_worker
+
 TOKENIZER_FILE = "word_bpe_49k.json"
 VOCAB_SIZE = 49_408
 END_ID = 1
@@ -64,11 +65,8 @@ class Encoder:
 
     @classmethod
     def of_worker(cls, path: str, by_word: bool = True) -> Encoder:
-        """One encoder per worker process and file: tasks that reuse the worker reuse its words."""
-        kept = sys.__dict__.setdefault("_caudal_encoders", {})
-        if (path, by_word) not in kept:
-            kept[path, by_word] = cls(path, by_word)
-        return kept[path, by_word]
+        """One encoder for tasks that reuse a worker, until it turns to other work: they reuse its words."""
+        return kept_by_worker((path, by_word), lambda: cls(path, by_word))
 
     def whole(self, text: bytes) -> bytes:
         return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()

@@ -68,3 +68,44 @@ def test_stages_of_an_empty_table(spark, sf_dir):
         out = stage(spark, docs, sf_dir)
         assert out.columns == docs.columns and out.count() == 0
     assert corpus_pipeline.pack(spark, docs, sf_dir).count() == 0
+
+
+def test_a_worker_keeps_what_one_operator_remembers():
+    import gc
+    import weakref
+
+    from caudal.llm import tokens
+    from caudal.llm.common import WordHash
+
+    encoder = tokens.Encoder.of_worker(tokens.tokenizer_path())
+    assert tokens.Encoder.of_worker(tokens.tokenizer_path()) is encoder
+    seen = weakref.ref(encoder)
+    del encoder
+    words = WordHash.of_worker()
+    gc.collect()
+    assert seen() is None and WordHash.of_worker() is words
+
+
+def test_signatures_of_a_batch_come_some_documents_at_a_time():
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pyarrow as pa
+
+    from caudal.llm import partenum_join
+    from caudal.llm.common import ROWS
+
+    texts = [" ".join(f"w{i}x{j}" for j in range(20)).encode() for i in range(3 * ROWS)]
+    sign = partenum_join._signer(SimpleNamespace(value=np.zeros(1 << partenum_join.SKETCH_BITS)))
+    out = list(sign(iter([pa.RecordBatch.from_pydict({"text": texts})])))
+    assert [len(set(b.column("node").to_pylist())) for b in out] == [ROWS] * 3
+
+
+def test_scoring_sends_the_text_once(spark, odd_docs):
+    model = {"bias": -2.0, "weights": {b"one": 5.0}}
+    whole = mil_toxicity.score_documents(odd_docs, model)
+    assert "as binary" not in whole._jdf.queryExecution().toString()
+    ids = mil_toxicity.score_documents(odd_docs, model, ["doc_id"])
+    assert sorted(map(str, whole.select("doc_id", "predicted", "n_sentences", "worst_sentence").collect())) == sorted(
+        map(str, ids.select("doc_id", "predicted", "n_sentences", "worst_sentence").collect()))
+    assert whole.where("predicted = 1").count() == 3  # of three with the word
