@@ -4,8 +4,8 @@ Ids come from the ``tokenizers`` library. A tokenizer whose normaliser and pre-t
 space gives a text the ids of its words in order. A word of ASCII and Latin letters is made of pre-tokens (runs of
 letters, digits, runs of the rest) that have their ids alone, so a text is cut into words, each distinct one is cut into
 pre-tokens and encoded once, and its ids are reused; runs of letters go straight to the model, past the normaliser and the
-pre-tokeniser's pattern. Everything in which this could matter (a special token's bracket, combining marks, apostrophes, other scripts) is
-encoded as it stands. ``tests/llm`` compares both ways.
+pre-tokeniser's pattern. Everything in which this could matter (a special token's bracket, combining marks, apostrophes,
+other scripts) is encoded as it stands. ``tests/llm`` compares both ways.
 """
 
 from __future__ import annotations
