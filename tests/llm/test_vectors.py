@@ -190,3 +190,51 @@ def test_short_vectors_reach_almost_all_pairs(spark):
     want = [w for dim in (2, 4, 6, 8) for w in links_by_hand([x for x in rows if len(x[1]) == dim], dim)]
     there = sum(w[1] for w in want)
     assert there > 2000 and 0.97 * there <= sum(got.values()) <= there
+
+
+def search_reads(spark, monkeypatch, n, **sizes):
+    """Bytes that reach the search of every second of n vectors, and its tasks."""
+    for name, v in {"ROW_BLOCK": 64, "QUERY_BLOCK": 8, **sizes}.items():
+        monkeypatch.setattr(topk_norm, name, v)
+
+    def counted(*_):
+        def run(batches):
+            import pyarrow as pa
+            from pyspark import TaskContext
+
+            read = sum(b.nbytes for b in batches)
+            if read:
+                yield pa.RecordBatch.from_pydict({"query_id": [TaskContext.get().partitionId()], "vec_id": [0], "score": [read]})
+        return run
+
+    monkeypatch.setattr(topk_norm, "_search", counted)
+    v = np.random.default_rng(8).normal(size=(n, 8))
+    df = table(spark, [(i, v[i].astype(np.float32).tolist(), 0) for i in range(n)])
+    got = topk_norm.top_inner_products(df, df.where("vec_id % 2 = 0"), 5, groups=3).collect()
+    return sum(r.score for r in got), len(got)
+
+
+def test_what_the_search_reads_grows_with_the_vectors(spark, monkeypatch):
+    small, _ = search_reads(spark, monkeypatch, 1000)
+    large, _ = search_reads(spark, monkeypatch, 3000)
+    assert large < 4 * small  # pairs of blocks grow ninefold
+    assert large < 3000 * 100 * 4  # a vector of 8 components has 16 bytes or 32, an id, a length, a floor, a cell
+
+
+def test_groups_follow_the_bytes_of_the_rows(spark, monkeypatch):
+    assert search_reads(spark, monkeypatch, 1000)[1] == 6  # 3 groups, two sets of queries for 8 partitions
+    assert search_reads(spark, monkeypatch, 1000, CELL_BYTES=2000)[1] == 16  # 32 bytes a row
+
+
+@pytest.mark.parametrize("kind", ["spread", "equal", "steep"])
+def test_top_k_over_many_blocks(spark, monkeypatch, kind):
+    for name, v in (("ROW_BLOCK", 32), ("QUERY_BLOCK", 8), ("STRIPE", 16), ("HEAD_ROWS", 20), ("CELL_BYTES", 2000), ("AT_ONCE", 100)):
+        monkeypatch.setattr(topk_norm, name, v)
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(500, 12)) * (0.5 ** np.arange(12) if kind == "steep" else 1)
+    if kind == "equal":
+        v[:400] = v[0]
+    rows = [(i - 250, x.astype(np.float32).tolist(), 0) for i, x in enumerate(v)]
+    df = table(spark, rows)
+    got = topk_norm.top_inner_products(df, df.where("vec_id % 5 = 0"), 5, groups=3).collect()
+    assert sorted(map(tuple, got)) == top_by_hand(rows, [i for i, _, _ in rows if i % 5 == 0], 5, 12)
